@@ -55,3 +55,263 @@ GROUP BY study_id"""
 
 
 ORACLE["q_lesion_pivot"] = _lesion_pivot()
+
+
+def _valve_input() -> str:
+    S, SEP = Q.VALVE_STATEMENTS, Q.VALVE_SEPARATORS
+    text = (f"{pick('o_orderkey', S)} || {pick('o_custkey', SEP)} || "
+            f"{pick('o_orderkey + o_custkey', S + [''])} || {pick('o_orderkey * 7', SEP)} || "
+            f"{pick('o_custkey * 3 + o_orderkey', S + ['', ''])}")
+    return f"""
+SELECT o_custkey AS subject_id, o_orderkey AS study_id, o_orderdate AS procedure_date,
+  CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN upper({text}) ELSE {text} END
+    AS finaldxcollated
+FROM orders"""
+
+
+def _contains_any(col: str, kws) -> str:
+    return "(" + " OR ".join(f"contains({col}, {lit(k)})" for k in kws) + ")"
+
+
+def _first_label(col: str, labels) -> str:
+    return "CASE " + " ".join(f"WHEN {_contains_any(col, kws)} THEN {lit(lab)}" for lab, kws in labels) + " END"
+
+
+def _valve_entries() -> str:
+    groups = {g: labels for g, _, labels in L.valve_groups()}
+    arr = r"regexp_split_to_array(translate(lower(coalesce(finaldxcollated, 'none')), '-_', '  '), '\. |¤|§')"
+    anat = " UNION ALL ".join(
+        f"SELECT study_id, pos, {lit(a)} AS anat, vt, les, sev FROM cls WHERE {_contains_any('s', kws)}"
+        for a, kws in groups["anatomy"])
+    return f"""
+rep AS ({_valve_input()}),
+st AS (SELECT study_id, unnest({arr}) AS s, generate_subscripts({arr}, 1) AS pos FROM rep),
+cls AS (SELECT study_id, pos, s, {_first_label('s', groups['valve_type'])} AS vt,
+          {_first_label('s', groups['lesion'])} AS les, {_first_label('s', groups['severity'])} AS sev
+        FROM st),
+an AS ({anat}),
+ent AS (SELECT study_id, anat || coalesce('_' || vt, '') || '_' || les AS key, arg_max(sev, pos) AS value
+        FROM an WHERE les IS NOT NULL AND sev IS NOT NULL GROUP BY ALL)"""
+
+
+ORACLE["q_valve_map"] = f"""
+WITH {_valve_entries()},
+txt AS (SELECT study_id, string_agg(key || '=' || value, ';' ORDER BY key) AS t FROM ent GROUP BY study_id)
+SELECT subject_id, rep.study_id, procedure_date, coalesce(t, '') AS valve_findings
+FROM rep LEFT JOIN txt ON rep.study_id = txt.study_id"""
+
+
+def _valve_wide() -> str:
+    cols = ",\n  ".join(f"max(CASE WHEN key = {lit(k)} THEN value END) AS {ident(k)}"
+                        for k in L.valve_key_space())
+    outs = ", ".join(f"w.{ident(k)}" for k in L.valve_key_space())
+    return f"""
+WITH {_valve_entries()},
+w AS (SELECT study_id, {cols} FROM ent GROUP BY study_id)
+SELECT subject_id, rep.study_id, procedure_date, finaldxcollated, {outs}
+FROM rep LEFT JOIN w ON rep.study_id = w.study_id"""
+
+
+ORACLE["q_valve_wide"] = _valve_wide()
+
+
+def encounter_input() -> str:
+    db = "CASE WHEN o_orderkey % 11 = 0 THEN 'legacy' WHEN o_orderkey % 2 = 0 THEN 'dts' ELSE 'edw' END"
+    edw = f"({db}) = 'edw'"
+    prim = ("CASE WHEN o_custkey % 13 = 0 THEN NULL "
+            f"WHEN {edw} AND o_orderkey % 3 = 0 THEN CAST(o_custkey % 60 AS VARCHAR) || '.0' "
+            "ELSE CAST(o_custkey % 60 AS VARCHAR) END")
+    sec = ("CASE WHEN o_orderkey % 7 = 0 THEN NULL "
+           f"WHEN {edw} THEN CAST(o_orderkey % 55 AS VARCHAR) || '.0,' || CAST(o_custkey % 50 AS VARCHAR) || '.0' "
+           "ELSE CAST(o_orderkey % 55 AS VARCHAR) || ',' || CAST(o_custkey % 50 AS VARCHAR) END")
+    return f"""
+SELECT CASE WHEN {edw} THEN 'edw_' ELSE 'hosp_' END || CAST(o_orderkey AS VARCHAR) AS visit_id,
+  'mrn_' || CAST(o_custkey AS VARCHAR) AS mrn_sha1,
+  {pick('o_orderkey', ['IP', 'OP', 'AE', 'DS', 'Inpatient visit', 'Emergency', 'ward'])} AS encounter_type,
+  {db} AS db_source, {prim} AS primary_diagnosis, {sec} AS secondary_diagnosis,
+  o_orderdate AS visit_date, o_orderpriority AS location, o_orderstatus AS sub_location,
+  {pick('o_orderkey', Q.VISIT_OUTCOMES)} AS visit_outcome
+FROM orders"""
+
+
+def _dx_flags() -> str:
+    comb = (r"CASE WHEN db_source = 'edw' THEN concat_ws(',', regexp_replace(primary_diagnosis, '\.0(,|$)', '\1', 'g'), "
+            r"regexp_replace(secondary_diagnosis, '\.0(,|$)', '\1', 'g')) "
+            "WHEN db_source = 'dts' THEN concat_ws(',', primary_diagnosis, secondary_diagnosis) ELSE '' END")
+    flags = []
+    for dx in L.diagnosis_categories():
+        whens = " ".join(
+            f"WHEN db_source = {lit(db)} THEN CAST(list_has_any(string_split(combined_diagnosis, ','), "
+            f"[{', '.join(lit(c) for c in sets[dx])}]) AS INTEGER)"
+            for db, sets in L.DIAGNOSIS_CODE_SETS.items() if dx in sets)
+        flags.append(f"CASE {whens} ELSE 0 END AS {ident(dx)}")
+    deaths = ", ".join(lit(x) for x in L.DEATH_OUTCOMES)
+    return f"""
+WITH e AS ({encounter_input()}),
+c AS (SELECT *, {comb} AS combined_diagnosis FROM e)
+SELECT visit_id, mrn_sha1 AS subject_id, visit_date, location, sub_location, combined_diagnosis,
+  {', '.join(flags)}, CAST(coalesce(visit_outcome IN ({deaths}), false) AS INTEGER) AS death
+FROM c"""
+
+
+ORACLE["q_dx_flags"] = _dx_flags()
+
+
+def patient_input() -> str:
+    k = "c_custkey"
+    cols = [
+        f"'mrn_' || CAST({k} AS VARCHAR) AS mrn_sha1",
+        f"'19' || lpad(CAST({k} % 70 + 20 AS VARCHAR), 2, '0') || '-0' || CAST({k} % 9 + 1 AS VARCHAR) "
+        f"|| '-1' || CAST({k} % 10 AS VARCHAR) AS dob",
+        f"{pick(k, ['F', 'M', 'U', '1', '2', 'X', None])} AS gender",
+        f"CASE WHEN {k} % 9 = 0 THEN '2021-06-01' WHEN {k} % 9 = 1 THEN 'junk' END AS death_indicator",
+        f"{pick(k + ' * 3', ['C', 'CA', 'CN', 'EU', 'I', 'IN', 'M', 'MY', 'N', 'O', 'S', 'SK', 'XX', 'ZZ'])} AS ethnicity_race",
+        f"'2015-0' || CAST({k} % 9 + 1 AS VARCHAR) || '-01' AS first_followup_dt",
+        f"'03/' || lpad(CAST({k} % 28 + 1 AS VARCHAR), 2, '0') || '/2022' AS last_followup_dt",
+        f"{pick(k, ['dts', 'edw'])} AS db_source",
+        "c_mktsegment AS last_encounter_location",
+    ]
+    for i, dx in enumerate(L.COMORBIDITIES):
+        cols.append(f"CAST(({k} + {i}) % 2 AS VARCHAR) AS {dx}")
+        cols.append(f"CASE WHEN ({k} + {i}) % 2 = 1 THEN '2020-' || lpad(CAST(({k} + {i}) % 12 + 1 AS VARCHAR), 2, '0') "
+                    f"|| '-15' END AS {dx}_onset")
+    return "SELECT " + ",\n  ".join(cols) + "\nFROM customer"
+
+
+ORACLE["q_comorbidity"] = f"""
+SELECT mrn_sha1 AS subject_id, {', '.join(c for dx in L.COMORBIDITIES for c in (dx, dx + '_onset'))}
+FROM ({patient_input()})"""
+
+
+# ---- column functions ---------------------------------------------------------------------------
+
+def _when_contains_chain(col, rules):
+    return "CASE " + " ".join(f"WHEN {_contains_any(col, needles)} THEN {lit(label)}"
+                              for needles, label in rules) + " END"
+
+
+ORACLE["q_med_type"] = f"""
+SELECT o_orderkey, raw, {_when_contains_chain('raw', L.MEDICATION_CLASS_RULES)} AS medication_type
+FROM (SELECT o_orderkey, {pick('o_orderkey + o_custkey', Q.MED_TYPE_TEXTS)} AS raw FROM orders)"""
+
+ORACLE["q_unique_tokens"] = f"""
+SELECT o_orderkey, raw, array_to_string(list_sort(list_distinct(string_split(raw, '|'))), '|') AS medication_type
+FROM (SELECT o_orderkey, concat_ws('|', {pick('o_orderkey', Q.TOKEN_TEXTS)}, o_orderstatus,
+        {pick('o_custkey', Q.TOKEN_TEXTS)}) AS raw FROM orders)"""
+
+
+def duration_text(k, c):
+    return (f"CASE WHEN {k} % 17 = 0 THEN NULL WHEN {k} % 13 = 0 THEN {pick(c, L.CYCLE_RANGES)} "
+            f"WHEN {k} % 11 = 0 THEN CAST({k} % 14 AS VARCHAR) || 'days' "
+            f"ELSE CAST({k} % 14 AS VARCHAR) || ' ' || {pick(c, Q.DURATION_UNITS)} END")
+
+
+def split_first_space(x):
+    return (f"split_part({x}, ' ', 1)",
+            f"CASE WHEN strpos({x}, ' ') > 0 THEN substr({x}, strpos({x}, ' ') + 1) END")
+
+
+_a, _u = split_first_space("raw")
+ORACLE["q_split_unit"] = f"""
+SELECT o_orderkey, raw, {_a} AS amount, {_u} AS unit
+FROM (SELECT o_orderkey, {duration_text('o_orderkey', 'o_custkey')} AS raw FROM orders)"""
+
+
+def dose_text(k, size):
+    return f"CASE WHEN {k} % 3 = 0 THEN CAST({size} AS VARCHAR) || ' mg' ELSE {pick(k, Q.DOSE_TEXTS)} END"
+
+
+def last_number(x, mode="full"):
+    p = r"([\d.,]*\d)(\D*)$" if mode == "full" else r"(\d+)(\D*)$"
+    return (rf"CASE WHEN regexp_matches({x}, '\d') THEN regexp_extract({x}, '{p}', 1) END",
+            rf"CASE WHEN regexp_matches({x}, '\d') THEN regexp_extract({x}, '{p}', 2) END")
+
+
+_d1, _u1 = last_number("raw", "full")
+_d2, _u2 = last_number("raw", "last_run")
+ORACLE["q_last_number"] = f"""
+SELECT p_partkey, raw, {_d1} AS dose, {_u1} AS dose_units, {_d2} AS dose_last_run, {_u2} AS dose_units_last_run
+FROM (SELECT p_partkey, {dose_text('p_partkey', 'p_size')} AS raw FROM part)"""
+
+
+def numeric_code(x):
+    d = f"TRY_CAST({x} AS DECIMAL(38,10))"
+    return (f"CASE WHEN {x} IS NULL THEN '-9999' "
+            f"WHEN {d} IS NOT NULL THEN CASE WHEN abs({d}) < 1 THEN '0' ELSE split_part(CAST({d} AS VARCHAR), '.', 1) END "
+            rf"WHEN contains({x}, ',') THEN regexp_replace({x}, '\.0(,|$)', '\1', 'g') END")
+
+
+def code_text(k, c):
+    return f"CASE WHEN {k} % 3 = 0 THEN CAST({c} AS VARCHAR) || '.0' ELSE {pick(k, Q.CODE_TEXTS)} END"
+
+
+ORACLE["q_code_clean"] = f"""
+SELECT o_orderkey, raw, {numeric_code('raw')} AS code
+FROM (SELECT o_orderkey, {code_text('o_orderkey', 'o_custkey')} AS raw FROM orders)"""
+
+ID_RE = r"'^[a-zA-Z]{1,2}[0-9]{7}[a-zA-Z]?\n?\z'"
+
+
+def redact(x):
+    return f"CASE WHEN regexp_matches({x}, {ID_RE}) THEN '[REDACTED]' ELSE {x} END"
+
+
+def id_text(k):
+    d7 = f"lpad(CAST({k} AS VARCHAR), 7, '0')"
+    return (f"CASE {k} % 8 WHEN 0 THEN 'S' || {d7} || 'D' WHEN 1 THEN 'ab' || {d7} "
+            f"WHEN 2 THEN 'S' || lpad(CAST({k} AS VARCHAR), 6, '0') || 'D' WHEN 3 THEN 'xS' || {d7} || 'D' "
+            f"WHEN 4 THEN 'id S' || {d7} || 'D' WHEN 5 THEN 'T' || lpad(CAST({k} AS VARCHAR), 8, '0') "
+            f"WHEN 6 THEN 'G' || {d7} || 'X' || chr(10) ELSE 'abc' || {d7} END")
+
+
+ORACLE["q_redact_id"] = f"""
+SELECT c_custkey, {redact('nric')} AS nric, {redact('c_name')} AS c_name,
+  {redact('c_mktsegment')} AS c_mktsegment, c_acctbal
+FROM (SELECT c_custkey, {id_text('c_custkey')} AS nric, c_name, c_mktsegment, c_acctbal FROM customer)"""
+
+
+def pseudonym(x, length=None):
+    s = L.TEST_SECRET
+    return f"substr(sha1({x} || {lit(s['salt'])}), {s['start_idx'] + 1}, {length or s['length']})"
+
+
+_STEM = r"split_part(string_split('D:\ecg\export\' || c_name || '.xml', '\')[-1], '.xml', 1)"
+ORACLE["q_pseudonym"] = f"""
+SELECT c_custkey,
+  {pseudonym("CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END")} AS name_hash,
+  {pseudonym(_STEM, 30)} AS study_id
+FROM customer"""
+
+
+def cis_raw():
+    return f"""
+SELECT 'mrn_' || CAST(o_custkey AS VARCHAR) AS IDRef, 'ST' || CAST(o_orderkey AS VARCHAR) AS "Study Num",
+  CASE WHEN o_orderkey % 19 = 0 THEN '00/00/00' WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%m/%d/%Y')
+       ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS "Procedure Date",
+  o_orderpriority AS Proc_HospitalID, {pick('o_orderkey', ['CAG', 'PCI', 'Echo', 'Nuclear'])} AS Procedure2,
+  'rf' || CAST(o_orderkey AS VARCHAR) AS RF_IDRef, 'N' AS VIP, {pick('o_custkey', ['R1', 'R2', ''])} AS ResCode,
+  'Patient S' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || 'A seen' AS Comments,
+  strftime(o_orderdate, '%d/%m/%Y') AS "Case Closed Date", '<html/>' AS HTML,
+  {pick('o_orderkey', ['Nurse A', 'Nurse B'])} AS ScrubNurse1,
+  'S' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || 'Z' AS Radiographer,
+  o_totalprice AS "Contrast Volume", o_orderstatus AS Outcome
+FROM orders"""
+
+
+ORACLE["q_drop_phi"] = f"""
+SELECT {redact('IDRef')} AS IDRef, {redact('"Study Num"')} AS "Study Num",
+  {redact('"Procedure Date"')} AS "Procedure Date", {redact('Proc_HospitalID')} AS Proc_HospitalID,
+  {redact('Procedure2')} AS Procedure2, "Contrast Volume", {redact('Outcome')} AS Outcome
+FROM ({cis_raw()})"""
+
+
+def recode(x, mapping):
+    return "CASE " + " ".join(f"WHEN {x} = {lit(k)} THEN {lit(v)}" for k, v in mapping.items()) + f" ELSE {x} END"
+
+
+ORACLE["q_recode"] = f"""
+SELECT mrn_sha1, {recode('gender', L.GENDER_RECODE)} AS gender,
+  {recode('ethnicity_race', L.ETHNICITY_RECODE)} AS ethnicity_race, {recode('route', L.ROUTE_RECODE)} AS route
+FROM ({patient_input()}) p
+JOIN (SELECT c_custkey, {pick('c_custkey', ['PO', 'IV', 'SC', 'NG', 'IM', 'PR', None])} AS route FROM customer) cu
+  ON p.mrn_sha1 = 'mrn_' || CAST(cu.c_custkey AS VARCHAR)"""

@@ -61,3 +61,281 @@ def lesion_input(spark, sf_dir) -> DataFrame:
 def q_lesion_pivot(spark, sf_dir):
     from .operators.derived import lesion_pivot
     return lesion_pivot(lesion_input(spark, sf_dir))
+
+
+VALVE_STATEMENTS = [
+    "Severe aortic stenosis", "Mild mitral regurgitation",
+    "Mild to moderate aortic and mitral regurg", "Aortic stenosis",
+    "Mechanical mitral valve; severe stenosis", "Trivial tricuspid regurgitation",
+    "Moderate pulmonic regurgitation", "Bioprosthesis in aortic position with mild stenosis",
+    "TAVI aortic valve, trivial regurgitation", "Mitral valve prolapse, moderate",
+    "Bicuspid aortic valve with mild stenosis", "Severe mitral annular calcification",
+    "Normal LV function", "MitraClip in situ with mild mitral regurgitation",
+    "Systolic anterior motion of mitral valve - moderate", "Vegetation on tricuspid valve, severe",
+    "Aortic-mitral mass mild", "same as before, moderate mitral_regurg",
+    "St Jude aortic, tricuspid and pulmonary regurg severe", "Corevalve aortic stenosis mild",
+]
+VALVE_SEPARATORS = [". ", "¤", "§", " and "]
+
+
+def valve_input(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    text = F.concat(pick(k, VALVE_STATEMENTS), pick(c, VALVE_SEPARATORS),
+                    pick(k + c, VALVE_STATEMENTS + [""]), pick(k * 7, VALVE_SEPARATORS),
+                    pick(c * 3 + k, VALVE_STATEMENTS + ["", ""]))
+    text = F.when(F.pmod(k, F.lit(23)) == 0, F.lit(None)).otherwise(
+        F.when(F.pmod(k, F.lit(5)) == 0, F.upper(text)).otherwise(text))
+    return o.select(c.alias("subject_id"), k.alias("study_id"),
+                    F.col("o_orderdate").alias("procedure_date"), text.alias("finaldxcollated"))
+
+
+@register
+def q_valve_map(spark, sf_dir):
+    from .operators.derived import valve_map_text
+    return valve_map_text(valve_input(spark, sf_dir))
+
+
+@register
+def q_valve_wide(spark, sf_dir):
+    from .operators.derived import valve_wide
+    return valve_wide(valve_input(spark, sf_dir))
+
+
+VISIT_OUTCOMES = ["Death Coroners", "Discharged", "Deceased", None, "Home", "Death Non-Coroners",
+                  "Transferred"]
+
+
+def encounter_input(spark, sf_dir) -> DataFrame:
+    """Raw encounters: one per order; visit ids 'edw_<n>' / 'hosp_<n>'."""
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    db = (F.when(F.pmod(k, F.lit(11)) == 0, F.lit("legacy"))
+          .when(F.pmod(k, F.lit(2)) == 0, F.lit("dts")).otherwise(F.lit("edw")))
+    edw = db == "edw"
+    prim = F.pmod(c, F.lit(60)).cast("string")
+    prim = F.when(F.pmod(c, F.lit(13)) == 0, F.lit(None)).otherwise(
+        F.when(edw & (F.pmod(k, F.lit(3)) == 0), F.concat(prim, F.lit(".0"))).otherwise(prim))
+    sec = F.concat(F.pmod(k, F.lit(55)).cast("string"), F.lit(","), F.pmod(c, F.lit(50)).cast("string"))
+    sec = F.when(F.pmod(k, F.lit(7)) == 0, F.lit(None)).otherwise(
+        F.when(edw, F.concat(F.pmod(k, F.lit(55)).cast("string"), F.lit(".0,"),
+                             F.pmod(c, F.lit(50)).cast("string"), F.lit(".0"))).otherwise(sec))
+    visit = F.concat(F.when(edw, F.lit("edw_")).otherwise(F.lit("hosp_")), k.cast("string"))
+    return o.select(
+        visit.alias("visit_id"), F.concat(F.lit("mrn_"), c.cast("string")).alias("mrn_sha1"),
+        pick(k, ["IP", "OP", "AE", "DS", "Inpatient visit", "Emergency", "ward"]).alias("encounter_type"),
+        db.alias("db_source"), prim.alias("primary_diagnosis"), sec.alias("secondary_diagnosis"),
+        F.col("o_orderdate").alias("visit_date"), F.col("o_orderpriority").alias("location"),
+        F.col("o_orderstatus").alias("sub_location"), pick(k, VISIT_OUTCOMES).alias("visit_outcome"))
+
+
+@register
+def q_dx_flags(spark, sf_dir):
+    from .operators.derived import encounter_diagnosis
+    enc = encounter_input(spark, sf_dir).withColumnRenamed("mrn_sha1", "subject_id")
+    return encounter_diagnosis(enc)
+
+
+def patient_input(spark, sf_dir) -> DataFrame:
+    """Raw patient export (33 columns) derived from customer."""
+    cu = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    cols = [
+        F.concat(F.lit("mrn_"), k.cast("string")).alias("mrn_sha1"),
+        F.concat(F.lit("19"), F.lpad((F.pmod(k, F.lit(70)) + 20).cast("string"), 2, "0"), F.lit("-0"),
+                 (F.pmod(k, F.lit(9)) + 1).cast("string"), F.lit("-1"),
+                 F.pmod(k, F.lit(10)).cast("string")).alias("dob"),
+        pick(k, ["F", "M", "U", "1", "2", "X", None]).alias("gender"),
+        F.when(F.pmod(k, F.lit(9)) == 0, F.lit("2021-06-01")).when(F.pmod(k, F.lit(9)) == 1, F.lit("junk"))
+         .alias("death_indicator"),
+        pick(k * 3, ["C", "CA", "CN", "EU", "I", "IN", "M", "MY", "N", "O", "S", "SK", "XX", "ZZ"])
+         .alias("ethnicity_race"),
+        F.concat(F.lit("2015-0"), (F.pmod(k, F.lit(9)) + 1).cast("string"), F.lit("-01")).alias("first_followup_dt"),
+        F.concat(F.lit("03/"), F.lpad((F.pmod(k, F.lit(28)) + 1).cast("string"), 2, "0"), F.lit("/2022"))
+         .alias("last_followup_dt"),
+        pick(k, ["dts", "edw"]).alias("db_source"),
+        F.col("c_mktsegment").alias("last_encounter_location"),
+    ]
+    for i, dx in enumerate(L.COMORBIDITIES):
+        flag = F.pmod(k + i, F.lit(2)).cast("string")
+        onset = F.when(flag == "1", F.concat(F.lit("2020-"), F.lpad((F.pmod(k + i, F.lit(12)) + 1).cast("string"), 2, "0"),
+                                               F.lit("-15")))
+        cols += [flag.alias(dx), onset.alias(f"{dx}_onset")]
+    return cu.select(*cols)
+
+
+@register
+def q_comorbidity(spark, sf_dir):
+    from .operators.derived import comorbidities
+    return comorbidities(patient_input(spark, sf_dir))
+
+
+# ---- column functions ---------------------------------------------------------------------------
+
+MED_TYPE_TEXTS = ["IP", "Inpatient", "discharge", "Discharge summary", "AE", "Emergency dept", "DS",
+                  "OP clinic", "Outpatient", "ward", None, "OPD|IP", "day surgery"]
+
+
+@register
+def q_med_type(spark, sf_dir):
+    from .functions.text import medication_class
+    o = table(spark, sf_dir, "orders")
+    raw = pick(F.col("o_orderkey") + F.col("o_custkey"), MED_TYPE_TEXTS)
+    return o.select("o_orderkey", raw.alias("raw")).select(
+        "o_orderkey", "raw", medication_class(F.col("raw")).alias("medication_type"))
+
+
+TOKEN_TEXTS = ["IP|OP|IP", "AE", "DS|DS", "OP|AE|IP|AE", "", "x||y", "Discharge|IP", None]
+
+
+@register
+def q_unique_tokens(spark, sf_dir):
+    from .functions.text import unique_tokens
+    o = table(spark, sf_dir, "orders")
+    raw = F.concat_ws("|", pick(F.col("o_orderkey"), TOKEN_TEXTS), F.col("o_orderstatus"),
+                      pick(F.col("o_custkey"), TOKEN_TEXTS))
+    return o.select("o_orderkey", raw.alias("raw")).select(
+        "o_orderkey", "raw", unique_tokens(F.col("raw")).alias("medication_type"))
+
+
+DURATION_UNITS = ["days", "weeks", "Months", "menstrual cycle", "day", "week", "calendar month",
+                  "mens cycle", "days per cycle", "fortnight"]
+
+
+def duration_text(k, c):
+    amount = F.pmod(k, F.lit(14)).cast("string")
+    txt = F.concat(amount, F.lit(" "), pick(c, DURATION_UNITS))
+    return (F.when(F.pmod(k, F.lit(17)) == 0, F.lit(None))
+            .when(F.pmod(k, F.lit(13)) == 0, pick(c, L.CYCLE_RANGES))
+            .when(F.pmod(k, F.lit(11)) == 0, F.concat(amount, F.lit("days")))
+            .otherwise(txt))
+
+
+@register
+def q_split_unit(spark, sf_dir):
+    from .functions.text import split_first_space
+    o = table(spark, sf_dir, "orders")
+    raw = duration_text(F.col("o_orderkey"), F.col("o_custkey"))
+    amount, unit = split_first_space(F.col("raw"))
+    return o.select("o_orderkey", raw.alias("raw")).select("o_orderkey", "raw", amount.alias("amount"),
+                                                           unit.alias("unit"))
+
+
+DOSE_TEXTS = ["2.5 mg", "500mg", "abc", "10 units", "1,000 mg OM", "5", "x2y3z", None, "0.5ml",
+              "tab 2 x 250 mg", "", "12.25 mcg/hr"]
+
+
+def dose_text(k, size):
+    return F.when(F.pmod(k, F.lit(3)) == 0, F.concat(size.cast("string"), F.lit(" mg"))).otherwise(
+        pick(k, DOSE_TEXTS))
+
+
+@register
+def q_last_number(spark, sf_dir):
+    from .functions.text import split_last_number
+    p = table(spark, sf_dir, "part")
+    raw = dose_text(F.col("p_partkey"), F.col("p_size"))
+    df = p.select("p_partkey", raw.alias("raw"))
+    d1, u1 = split_last_number(F.col("raw"), "full")
+    d2, u2 = split_last_number(F.col("raw"), "last_run")
+    return df.select("p_partkey", "raw", d1.alias("dose"), u1.alias("dose_units"),
+                     d2.alias("dose_last_run"), u2.alias("dose_units_last_run"))
+
+
+CODE_TEXTS = ["123.0", "1e5", None, "12.0,34.0", "10.05,2", "12345678901234567", "abc", "42", " 7 ",
+              "-5.5", "0.4", "3.0,4.5", "1.5E2"]
+
+
+def code_text(k, c):
+    return F.when(F.pmod(k, F.lit(3)) == 0, F.concat(c.cast("string"), F.lit(".0"))).otherwise(
+        pick(k, CODE_TEXTS))
+
+
+@register
+def q_code_clean(spark, sf_dir):
+    from .functions.codes import numeric_code
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", code_text(F.col("o_orderkey"), F.col("o_custkey")).alias("raw")).select(
+        "o_orderkey", "raw", numeric_code(F.col("raw")).alias("code"))
+
+
+def id_text(k):
+    d7 = F.lpad(k.cast("string"), 7, "0")
+    m = F.pmod(k, F.lit(8))
+    return (F.when(m == 0, F.concat(F.lit("S"), d7, F.lit("D")))
+            .when(m == 1, F.concat(F.lit("ab"), d7))
+            .when(m == 2, F.concat(F.lit("S"), F.lpad(k.cast("string"), 6, "0"), F.lit("D")))
+            .when(m == 3, F.concat(F.lit("xS"), d7, F.lit("D")))
+            .when(m == 4, F.concat(F.lit("id S"), d7, F.lit("D")))
+            .when(m == 5, F.concat(F.lit("T"), F.lpad(k.cast("string"), 8, "0")))
+            .when(m == 6, F.concat(F.lit("G"), d7, F.lit("X\n")))
+            .otherwise(F.concat(F.lit("abc"), d7)))
+
+
+@register
+def q_redact_id(spark, sf_dir):
+    from .operators.deid import redact_strings
+    cu = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    df = cu.select(k, id_text(k).alias("nric"), F.col("c_name"), F.col("c_mktsegment"),
+                   F.col("c_acctbal"))
+    return redact_strings(df)
+
+
+@register
+def q_pseudonym(spark, sf_dir):
+    from .functions.deid import file_stem, pseudonym
+    cu = table(spark, sf_dir, "customer")
+    s = L.TEST_SECRET
+    fname = F.concat(F.lit("D:\\ecg\\export\\"), F.col("c_name"), F.lit(".xml"))
+    name = F.when(F.pmod(F.col("c_custkey"), F.lit(10)) == 0, F.lit(None)).otherwise(F.col("c_name"))
+    return cu.select(
+        "c_custkey",
+        pseudonym(name, s["salt"], s["start_idx"], s["length"]).alias("name_hash"),
+        pseudonym(file_stem(fname), s["salt"], s["start_idx"], 30).alias("study_id"))
+
+
+def cis_raw(spark, sf_dir) -> DataFrame:
+    """A raw CIS export (cis.cag shape) derived from orders: ids, dates with a sentinel, a
+    hospital alias column, operational ids and identifying free-text columns."""
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    date = F.when(F.pmod(k, F.lit(19)) == 0, F.lit(L.CIS_DATE_SENTINEL)).otherwise(
+        F.when(F.pmod(k, F.lit(2)) == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+    return o.select(
+        F.concat(F.lit("mrn_"), c.cast("string")).alias("IDRef"),
+        F.concat(F.lit("ST"), k.cast("string")).alias("Study Num"),
+        date.alias("Procedure Date"),
+        F.col("o_orderpriority").alias("Proc_HospitalID"),
+        pick(k, ["CAG", "PCI", "Echo", "Nuclear"]).alias("Procedure2"),
+        F.concat(F.lit("rf"), k.cast("string")).alias("RF_IDRef"),
+        F.lit("N").alias("VIP"),
+        pick(c, ["R1", "R2", ""]).alias("ResCode"),
+        F.concat(F.lit("Patient S"), F.lpad(c.cast("string"), 7, "0"), F.lit("A seen")).alias("Comments"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Case Closed Date"),
+        F.lit("<html/>").alias("HTML"),
+        pick(k, ["Nurse A", "Nurse B"]).alias("ScrubNurse1"),
+        F.concat(F.lit("S"), F.lpad(c.cast("string"), 7, "0"), F.lit("Z")).alias("Radiographer"),
+        F.col("o_totalprice").alias("Contrast Volume"),
+        F.col("o_orderstatus").alias("Outcome"),
+    )
+
+
+@register
+def q_drop_phi(spark, sf_dir):
+    from .operators.deid import drop_columns, drop_phi, redact_strings
+    df = drop_phi(cis_raw(spark, sf_dir), "cis.cag")
+    return redact_strings(drop_columns(df, L.CIS_DROP_COLUMNS))
+
+
+@register
+def q_recode(spark, sf_dir):
+    from .operators.rows import recode_columns
+    p = patient_input(spark, sf_dir)
+    route = pick(F.col("c_custkey"), ["PO", "IV", "SC", "NG", "IM", "PR", None]).alias("route")
+    cu = table(spark, sf_dir, "customer").select("c_custkey", route)
+    df = p.join(cu, F.col("mrn_sha1") == F.concat(F.lit("mrn_"), F.col("c_custkey").cast("string")))
+    df = df.select("mrn_sha1", "gender", "ethnicity_race", "route")
+    return recode_columns(df, {"gender": L.GENDER_RECODE, "ethnicity_race": L.ETHNICITY_RECODE,
+                               "route": L.ROUTE_RECODE})
