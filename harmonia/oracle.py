@@ -315,3 +315,149 @@ SELECT mrn_sha1, {recode('gender', L.GENDER_RECODE)} AS gender,
 FROM ({patient_input()}) p
 JOIN (SELECT c_custkey, {pick('c_custkey', ['PO', 'IV', 'SC', 'NG', 'IM', 'PR', None])} AS route FROM customer) cu
   ON p.mrn_sha1 = 'mrn_' || CAST(cu.c_custkey AS VARCHAR)"""
+
+ORACLE["q_sentinel_null"] = f"""
+SELECT event_id, {", ".join(f"CASE WHEN {c} IN ('', '\"\"\"\"') THEN NULL ELSE {c} END AS {c}"
+                             for c in ["temperature", "temperature_uom", "o2_device"])}, value
+FROM (SELECT event_id, {pick('event_id', ['37.1', '', '""""', '36.8', None])} AS temperature,
+        {pick('event_id * 3', ['degC', '""""', ''])} AS temperature_uom,
+        CASE WHEN event_id % 4 = 0 THEN '' ELSE event_type END AS o2_device, value FROM events)"""
+
+ORACLE["q_coalesce"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  coalesce(CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE 'drug ' || CAST(l_partkey AS VARCHAR) END,
+           'Take ' || CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || ' mg') AS medication_name,
+  'Take ' || CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) || ' mg' AS instruction,
+  coalesce(CASE WHEN l_partkey % 2 = 0 THEN l_quantity END, CASE WHEN l_partkey % 5 = 0 THEN l_tax END,
+           l_discount) AS dose
+FROM lineitem"""
+
+_DN_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+ORACLE["q_drop_all_null"] = f"""
+SELECT * FROM (SELECT {", ".join(
+    f"CASE WHEN o_orderkey % 10 = 0 OR (o_orderkey % 10 = 1 AND {lit(c != 'o_orderstatus')}) THEN NULL ELSE {c} END AS {c}"
+    for c in _DN_COLS)} FROM orders)
+WHERE NOT ({" AND ".join(f"{c} IS NULL" for c in _DN_COLS)})"""
+
+ORACLE["q_dedup"] = "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders"
+
+
+def spark_to_strptime(fmt: str) -> str:
+    import re
+    table = {"yyyy": "%Y", "MM": "%m", "M": "%m", "dd": "%d", "d": "%d", "HH": "%H", "H": "%H",
+             "mm": "%M", "m": "%M", "ss": "%S", "s": "%S", "'T'": "T"}
+    return re.sub(r"yyyy|MM|M|dd|d|HH|H|mm|m|ss|s|'T'", lambda m: table[m.group(0)], fmt)
+
+
+def parse_formats(x, formats):
+    tries = ", ".join(f"CASE WHEN regexp_matches({x}, {lit(g)}) THEN try_strptime({x}, {lit(spark_to_strptime(f))}) END"
+                      for g, f in formats)
+    return f"coalesce({tries})"
+
+
+def parse_mixed(x, dayfirst=False):
+    from .functions.dates import DAY_FIRST_FORMATS, MONTH_FIRST_FORMATS
+    return parse_formats(x, DAY_FIRST_FORMATS if dayfirst else MONTH_FIRST_FORMATS)
+
+
+def parse_exact(x, fmt, guard):
+    return f"CASE WHEN regexp_matches({x}, {lit(guard)}) THEN try_strptime({x}, {lit(spark_to_strptime(fmt))}) END"
+
+
+def formatted_ts(ts, k):
+    return (f"CASE ({k}) % 8 WHEN 0 THEN strftime({ts}, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime({ts}, '%m/%d/%Y') "
+            f"WHEN 2 THEN strftime({ts}, '%-d/%-m/%Y %-H:%M') WHEN 3 THEN strftime({ts}, '%Y%m%d') "
+            f"WHEN 4 THEN 'junk' WHEN 5 THEN strftime({ts}, '%d/%m/%Y') WHEN 6 THEN strftime({ts}, '%Y-%m-%d') END")
+
+
+_ISO_GUARD = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+ORACLE["q_date_coerce"] = f"""
+SELECT event_id, raw, {parse_mixed('raw')} AS parsed,
+  {parse_exact('raw', 'yyyy-MM-dd HH:mm:ss', _ISO_GUARD)} AS parsed_exact
+FROM (SELECT event_id, {formatted_ts('ts', 'event_id')} AS raw FROM events)"""
+
+ORACLE["q_date_mixed"] = f"""
+SELECT o_orderkey, raw, {parse_mixed('raw')} AS month_first, {parse_mixed('raw', True)} AS day_first
+FROM (SELECT o_orderkey, {formatted_ts("o_orderdate + INTERVAL 7 HOUR", 'o_orderkey + o_custkey')} AS raw FROM orders)"""
+
+
+def pad_seconds(t):
+    return f"CASE WHEN length({t}) - length(replace({t}, ':', '')) = 2 THEN {t} ELSE {t} || ':00' END"
+
+
+ORACLE["q_arrival_dt"] = f"""
+SELECT o_orderkey, arrival_time, {parse_mixed("concat_ws(' ', arrival_date, arrival_time)", True)} AS arrival_dt,
+  {parse_mixed('discharge', True)} AS date_of_discharge_or_death
+FROM (SELECT o_orderkey, arrival_date, {pad_seconds('arrival_time')} AS arrival_time, discharge
+      FROM (SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS arrival_date,
+              {pick('o_orderkey', Q.ARRIVAL_TIMES)} AS arrival_time,
+              {formatted_ts('o_orderdate', 'o_custkey')} AS discharge FROM orders))"""
+
+ORACLE["q_ecg_time"] = f"""
+SELECT event_id,
+  {parse_exact("concat_ws(' ', d, t)", 'yyyy-MM-dd HH:mm:ss', _ISO_GUARD)} AS iecg_time,
+  {parse_exact("concat_ws(' ', md, t)", 'MM-dd-yyyy HH:mm:ss', r'^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$')} AS muse_time
+FROM (SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'n/a' ELSE strftime(ts, '%Y-%m-%d') END AS d,
+        strftime(ts, '%H:%M:%S') AS t, strftime(ts, '%m-%d-%Y') AS md FROM events)"""
+
+ORACLE["q_day_diff"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, start_dt, end_dt,
+  CAST(floor(date_diff('microsecond', start_dt, end_dt) / 86400000000) AS BIGINT) AS duration
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate AS start_dt,
+        l_shipdate + to_hours(l_linenumber * 7 - 20 + l_partkey % 50) AS end_dt FROM lineitem)"""
+
+
+def unit_days(u):
+    return "CASE " + " ".join(f"WHEN {u} = {lit(k)} THEN {float(v)}" for k, v in L.DURATION_UNIT_DAYS.items()) + " END"
+
+
+_am, _un = split_first_space("raw")
+ORACLE["q_end_date"] = f"""
+SELECT o_orderkey, start_dt, raw,
+  start_dt + to_microseconds(CAST(coalesce(
+    (CASE WHEN amount IN ({", ".join(lit(c) for c in L.CYCLE_RANGES)}) THEN 1.0 ELSE TRY_CAST(amount AS DOUBLE) END)
+    * {unit_days('unit')}, 0.0) * 86400000000 AS BIGINT)) AS end_dt
+FROM (SELECT o_orderkey, start_dt, raw, {_am} AS amount, {_un} AS unit
+      FROM (SELECT o_orderkey, o_orderdate AS start_dt, lower({duration_text('o_orderkey', 'o_custkey')}) AS raw
+            FROM orders))"""
+
+
+def strip_ws(x):
+    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
+def parse_instruction(x):
+    """(instruction, dose, frequency, duration) SQL expressions over a normalised column ``s``."""
+    s = rf"regexp_replace({strip_ws(x)}, '\((.*?)\)', '\1', 'g')"
+    return s
+
+
+def instruction_fields(s):
+    dose = f"nullif(replace(regexp_extract({s}, {lit('(?i)' + L.INSTRUCTION_DOSE)}, 2), ',', ''), '')"
+    dose = (f"CASE WHEN {dose} IS NULL AND contains(lower({s}), {lit(L.TOPICAL_PHRASE)}) "
+            f"THEN {lit(L.TOPICAL_DOSE)} ELSE {dose} END")
+    freq = f"nullif({strip_ws(f'regexp_extract({s}, {lit(chr(40) + chr(63) + chr(105) + chr(41) + L.INSTRUCTION_FREQUENCY)}, 0)')}, '')"
+    dur = f"nullif({strip_ws(f'replace(regexp_extract({s}, {lit(chr(40) + chr(63) + chr(105) + chr(41) + L.INSTRUCTION_DURATION)}, 0), {lit(chr(102) + chr(111) + chr(114) + chr(32))}, {lit(chr(32))[:-2]}{chr(39)})')}, '')"
+    return dose, freq, dur
+
+
+def instruction_text():
+    built = (f"concat_ws(' ', {pick('l_partkey', Q.INSTR_VERBS)}, CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR), "
+             f"{pick('l_suppkey', Q.INSTR_UNITS)}, {pick('l_orderkey', Q.INSTR_FREQ)}, "
+             f"{pick('l_linenumber + l_partkey', Q.INSTR_DUR)})")
+    return f"CASE WHEN l_partkey % 7 = 0 THEN {pick('l_orderkey', Q.INSTR_SPECIAL)} ELSE {built} END"
+
+
+def _med_parse():
+    dose, freq, dur = instruction_fields("s")
+    d1, d2 = split_first_space("dose")
+    u1, u2 = split_first_space("duration")
+    return f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, raw, s AS instruction, {d1} AS dose, {d2} AS dose_units,
+  frequency, {u1} AS duration, {u2} AS duration_units
+FROM (SELECT *, {dose} AS dose, {freq} AS frequency, {dur} AS duration
+      FROM (SELECT *, {parse_instruction('raw')} AS s
+            FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {instruction_text()} AS raw FROM lineitem)))"""
+
+
+ORACLE["q_med_parse"] = _med_parse()

@@ -339,3 +339,180 @@ def q_recode(spark, sf_dir):
     df = df.select("mrn_sha1", "gender", "ethnicity_race", "route")
     return recode_columns(df, {"gender": L.GENDER_RECODE, "ethnicity_race": L.ETHNICITY_RECODE,
                                "route": L.ROUTE_RECODE})
+
+
+@register
+def q_sentinel_null(spark, sf_dir):
+    from .operators.rows import sentinel_to_null
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    df = ev.select(
+        k, pick(k, ["37.1", "", '""""', "36.8", None]).alias("temperature"),
+        pick(k * 3, ["degC", '""""', ""]).alias("temperature_uom"),
+        F.when(F.pmod(k, F.lit(4)) == 0, F.lit("")).otherwise(F.col("event_type")).alias("o2_device"),
+        F.col("value"))
+    return sentinel_to_null(df)
+
+
+@register
+def q_coalesce(spark, sf_dir):
+    from .operators.rows import coalesce_from, first_non_missing
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    df = li.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit(None)).otherwise(F.concat(F.lit("drug "), k.cast("string")))
+         .alias("medication_name"),
+        F.concat(F.lit("Take "), F.col("l_quantity").cast("int").cast("string"), F.lit(" mg")).alias("instruction"),
+        F.when(F.pmod(k, F.lit(2)) == 0, F.col("l_quantity")).alias("dose_a"),
+        F.when(F.pmod(k, F.lit(5)) == 0, F.col("l_tax")).alias("dose_b"),
+        F.col("l_discount").alias("dose_c"))
+    df = coalesce_from(df, "medication_name", "instruction")
+    return first_non_missing(df, {"dose": ["dose_a", "dose_b", "dose_c"]})
+
+
+@register
+def q_drop_all_null(spark, sf_dir):
+    from .operators.rows import drop_all_null
+    o = table(spark, sf_dir, "orders")
+    empty = F.pmod(F.col("o_orderkey"), F.lit(10)) == 0
+    part = F.pmod(F.col("o_orderkey"), F.lit(10)) == 1
+    df = o.select(*[F.when(empty | (part & F.lit(c != "o_orderstatus")), F.lit(None)).otherwise(F.col(c)).alias(c)
+                    for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]])
+    return drop_all_null(df)
+
+
+@register
+def q_dedup(spark, sf_dir):
+    from .operators.rows import dedup, union_all
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
+    return dedup(union_all([o, o.filter(F.col("o_orderstatus") == "F")]))
+
+
+def formatted_ts(ts, k):
+    """A timestamp written in one of several spellings chosen by key, plus junk and nulls."""
+    m = F.pmod(k, F.lit(8))
+    return (F.when(m == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+            .when(m == 1, F.date_format(ts, "MM/dd/yyyy"))
+            .when(m == 2, F.date_format(ts, "d/M/yyyy H:mm"))
+            .when(m == 3, F.date_format(ts, "yyyyMMdd"))
+            .when(m == 4, F.lit("junk"))
+            .when(m == 5, F.date_format(ts, "dd/MM/yyyy"))
+            .when(m == 6, F.date_format(ts, "yyyy-MM-dd"))
+            .otherwise(F.lit(None)))
+
+
+@register
+def q_date_coerce(spark, sf_dir):
+    from .functions.dates import parse_exact, parse_mixed
+    ev = table(spark, sf_dir, "events")
+    raw = formatted_ts(F.col("ts"), F.col("event_id"))
+    return ev.select("event_id", raw.alias("raw")).select(
+        "event_id", "raw", parse_mixed(F.col("raw")).alias("parsed"),
+        parse_exact(F.col("raw"), "yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$").alias("parsed_exact"))
+
+
+@register
+def q_date_mixed(spark, sf_dir):
+    from .functions.dates import parse_mixed
+    o = table(spark, sf_dir, "orders")
+    raw = formatted_ts(F.col("o_orderdate") + F.expr("INTERVAL 7 HOURS"), F.col("o_orderkey") + F.col("o_custkey"))
+    return o.select("o_orderkey", raw.alias("raw")).select(
+        "o_orderkey", "raw", parse_mixed(F.col("raw")).alias("month_first"),
+        parse_mixed(F.col("raw"), dayfirst=True).alias("day_first"))
+
+
+ARRIVAL_TIMES = ["9:05", "09:05:10", "23:59", None, "7:3", "12:00:00"]
+
+
+@register
+def q_arrival_dt(spark, sf_dir):
+    from .functions.dates import pad_seconds, parse_mixed
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    df = o.select(k, F.date_format("o_orderdate", "dd/MM/yyyy").alias("arrival_date"),
+                  pick(k, ARRIVAL_TIMES).alias("arrival_time"),
+                  formatted_ts(F.col("o_orderdate"), F.col("o_custkey")).alias("discharge"))
+    df = df.withColumn("arrival_time", pad_seconds(F.col("arrival_time")))
+    return df.select(k, "arrival_time",
+                     parse_mixed(F.concat_ws(" ", "arrival_date", "arrival_time"), dayfirst=True).alias("arrival_dt"),
+                     parse_mixed(F.col("discharge"), dayfirst=True).alias("date_of_discharge_or_death"))
+
+
+@register
+def q_ecg_time(spark, sf_dir):
+    from .functions.dates import parse_exact
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    d = F.when(F.pmod(k, F.lit(29)) == 0, F.lit("n/a")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    t = F.date_format("ts", "HH:mm:ss")
+    md = F.date_format("ts", "MM-dd-yyyy")
+    return ev.select(
+        k, parse_exact(F.concat_ws(" ", d, t), "yyyy-MM-dd HH:mm:ss",
+                       r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$").alias("iecg_time"),
+        parse_exact(F.concat_ws(" ", md, t), "MM-dd-yyyy HH:mm:ss",
+                    r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$").alias("muse_time"))
+
+
+@register
+def q_day_diff(spark, sf_dir):
+    from .functions.dates import floor_day_diff
+    li = table(spark, sf_dir, "lineitem")
+    hours = F.col("l_linenumber") * 7 - 20 + F.pmod(F.col("l_partkey"), F.lit(50))
+    end = F.timestamp_add("HOUR", hours, F.col("l_shipdate"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").alias("start_dt"),
+                     end.alias("end_dt")).withColumn("duration", floor_day_diff("end_dt", "start_dt"))
+
+
+@register
+def q_end_date(spark, sf_dir):
+    from .functions.dates import add_days
+    from .functions.text import split_first_space
+    o = table(spark, sf_dir, "orders")
+    raw = F.lower(duration_text(F.col("o_orderkey"), F.col("o_custkey")))
+    amount, unit = split_first_space(F.col("raw"))
+    n = (F.when(F.col("amount").isin(*L.CYCLE_RANGES), F.lit(1.0)).otherwise(F.col("amount").try_cast("double"))
+         * _unit_days(F.col("unit")))
+    df = (o.select("o_orderkey", F.col("o_orderdate").alias("start_dt"), raw.alias("raw"))
+          .select("o_orderkey", "start_dt", "raw", amount.alias("amount"), unit.alias("unit")))
+    return df.select("o_orderkey", "start_dt", "raw",
+                     add_days(F.col("start_dt"), F.coalesce(n, F.lit(0.0))).alias("end_dt"))
+
+
+def _unit_days(u):
+    expr = None
+    for name, days in L.DURATION_UNIT_DAYS.items():
+        expr = F.when(u == name, F.lit(float(days))) if expr is None else expr.when(u == name, F.lit(float(days)))
+    return expr
+
+
+INSTR_VERBS = ["Take", "", "Inject", "apply", "Give", ""]
+INSTR_UNITS = ["mg", "tablet(s)", "units", "mL", "µg", "lozenges", "litres", "applications", "puffs",
+               "MCG", "sachet", "drops"]
+INSTR_FREQ = ["3 times a day", "OM", "at bedtime", "every 4 hours", "BD", "when required",
+              "once daily", "every other day", "before meals", "(morning) ON", "", "twice a day"]
+INSTR_DUR = ["for 5 days", "for up to 2 weeks", "", "once for 1 dose", "For 3 days", ""]
+INSTR_SPECIAL = ["Apply to affected area", "  (Paracetamol) 1,000 mg OM  ", "", None,
+                 "Take 2 tablet(s) 3 times a day for 5 days", "10 units at bedtime",
+                 "2 lozenges every 4 hours", "1 applications BD", ". mg prn"]
+
+
+def instruction_text(li) -> Column:
+    q = F.col("l_quantity").cast("int").cast("string")
+    built = F.concat_ws(" ", pick(F.col("l_partkey"), INSTR_VERBS), q, pick(F.col("l_suppkey"), INSTR_UNITS),
+                        pick(F.col("l_orderkey"), INSTR_FREQ), pick(F.col("l_linenumber") + F.col("l_partkey"), INSTR_DUR))
+    return F.when(F.pmod(F.col("l_partkey"), F.lit(7)) == 0,
+                  pick(F.col("l_orderkey"), INSTR_SPECIAL)).otherwise(built)
+
+
+@register
+def q_med_parse(spark, sf_dir):
+    from .functions.text import parse_instruction, split_first_space
+    li = table(spark, sf_dir, "lineitem")
+    df = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                   instruction_text(li).alias("raw")).withColumn("p", parse_instruction(F.col("raw")))
+    dose, dose_units = split_first_space(F.col("p.dose"))
+    dur, dur_units = split_first_space(F.col("p.duration"))
+    return df.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "raw",
+                     F.col("p.instruction").alias("instruction"), dose.alias("dose"), dose_units.alias("dose_units"),
+                     F.col("p.frequency").alias("frequency"), dur.alias("duration"), dur_units.alias("duration_units"))
