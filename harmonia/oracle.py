@@ -461,3 +461,91 @@ FROM (SELECT *, {dose} AS dose, {freq} AS frequency, {dur} AS duration
 
 
 ORACLE["q_med_parse"] = _med_parse()
+
+
+# ---- merge, joins, unions ------------------------------------------------------------------------
+
+ORACLE["q_merge_versions"] = """
+SELECT DISTINCT * FROM (
+  SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, CAST(p_size AS DOUBLE) AS p_size,
+         CAST(p_retailprice AS DOUBLE) AS p_retailprice, CAST(NULL AS VARCHAR) AS p_type, CAST(NULL AS VARCHAR) AS p_container
+  FROM part WHERE p_partkey % 3 = 0
+  UNION ALL
+  SELECT p_partkey, p_name, NULL, CAST(p_size AS DOUBLE), CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE), p_type, NULL
+  FROM part WHERE p_partkey % 3 = 1
+  UNION ALL
+  SELECT p_partkey, NULL, p_brand, CAST(p_size AS DOUBLE), NULL, p_type, CAST(p_size AS VARCHAR)
+  FROM part WHERE p_partkey % 3 = 2
+  UNION ALL
+  SELECT p_partkey, p_name, p_brand, CAST(p_size AS DOUBLE), p_retailprice, NULL, NULL
+  FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 5 = 0)"""
+
+
+def _enc_join(prefix, how):
+    return f"""
+SELECT li.*, e.mrn_sha1, e.encounter_type
+FROM (SELECT l_orderkey AS ENC_KEY, l_linenumber, l_partkey, l_quantity FROM lineitem) li
+{how} JOIN (SELECT TRY_CAST(replace(visit_id, '{prefix}_', '') AS BIGINT) AS v, mrn_sha1, encounter_type
+            FROM ({encounter_input()}) WHERE contains(visit_id, '{prefix}')) e
+  ON li.ENC_KEY = e.v"""
+
+
+ORACLE["q_enc_inner"] = _enc_join("edw", "INNER")
+ORACLE["q_enc_left"] = _enc_join("hosp", "LEFT")
+
+
+def _cis_clean(phi, preprocess=True):
+    from .plans.cleaners import CIS_TABLES  # noqa: F401
+    raw_cols = ["IDRef", "Study Num", "Procedure Date", "Proc_HospitalID", "Procedure2", "RF_IDRef", "VIP",
+                "ResCode", "Comments", "Case Closed Date", "HTML", "ScrubNurse1", "Radiographer",
+                "Contrast Volume", "Outcome"]
+    kept = [c for c in raw_cols if c not in set(phi or [])]
+    red = ", ".join(f"{redact(ident(c))} AS {ident(c)}" if preprocess and c != "Contrast Volume" else ident(c)
+                    for c in kept)
+    s = L.TEST_SECRET
+    pd_expr = f"strftime({parse_mixed(chr(34) + 'Procedure Date' + chr(34))}, '%Y-%m-%d %H:%M:%S')"
+    head = ["IDRef AS subject_id", f"{pseudonym(ident('Study Num'))} AS study_id",
+            f"{pd_expr} AS procedure_date"]
+    if "Proc_HospitalID" in kept:
+        head.append("Proc_HospitalID AS hospital")
+    rest_map = {"Procedure2": "procedure_name", "Comments": "comments", "Case Closed Date": "case_closed_date",
+                "HTML": "html", "ScrubNurse1": "scrubnurse1", "Radiographer": "radiographer",
+                "Contrast Volume": "contrast_volume", "Outcome": "outcome"}
+    rest = [f"{ident(c)} AS {rest_map[c]}" for c in kept if c in rest_map]
+    _ = s
+    return f"""
+SELECT {', '.join(head + rest)}
+FROM (SELECT * REPLACE (CASE WHEN "Procedure Date" = '00/00/00' THEN NULL ELSE "Procedure Date" END AS "Procedure Date")
+      FROM (SELECT DISTINCT {red} FROM ({cis_raw()})))"""
+
+
+ORACLE["q_cis_clean"] = _cis_clean(None, preprocess=False)
+for _t in ["cag", "nuclear", "pacemaker", "pci", "pcidevicesequence", "pcidevicesequencetimings",
+           "pcilesionsequence", "procedure"]:
+    ORACLE[f"q_clean_cis_{_t}"] = _cis_clean(L.PHI_COLUMNS.get(f"cis.{_t}"))
+
+
+def _lab_union():
+    return f"""
+SELECT mrn_sha1 AS subject_id, src_institution AS location, specimen_collected_dt, report_dt, investigation_item,
+  numeric_value, numeric_value_uom, text_value
+FROM (SELECT DISTINCT 'mrn_' || CAST(user_id AS VARCHAR) AS mrn_sha1, {pick('event_id', ['NUH', 'AH', 'NTFGH'])} AS src_institution,
+        strftime(ts, '%Y-%m-%d %H:%M:%S') AS specimen_collected_dt,
+        strftime(ts + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS report_dt, event_type AS investigation_item,
+        value AS numeric_value, {pick('event_id', ['mmol/L', 'g/L', '%'])} AS numeric_value_uom,
+        CASE WHEN event_id % 4 = 0 THEN props END AS text_value FROM events)
+UNION ALL
+SELECT e.mrn_sha1, REQ_LOCATION,
+  CAST(CASE WHEN regexp_matches(COLLECTION_DATE_SID, '^\\d{{8}}$') THEN try_strptime(COLLECTION_DATE_SID, '%Y%m%d') END AS VARCHAR),
+  CAST(CASE WHEN regexp_matches(RESULT_TEST_DATE, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_strptime(RESULT_TEST_DATE, '%Y-%m-%d') END AS VARCHAR),
+  SHORTTEXT, TEST_RESULTS, UNITS, NULL
+FROM (SELECT DISTINCT l_orderkey AS ENC_KEY, {pick('l_partkey', ['Lab A', 'Lab B', 'Ward 3'])} AS REQ_LOCATION,
+        CASE WHEN l_partkey % 17 = 0 THEN '2021-13-45' ELSE strftime(l_shipdate, '%Y%m%d') END AS COLLECTION_DATE_SID,
+        strftime(l_shipdate, '%Y-%m-%d') AS RESULT_TEST_DATE,
+        {pick('l_suppkey', ['HbA1c', 'LDL', 'Troponin', 'Creatinine'])} AS SHORTTEXT, l_extendedprice AS TEST_RESULTS,
+        {pick('l_partkey', ['%', 'mmol/L', 'ng/L', 'umol/L'])} AS UNITS FROM lineitem) li
+LEFT JOIN (SELECT TRY_CAST(replace(visit_id, 'edw_', '') AS BIGINT) AS v, mrn_sha1
+           FROM ({encounter_input()}) WHERE contains(visit_id, 'edw')) e ON li.ENC_KEY = e.v"""
+
+
+ORACLE["q_lab_union"] = _lab_union()

@@ -516,3 +516,363 @@ def q_med_parse(spark, sf_dir):
     return df.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "raw",
                      F.col("p.instruction").alias("instruction"), dose.alias("dose"), dose_units.alias("dose_units"),
                      F.col("p.frequency").alias("frequency"), dur.alias("duration"), dur_units.alias("duration_units"))
+
+
+# ---- merge, joins, unions, cleaners ------------------------------------------------------------
+
+def part_versions(spark, sf_dir) -> list[DataFrame]:
+    """`part` as three staged versions with drifted columns and types (every row is in one
+    version; keys divisible by 5 are also repeated in a fourth, identical-after-cast copy)."""
+    p = table(spark, sf_dir, "part")
+    k3 = F.pmod(F.col("p_partkey"), F.lit(3))
+    v1 = p.filter(k3 == 0).select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    v2 = p.filter(k3 == 1).select("p_partkey", "p_name", "p_type", F.col("p_size").cast("bigint").alias("p_size"),
+                                  F.col("p_retailprice").cast("decimal(12,2)").alias("p_retailprice"))
+    v3 = p.filter(k3 == 2).select("p_partkey", "p_brand", F.col("p_size").cast("double").alias("p_size"),
+                                  "p_type", F.col("p_size").cast("string").alias("p_container"))
+    v4 = p.filter((k3 == 0) & (F.pmod(F.col("p_partkey"), F.lit(5)) == 0)).select(
+        "p_partkey", "p_name", "p_brand", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    return [v1, v2, v3, v4]
+
+
+@register
+def q_merge_versions(spark, sf_dir):
+    from .operators.schema import merge_staged
+    vs = part_versions(spark, sf_dir)
+    staged = {"staging_src.part": vs[0], "staging_src.v2.part": vs[1], "staging_src.v3.part": vs[2],
+              "staging_src.v4.part": vs[3]}
+    return merge_staged(staged)["part"]
+
+
+def encounters_ctx(spark, sf_dir):
+    from .plans.cleaners import Context
+    return Context(encounters=encounter_input(spark, sf_dir).select("visit_id", "mrn_sha1", "encounter_type"))
+
+
+def enc_lineitems(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("ENC_KEY"), "l_linenumber", "l_partkey", "l_quantity")
+
+
+@register
+def q_enc_inner(spark, sf_dir):
+    from .plans.cleaners import join_encounters
+    ctx = encounters_ctx(spark, sf_dir)
+    return join_encounters(enc_lineitems(spark, sf_dir), ctx, "ENC_KEY", "edw", "inner")
+
+
+@register
+def q_enc_left(spark, sf_dir):
+    from .plans.cleaners import join_encounters
+    ctx = encounters_ctx(spark, sf_dir)
+    return join_encounters(enc_lineitems(spark, sf_dir), ctx, "ENC_KEY", "dts", "left")
+
+
+def raw_dts_discharge_medication(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    return li.select(
+        F.col("l_orderkey").alias("discharge_summary_id"),
+        F.date_format("l_shipdate", "MM/dd/yyyy").alias("medication_start_dt"),
+        F.date_format(F.col("l_shipdate") + F.expr("INTERVAL 5 DAYS"), "yyyy-MM-dd").alias("medication_end_dt"),
+        pick(k, ["PO", "IV", "SC", "NG", "IM", "PR"]).alias("discharge_route"),
+        F.when(F.pmod(k, F.lit(4)) == 0, F.lit(None)).otherwise(F.concat(F.lit("drug "), k.cast("string")))
+         .alias("medication_name"),
+        instruction_text(li).alias("medication_dosage_regimen"))
+
+
+def raw_dts_medication(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        F.concat(F.lit("mrn_"), c.cast("string")).alias("mrn_sha1"),
+        F.concat_ws("|", pick(k, TOKEN_TEXTS[:4]), pick(c, ["IP", "OP", "DS"])).alias("medication_type"),
+        formatted_ts(F.col("o_orderdate"), k).alias("first_start_dt"),
+        F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"), "dd/MM/yyyy").alias("last_end_dc_dt"),
+        pick(c, ["PO", "IV", "SC", "NG", "IM", None]).alias("route_of_administration"),
+        F.when(F.pmod(k, F.lit(6)) == 0, F.lit(None)).otherwise(F.concat(F.lit("med "), c.cast("string"))).alias("med"),
+        (F.pmod(k, F.lit(40)) * 5).cast("string").alias("max_dose"),
+        pick(k, ["mg", "mcg", "units", "mL"]).alias("dosage_quantity_unit"),
+        pick(c, ["OM", "BD", "TDS", "ON"]).alias("frequency"),
+        F.pmod(k, F.lit(90)).cast("string").alias("total_med_days"),
+        F.lit("days").alias("duration_units"))
+
+
+def raw_edw_medication(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    return li.select(
+        F.col("l_orderkey").alias("ENC_KEY"),
+        formatted_ts(F.col("l_shipdate"), F.col("l_linenumber") * 3).alias("STARTTIME"),
+        F.date_format(F.col("l_shipdate") + F.expr("INTERVAL 2 DAYS") + F.expr("INTERVAL 5 HOURS"),
+                      "yyyy-MM-dd HH:mm:ss").alias("ENDTIME"),
+        pick(k, ["PO", "IV", "SC", "NG"]).alias("ROUTECODE"),
+        F.when(F.pmod(k, F.lit(5)) == 0, F.lit(None)).otherwise(F.concat(F.lit("order "), k.cast("string")))
+         .alias("ORDERTEXT"),
+        instruction_text(li).alias("MEDICATION"),
+        pick(F.col("l_suppkey"), INSTR_SPECIAL + ["2 puffs BD for 3 days"]).alias("DOSAGEREGIMEN"),
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit(None)).otherwise(pick(k, ["OD", "BD", "TDS"])).alias("FREQUENCY1CODE"))
+
+
+def raw_edw_outpatient_medication(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    return li.select(
+        F.col("l_orderkey").alias("ENC_KEY"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("CREATION_DATE_KEY"),
+        F.concat(F.lit("drug "), k.cast("string")).alias("DRUG_NAME"),
+        instruction_text(li).alias("ORDER_INSTRUCTION_DESC"),
+        dose_text(k, F.col("l_linenumber")).alias("DRUG_STRENGTH_AMT"),
+        pick(F.col("l_suppkey"), INSTR_FREQ).alias("ORDER_FREQUENCY_DESC"),
+        duration_text(F.col("l_orderkey") + F.col("l_linenumber"), k).alias("ORDER_DURATION_DESC"))
+
+
+def raw_dts_laboratory(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    return ev.select(
+        F.concat(F.lit("mrn_"), F.col("user_id").cast("string")).alias("mrn_sha1"),
+        pick(k, ["NUH", "AH", "NTFGH"]).alias("src_institution"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("specimen_collected_dt"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd HH:mm:ss").alias("report_dt"),
+        F.col("event_type").alias("investigation_item"), F.col("value").alias("numeric_value"),
+        pick(k, ["mmol/L", "g/L", "%"]).alias("numeric_value_uom"),
+        F.when(F.pmod(k, F.lit(4)) == 0, F.col("props")).alias("text_value"))
+
+
+def raw_edw_laboratory(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_partkey")
+    return li.select(
+        F.col("l_orderkey").alias("ENC_KEY"), pick(k, ["Lab A", "Lab B", "Ward 3"]).alias("REQ_LOCATION"),
+        F.when(F.pmod(k, F.lit(17)) == 0, F.lit("2021-13-45")).otherwise(F.date_format("l_shipdate", "yyyyMMdd"))
+         .alias("COLLECTION_DATE_SID"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("RESULT_TEST_DATE"),
+        pick(F.col("l_suppkey"), ["HbA1c", "LDL", "Troponin", "Creatinine"]).alias("SHORTTEXT"),
+        F.col("l_extendedprice").alias("TEST_RESULTS"), pick(k, ["%", "mmol/L", "ng/L", "umol/L"]).alias("UNITS"))
+
+
+def _clean(spark, sf_dir, source, raw):
+    from .plans.cleaners import CLEANERS, clean
+    return clean(raw, CLEANERS[source], encounters_ctx(spark, sf_dir))
+
+
+MEDICATION_SOURCES = {
+    "ehr.dts_discharge_medication": raw_dts_discharge_medication,
+    "ehr.dts_medication": raw_dts_medication,
+    "ehr.edw_medication": raw_edw_medication,
+    "ehr.edw_outpatient_medication": raw_edw_outpatient_medication,
+}
+LAB_SOURCES = {"ehr.dts_laboratory": raw_dts_laboratory, "ehr.edw_laboratory": raw_edw_laboratory}
+
+
+@register
+def q_med_union(spark, sf_dir):
+    from .operators.schema import union_versions
+    return union_versions([_clean(spark, sf_dir, s, fn(spark, sf_dir)) for s, fn in MEDICATION_SOURCES.items()])
+
+
+@register
+def q_lab_union(spark, sf_dir):
+    from .operators.schema import union_versions
+    return union_versions([_clean(spark, sf_dir, s, fn(spark, sf_dir)) for s, fn in LAB_SOURCES.items()])
+
+
+@register
+def q_cis_clean(spark, sf_dir):
+    return _clean(spark, sf_dir, "cis.cag", cis_raw(spark, sf_dir))
+
+
+def raw_ohca(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(F.concat(F.lit("mrn_"), F.col("o_custkey").cast("string")).alias("mrn_sha1"),
+                    F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date of arrival at ED"),
+                    pick(k, ARRIVAL_TIMES).alias("Time of arrival at ED"),
+                    formatted_ts(F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS"), F.col("o_custkey"))
+                    .alias("Date of Discharge or Death"),
+                    F.col("o_orderstatus").alias("Outcome"))
+
+
+CARDIAC_LONG_HEADERS = [
+    "Renal disease at the time of surgery (choice=Functioning transplant)",
+    "Other cardiac procedures (choice=Subaortic stenosis resection)",
+    "Atrial fibrillation correction surgery (choice=Left atrial maze)",
+    "PreOperative.Status/Ejection fraction (choice=Moderate 31-50%)",
+]
+
+
+def raw_cardiacsurgery(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    cols = [F.concat(F.lit("mrn_"), F.col("o_custkey").cast("string")).alias("mrn_sha1"),
+            F.date_format("o_orderdate", "MM/dd/yyyy").alias("Date of Surgery"),
+            F.date_format(F.col("o_orderdate") - F.expr("INTERVAL 1 DAYS"), "yyyy-MM-dd HH:mm:ss")
+            .alias("Date and Time of Admission"),
+            formatted_ts(F.col("o_orderdate"), k).alias("date_and_time_of_operation"),
+            F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 9 DAYS"), "dd/MM/yyyy")
+            .alias("date_and_time_of_discharge_or_death"),
+            F.col("o_totalprice").alias("EuroSCORE II")]
+    cols += [pick(k + i, ["Checked", "Unchecked"]).alias(h) for i, h in enumerate(CARDIAC_LONG_HEADERS)]
+    return o.select(*cols)
+
+
+def raw_coronaryphysiology(spark, sf_dir):
+    cu = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    gone = F.pmod(k, F.lit(9)) == 0
+    return cu.select(F.when(gone, F.lit(None)).otherwise(F.col("c_name")).alias("Name"),
+                     F.when(gone, F.lit(None)).otherwise(id_text(k)).alias("NRIC"),
+                     F.when(gone, F.lit(None)).otherwise(F.col("c_acctbal")).alias("FFR"),
+                     F.when(gone, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("Vessel"))
+
+
+def raw_diagnosis_codes(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").cast("string").alias("Code"), F.col("p_name").alias("Description"),
+                    F.col("p_type").alias("Category Name"))
+
+
+def raw_iecg(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    P = "restingecgdata/"
+    S = P + "interpretations/interpretation/statement"
+    lst = (F.when(F.pmod(k, F.lit(5)) == 0, F.lit("not a list"))
+           .when(F.pmod(k, F.lit(5)) == 1, F.lit(None))
+           .otherwise(F.concat(F.lit("[{'leftstatement': 'Sinus rhythm', 'rightstatement': '"),
+                               pick(k, ["Normal ECG", "Borderline", "Abnormal"]),
+                               F.lit("'}, {'leftstatement': '"), F.col("event_type"),
+                               F.lit("', 'rightstatement': 'Rate '}]"))))
+    return ev.select(
+        F.concat(F.lit("C:\\ecg\\"), F.col("user_id").cast("string"), F.lit("_"), k.cast("string"), F.lit(".xml")).alias("filename"),
+        F.date_format("ts", "yyyy-MM-dd").alias(P + "dataacquisition/@date"),
+        F.date_format("ts", "HH:mm:ss").alias(P + "dataacquisition/@time"),
+        lst.alias(S),
+        pick(k, ["Normal sinus rhythm", "", None, "Left axis deviation"]).alias(S + "/leftstatement"),
+        pick(k * 3, ["Normal ECG", "Abnormal ECG", ""]).alias(S + "/rightstatement"),
+        pick(k, ["0.05", "0.15", None]).alias(P + "reportinfo/reportbandwidth/highpassfiltersetting"),
+        pick(k, ["150", "40", "100"]).alias(P + "reportinfo/reportbandwidth/lowpassfiltersetting"),
+        pick(k, ["50", None, "60"]).alias(P + "dataacquisition/signalcharacteristics/notchfilterfreqs"),
+        pick(k, ["true", "false"]).alias(P + "reportinfo/reportbandwidth/artifactfilterflag"),
+        pick(k * 7, ["True", "False", None]).alias(P + "reportinfo/reportbandwidth/hysteresisfilterflag"),
+        F.col("value").cast("string").alias(P + "interpretations/interpretation/globalmeasurements/heartrate/#text"),
+        F.when(F.pmod(k, F.lit(11)) == 0, F.lit("n/a")).otherwise((F.col("value") * 40).cast("int").cast("string"))
+         .alias(P + "internalmeasurements/crossleadmeasurements/meanqtint"),
+        (F.col("value") * 41).cast("int").cast("string").alias(P + "internalmeasurements/crossleadmeasurements/meanqtc"),
+        F.lit("500").alias(P + "dataacquisition/signalcharacteristics/samplingrate"),
+        F.lit("12").alias(P + "dataacquisition/signalcharacteristics/numberchannelsvalid"),
+        F.concat(F.lit("mrn_"), F.col("user_id").cast("string")).alias(P + "patient/generalpatientdata/patientid"),
+        F.lit(None).cast("string").alias(P + "patient/generalpatientdata/age/dateofbirth"),
+        F.pmod(F.col("user_id"), F.lit(60)).cast("string").alias(P + "patient/generalpatientdata/age/years"),
+        pick(k, ["cart 1", "cart 2"]).alias(P + "dataacquisition/machine/@detaildescription"),
+        F.lit("800").alias(P + "internalmeasurements/groupmeasurements/groupmeasurement/meanrrint"),
+        F.lit("48").alias(P + "interpretations/interpretation/globalmeasurements/qonset/#text"),
+        F.lit("60").alias(P + "internalmeasurements/crossleadmeasurements/pfrontaxis"),
+        F.lit("30").alias(P + "internalmeasurements/crossleadmeasurements/qrsfrontaxis"),
+        F.lit("45").alias(P + "internalmeasurements/crossleadmeasurements/stfrontaxis"))
+
+
+def raw_muse(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    R = "RestingECG/"
+    return ev.select(
+        F.concat(F.lit("MUSE_"), F.date_format("ts", "yyyyMM")).alias("Folder"),
+        F.concat(k.cast("string"), F.lit(".xml")).alias("Filename"),
+        F.date_format("ts", "MM-dd-yyyy").alias(R + "TestDemographics/AcquisitionDate"),
+        F.when(F.pmod(k, F.lit(31)) == 0, F.lit("25:61:00")).otherwise(F.date_format("ts", "HH:mm:ss"))
+         .alias(R + "TestDemographics/AcquisitionTime"),
+        F.concat(F.lit("mrn_"), F.col("user_id").cast("string")).alias(R + "PatientDemographics/PatientID"),
+        F.pmod(F.col("user_id"), F.lit(70)).cast("string").alias(R + "PatientDemographics/PatientAge"),
+        pick(k, ["Ward 1", "ED"]).alias(R + "TestDemographics/LocationName"),
+        F.col("event_type").alias(R + "OriginalDiagnosis/DiagnosisStatement"),
+        (F.col("value") * 10).cast("int").cast("string").alias(R + "RestingECGMeasurements/VentricularRate"),
+        F.lit("400").alias(R + "RestingECGMeasurements/QTInterval"),
+        F.lit("420").alias(R + "RestingECGMeasurements/QTCorrected"),
+        F.lit("220").alias(R + "RestingECGMeasurements/QOnset"),
+        F.lit("30").alias(R + "RestingECGMeasurements/RAxis"),
+        F.lit("40").alias(R + "RestingECGMeasurements/TAxis"))
+
+
+def raw_problem_list(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("mrn_"), F.col("o_custkey").cast("string")).alias("mrn_sha1"),
+                    F.col("o_orderpriority").alias("Problem Name"), F.col("o_orderstatus").alias("Status"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("noted_dt"))
+
+
+def raw_radiology(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    return ev.select(F.concat(F.lit("mrn_"), F.col("user_id").cast("string")).alias("mrn_sha1"),
+                     k.alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("examination_dt"),
+                     pick(k, ["XR", "CT", "MRI"]).alias("investigation_type"),
+                     F.col("event_type").alias("investigation_name"), pick(k, ["chest pain", "sob"]).alias("reason_for_investign"),
+                     pick(k, ["RPT", "ADD"]).alias("item_code"), F.col("props").alias("item_comment"),
+                     pick(k, ["N", "A"]).alias("abnormal_flag_code"), (k * 7).alias("accession_num"),
+                     F.lit("x").alias("extra_column"))
+
+
+def raw_surgery(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(F.concat(F.lit("mrn_"), F.col("o_custkey").cast("string")).alias("mrn_sha1"), k.alias("id"),
+                    pick(k, ["NUH", "AH"]).alias("src_institution"), F.pmod(k, F.lit(40)).alias("primary_operator_id"),
+                    pick(k, ["CABG", "AVR", "MVR"]).alias("ot_procedure_name_code"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_dt"),
+                    F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 DAYS"), "yyyy-MM-dd").alias("reported_dt"),
+                    F.col("o_orderstatus").alias("doc_status"))
+
+
+def raw_vitals(spark, sf_dir):
+    from .plans.cleaners import VITALS_COLUMNS
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    cols = [F.concat(F.lit("mrn_"), F.col("user_id").cast("string")).alias("mrn_sha1"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("recorded_dt")]
+    for i, c in enumerate(VITALS_COLUMNS[2:]):
+        cols.append(F.when(F.pmod(k + i, F.lit(7)) == 0, F.lit('""""')).when(F.pmod(k + i, F.lit(7)) == 1, F.lit(""))
+                    .otherwise(F.concat(F.lit(c[:3]), F.pmod(k, F.lit(97)).cast("string"))).alias(c))
+    return ev.select(*cols)
+
+
+def preprocessed(raw: DataFrame, table_name: str) -> DataFrame:
+    """Preprocess stage: drop identifying columns of the table, redact ids in every string column."""
+    from .operators.deid import drop_phi, redact_strings
+    return redact_strings(drop_phi(raw, table_name))
+
+
+def _cis_raw_for(table_name):
+    def build(spark, sf_dir):
+        df = cis_raw(spark, sf_dir)
+        if table_name == "cis.caglesion":
+            df = df.withColumn("lesion", pick(F.col("Contrast Volume").cast("bigint"), lesion_codes()))
+        if table_name == "cis.echo":
+            df = df.withColumn("finaldxcollated", pick(F.col("Contrast Volume").cast("bigint"), VALVE_STATEMENTS))
+        return df
+    return build
+
+
+RAW_SOURCES = {
+    "ccd.ohca": raw_ohca, "ccd.cardiacsurgery": raw_cardiacsurgery,
+    "ccd.coronaryphysiology": raw_coronaryphysiology,
+    **{f"cis.{t}": _cis_raw_for(f"cis.{t}") for t in ["cag", "caglesion", "echo", "nuclear", "pacemaker", "pci",
+                                                       "pcidevicesequence", "pcidevicesequencetimings",
+                                                       "pcilesionsequence", "procedure"]},
+    "concept.diagnosis_codes": raw_diagnosis_codes, "ecg.iecg": raw_iecg, "ecg.muse": raw_muse,
+    **MEDICATION_SOURCES, **LAB_SOURCES,
+    "ehr.problem_list": raw_problem_list, "ehr.patient": patient_input, "ehr.encounter": encounter_input,
+    "ehr.radiology": raw_radiology, "ehr.surgery": raw_surgery, "ehr.vitals": raw_vitals,
+}
+
+
+def _register_clean(source):
+    def q(spark, sf_dir):
+        return _clean(spark, sf_dir, source, preprocessed(RAW_SOURCES[source](spark, sf_dir), source))
+    q.__name__ = "q_clean_" + source.replace(".", "_")
+    return register(q)
+
+
+for _src in RAW_SOURCES:
+    _register_clean(_src)
