@@ -76,19 +76,37 @@ def apply_clean_names(df: DataFrame, abbreviations: dict | None = None, strict:
 
 # ---- canonical schema, matching and inference (M1-M5, Q2, Q7) -----------------------------------
 
-def canonical_schema(headers: DataFrame, aliases: DataFrame) -> DataFrame:
-    """headers(file, file_rank, pos, name) + aliases(file, table) -> (table, pos, column):
+def canonical_schema(headers: DataFrame, aliases: DataFrame, key: str = "file") -> DataFrame:
+    """headers(<key>, file_rank, pos, name) + aliases(<key>, table) -> (table, pos, column):
     per table, the ordered union of its files' columns, first occurrence kept."""
-    firsts = (headers.join(F.broadcast(aliases), "file")
+    firsts = (headers.join(F.broadcast(aliases), key)
               .groupBy("table", F.col("name").alias("column"))
               .agg(F.min(F.struct("file_rank", "pos")).alias("first")))
     w = Window.partitionBy("table").orderBy(F.col("first.file_rank"), F.col("first.pos"))
-    return firsts.select("table", (F.row_number().over(w) - 1).alias("pos"), "column")
+    return firsts.select("table", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "column")
 
 
-def unmapped_files(files: DataFrame, aliases: DataFrame) -> DataFrame:
+def unmapped_files(files: DataFrame, aliases: DataFrame, key: str = "file") -> DataFrame:
     """Files without a canonical table (the build must stop if any)."""
-    return files.join(F.broadcast(aliases), "file", "left_anti")
+    return files.join(F.broadcast(aliases.select(key)), key, "left_anti")
+
+
+def best_renames(columns: list[str], canonical: list[str], spark, threshold: float = 0.9,
+                 method: str = "levenshtein") -> dict[str, str]:
+    """For one file's header: test column -> canonical column for the best match at or above the
+    threshold (exact names are left alone).  Header lists are metadata, so this runs on two tiny
+    DataFrames and collects at most one row per canonical column."""
+    hdr = spark.createDataFrame([("f", i, c) for i, c in enumerate(columns)], "file string, pos int, name string")
+    can = spark.createDataFrame([("t", c) for c in canonical], "table string, column string")
+    lo, hi = _length_band(method, threshold)
+    ref = can.withColumn("tlen", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))))
+    pairs = hdr.withColumn("tlen", F.length("name")).join(ref, "tlen")
+    sim = (levenshtein_similarity(F.col("column"), F.col("name")) if method == "levenshtein"
+           else ratcliff_ratio(F.col("column"), F.col("name")))
+    pairs = pairs.withColumn("sim", sim).filter(F.col("sim") >= F.lit(threshold))
+    w = Window.partitionBy("column").orderBy(F.col("sim").desc(), F.col("pos"))
+    best = pairs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").collect()
+    return {r["name"]: r["column"] for r in best if r["name"] != r["column"] and r["name"] not in canonical}
 
 
 @F.pandas_udf(T.DoubleType())

@@ -549,3 +549,160 @@ LEFT JOIN (SELECT TRY_CAST(replace(visit_id, 'edw_', '') AS BIGINT) AS v, mrn_sh
 
 
 ORACLE["q_lab_union"] = _lab_union()
+
+
+# ---- schema inference and names ---------------------------------------------------------------
+
+SUPPLIED_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+
+def _headers_cte():
+    rows = [(f"src.{t}", ti, i, c) for ti, (t, cs) in enumerate(SUPPLIED_COLUMNS.items()) for i, c in enumerate(cs)]
+    names = "[" + ", ".join(lit(t) for t in SUPPLIED_COLUMNS) + "]"
+    n = len(SUPPLIED_COLUMNS)
+    return f"""
+canon AS (SELECT * FROM {values_table(rows, ['"table"', 'table_pos', 'pos', '"column"'])}),
+base AS (SELECT 'file_' || CAST(o_orderkey AS VARCHAR) AS file, o_orderkey AS file_rank, o_custkey AS ck,
+           CASE WHEN o_orderkey % 29 = 0 THEN '{Q.UNMAPPED_STEM}' ELSE {names}[(o_orderkey % {n}) + 1]
+             || CASE WHEN o_custkey % 2 = 0 THEN '_export' ELSE '_v2' END END AS stem,
+           o_orderkey % {n} AS tidx FROM orders),
+ex AS (SELECT b.file, b.file_rank, b.ck, b.stem, c.pos, c."column" AS col FROM base b JOIN canon c ON c.table_pos = b.tidx),
+hdr AS (SELECT file, file_rank, stem, pos, CASE (ck + pos) % 6 WHEN 0 THEN NULL WHEN 1 THEN upper(col)
+          WHEN 2 THEN col || 's' WHEN 3 THEN replace(col, '_', ' ') ELSE col END AS name FROM ex),
+headers AS (SELECT * FROM hdr WHERE name IS NOT NULL
+            UNION ALL SELECT file, file_rank, stem, 99, 'extra_' || CAST(ck % 3 AS VARCHAR) FROM base)"""
+
+
+def lev_sim(a, b):
+    return (f"CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 "
+            f"ELSE 1.0 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END")
+
+
+def _scores_cte(t):
+    return f"""
+names AS (SELECT DISTINCT name FROM headers),
+good AS (SELECT c."table", c."column", n.name FROM names n, (SELECT DISTINCT "table", "column" FROM canon) c
+         WHERE {lev_sim('c."column"', 'n.name')} >= {t}),
+m AS (SELECT DISTINCT h.file, g."table", g."column" FROM headers h JOIN good g ON h.name = g.name),
+sizes AS (SELECT "table", count(DISTINCT "column") AS n_ref FROM canon GROUP BY 1),
+scores AS (SELECT m.file, m."table", count(*) / any_value(n_ref) AS score FROM m JOIN sizes USING ("table")
+           GROUP BY m.file, m."table")"""
+
+
+ORACLE["q_schema_match"] = f"WITH {_headers_cte()}, {_scores_cte(0.8)} SELECT file, \"table\", score FROM scores"
+
+ORACLE["q_table_infer"] = f"""
+WITH {_headers_cte()}, {_scores_cte(0.6)},
+ord AS (SELECT DISTINCT "table", table_pos FROM canon),
+best AS (SELECT s.*, row_number() OVER (PARTITION BY file ORDER BY score DESC, table_pos) AS rn
+         FROM scores s JOIN ord USING ("table")),
+files AS (SELECT DISTINCT file FROM headers)
+SELECT f.file, CASE WHEN coalesce(score, 0.0) >= 0.6 THEN b."table" ELSE 'unknown' END AS "table",
+  coalesce(score, 0.0) AS score
+FROM files f LEFT JOIN (SELECT * FROM best WHERE rn = 1) b ON f.file = b.file"""
+
+_ALIASES = ", ".join(lit(f"{t}{s}") for t in SUPPLIED_COLUMNS for s in ("_export", "_v2"))
+_ALIAS_ROWS = [(f"{t}{s}", f"src.{t}") for t in SUPPLIED_COLUMNS for s in ("_export", "_v2")]
+
+ORACLE["q_canonical_schema"] = f"""
+WITH {_headers_cte()},
+al AS (SELECT * FROM {values_table(_ALIAS_ROWS, ['stem', '"table"'])}),
+j AS (SELECT a."table", h.name AS "column", h.file_rank, h.pos,
+        row_number() OVER (PARTITION BY a."table", h.name ORDER BY h.file_rank, h.pos) AS rn
+      FROM headers h JOIN al a ON h.stem = a.stem)
+SELECT "table", row_number() OVER (PARTITION BY "table" ORDER BY file_rank, pos) - 1 AS pos, "column"
+FROM j WHERE rn = 1"""
+
+ORACLE["q_unmapped"] = f"""
+WITH {_headers_cte()}
+SELECT DISTINCT file, stem FROM headers WHERE stem NOT IN ({_ALIASES})"""
+
+ORACLE["q_pad_schema"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority,
+  'x' AS extra_note FROM orders"""
+
+
+def messy_names():
+    return rf"""
+SELECT p_brand AS file, p_partkey AS pos, CASE p_partkey % 9
+  WHEN 0 THEN upper(p_name || '. ') WHEN 1 THEN p_type || ' #' || CAST(p_size AS VARCHAR)
+  WHEN 2 THEN ' Right ' || p_name WHEN 3 THEN 'camelCase' || replace(p_brand, '#', '')
+  WHEN 4 THEN p_name || ' ' || p_type || ' ' || p_name WHEN 5 THEN 'right' WHEN 6 THEN '###'
+  WHEN 7 THEN 'Procedure_Date/' || p_type ELSE 'Study  Num.' || CAST(p_partkey % 4 AS VARCHAR) END AS name
+FROM part"""
+
+
+def _core_name(x, hash_to_no):
+    y = f"lower({strip_ws(x)})"
+    if hash_to_no:
+        y = f"replace({y}, '#', 'no')"
+    y = f"regexp_replace(regexp_replace({y}, '[ .]+', '_', 'g'), '[^a-z0-9_]', '', 'g')"
+    return f"regexp_replace({y}, '_$', '')"
+
+
+def sql_name(x):
+    core = _core_name(x, True)
+    return f"CASE WHEN {core} = 'right' THEN 'right_' ELSE {core} END"
+
+
+def _clean_names(src, abbreviations=None):
+    abbreviations = abbreviations or {}
+    tok0 = (rf"list_transform(list_filter(regexp_split_to_array(lower(regexp_replace(name, '([a-z])([A-Z])', '\1_\2', 'g')), "
+            rf"'[_\\/.]'), lambda t: t <> ''), lambda t: regexp_replace(regexp_replace(lower({strip_ws('t')}), '[ .]+', '_', 'g'), "
+            rf"'[^a-z0-9_]', '', 'g'))")
+    if abbreviations:
+        case = "CASE t " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in abbreviations.items()) + " ELSE t END"
+        abbr = f"list_transform(tok1, lambda t: {case})"
+        whole = "CASE s " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in abbreviations.items()) + " ELSE s END"
+    else:
+        abbr, whole = "tok1", "s"
+    return f"""
+WITH h AS ({src}),
+h1 AS (SELECT *, max(length(name)) OVER (PARTITION BY file) >= 59 AS is_long, {tok0} AS tok0 FROM h),
+h2 AS (SELECT *, list_filter(tok0, lambda t, i: i = 1 OR tok0[i - 1] <> t) AS tok1 FROM h1),
+h3 AS (SELECT *, {abbr} AS tok2 FROM h2),
+h4 AS (SELECT *, list_filter(tok2, lambda t, i: i = 1 OR tok2[i - 1] <> t) AS tok3 FROM h3),
+h5 AS (SELECT *, array_to_string(list_filter(tok3, lambda t: t <> ''), '_') AS s FROM h4),
+h6 AS (SELECT *, {whole} AS short FROM h5),
+h7 AS (SELECT *, row_number() OVER (PARTITION BY file, short ORDER BY pos) AS rn FROM h6),
+h8 AS (SELECT *, CASE WHEN rn = 1 THEN short WHEN rn = 2 THEN concat_ws('_', short, substr(md5(short), 1, 4))
+          ELSE concat_ws('_', short, substr(md5(short), 1, 4), CAST(rn - 1 AS VARCHAR)) END AS ushort FROM h7),
+h9 AS (SELECT *, {sql_name(f"CASE WHEN is_long THEN ushort ELSE {_core_name('name', False)} END")} AS c0 FROM h8),
+h10 AS (SELECT file, pos, name, CASE WHEN c0 = '' THEN 'col_' || CAST(pos AS VARCHAR) ELSE c0 END AS clean_name FROM h9)
+SELECT file, pos, name, clean_name,
+  row_number() OVER (PARTITION BY file, clean_name ORDER BY pos) = 1 AS keep, length(clean_name) >= 59 AS too_long
+FROM h10"""
+
+
+ORACLE["q_sanitize_names"] = _clean_names(messy_names())
+
+
+def _shorten():
+    from .plans.cleaners import CARDIAC_SURGERY_ABBREVIATIONS
+    src = f"SELECT file, pos, 'Renal disease at the time of surgery ' || name AS name FROM ({messy_names()})"
+    return _clean_names(src, CARDIAC_SURGERY_ABBREVIATIONS)
+
+
+ORACLE["q_shorten_names"] = _shorten()
+
+ORACLE["q_split_name"] = r"""
+SELECT p_partkey, raw, split_part(raw, '.', 1) AS dataset, string_split(raw, '.')[-1] AS tablename,
+  replace(replace(regexp_replace(lower(raw), '\.csv$', ''), ' ', '_'), '-', '_') AS sanitized
+FROM (SELECT p_partkey, replace(lower(p_brand), '#', '') || '.' || p_type
+        || CASE WHEN p_partkey % 2 = 0 THEN '.csv' ELSE '' END AS raw FROM part)"""

@@ -876,3 +876,138 @@ def _register_clean(source):
 
 for _src in RAW_SOURCES:
     _register_clean(_src)
+
+
+# ---- schema inference and names ---------------------------------------------------------------
+
+SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                   "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+UNMAPPED_STEM = "mystery_file"
+
+
+def canonical_columns(spark, sf_dir) -> dict[str, list[str]]:
+    """Reference schemas: the column lists of the supplied tables (parquet footers)."""
+    return {t: table(spark, sf_dir, t).columns for t in SUPPLIED_TABLES}
+
+
+def canon_df(spark, sf_dir) -> DataFrame:
+    cols = canonical_columns(spark, sf_dir)
+    rows = [(f"src.{t}", ti, i, c) for ti, (t, cs) in enumerate(cols.items()) for i, c in enumerate(cs)]
+    return spark.createDataFrame(rows, "table string, table_pos int, pos int, column string")
+
+
+def alias_df(spark) -> DataFrame:
+    rows = [(f"{t}{suffix}", f"src.{t}") for t in SUPPLIED_TABLES for suffix in ("_export", "_v2")]
+    return spark.createDataFrame(rows, "stem string, table string")
+
+
+def raw_headers(spark, sf_dir) -> DataFrame:
+    """One raw file per order: the header of one supplied table, perturbed per column
+    (dropped, suffixed, upper-cased, '_' -> ' ', or kept) plus one extra column."""
+    cols = canonical_columns(spark, sf_dir)
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    n = len(SUPPLIED_TABLES)
+    tidx = F.pmod(k, F.lit(n))
+    arrays = F.array(*[F.array(*[F.lit(x) for x in cols[t]]) for t in SUPPLIED_TABLES])
+    names = F.array(*[F.lit(t) for t in SUPPLIED_TABLES])
+    stem = F.when(F.pmod(k, F.lit(29)) == 0, F.lit(UNMAPPED_STEM)).otherwise(
+        F.concat(F.element_at(names, (tidx + 1).cast("int")),
+                 F.when(F.pmod(c, F.lit(2)) == 0, F.lit("_export")).otherwise(F.lit("_v2"))))
+    base = o.select(F.concat(F.lit("file_"), k.cast("string")).alias("file"), k.alias("file_rank"), c.alias("ck"),
+                    stem.alias("stem"), F.element_at(arrays, (tidx + 1).cast("int")).alias("cols"))
+    ex = base.select("file", "file_rank", "ck", "stem", F.posexplode("cols").alias("pos", "col"))
+    m = F.pmod(F.col("ck") + F.col("pos"), F.lit(6))
+    name = (F.when(m == 0, F.lit(None)).when(m == 1, F.upper("col")).when(m == 2, F.concat("col", F.lit("s")))
+            .when(m == 3, F.translate("col", "_", " ")).otherwise(F.col("col")))
+    hdr = ex.select("file", "file_rank", "stem", "pos", name.alias("name")).filter(F.col("name").isNotNull())
+    extra = base.select("file", "file_rank", "stem", F.lit(99).alias("pos"),
+                        F.concat(F.lit("extra_"), F.pmod(F.col("ck"), F.lit(3)).cast("string")).alias("name"))
+    return hdr.unionByName(extra)
+
+
+@register
+def q_schema_match(spark, sf_dir):
+    from .operators.schema import match_scores
+    return match_scores(raw_headers(spark, sf_dir), canon_df(spark, sf_dir), 0.8, "levenshtein")
+
+
+@register
+def q_schema_match_ratcliff(spark, sf_dir):
+    from .operators.schema import match_scores
+    return match_scores(raw_headers(spark, sf_dir), canon_df(spark, sf_dir), 0.9, "ratcliff")
+
+
+@register
+def q_table_infer(spark, sf_dir):
+    from .operators.schema import infer_tables
+    canon = canon_df(spark, sf_dir)
+    order = canon.select("table", "table_pos").distinct()
+    return infer_tables(raw_headers(spark, sf_dir), canon, order, 0.6, "levenshtein")
+
+
+@register
+def q_canonical_schema(spark, sf_dir):
+    from .operators.schema import canonical_schema
+    return canonical_schema(raw_headers(spark, sf_dir), alias_df(spark), key="stem")
+
+
+@register
+def q_unmapped(spark, sf_dir):
+    from .operators.schema import unmapped_files
+    files = raw_headers(spark, sf_dir).select("file", "stem").distinct()
+    return unmapped_files(files, alias_df(spark), key="stem")
+
+
+@register
+def q_pad_schema(spark, sf_dir):
+    from .operators.schema import best_renames, pad_to_schema
+    o = table(spark, sf_dir, "orders")
+    drifted = o.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").alias("o_totalprices"),
+                       F.col("o_orderdate").alias("o_orderdat"), F.lit("x").alias("extra_note"))
+    canonical = o.columns
+    rename = best_renames(drifted.columns, canonical, spark, 0.9)
+    return pad_to_schema(drifted, canonical, rename)
+
+
+def messy_names(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    m = F.pmod(k, F.lit(9))
+    name = (F.when(m == 0, F.upper(F.concat(F.col("p_name"), F.lit(". ")))) 
+            .when(m == 1, F.concat(F.col("p_type"), F.lit(" #"), F.col("p_size").cast("string")))
+            .when(m == 2, F.concat(F.lit(" Right "), F.col("p_name")))
+            .when(m == 3, F.concat(F.lit("camelCase"), F.translate("p_brand", "#", "")))
+            .when(m == 4, F.concat(F.col("p_name"), F.lit(" "), F.col("p_type"), F.lit(" "), F.col("p_name")))
+            .when(m == 5, F.lit("right"))
+            .when(m == 6, F.lit("###"))
+            .when(m == 7, F.concat(F.lit("Procedure_Date/"), F.col("p_type")))
+            .otherwise(F.concat(F.lit("Study  Num."), F.pmod(k, F.lit(4)).cast("string"))))
+    return p.select(F.col("p_brand").alias("file"), k.alias("pos"), name.alias("name"))
+
+
+@register
+def q_sanitize_names(spark, sf_dir):
+    from .operators.schema import clean_header_rows
+    return clean_header_rows(messy_names(spark, sf_dir))
+
+
+@register
+def q_shorten_names(spark, sf_dir):
+    from .operators.schema import clean_header_rows
+    from .plans.cleaners import CARDIAC_SURGERY_ABBREVIATIONS
+    hdr = messy_names(spark, sf_dir).withColumn("name", F.concat(F.lit("Renal disease at the time of surgery "),
+                                                                 F.col("name")))
+    return clean_header_rows(hdr, CARDIAC_SURGERY_ABBREVIATIONS)
+
+
+@register
+def q_split_name(spark, sf_dir):
+    from .functions.names import sanitize_table_name, split_dataset
+    p = table(spark, sf_dir, "part")
+    raw = F.concat(F.translate(F.lower("p_brand"), "#", ""), F.lit("."), F.col("p_type"),
+                   F.when(F.pmod(F.col("p_partkey"), F.lit(2)) == 0, F.lit(".csv")).otherwise(F.lit("")))
+    df = p.select("p_partkey", raw.alias("raw"))
+    ds, tb = split_dataset(F.col("raw"))
+    return df.select("p_partkey", "raw", ds.alias("dataset"), tb.alias("tablename"),
+                     sanitize_table_name(F.col("raw")).alias("sanitized"))
