@@ -706,3 +706,89 @@ SELECT p_partkey, raw, split_part(raw, '.', 1) AS dataset, string_split(raw, '.'
   replace(replace(regexp_replace(lower(raw), '\.csv$', ''), ' ', '_'), '-', '_') AS sanitized
 FROM (SELECT p_partkey, replace(lower(p_brand), '#', '') || '.' || p_type
         || CASE WHEN p_partkey % 2 = 0 THEN '.csv' ELSE '' END AS raw FROM part)"""
+
+
+# ---- sources, sinks, quality --------------------------------------------------------------------
+
+ORACLE["q_row_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS rowcount FROM {t}" for t in SUPPLIED_COLUMNS)
+
+
+def _customer_files(where=""):
+    row = ("concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), ''), coalesce(o_orderstatus, ''), "
+           "coalesce(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), ''), "
+           "coalesce(strftime(o_orderdate, '%Y-%m-%d'), ''))")
+    return (f"SELECT 'cust_' || CAST(o_custkey AS VARCHAR) || '.csv' AS filename, count(*) AS rowcount, "
+            f"CAST(sum(CAST(('0x' || substr(md5({row}), 1, 15)) AS BIGINT)) AS VARCHAR) AS checksum "
+            f"FROM orders {where} GROUP BY 1")
+
+
+ORACLE["q_ledger_anti"] = f"""
+SELECT c.* FROM ({_customer_files()}) c
+WHERE NOT EXISTS (SELECT 1 FROM ({_customer_files("WHERE o_orderstatus <> 'P'")}) l
+                  WHERE l.filename = c.filename AND l.checksum = c.checksum)"""
+
+ORACLE["q_ledger_purge"] = f"""
+SELECT * FROM (SELECT *, {pick("CAST(regexp_extract(filename, '(\\d+)', 1) AS BIGINT)", ['cis.cag', 'ehr.patient', 'ecg.muse', 'cis.echo'])} AS tablename
+               FROM ({_customer_files()}))
+WHERE NOT contains(tablename, 'cis')"""
+
+ORACLE["q_sql_script"] = Q.SCRIPT
+ORACLE["q_csv_round_trip"] = "SELECT * FROM orders"
+ORACLE["q_json_round_trip"] = "SELECT * FROM orders"
+ORACLE["q_final_overwrite"] = "SELECT * FROM orders"
+ORACLE["q_stage_append"] = "SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'a' ELSE 'b' END AS source FROM orders"
+ORACLE["q_strip_prefix"] = "SELECT event_id, value AS samplingrate, user_id AS channels, event_type FROM events"
+
+
+def _code_violations():
+    raw = f"coalesce(r.raw_code, e.primary_diagnosis)"
+    clean = numeric_code("raw")
+    return rf"""
+WITH e AS ({encounter_input()}),
+r AS (SELECT CASE WHEN o_orderkey % 2 = 1 THEN 'edw_' ELSE 'hosp_' END || CAST(o_orderkey AS VARCHAR) AS visit_id,
+        {code_text('o_orderkey', 'o_custkey')} AS raw_code FROM orders),
+d AS (SELECT e.visit_id AS key, e.db_source, e.secondary_diagnosis, {raw} AS raw FROM e LEFT JOIN r ON e.visit_id = r.visit_id),
+c AS (SELECT *, {clean} AS clean FROM d),
+c2 AS (SELECT *, CASE WHEN db_source = 'edw' THEN concat_ws(',', regexp_replace(clean, '\.0(,|$)', '\1', 'g'),
+          regexp_replace(secondary_diagnosis, '\.0(,|$)', '\1', 'g'))
+          WHEN db_source = 'dts' THEN concat_ws(',', clean, secondary_diagnosis) ELSE '' END AS combined FROM c)
+SELECT key, 'Q8_unparseable_code' AS rule, raw AS value FROM c2 WHERE raw IS NOT NULL AND clean IS NULL
+UNION ALL SELECT key, 'Q3_code_not_integer', clean FROM c2 WHERE contains(clean, 'e') OR contains(clean, '.')
+UNION ALL SELECT key, 'Q4_combined_has_dot', combined FROM c2 WHERE contains(combined, '.')"""
+
+
+ORACLE["q_code_violations"] = _code_violations()
+
+ORACLE["q_date_violations"] = f"""
+SELECT "Study Num" AS key, 'Procedure Date' AS "column", v AS value
+FROM (SELECT "Study Num", CASE WHEN "Procedure Date" = '00/00/00' THEN NULL WHEN length(IDRef) % 3 = 0 THEN '31/31/2020'
+        ELSE "Procedure Date" END AS v FROM ({cis_raw()}))
+WHERE v IS NOT NULL AND {parse_mixed('v')} IS NULL"""
+
+ORACLE["q_row_parity"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS staged_rows, count(*) AS loaded_rows, true AS ok FROM {t}"
+    for t in ["orders", "customer", "part"])
+
+
+def _export_date(tbl, string_cols, ts_cols):
+    now = f"TIMESTAMP '{Q.EXPORT_NOW}'"
+    cands = []
+    for c in string_cols:
+        v = (f"CASE WHEN length({c}) - length(replace({c}, '-', '')) >= 2 OR length({c}) - length(replace({c}, '/', '')) >= 2 "
+             f"THEN {parse_mixed(c)} END")
+        cands.append(f"CASE WHEN {v} <= {now} THEN {v} END")
+    cands += [f"CASE WHEN {c} <= {now} THEN {c} END" for c in ts_cols]
+    return f"SELECT '{tbl}' AS \"table\", strftime(coalesce(max(greatest({', '.join(cands)})), {now}), '%d-%m-%Y') AS export_date"
+
+
+ORACLE["q_export_date"] = (
+    _export_date("orders", ["o_orderstatus", "o_orderpriority", "note"], ["o_orderdate"])
+    + " FROM (SELECT *, strftime(o_orderdate, '%m/%d/%Y') AS note FROM orders) UNION ALL "
+    + _export_date("events", ["event_type", "props"], ["ts"]) + " FROM events")
+
+ORACLE["q_fingerprint"] = f"""
+SELECT 'orders' AS "table", rowcount, checksum FROM (
+  SELECT count(*) AS rowcount, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), o_orderstatus,
+    CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'))), 1, 15)) AS BIGINT)) AS VARCHAR)
+    AS checksum FROM orders)"""

@@ -1011,3 +1011,208 @@ def q_split_name(spark, sf_dir):
     ds, tb = split_dataset(F.col("raw"))
     return df.select("p_partkey", "raw", ds.alias("dataset"), tb.alias("tablename"),
                      sanitize_table_name(F.col("raw")).alias("sanitized"))
+
+
+# ---- sources, sinks, ledgers, catalog -----------------------------------------------------------
+
+@register
+def q_manifest(spark, sf_dir):
+    from .sources.files import manifest
+    return manifest(spark, sf_dir, ("parquet",)).select("filename", "stem", "ext", "length")
+
+
+@register
+def q_checksum(spark, sf_dir):
+    from .sources.files import manifest
+    return manifest(spark, sf_dir, ("parquet",), checksum_mode="content").select("filename", "length", "checksum")
+
+
+@register
+def q_row_counts(spark, sf_dir):
+    from .sources.files import row_counts
+    return row_counts({t: table(spark, sf_dir, t) for t in SUPPLIED_TABLES})
+
+
+FINGERPRINT_COLS = ["o_orderkey", "o_orderstatus", "cents", "day"]
+
+
+def customer_files(o: DataFrame) -> DataFrame:
+    """Orders as per-customer 'export files' (name + content fingerprint)."""
+    from .sources.ledger import fingerprint
+    rows = o.select(F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"), F.lit(".csv")).alias("filename"),
+                    "o_orderkey", "o_orderstatus",
+                    F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return fingerprint(rows, ["filename"], FINGERPRINT_COLS)
+
+
+@register
+def q_ledger_anti(spark, sf_dir):
+    from .sources.ledger import pending
+    o = table(spark, sf_dir, "orders")
+    current = customer_files(o)
+    logged = customer_files(o.filter(F.col("o_orderstatus") != "P"))
+    return pending(current, logged)
+
+
+@register
+def q_ledger_purge(spark, sf_dir):
+    from .sources.ledger import purge
+    led = customer_files(table(spark, sf_dir, "orders"))
+    led = led.withColumn("tablename", pick(F.regexp_extract("filename", r"(\d+)", 1).cast("bigint"),
+                                           ["cis.cag", "ehr.patient", "ecg.muse", "cis.echo"]))
+    return purge(led, "cis")
+
+
+@register
+def q_data_dictionary(spark, sf_dir):
+    from .sources.catalog import data_dictionary
+    tabs = {f"main.{t}": table(spark, sf_dir, t) for t in SUPPLIED_TABLES}
+    tabs["staging_main.orders"] = table(spark, sf_dir, "orders")
+    return data_dictionary(spark, tabs)
+
+
+SCRIPT = """
+SELECT l_returnflag, l_linestatus, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
+       max(l_shipdate) AS last_ship
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderstatus <> 'P'
+GROUP BY l_returnflag, l_linestatus
+"""
+
+
+@register
+def q_sql_script(spark, sf_dir):
+    from .sources.catalog import run_script
+    return run_script(spark, SCRIPT, {"lineitem": table(spark, sf_dir, "lineitem"), "orders": table(spark, sf_dir, "orders")})
+
+
+@register
+def q_csv_round_trip(spark, sf_dir):
+    from .session import scratch_path
+    from .sources.files import read_raw
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "csv")
+    o.write.option("header", True).csv(path)
+    back = read_raw(spark, path, "csv")
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in o.schema.fields])
+
+
+@register
+def q_json_round_trip(spark, sf_dir):
+    from .session import scratch_path
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "json")
+    o.write.json(path)
+    return spark.read.schema(o.schema).json(path)
+
+
+@register
+def q_stage_append(spark, sf_dir):
+    """Two sources appended into one staged table partitioned by source; re-running one source
+    overwrites only its partition, so a re-run never duplicates rows."""
+    from .session import scratch_path
+    o = table(spark, sf_dir, "orders").withColumn(
+        "source", F.when(F.col("o_orderstatus") == "F", F.lit("a")).otherwise(F.lit("b")))
+    path = scratch_path(spark, "stage")
+    w = lambda df, mode: (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+                          .partitionBy("source").parquet(path))
+    w(o.filter(F.col("source") == "a"), "append")
+    w(o.filter(F.col("source") == "b"), "append")
+    w(o.filter(F.col("source") == "a"), "overwrite")   # re-run of source a
+    return spark.read.parquet(path)
+
+
+@register
+def q_final_overwrite(spark, sf_dir):
+    from .session import scratch_path
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "final")
+    o.limit(0).write.mode("overwrite").parquet(path)
+    o.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register
+def q_strip_prefix(spark, sf_dir):
+    from .plans.cleaners import strip_prefix_map
+    ev = table(spark, sf_dir, "events")
+    pre = "restingecgdata/dataacquisition/signalcharacteristics/"
+    df = ev.select("event_id", F.col("value").alias(pre + "samplingrate"), F.col("user_id").alias(pre + "channels"),
+                   F.col("event_type").alias("event_type"))
+    m = strip_prefix_map(df.columns, pre)
+    return df.select(*[F.col(f"`{c}`").alias(m.get(c, c)) for c in df.columns])
+
+
+# ---- quality ------------------------------------------------------------------------------------
+
+@register
+def q_code_violations(spark, sf_dir):
+    from .operators.quality import code_violations
+    o = table(spark, sf_dir, "orders")
+    enc = encounter_input(spark, sf_dir).join(
+        o.select(F.concat(F.when(F.pmod("o_orderkey", F.lit(2)) == 1, F.lit("edw_")).otherwise(F.lit("hosp_")),
+                          F.col("o_orderkey").cast("string")).alias("visit_id"),
+                 code_text(F.col("o_orderkey"), F.col("o_custkey")).alias("raw_code")), "visit_id", "left")
+    enc = enc.withColumn("primary_diagnosis", F.coalesce("raw_code", "primary_diagnosis"))
+    return code_violations(enc)
+
+
+@register
+def q_date_violations(spark, sf_dir):
+    from .functions.dates import parse_mixed
+    from .operators.quality import date_violations
+    df = cis_raw(spark, sf_dir).withColumn(
+        "Procedure Date", F.when(F.col("Procedure Date") == L.CIS_DATE_SENTINEL, F.lit(None)).otherwise(
+            F.when(F.pmod(F.length("IDRef"), F.lit(3)) == 0, F.lit("31/31/2020")).otherwise(F.col("Procedure Date"))))
+    return date_violations(df, "Study Num", "Procedure Date", parse_mixed(F.col("`Procedure Date`")))
+
+
+@register
+def q_row_parity(spark, sf_dir):
+    from .operators.quality import row_parity
+    from .session import scratch_path
+    from .sources.files import row_counts
+    src = {t: table(spark, sf_dir, t) for t in ["orders", "customer", "part"]}
+    base = scratch_path(spark, "parity")
+    for t, df in src.items():
+        df.write.mode("overwrite").parquet(f"{base}/{t}")
+    loaded = {t: spark.read.parquet(f"{base}/{t}") for t in src}
+    return row_parity(row_counts(src), row_counts(loaded))
+
+
+EXPORT_NOW = "2025-06-30 00:00:00"
+
+
+@register
+def q_export_date(spark, sf_dir):
+    from .operators.quality import export_date
+    o = table(spark, sf_dir, "orders").withColumn("note", F.date_format("o_orderdate", "MM/dd/yyyy"))
+    ev = table(spark, sf_dir, "events")
+    return export_date(o, EXPORT_NOW).select(F.lit("orders").alias("table"), "export_date").unionByName(
+        export_date(ev, EXPORT_NOW).select(F.lit("events").alias("table"), "export_date"))
+
+
+@register
+def q_fingerprint(spark, sf_dir):
+    from .sources.ledger import fingerprint
+    o = table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("table"), "o_orderkey", "o_orderstatus",
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return fingerprint(o, ["table"], FINGERPRINT_COLS)
+
+
+@register
+def q_stream_ingest(spark, sf_dir):
+    """Structured Streaming ingest of the orders export (as a folder of files) with
+    availableNow: PHI drop + id redaction per micro-batch, idempotent batch folders."""
+    from .session import scratch_path
+    from .streaming.ingest import ingest_folder
+    o = table(spark, sf_dir, "orders").withColumn("Comments", F.concat(F.lit("S"), F.lpad(
+        F.col("o_custkey").cast("string"), 7, "0"), F.lit("A")))
+    raw = scratch_path(spark, "stream-raw")
+    o.repartition(4).write.parquet(raw)
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    ingest_folder(spark, raw, o.schema, "cis.cag", out, ck, max_files_per_trigger=2)
+    return spark.read.parquet(out).drop("batch_id")
