@@ -22,6 +22,7 @@ ISO_FORMATS = [
     (r"^\d{4}-\d{1,2}-\d{1,2} " + _HMS + "$", "yyyy-M-d H:m:s"),
     (r"^\d{4}-\d{1,2}-\d{1,2}T" + _HMS + "$", "yyyy-M-d'T'H:m:s"),
     (r"^\d{4}-\d{1,2}-\d{1,2} " + _HM + "$", "yyyy-M-d H:m"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T" + _HM + "$", "yyyy-M-d'T'H:m"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^\d{8}$", "yyyyMMdd"),
 ]
@@ -48,9 +49,38 @@ def parse_formats(c, formats: list[tuple[str, str]]) -> Column:
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
+_TIME = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2})?)?$"
+_SLASH_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}" + r"(?: \d{1,2}:\d{2}(?::\d{2})?)?$"
+_DASH_SHAPE = r"^\d{1,2}-\d{1,2}-\d{4}" + r"(?: \d{1,2}:\d{2}(?::\d{2})?)?$"
+_ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME
+_COMPACT_SHAPE = r"^\d{8}$"
+
+
 def parse_mixed(c, dayfirst: bool = False) -> Column:
-    """Tolerant parse of mixed spellings; ambiguous d/M vs M/d resolved by ``dayfirst``."""
-    return parse_formats(c, DAY_FIRST_FORMATS if dayfirst else MONTH_FIRST_FORMATS)
+    """Tolerant parse of mixed spellings; ambiguous d/M vs M/d resolved by ``dayfirst``
+    (the other order is tried when the first is not a valid date).
+
+    Same result as ``parse_formats`` over MONTH_FIRST_FORMATS / DAY_FIRST_FORMATS (the
+    specification), but the shape is classified once and the time part is normalised to
+    H:m:s, so at most two patterns are tried per value and the expression stays small
+    enough for wide tables with many date columns.
+    """
+    c = as_col(c)
+    t = F.regexp_extract(c, r"[ T](\d{1,2}:\d{2}(?::\d{2})?)$", 1)
+    colons = F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit("")))
+    full_t = F.when(t == "", F.lit("0:00:00")).when(colons == 1, F.concat(t, F.lit(":00"))).otherwise(t)
+    x = F.concat(F.regexp_extract(c, r"^([^ T]+)", 1), F.lit(" "), full_t)
+
+    def both(sep):
+        first, second = ("d", "M") if dayfirst else ("M", "d")
+        return F.coalesce(F.try_to_timestamp(x, F.lit(f"{first}{sep}{second}{sep}yyyy H:m:s")),
+                          F.try_to_timestamp(x, F.lit(f"{second}{sep}{first}{sep}yyyy H:m:s")))
+
+    out = (F.when(c.rlike(_SLASH_SHAPE), both("/"))
+           .when(c.rlike(_DASH_SHAPE), both("-"))
+           .when(c.rlike(_ISO_SHAPE), F.try_to_timestamp(x, F.lit("yyyy-M-d H:m:s")))
+           .when(c.rlike(_COMPACT_SHAPE), F.try_to_timestamp(c, F.lit("yyyyMMdd"))))
+    return out.cast("timestamp_ntz")
 
 
 def parse_exact(c, fmt: str, guard: str | None = None) -> Column:

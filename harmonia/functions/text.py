@@ -25,13 +25,23 @@ def parse_instruction(c) -> Column:
 
     First case-insensitive match of each pattern; commas dropped from the dose; 'apply to
     affected area' without a dose becomes a topical dose; 'for ' dropped from the duration.
-    Null in, null fields out.
+    Null in, null fields out.  On a DataFrame prefer ``with_parsed_instruction``, which
+    computes the normalised text once.
     """
-    s = normalise_instruction(c)
+    return _instruction_fields(normalise_instruction(c))
+
+
+def with_parsed_instruction(df, source, out: str):
+    """Add struct column ``out`` = parse_instruction(source), normalising the text once."""
+    tmp = f"__norm_{out}"
+    df = df.withColumn(tmp, normalise_instruction(source))
+    return df.withColumn(out, _instruction_fields(F.col(tmp))).drop(tmp)
+
+
+def _instruction_fields(s: Column) -> Column:
     dose = F.nullif(F.replace(F.regexp_extract(s, CI + L.INSTRUCTION_DOSE, 2), F.lit(","),
                               F.lit("")), F.lit(""))
-    dose = F.when(dose.isNull() & F.lower(s).contains(L.TOPICAL_PHRASE),
-                  F.lit(L.TOPICAL_DOSE)).otherwise(dose)
+    dose = F.coalesce(dose, F.when(F.lower(s).contains(L.TOPICAL_PHRASE), F.lit(L.TOPICAL_DOSE)))
     freq = F.nullif(strip_ws(F.regexp_extract(s, CI + L.INSTRUCTION_FREQUENCY, 0)), F.lit(""))
     dur = F.nullif(strip_ws(F.replace(F.regexp_extract(s, CI + L.INSTRUCTION_DURATION, 0),
                                       F.lit("for "), F.lit(""))), F.lit(""))

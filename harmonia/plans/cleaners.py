@@ -268,7 +268,7 @@ def dts_discharge_medication_step(df, ctx):
     df = df.withColumn("medication_type", F.lit("discharge"))
     df = rename(df, {"mrn_sha1": "subject_id", "discharge_route": "medication_route",
                      "medication_dosage_regimen": "medication_dose"})
-    df = df.withColumn("_p", X.parse_instruction(F.col("medication_dose")))
+    df = X.with_parsed_instruction(df, F.col("medication_dose"), "_p")
     dose, dose_units = X.split_first_space(F.col("_p.dose"))
     dur, dur_units = X.split_first_space(F.col("_p.duration"))
     df = df.withColumns({"instruction": F.col("_p.instruction"), "dose": dose, "dose_units": dose_units,
@@ -291,10 +291,10 @@ def edw_medication_step(df, ctx):
     df = rename(df, {"mrn_sha1": "subject_id", "STARTTIME": "medication_start_dt", "ENDTIME": "medication_end_dt",
                      "ROUTECODE": "medication_route", "ORDERTEXT": "medication_name", "MEDICATION": "instruction",
                      "encounter_type": "medication_type", "FREQUENCY1CODE": "frequency"})
-    a = X.parse_instruction(F.col("instruction"))
-    b = X.parse_instruction(F.col("DOSAGEREGIMEN").cast("string"))
-    df = df.withColumns({"dose": F.coalesce(a["dose"], b["dose"]),
-                         "frequency": F.coalesce(F.col("frequency"), a["frequency"], b["frequency"])})
+    df = X.with_parsed_instruction(df, F.col("instruction"), "_a")
+    df = X.with_parsed_instruction(df, F.col("DOSAGEREGIMEN").cast("string"), "_b")
+    df = df.withColumns({"dose": F.coalesce(F.col("_a.dose"), F.col("_b.dose")),
+                         "frequency": F.coalesce(F.col("frequency"), F.col("_a.frequency"), F.col("_b.frequency"))})
     dose, units = X.split_last_number(F.col("dose"))
     df = df.withColumns({
         "dose": dose, "dose_units": units,

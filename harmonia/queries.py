@@ -507,10 +507,10 @@ def instruction_text(li) -> Column:
 
 @register
 def q_med_parse(spark, sf_dir):
-    from .functions.text import parse_instruction, split_first_space
+    from .functions.text import split_first_space, with_parsed_instruction
     li = table(spark, sf_dir, "lineitem")
-    df = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                   instruction_text(li).alias("raw")).withColumn("p", parse_instruction(F.col("raw")))
+    df = with_parsed_instruction(li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                           instruction_text(li).alias("raw")), F.col("raw"), "p")
     dose, dose_units = split_first_space(F.col("p.dose"))
     dur, dur_units = split_first_space(F.col("p.duration"))
     return df.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "raw",
