@@ -59,13 +59,25 @@ def clean_header_rows(headers: DataFrame, abbreviations: dict | None = None,
             .drop("_long", "_tok", "_short", "_rn"))
 
 
+_NAME_PLANS: dict = {}
+
+
+def clean_names_for(spark, columns: list[str], abbreviations: dict | None = None) -> list[tuple]:
+    """(pos, clean_name, keep, too_long) per column.  A pure function of the header, computed
+    by ``clean_header_rows`` on a one-file header and memoised per session and header."""
+    key = (id(spark), tuple(columns), tuple(sorted((abbreviations or {}).items())))
+    if key not in _NAME_PLANS:
+        hdr = spark.createDataFrame([("f", i, c) for i, c in enumerate(columns)], "file string, pos int, name string")
+        rows = sorted(clean_header_rows(hdr, abbreviations).collect(), key=lambda r: r["pos"])
+        _NAME_PLANS[key] = [(r["pos"], r["clean_name"], r["keep"], r["too_long"]) for r in rows]
+    return _NAME_PLANS[key]
+
+
 def apply_clean_names(df: DataFrame, abbreviations: dict | None = None, strict: bool = True) -> DataFrame:
     """Rename a DataFrame's columns with ``clean_header_rows`` and drop later duplicates.
     The column list is metadata (bounded by the width of the table)."""
-    spark = df.sparkSession
-    hdr = spark.createDataFrame([("f", i, c) for i, c in enumerate(df.columns)],
-                                "file string, pos int, name string")
-    rows = sorted(clean_header_rows(hdr, abbreviations).collect(), key=lambda r: r["pos"])
+    rows = [dict(zip(("pos", "clean_name", "keep", "too_long"), r))
+            for r in clean_names_for(df.sparkSession, df.columns, abbreviations)]
     too_long = [r["clean_name"] for r in rows if r["too_long"]]
     if strict and too_long:
         raise ValueError(f"column names of {L.MAX_COLUMN_NAME}+ characters: {too_long}")

@@ -23,8 +23,15 @@ def register(fn):
     return fn
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A supplied table; the DataFrame (schema from the footer) is reused within a session."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 def pick(expr: Column, values: list) -> Column:
@@ -544,9 +551,15 @@ def q_merge_versions(spark, sf_dir):
     return merge_staged(staged)["part"]
 
 
+_CTX: dict = {}
+
+
 def encounters_ctx(spark, sf_dir):
     from .plans.cleaners import Context
-    return Context(encounters=encounter_input(spark, sf_dir).select("visit_id", "mrn_sha1", "encounter_type"))
+    key = (id(spark), sf_dir)
+    if key not in _CTX:
+        _CTX[key] = Context(encounters=encounter_input(spark, sf_dir).select("visit_id", "mrn_sha1", "encounter_type"))
+    return _CTX[key]
 
 
 def enc_lineitems(spark, sf_dir) -> DataFrame:
