@@ -92,10 +92,20 @@ def parse_exact(c, fmt: str, guard: str | None = None) -> Column:
 
 
 def to_ts(c) -> Column:
-    """Coerce a column that may already be a timestamp or a tolerant string."""
+    """Coerce a string column with the tolerant parser (see ``coerce_ts`` for typed columns)."""
     return parse_mixed(as_col(c).cast("string"))
 
 
+def coerce_ts(df, name: str) -> Column:
+    """Column ``name`` of ``df`` as TIMESTAMP_NTZ: timestamps and dates pass through (cast),
+    anything else goes through the tolerant parser."""
+    from pyspark.sql import types as T
+    c = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c.cast("timestamp_ntz")
+    return to_ts(c)
+
+
 def pad_seconds(t) -> Column:
     """Append ':00' to a time that does not have exactly two colons."""
     t = as_col(t)

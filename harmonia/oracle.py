@@ -792,3 +792,255 @@ SELECT 'orders' AS "table", rowcount, checksum FROM (
   SELECT count(*) AS rowcount, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), o_orderstatus,
     CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'))), 1, 15)) AS BIGINT)) AS VARCHAR)
     AS checksum FROM orders)"""
+
+
+# ---- per-source cleaners ------------------------------------------------------------------------
+
+def py_simple_name(n: str) -> str:
+    """Python statement of the simple column-name rule (for expected names in oracles)."""
+    import re
+    x = re.sub(r"[ .]+", "_", n.strip().lower())
+    x = re.sub(r"[^a-z0-9_]", "", x)
+    return x[:-1] if x.endswith("_") else x
+
+
+def to_ts(x):
+    return parse_mixed(f"CAST({x} AS VARCHAR)")
+
+
+ORACLE["q_clean_ehr_problem_list"] = """
+SELECT mrn_sha1 AS subject_id, "Problem Name" AS problem_name, Status AS status, noted_dt
+FROM (SELECT DISTINCT 'mrn_' || CAST(o_custkey AS VARCHAR) AS mrn_sha1, o_orderpriority AS "Problem Name",
+        o_orderstatus AS Status, strftime(o_orderdate, '%Y-%m-%d') AS noted_dt FROM orders)"""
+
+ORACLE["q_clean_ehr_radiology"] = f"""
+SELECT mrn_sha1 AS subject_id, id AS radiology_id, examination_dt, investigation_type AS examination_type,
+  investigation_name AS examination_name, reason_for_investign AS indication, item_code AS report_type,
+  item_comment AS report_text, abnormal_flag_code AS result_flag, accession_num
+FROM (SELECT DISTINCT 'mrn_' || CAST(user_id AS VARCHAR) AS mrn_sha1, event_id AS id,
+        strftime(ts, '%Y-%m-%d %H:%M:%S') AS examination_dt, {pick('event_id', ['XR', 'CT', 'MRI'])} AS investigation_type,
+        event_type AS investigation_name, {pick('event_id', ['chest pain', 'sob'])} AS reason_for_investign,
+        {pick('event_id', ['RPT', 'ADD'])} AS item_code, props AS item_comment,
+        {pick('event_id', ['N', 'A'])} AS abnormal_flag_code, event_id * 7 AS accession_num, 'x' AS extra_column FROM events)"""
+
+ORACLE["q_clean_ehr_surgery"] = f"""
+SELECT mrn_sha1 AS subject_id, id AS surgery_id, src_institution AS institution, primary_operator_id AS surgeon_id,
+  ot_procedure_name_code AS surgery_code, start_dt, reported_dt, doc_status AS report_status
+FROM (SELECT DISTINCT 'mrn_' || CAST(o_custkey AS VARCHAR) AS mrn_sha1, o_orderkey AS id,
+        {pick('o_orderkey', ['NUH', 'AH'])} AS src_institution, o_orderkey % 40 AS primary_operator_id,
+        {pick('o_orderkey', ['CABG', 'AVR', 'MVR'])} AS ot_procedure_name_code, strftime(o_orderdate, '%Y-%m-%d') AS start_dt,
+        strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS reported_dt, o_orderstatus AS doc_status FROM orders)"""
+
+ORACLE["q_clean_concept_diagnosis_codes"] = """
+SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS code, p_name AS description, p_type AS category_name FROM part"""
+
+_LAB_PARTS = _lab_union().split("UNION ALL\n")
+ORACLE["q_clean_ehr_dts_laboratory"] = _LAB_PARTS[0]
+ORACLE["q_clean_ehr_edw_laboratory"] = _LAB_PARTS[1].replace(
+    "CAST(CASE WHEN regexp_matches(COLLECTION_DATE_SID", "(CASE WHEN regexp_matches(COLLECTION_DATE_SID").replace(
+    "CAST(CASE WHEN regexp_matches(RESULT_TEST_DATE", "(CASE WHEN regexp_matches(RESULT_TEST_DATE").replace(
+    "'%Y%m%d') END AS VARCHAR)", "'%Y%m%d') END)").replace("'%Y-%m-%d') END AS VARCHAR)", "'%Y-%m-%d') END)").replace(
+    "SELECT e.mrn_sha1, REQ_LOCATION,", "SELECT e.mrn_sha1 AS subject_id, REQ_LOCATION AS location,").replace(
+    "SHORTTEXT, TEST_RESULTS, UNITS, NULL", "SHORTTEXT AS investigation_item, TEST_RESULTS AS numeric_value, "
+    "UNITS AS numeric_value_uom, CAST(NULL AS VARCHAR) AS text_value").replace(
+    "'%Y%m%d') END),", "'%Y%m%d') END) AS specimen_collected_dt,").replace(
+    "'%Y-%m-%d') END),", "'%Y-%m-%d') END) AS report_dt,")
+
+ORACLE["q_clean_ehr_encounter"] = f"""
+SELECT visit_id, mrn_sha1 AS subject_id, encounter_type, db_source, {numeric_code('primary_diagnosis')} AS primary_diagnosis,
+  secondary_diagnosis, visit_date, location, sub_location, visit_outcome
+FROM (SELECT DISTINCT * FROM ({encounter_input()}))"""
+
+
+def _patient_clean():
+    from .plans.cleaners import PATIENT_COLUMNS
+    sel = []
+    for c in PATIENT_COLUMNS:
+        if c == "mrn_sha1":
+            sel.append("mrn_sha1 AS subject_id")
+        elif c == "dob":
+            sel.append(f"{to_ts('dob')} AS date_of_birth")
+        elif c == "death_indicator":
+            sel.append(f"{to_ts('death_indicator')} AS date_of_death")
+        elif c == "gender":
+            sel.append(f"{recode('gender', L.GENDER_RECODE)} AS gender")
+        elif c == "ethnicity_race":
+            sel.append(f"{recode('ethnicity_race', L.ETHNICITY_RECODE)} AS ethnicity")
+        elif "dt" in c or "onset" in c:
+            sel.append(f"{to_ts(c)} AS {c}")
+        else:
+            sel.append(c)
+    return f"SELECT {', '.join(sel)} FROM (SELECT DISTINCT * FROM ({patient_input()}))"
+
+
+ORACLE["q_clean_ehr_patient"] = _patient_clean()
+
+
+def _vitals_clean():
+    from .plans.cleaners import VITALS_COLUMNS
+    raw = ["'mrn_' || CAST(user_id AS VARCHAR) AS mrn_sha1", "strftime(ts, '%Y-%m-%d %H:%M:%S') AS recorded_dt"]
+    for i, c in enumerate(VITALS_COLUMNS[2:]):
+        raw.append(f"CASE WHEN (event_id + {i}) % 7 = 0 THEN '\"\"\"\"' WHEN (event_id + {i}) % 7 = 1 THEN '' "
+                   f"ELSE {lit(c[:3])} || CAST(event_id % 97 AS VARCHAR) END AS {ident(c)}")
+    out = []
+    for c in VITALS_COLUMNS:
+        name = "subject_id" if c == "mrn_sha1" else py_simple_name(c)
+        out.append(f"CASE WHEN {ident(c)} IN ('\"\"\"\"', '') THEN NULL ELSE {ident(c)} END AS {name}")
+    return f"SELECT {', '.join(out)} FROM (SELECT DISTINCT {', '.join(raw)} FROM events)"
+
+
+ORACLE["q_clean_ehr_vitals"] = _vitals_clean()
+
+ORACLE["q_clean_ccd_ohca"] = f"""
+SELECT mrn_sha1 AS subject_id, d AS date_of_arrival_at_ed, t AS time_of_arrival_at_ed,
+  {parse_mixed('dis', True)} AS date_of_discharge_or_death, Outcome AS outcome,
+  {parse_mixed("concat_ws(' ', d, t)", True)} AS arrival_dt
+FROM (SELECT mrn_sha1, d, {pad_seconds('t0')} AS t, dis, Outcome
+      FROM (SELECT DISTINCT 'mrn_' || CAST(o_custkey AS VARCHAR) AS mrn_sha1, strftime(o_orderdate, '%d/%m/%Y') AS d,
+              {pick('o_orderkey', Q.ARRIVAL_TIMES)} AS t0,
+              {formatted_ts('o_orderdate + INTERVAL 3 DAY', 'o_custkey')} AS dis, o_orderstatus AS Outcome FROM orders))"""
+
+
+def _coronary():
+    gone = "c_custkey % 9 = 0"
+    raw = (f"SELECT DISTINCT CASE WHEN {gone} THEN NULL ELSE c_name END AS Name, "
+           f"CASE WHEN {gone} THEN NULL ELSE {redact(id_text('c_custkey'))} END AS NRIC, "
+           f"CASE WHEN {gone} THEN NULL ELSE c_acctbal END AS FFR, CASE WHEN {gone} THEN NULL ELSE c_mktsegment END AS Vessel "
+           f"FROM customer")
+    return (f"SELECT {pseudonym('Name')} AS name, NRIC AS subject_id, FFR AS ffr, Vessel AS vessel FROM ({raw}) "
+            f"WHERE NOT (Name IS NULL AND NRIC IS NULL AND FFR IS NULL AND Vessel IS NULL)")
+
+
+ORACLE["q_clean_ccd_coronaryphysiology"] = _coronary()
+
+ORACLE["q_clean_ecg_muse"] = f"""
+SELECT Folder || '/' || Filename AS filename, pid AS subject_id, age AS subject_age, loc AS cart_id,
+  {parse_exact("concat_ws(' ', adate, atime)", 'MM-dd-yyyy HH:mm:ss', r'^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$')} AS ecg_time,
+  diag AS report, rate AS heartrate, '400' AS qtinterval, '420' AS qtc, '220' AS qrs_onset, '30' AS qrs_axis, '40' AS t_axis
+FROM (SELECT DISTINCT 'MUSE_' || strftime(ts, '%Y%m') AS Folder, CAST(event_id AS VARCHAR) || '.xml' AS Filename,
+        strftime(ts, '%m-%d-%Y') AS adate, CASE WHEN event_id % 31 = 0 THEN '25:61:00' ELSE strftime(ts, '%H:%M:%S') END AS atime,
+        'mrn_' || CAST(user_id AS VARCHAR) AS pid, CAST(user_id % 70 AS VARCHAR) AS age, {pick('event_id', ['Ward 1', 'ED'])} AS loc,
+        event_type AS diag, CAST(CAST(trunc(value * 10) AS INTEGER) AS VARCHAR) AS rate FROM events)"""
+
+
+def _cis_extra(table_name):
+    col = 'CAST(trunc("Contrast Volume") AS BIGINT)'
+    if table_name == "cis.caglesion":
+        return {"lesion": pick(col, Q.lesion_codes())}
+    if table_name == "cis.echo":
+        return {"finaldxcollated": pick(col, Q.VALVE_STATEMENTS)}
+    return {}
+
+
+def _cis_clean_extra(table_name):
+    extra = _cis_extra(table_name)
+    base = _cis_clean(L.PHI_COLUMNS.get(table_name))
+    (name, expr), = extra.items()
+    base = base.replace(f"FROM ({cis_raw()})", f"FROM (SELECT *, {expr} AS {name} FROM ({cis_raw()}))")
+    base = base.replace("SELECT DISTINCT ", f"SELECT DISTINCT {name}, ", 1)
+    return base.replace("\nFROM (SELECT * REPLACE", f", {name}\nFROM (SELECT * REPLACE", 1)
+
+
+ORACLE["q_clean_cis_caglesion"] = _cis_clean_extra("cis.caglesion")
+ORACLE["q_clean_cis_echo"] = _cis_clean_extra("cis.echo")
+
+
+# ---- medication cleaners and union ----------------------------------------------------------------
+
+def _enc(prefix):
+    return (f"(SELECT TRY_CAST(replace(visit_id, '{prefix}_', '') AS BIGINT) AS v, mrn_sha1, encounter_type "
+            f"FROM ({encounter_input()}) WHERE contains(visit_id, '{prefix}'))")
+
+
+def _finish(name, mtype, start, end, route, instruction, dose, dose_units, freq, dur, dur_units, ts_typed=False):
+    s = start if ts_typed else to_ts(start)
+    e = end if ts_typed else to_ts(end)
+    return (f"SELECT subject_id, {s} AS medication_start_dt, {e} AS medication_end_dt, "
+            f"{recode(route, L.ROUTE_RECODE)} AS medication_route, coalesce({name}, {instruction}) AS medication_name, "
+            f"{_when_contains_chain(mtype, L.MEDICATION_CLASS_RULES)} AS medication_type, {instruction} AS instruction, "
+            f"{dose} AS dose, {dose_units} AS dose_units, {freq} AS frequency, {dur} AS duration, {dur_units} AS duration_units")
+
+
+def _dts_medication():
+    k, c = "o_orderkey", "o_custkey"
+    raw = (f"SELECT DISTINCT 'mrn_' || CAST({c} AS VARCHAR) AS mrn_sha1, "
+           f"concat_ws('|', {pick(k, Q.TOKEN_TEXTS[:4])}, {pick(c, ['IP', 'OP', 'DS'])}) AS medication_type, "
+           f"{formatted_ts('o_orderdate', k)} AS first_start_dt, strftime(o_orderdate + INTERVAL 30 DAY, '%d/%m/%Y') AS last_end_dc_dt, "
+           f"{pick(c, ['PO', 'IV', 'SC', 'NG', 'IM', None])} AS route_of_administration, "
+           f"CASE WHEN {k} % 6 = 0 THEN NULL ELSE 'med ' || CAST({c} AS VARCHAR) END AS med, "
+           f"CAST(({k} % 40) * 5 AS VARCHAR) AS max_dose, {pick(k, ['mg', 'mcg', 'units', 'mL'])} AS dosage_quantity_unit, "
+           f"{pick(c, ['OM', 'BD', 'TDS', 'ON'])} AS frequency, CAST({k} % 90 AS VARCHAR) AS total_med_days, "
+           f"'days' AS duration_units FROM orders")
+    mt = "array_to_string(list_sort(list_distinct(string_split(medication_type, '|'))), '|')"
+    fin = _finish("med", mt, "first_start_dt", "last_end_dc_dt", "route_of_administration", "CAST(NULL AS VARCHAR)",
+                  "max_dose", "dosage_quantity_unit", "frequency", "total_med_days", "duration_units")
+    return f"{fin} FROM (SELECT mrn_sha1 AS subject_id, * FROM ({raw}))"
+
+
+def _dts_discharge():
+    raw = (f"SELECT DISTINCT l_orderkey AS discharge_summary_id, strftime(l_shipdate, '%m/%d/%Y') AS medication_start_dt, "
+           f"strftime(l_shipdate + INTERVAL 5 DAY, '%Y-%m-%d') AS medication_end_dt, "
+           f"{pick('l_partkey', ['PO', 'IV', 'SC', 'NG', 'IM', 'PR'])} AS discharge_route, "
+           f"CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE 'drug ' || CAST(l_partkey AS VARCHAR) END AS medication_name, "
+           f"{instruction_text()} AS medication_dosage_regimen FROM lineitem")
+    dose, freq, dur = instruction_fields("s")
+    d1, d2 = split_first_space("dose")
+    u1, u2 = split_first_space("duration")
+    fin = _finish("medication_name", "'discharge'", "medication_start_dt", "medication_end_dt", "discharge_route", "s",
+                  d1, d2, "frequency", u1, u2)
+    return f"""
+{fin}
+FROM (SELECT *, {dose} AS dose, {freq} AS frequency, {dur} AS duration
+      FROM (SELECT r.*, e.mrn_sha1 AS subject_id, {parse_instruction('medication_dosage_regimen')} AS s
+            FROM ({raw}) r JOIN {_enc('hosp')} e ON r.discharge_summary_id = e.v))"""
+
+
+def _edw_outpatient():
+    raw = (f"SELECT DISTINCT l_orderkey AS ENC_KEY, strftime(l_shipdate, '%Y-%m-%d') AS CREATION_DATE_KEY, "
+           f"'drug ' || CAST(l_partkey AS VARCHAR) AS DRUG_NAME, {instruction_text()} AS ORDER_INSTRUCTION_DESC, "
+           f"{dose_text('l_partkey', 'l_linenumber')} AS DRUG_STRENGTH_AMT, {pick('l_suppkey', Q.INSTR_FREQ)} AS ORDER_FREQUENCY_DESC, "
+           f"{duration_text('(l_orderkey + l_linenumber)', 'l_partkey')} AS ORDER_DURATION_DESC FROM lineitem")
+    a, u = split_first_space("lower(ORDER_DURATION_DESC)")
+    d1, d2 = last_number("DRUG_STRENGTH_AMT", "full")
+    n = (f"(CASE WHEN amount IN ({', '.join(lit(c) for c in L.CYCLE_RANGES)}) THEN 1.0 ELSE TRY_CAST(amount AS DOUBLE) END)"
+         f" * {unit_days('unit')}")
+    fin = _finish("DRUG_NAME", "encounter_type", "st", "st + to_microseconds(CAST(coalesce(" + n + ", 0.0) * 86400000000 AS BIGINT))",
+                  "CAST(NULL AS VARCHAR)", "ORDER_INSTRUCTION_DESC", d1, d2, "ORDER_FREQUENCY_DESC", "amount", "unit",
+                  ts_typed=True)
+    return f"""
+{fin}
+FROM (SELECT r.*, e.mrn_sha1 AS subject_id, e.encounter_type, {to_ts('CREATION_DATE_KEY')} AS st, {a} AS amount, {u} AS unit
+      FROM ({raw}) r JOIN {_enc('edw')} e ON r.ENC_KEY = e.v)"""
+
+
+def _edw_medication():
+    raw = (f"SELECT DISTINCT l_orderkey AS ENC_KEY, {formatted_ts('l_shipdate', 'l_linenumber * 3')} AS STARTTIME, "
+           f"strftime(l_shipdate + INTERVAL 2 DAY + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') AS ENDTIME, "
+           f"{pick('l_partkey', ['PO', 'IV', 'SC', 'NG'])} AS ROUTECODE, "
+           f"CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE 'order ' || CAST(l_partkey AS VARCHAR) END AS ORDERTEXT, "
+           f"{instruction_text()} AS MEDICATION, "
+           f"{pick('l_suppkey', Q.INSTR_SPECIAL + ['2 puffs BD for 3 days'])} AS DOSAGEREGIMEN, "
+           f"CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE {pick('l_partkey', ['OD', 'BD', 'TDS'])} END AS FREQUENCY1CODE "
+           f"FROM lineitem")
+    da, fa, _ = instruction_fields("sa")
+    db, fb, _ = instruction_fields("sb")
+    d1, d2 = last_number("dose0", "full")
+    dur = (f"CAST(CAST(floor(date_diff('microsecond', {to_ts('STARTTIME')}, {to_ts('ENDTIME')}) / 86400000000) AS BIGINT) "
+           f"AS VARCHAR)")
+    fin = _finish("ORDERTEXT", "encounter_type", "STARTTIME", "ENDTIME", "ROUTECODE", "MEDICATION", d1, d2, "freq0", dur,
+                  "'days'")
+    return f"""
+{fin}
+FROM (SELECT *, coalesce({da}, {db}) AS dose0, coalesce(FREQUENCY1CODE, {fa}, {fb}) AS freq0
+      FROM (SELECT r.*, e.mrn_sha1 AS subject_id, e.encounter_type, {parse_instruction('MEDICATION')} AS sa,
+              {parse_instruction('CAST(DOSAGEREGIMEN AS VARCHAR)')} AS sb
+            FROM ({raw}) r JOIN {_enc('edw')} e ON r.ENC_KEY = e.v))"""
+
+
+ORACLE["q_clean_ehr_dts_medication"] = _dts_medication()
+ORACLE["q_clean_ehr_dts_discharge_medication"] = _dts_discharge()
+ORACLE["q_clean_ehr_edw_outpatient_medication"] = _edw_outpatient()
+ORACLE["q_clean_ehr_edw_medication"] = _edw_medication()
+ORACLE["q_med_union"] = "\nUNION ALL\n".join(
+    ORACLE[f"q_clean_ehr_{s}"] for s in ["dts_discharge_medication", "dts_medication", "edw_medication",
+                                         "edw_outpatient_medication"])

@@ -54,7 +54,7 @@ def _has(df: DataFrame, name: str) -> bool:
 
 def coerce_dates(df: DataFrame, cols: list[str]) -> DataFrame:
     present = [c for c in cols if _has(df, c)]
-    return df.withColumns({c: D.to_ts(_c(c)) for c in present}) if present else df
+    return df.withColumns({c: D.coerce_ts(df, c) for c in present}) if present else df
 
 
 def clean(df: DataFrame, spec: CleanerSpec, ctx: Context | None = None, strict_names: bool = True) -> DataFrame:
@@ -257,8 +257,8 @@ def finish_medication(df):
     return df.withColumns({
         "medication_name": F.coalesce(F.col("medication_name"), F.col("instruction")),
         "medication_type": X.medication_class(F.col("medication_type")),
-        "medication_start_dt": D.to_ts(F.col("medication_start_dt")),
-        "medication_end_dt": D.to_ts(F.col("medication_end_dt")),
+        "medication_start_dt": D.coerce_ts(df, "medication_start_dt"),
+        "medication_end_dt": D.coerce_ts(df, "medication_end_dt"),
         "medication_route": recode(F.col("medication_route"), L.ROUTE_RECODE),
     })
 
@@ -298,7 +298,7 @@ def edw_medication_step(df, ctx):
     dose, units = X.split_last_number(F.col("dose"))
     df = df.withColumns({
         "dose": dose, "dose_units": units,
-        "duration": D.floor_day_diff(D.to_ts(F.col("medication_end_dt")), D.to_ts(F.col("medication_start_dt")))
+        "duration": D.floor_day_diff(D.coerce_ts(df, "medication_end_dt"), D.coerce_ts(df, "medication_start_dt"))
         .cast("string"),
         "duration_units": F.lit("days")})
     return finish_medication(df)
@@ -318,7 +318,7 @@ def edw_outpatient_medication_step(df, ctx):
                      "ORDER_INSTRUCTION_DESC": "instruction", "DRUG_STRENGTH_AMT": "dose",
                      "ORDER_FREQUENCY_DESC": "frequency", "ORDER_DURATION_DESC": "duration"})
     df = df.withColumns({"medication_route": F.lit(None).cast("string"),
-                         "medication_start_dt": D.to_ts(F.col("medication_start_dt"))})
+                         "medication_start_dt": D.coerce_ts(df, "medication_start_dt")})
     amount, unit = X.split_first_space(F.lower(F.col("duration")))
     dose, dose_units = X.split_last_number(F.col("dose"))
     df = df.withColumns({"duration": amount, "duration_units": unit, "dose": dose, "dose_units": dose_units})
@@ -356,7 +356,7 @@ PATIENT_COLUMNS = (["mrn_sha1", "dob", "gender", "death_indicator", "ethnicity_r
 
 def patient_step(df, ctx):
     df = project(df, PATIENT_COLUMNS)
-    df = df.withColumns({"death_indicator": D.to_ts(F.col("death_indicator")),
+    df = df.withColumns({"death_indicator": D.coerce_ts(df, "death_indicator"),
                          "gender": recode(F.col("gender"), L.GENDER_RECODE),
                          "ethnicity_race": recode(F.col("ethnicity_race"), L.ETHNICITY_RECODE)})
     return rename(df, {"mrn_sha1": "subject_id", "dob": "date_of_birth", "death_indicator": "date_of_death",

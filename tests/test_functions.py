@@ -139,3 +139,9 @@ def test_ecg_report(spark):
         ("not a list", "B", "a"), (None, None, None)], "l string, r string, lf string")
     got = [r[0] for r in df.select(X.ecg_report(F.col("l"), F.col("r"), F.col("lf"))).collect()]
     assert got == ["normal ecg; sinus rhythm; normal", "a; b", ""]
+
+
+def test_coerce_ts_keeps_typed_timestamps(spark):
+    df = spark.createDataFrame([(datetime(2021, 1, 2, 3, 4, 5, 123456), "2021-01-02")], "t timestamp_ntz, s string")
+    r = df.select(D.coerce_ts(df, "t").alias("t"), D.coerce_ts(df, "s").alias("s")).collect()[0]
+    assert r["t"] == datetime(2021, 1, 2, 3, 4, 5, 123456) and r["s"] == datetime(2021, 1, 2)
