@@ -1044,3 +1044,84 @@ ORACLE["q_clean_ehr_edw_medication"] = _edw_medication()
 ORACLE["q_med_union"] = "\nUNION ALL\n".join(
     ORACLE[f"q_clean_ehr_{s}"] for s in ["dts_discharge_medication", "dts_medication", "edw_medication",
                                          "edw_outpatient_medication"])
+
+
+ORACLE["q_stream_ingest"] = "SELECT * FROM orders"   # Comments is a cis.cag PHI column: dropped
+
+_CARDIAC_NAMES = {  # expected clean names (long-name branch applies to the whole file)
+    "Renal disease at the time of surgery (choice=Functioning transplant)": "renal_disease_functioning_transplant",
+    "Other cardiac procedures (choice=Subaortic stenosis resection)": "other_cardiacsurg_sasr",
+    "Atrial fibrillation correction surgery (choice=Left atrial maze)": "af_surgery_la_maze",
+    "PreOperative.Status/Ejection fraction (choice=Moderate 31-50%)": "pre_operative_status_ejection_fraction_choicemoderate_3150",
+}
+
+
+def _cardiac():
+    longs = ", ".join(f"{pick('o_orderkey + ' + str(i), ['Checked', 'Unchecked'])} AS {ident(h)}"
+                      for i, h in enumerate(Q.CARDIAC_LONG_HEADERS))
+    raw = (f"SELECT DISTINCT 'mrn_' || CAST(o_custkey AS VARCHAR) AS mrn_sha1, strftime(o_orderdate, '%m/%d/%Y') AS \"Date of Surgery\", "
+           f"strftime(o_orderdate - INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS \"Date and Time of Admission\", "
+           f"{formatted_ts('o_orderdate', 'o_orderkey')} AS date_and_time_of_operation, "
+           f"strftime(o_orderdate + INTERVAL 9 DAY, '%d/%m/%Y') AS date_and_time_of_discharge_or_death, "
+           f"o_totalprice AS \"EuroSCORE II\", {longs} FROM orders")
+    outs = ["mrn_sha1 AS subject_id", f"{to_ts(ident('Date of Surgery'))} AS date_of_surgery",
+            f"{to_ts(ident('Date and Time of Admission'))} AS date_and_time_of_admission",
+            f"{to_ts('date_and_time_of_operation')} AS date_and_time_of_operation",
+            f"{to_ts('date_and_time_of_discharge_or_death')} AS date_and_time_of_discharge_or_death",
+            '"EuroSCORE II" AS euro_score_ii'] + [f"{ident(h)} AS {n}" for h, n in _CARDIAC_NAMES.items()]
+    return f"SELECT {', '.join(outs)} FROM ({raw})"
+
+
+ORACLE["q_clean_ccd_cardiacsurgery"] = _cardiac()
+
+
+def _iecg():
+    P = "restingecgdata/"
+    S = P + "interpretations/interpretation/statement"
+    lst = ("CASE WHEN event_id % 5 = 0 THEN 'not a list' WHEN event_id % 5 = 1 THEN NULL ELSE "
+           f"'[{{''leftstatement'': ''Sinus rhythm'', ''rightstatement'': ''' || {pick('event_id', ['Normal ECG', 'Borderline', 'Abnormal'])} "
+           "|| '''}, {''leftstatement'': ''' || event_type || ''', ''rightstatement'': ''Rate ''}]' END")
+    raw = [
+        ("filename", "'C:\\ecg\\' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id AS VARCHAR) || '.xml'"),
+        ("d", "strftime(ts, '%Y-%m-%d')"), ("t", "strftime(ts, '%H:%M:%S')"), ("lst", lst),
+        ("lft", pick("event_id", ["Normal sinus rhythm", "", None, "Left axis deviation"])),
+        ("rgt", pick("event_id * 3", ["Normal ECG", "Abnormal ECG", ""])),
+        ("hp", pick("event_id", ["0.05", "0.15", None])), ("lp", pick("event_id", ["150", "40", "100"])),
+        ("notch", pick("event_id", ["50", None, "60"])), ("art", pick("event_id", ["true", "false"])),
+        ("hys", pick("event_id * 7", ["True", "False", None])), ("hr", "CAST(value AS VARCHAR)"),
+        ("qt", "CASE WHEN event_id % 11 = 0 THEN 'n/a' ELSE CAST(CAST(trunc(value * 40) AS INTEGER) AS VARCHAR) END"),
+        ("qtc", "CAST(CAST(trunc(value * 41) AS INTEGER) AS VARCHAR)"),
+        ("pid", "'mrn_' || CAST(user_id AS VARCHAR)"), ("age", "CAST(user_id % 60 AS VARCHAR)"),
+        ("cart", pick("event_id", ["cart 1", "cart 2"])),
+    ]
+    raw_sql = "SELECT DISTINCT " + ", ".join(f"{e} AS {n}" for n, e in raw) + " FROM events"
+    js = "CASE WHEN json_valid(replace(lst, '''', '\"')) THEN from_json(replace(lst, '''', '\"'), " \
+         "'[{\"leftstatement\":\"VARCHAR\",\"rightstatement\":\"VARCHAR\"}]') END"
+    pairs = ("coalesce(list_transform(js, lambda x: lower(x.leftstatement) || '; ' || lower(x.rightstatement)), "
+             "CAST([] AS VARCHAR[]))")
+    report = (f"array_to_string(list_sort(list_distinct(list_filter(list_concat({pairs}, "
+              f"[lower(coalesce(rgt, '')), lower(coalesce(lft, ''))]), lambda x: x <> ''))), '; ')")
+    truthy = lambda x: f"coalesce(lower(trim({x})) IN ('true', '1', '1.0', 'yes', 'y', 't'), false)"
+    stem = r"split_part(string_split(filename, '\')[-1], '.xml', 1)"
+    outs = [
+        "filename", "pid AS subject_id", "CAST(NULL AS VARCHAR) AS subject_dob", "age AS subject_age",
+        f"{pseudonym(stem, 30)} AS study_id", "cart AS cart_id",
+        f"{parse_exact(chr(99) + 'oncat_ws(' + lit(' ') + ', d, t)', 'yyyy-MM-dd HH:mm:ss', _ISO_GUARD)} AS ecg_time",
+        f"{report} AS report", "hp || '-' || lp || 'Hz' AS bandwidth", "hp AS highpassfilter", "lp AS lowpassfilter",
+        f"CASE WHEN notch IS NOT NULL THEN notch || ' Hz notch' ELSE '' END || CASE WHEN {truthy('art')} THEN 'Artifact filter' "
+        f"ELSE '' END || CASE WHEN {truthy('hys')} THEN 'Hysteresis filter' ELSE '' END AS filtering",
+        "notch AS notchfilterfreqs", "art AS artifactfilter", "hys AS hysteresisfilter",
+        "TRY_CAST(hr AS DOUBLE) AS heartrate", "TRY_CAST(qt AS DOUBLE) AS qtinterval", "TRY_CAST(qtc AS DOUBLE) AS qtc",
+        "'500' AS samplingrate", "'12' AS numberchannelsvalid", "'800' AS rr_interval", "CAST('48' AS DOUBLE) AS qrs_onset",
+        "'60' AS p_axis", "'30' AS qrs_axis", "'45' AS t_axis"]
+    return f"SELECT {', '.join(outs)} FROM (SELECT *, {js} AS js FROM ({raw_sql}))"
+
+
+ORACLE["q_clean_ecg_iecg"] = _iecg()
+
+ORACLE["q_data_dictionary"] = f"""
+SELECT table_schema, table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position, data_type,
+  CAST(character_maximum_length AS INTEGER) AS character_maximum_length,
+  CAST(numeric_precision AS INTEGER) AS numeric_precision, is_nullable, CAST(column_default AS VARCHAR) AS column_default
+FROM information_schema.columns
+WHERE table_name IN ({', '.join(lit(t) for t in SUPPLIED_COLUMNS)}) AND table_schema NOT LIKE 'staging_%'"""
