@@ -16,12 +16,17 @@ from .. import lookups as L
 from ._util import as_col, contains_any
 
 ENTRY_TYPE = "array<struct<key:string,value:string>>"
-SPLIT_PATTERN = r"\. |¤|§"
+SPLIT_PATTERN = r"\. |¤|§"  # the equivalent regex (used by the SQL oracle)
 
 
 def statements(report) -> Column:
-    text = F.translate(F.lower(F.coalesce(as_col(report), F.lit("none"))), "-_", "  ")
-    return F.split(text, SPLIT_PATTERN)
+    """Statements of a report.  '¤' and '§' are first rewritten to the '. ' separator (an inserted
+    '. ' cannot form a new separator with its neighbours), so one literal split replaces a
+    three-way regex alternation; plain replaces are cheaper than translate."""
+    text = F.lower(F.coalesce(as_col(report), F.lit("none")))
+    for ch, rep in (("-", " "), ("_", " "), ("¤", ". "), ("§", ". ")):
+        text = F.replace(text, F.lit(ch), F.lit(rep))
+    return F.split(text, r"\. ")
 
 
 def _first_label(s: Column, labels) -> Column:
@@ -32,23 +37,28 @@ def _first_label(s: Column, labels) -> Column:
     return expr
 
 
-def statement_entries(s: Column, shipped: bool = False) -> Column:
+def classify_statements(report, shipped: bool = False) -> Column:
+    """array<struct<vt, les, sev, an>>: each statement's valve type, lesion, severity (first
+    match each, null if none) and anatomies (all matches), in statement order."""
     groups = {g: labels for g, _, labels in L.valve_groups(shipped)}
-    vtype = _first_label(s, groups["valve_type"])
-    lesion = _first_label(s, groups["lesion"])
-    severity = _first_label(s, groups["severity"])
-    anatomies = F.array_compact(F.array(*[F.when(contains_any(s, kws), F.lit(a))
-                                          for a, kws in groups["anatomy"]]))
-    mid = F.coalesce(F.concat(F.lit("_"), vtype), F.lit(""))
-    entries = F.transform(anatomies, lambda a: F.struct(
-        F.concat(a, mid, F.lit("_"), lesion).alias("key"), severity.alias("value")))
-    return F.when(lesion.isNotNull() & severity.isNotNull(), entries).otherwise(
-        F.array().cast(ENTRY_TYPE))
-
-
-def report_entries(report, shipped: bool = False) -> Column:
-    """All entries of a report in statement order (duplicates kept)."""
-    return F.flatten(F.transform(statements(report), lambda s: statement_entries(s, shipped)))
+
+    def one(s):
+        anatomies = F.array_compact(F.array(*[F.when(contains_any(s, kws), F.lit(a))
+                                              for a, kws in groups["anatomy"]]))
+        return F.struct(_first_label(s, groups["valve_type"]).alias("vt"), _first_label(s, groups["lesion"]).alias("les"),
+                        _first_label(s, groups["severity"]).alias("sev"), anatomies.alias("an"))
+    return F.transform(statements(report), one)
+
+
+def entries_from_classes(classes_col: str) -> Column:
+    """All entries in statement order: one per anatomy of a statement that has a lesion and a
+    severity.  ``classes_col`` must name a materialised ``classify_statements`` column."""
+    def per_statement(c):
+        mid = F.coalesce(F.concat(F.lit("_"), c["vt"]), F.lit(""))
+        entries = F.transform(c["an"], lambda a: F.struct(F.concat(a, mid, F.lit("_"), c["les"]).alias("key"),
+                                                          c["sev"].alias("value")))
+        return F.when(c["les"].isNotNull() & c["sev"].isNotNull(), entries).otherwise(F.array().cast(ENTRY_TYPE))
+    return F.flatten(F.transform(F.col(classes_col), per_statement))
 
 
 def last_wins(entries_col: str) -> Column:

@@ -45,9 +45,10 @@ def lesion_pivot(lesions: DataFrame, lookup: DataFrame | None = None) -> DataFra
 def valve_entries(reports: DataFrame, text_col: str = "finaldxcollated",
                   shipped_vocabulary: bool = False) -> DataFrame:
     """Adds ``valve_entries`` (array<struct<key,value>>, last statement wins per key)."""
-    raw = "__valve_raw"
-    return (reports.withColumn(raw, V.report_entries(F.col(text_col), shipped_vocabulary))
-            .withColumn("valve_entries", V.last_wins(raw)).drop(raw))
+    cls, raw = "__valve_cls", "__valve_raw"
+    return (reports.withColumn(cls, V.classify_statements(F.col(text_col), shipped_vocabulary))
+            .withColumn(raw, V.entries_from_classes(cls))
+            .withColumn("valve_entries", V.last_wins(raw)).drop(cls, raw))
 
 
 def valve_map_text(reports: DataFrame, keep=("subject_id", "study_id", "procedure_date"),
