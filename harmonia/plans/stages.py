@@ -160,22 +160,27 @@ def read_clean(spark: SparkSession, root: str, destination: str) -> DataFrame |
     return union_versions(parts)
 
 
-def transform_stage(spark: SparkSession, root: str) -> list[str]:
+def _lesion(df: DataFrame) -> DataFrame:
+    return X.lesion_pivot(df.withColumn("stenosis", F.col("stenosis").cast("string").try_cast("double")))
+
+
+# Registered transforms: cleaned table -> (function, derived table name).  Add an entry to derive
+# another table; each function is DataFrame -> DataFrame.
+TRANSFORMS = {
+    "cis.caglesion": (_lesion, "cis.caglesion_pivoted"),
+    "cis.echo": (X.valve_wide, "cis.echo_valvelesion"),
+    "ehr.encounter": (X.encounter_diagnosis, "ehr.encounter_diagnosis"),
+}
+
+
+def transform_stage(spark: SparkSession, root: str, transforms: dict | None = None) -> list[str]:
     """Derived tables from the cleaned tables (overwritten, so re-runs are idempotent)."""
     made = []
-    les = read_clean(spark, root, "cis.caglesion")
-    if les is not None:
-        les = les.withColumn("stenosis", F.col("stenosis").cast("string").try_cast("double"))
-        X.lesion_pivot(les).write.mode("overwrite").parquet(f"{root}/derived/cis.caglesion_pivoted")
-        made.append("cis.caglesion_pivoted")
-    echo = read_clean(spark, root, "cis.echo")
-    if echo is not None:
-        X.valve_wide(echo).write.mode("overwrite").parquet(f"{root}/derived/cis.echo_valvelesion")
-        made.append("cis.echo_valvelesion")
-    enc = read_clean(spark, root, "ehr.encounter")
-    if enc is not None:
-        X.encounter_diagnosis(enc).write.mode("overwrite").parquet(f"{root}/derived/ehr.encounter_diagnosis")
-        made.append("ehr.encounter_diagnosis")
+    for source, (fn, name) in (transforms or TRANSFORMS).items():
+        df = read_clean(spark, root, source)
+        if df is not None:
+            fn(df).write.mode("overwrite").parquet(f"{root}/derived/{name}")
+            made.append(name)
     return made
 
 

@@ -157,3 +157,22 @@ def test_fingerprint_order_insensitive(spark):
     man = spark.createDataFrame([("a.csv", "1"), ("b.csv", "2")], "filename string, checksum string")
     led = spark.createDataFrame([("a.csv", "1"), ("b.csv", "0")], "filename string, checksum string")
     assert [r["filename"] for r in ledger.pending(man, led).collect()] == ["b.csv"]
+
+
+def test_select_tables_and_purge(spark):
+    led = spark.createDataFrame([("a", "cis.cag"), ("b", "ehr.patient"), ("c", "ehr.encounter")],
+                                "filename string, tablename string")
+    assert sorted(r["filename"] for r in ledger.select_tables(led, schema_part="ehr").collect()) == ["b", "c"]
+    assert [r["filename"] for r in ledger.select_tables(led, "ehr", "pat").collect()] == ["b"]
+    assert sorted(r["filename"] for r in ledger.purge(led, "cis").collect()) == ["b", "c"]
+
+
+def test_cleaner_format_hook_and_names(spark):
+    from harmonia.plans.cleaners import CleanerSpec, clean
+    df = spark.createDataFrame([("2021-03-04", "x", "x"), ("2021-03-04", "x", "x"), ("bad", None, "y")],
+                               "`Visit Date` string, `Right` string, `right ` string")
+    spec = CleanerSpec("t.t", None, dt_formats={"Visit Date": "yyyy-MM-dd"})
+    out = clean(df, spec)
+    assert out.columns == ["visit_date", "right_"]            # later duplicate name dropped
+    got = sorted((r["visit_date"] is None) for r in out.collect())
+    assert out.count() == 2 and got == [False, True]          # dedup first; bad date -> null
