@@ -1125,3 +1125,13 @@ SELECT table_schema, table_name, column_name, CAST(ordinal_position AS INTEGER)
   CAST(numeric_precision AS INTEGER) AS numeric_precision, is_nullable, CAST(column_default AS VARCHAR) AS column_default
 FROM information_schema.columns
 WHERE table_name IN ({', '.join(lit(t) for t in SUPPLIED_COLUMNS)}) AND table_schema NOT LIKE 'staging_%'"""
+
+
+# Cleaners de-duplicate their output (R1 after cleaning): the oracle of every cleaner query is its
+# statement under SELECT DISTINCT, and the unions are UNION ALL of de-duplicated sources.
+for _k in [k for k in ORACLE if k.startswith("q_clean_") or k == "q_cis_clean"]:
+    ORACLE[_k] = f"SELECT DISTINCT * FROM ({ORACLE[_k]}\n)"
+ORACLE["q_med_union"] = "\nUNION ALL\n".join(
+    ORACLE[f"q_clean_ehr_{s}"] for s in ["dts_discharge_medication", "dts_medication", "edw_medication",
+                                         "edw_outpatient_medication"])
+ORACLE["q_lab_union"] = ORACLE["q_clean_ehr_dts_laboratory"] + "\nUNION ALL\n" + ORACLE["q_clean_ehr_edw_laboratory"]

@@ -1,7 +1,9 @@
 """The per-source cleaners as declarative specifications.
 
-Every cleaner runs: dedup (R1) -> its own step -> date coercion (D1/D2) -> column names
-(M9-M13).  A step is a plain ``DataFrame -> DataFrame`` function of Spark expressions; the
+Every cleaner runs: its own step -> date coercion (D1/D2) -> column names (M9-M13) -> dedup (R1).
+The original de-duplicates before and after cleaning; every step is deterministic per row
+(projections, parsing, joins), so dedup(step(dedup(x))) == dedup(step(x)) and one dedup after
+cleaning gives the same rows with one shuffle over the narrower cleaned rows.  A step is a plain ``DataFrame -> DataFrame`` function of Spark expressions; the
 context carries the shared encounter table (for the joins J1/J2) and the pseudonym secret.
 Absent optional columns are tolerated; null in gives null out.
 """
@@ -52,14 +54,26 @@ def _has(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
+WIDE_DATE_THRESHOLD = 4
+
+
 def coerce_dates(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Coerce the listed columns to timestamps.  For many text columns the parser is applied
+    once through a higher-order ``transform`` over an array of them, so generated code stays
+    far below the JVM's 64 KB method limit (27 inlined parsers do not)."""
+    from pyspark.sql import types as T
     present = [c for c in cols if _has(df, c)]
-    return df.withColumns({c: D.coerce_ts(df, c) for c in present}) if present else df
+    text = [c for c in present if not isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+    typed = {c: D.coerce_ts(df, c) for c in present if c not in text}
+    if len(text) <= WIDE_DATE_THRESHOLD:
+        return df.withColumns({**typed, **{c: D.coerce_ts(df, c) for c in text}}) if present else df
+    arr = "__dates"
+    df = df.withColumn(arr, F.transform(F.array(*[_c(c).cast("string") for c in text]), lambda v: D.parse_mixed(v)))
+    return df.withColumns({**typed, **{c: F.col(arr)[i] for i, c in enumerate(text)}}).drop(arr)
 
 
 def clean(df: DataFrame, spec: CleanerSpec, ctx: Context | None = None, strict_names: bool = True) -> DataFrame:
     ctx = ctx or Context()
-    df = dedup(df)
     if spec.step is not None:
         df = spec.step(df, ctx)
     if spec.dt_formats:
@@ -67,7 +81,7 @@ def clean(df: DataFrame, spec: CleanerSpec, ctx: Context | None = None, strict_n
                              if _has(df, c)})
     else:
         df = coerce_dates(df, spec.dt_cols)
-    return apply_clean_names(df, spec.abbreviations, strict=strict_names)
+    return dedup(apply_clean_names(df, spec.abbreviations, strict=strict_names))
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
