@@ -27,10 +27,20 @@ _TABLES: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table; the DataFrame (schema from the footer) is reused within a session."""
+    """A supplied table; the DataFrame (schema from the footer) is reused within a session.
+
+    The supplied files are single parquet row groups, so a scan is one task however many cores
+    there are.  When a scan has fewer partitions than the default parallelism, the rows are
+    spread round-robin so per-row work before the first shuffle (parsing, hashing) uses every
+    core.  Inputs made of many files or row groups (any real deployment) are left as scanned.
+    """
     key = (id(spark), sf_dir.rstrip("/"), name)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        _TABLES[key] = df
     return _TABLES[key]
 
 
