@@ -37,9 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), sf_dir.rstrip("/"), name)
     if key not in _TABLES:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < cores:
+                df = df.repartition(cores)
+        except Exception:  # no RDD API (e.g. a Spark Connect session): keep the scan as is
+            pass
         _TABLES[key] = df
     return _TABLES[key]
 

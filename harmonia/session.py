@@ -44,13 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
         base = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # pragma: no cover - conf lookup failure
         base = None
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the session conf is all there is
+        pass
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="harmonia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
