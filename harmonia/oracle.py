@@ -155,6 +155,7 @@ FROM c"""
 
 
 ORACLE["q_dx_flags"] = _dx_flags()
+ORACLE["q_dx_flags_join"] = ORACLE["q_dx_flags"]
 
 
 def patient_input() -> str:

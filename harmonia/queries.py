@@ -156,6 +156,16 @@ def q_dx_flags(spark, sf_dir):
     return encounter_diagnosis(enc)
 
 
+@register
+def q_dx_flags_join(spark, sf_dir):
+    """Same flags through the path for code sets too large to inline: exploded codes, an
+    equi-join with the (db_source, dx, code) lookup and one aggregation per visit."""
+    from .operators.derived import encounter_diagnosis_by_join
+    enc = encounter_input(spark, sf_dir).withColumnRenamed("mrn_sha1", "subject_id")
+    lookup = L.lookup_df(spark, L.diagnosis_lookup_rows(), "db_source string, dx string, code string")
+    return encounter_diagnosis_by_join(enc, lookup)
+
+
 def patient_input(spark, sf_dir) -> DataFrame:
     """Raw patient export (33 columns) derived from customer."""
     cu = table(spark, sf_dir, "customer")
