@@ -428,18 +428,19 @@ def strip_ws(x):
 
 
 def parse_instruction(x):
-    """(instruction, dose, frequency, duration) SQL expressions over a normalised column ``s``."""
-    s = rf"regexp_replace({strip_ws(x)}, '\((.*?)\)', '\1', 'g')"
-    return s
+    """The normalised instruction text (stripped, parentheses unwrapped) as SQL."""
+    return rf"regexp_replace({strip_ws(x)}, '\((.*?)\)', '\1', 'g')"
 
 
 def instruction_fields(s):
-    dose = f"nullif(replace(regexp_extract({s}, {lit('(?i)' + L.INSTRUCTION_DOSE)}, 2), ',', ''), '')"
+    """(dose, frequency, duration) SQL over a normalised instruction column ``s``."""
+    ci = "(?i)"
+    dose = f"nullif(replace(regexp_extract({s}, {lit(ci + L.INSTRUCTION_DOSE)}, 2), ',', ''), '')"
     dose = (f"CASE WHEN {dose} IS NULL AND contains(lower({s}), {lit(L.TOPICAL_PHRASE)}) "
             f"THEN {lit(L.TOPICAL_DOSE)} ELSE {dose} END")
-    freq = f"nullif({strip_ws(f'regexp_extract({s}, {lit(chr(40) + chr(63) + chr(105) + chr(41) + L.INSTRUCTION_FREQUENCY)}, 0)')}, '')"
-    dur = f"nullif({strip_ws(f'replace(regexp_extract({s}, {lit(chr(40) + chr(63) + chr(105) + chr(41) + L.INSTRUCTION_DURATION)}, 0), {lit(chr(102) + chr(111) + chr(114) + chr(32))}, {lit(chr(32))[:-2]}{chr(39)})')}, '')"
-    return dose, freq, dur
+    freq_raw = f"regexp_extract({s}, {lit(ci + L.INSTRUCTION_FREQUENCY)}, 0)"
+    dur_raw = f"replace(regexp_extract({s}, {lit(ci + L.INSTRUCTION_DURATION)}, 0), 'for ', '')"
+    return dose, f"nullif({strip_ws(freq_raw)}, '')", f"nullif({strip_ws(dur_raw)}, '')"
 
 
 def instruction_text():
@@ -496,15 +497,13 @@ ORACLE["q_enc_left"] = _enc_join("hosp", "LEFT")
 
 
 def _cis_clean(phi, preprocess=True):
-    from .plans.cleaners import CIS_TABLES  # noqa: F401
     raw_cols = ["IDRef", "Study Num", "Procedure Date", "Proc_HospitalID", "Procedure2", "RF_IDRef", "VIP",
                 "ResCode", "Comments", "Case Closed Date", "HTML", "ScrubNurse1", "Radiographer",
                 "Contrast Volume", "Outcome"]
     kept = [c for c in raw_cols if c not in set(phi or [])]
     red = ", ".join(f"{redact(ident(c))} AS {ident(c)}" if preprocess and c != "Contrast Volume" else ident(c)
                     for c in kept)
-    s = L.TEST_SECRET
-    pd_expr = f"strftime({parse_mixed(chr(34) + 'Procedure Date' + chr(34))}, '%Y-%m-%d %H:%M:%S')"
+    pd_expr = f"strftime({parse_mixed(ident('Procedure Date'))}, '%Y-%m-%d %H:%M:%S')"
     head = ["IDRef AS subject_id", f"{pseudonym(ident('Study Num'))} AS study_id",
             f"{pd_expr} AS procedure_date"]
     if "Proc_HospitalID" in kept:
@@ -513,7 +512,6 @@ def _cis_clean(phi, preprocess=True):
                 "HTML": "html", "ScrubNurse1": "scrubnurse1", "Radiographer": "radiographer",
                 "Contrast Volume": "contrast_volume", "Outcome": "outcome"}
     rest = [f"{ident(c)} AS {rest_map[c]}" for c in kept if c in rest_map]
-    _ = s
     return f"""
 SELECT {', '.join(head + rest)}
 FROM (SELECT * REPLACE (CASE WHEN "Procedure Date" = '00/00/00' THEN NULL ELSE "Procedure Date" END AS "Procedure Date")
@@ -1107,7 +1105,7 @@ def _iecg():
     outs = [
         "filename", "pid AS subject_id", "CAST(NULL AS VARCHAR) AS subject_dob", "age AS subject_age",
         f"{pseudonym(stem, 30)} AS study_id", "cart AS cart_id",
-        f"{parse_exact(chr(99) + 'oncat_ws(' + lit(' ') + ', d, t)', 'yyyy-MM-dd HH:mm:ss', _ISO_GUARD)} AS ecg_time",
+        f"{parse_exact("concat_ws(' ', d, t)", 'yyyy-MM-dd HH:mm:ss', _ISO_GUARD)} AS ecg_time",
         f"{report} AS report", "hp || '-' || lp || 'Hz' AS bandwidth", "hp AS highpassfilter", "lp AS lowpassfilter",
         f"CASE WHEN notch IS NOT NULL THEN notch || ' Hz notch' ELSE '' END || CASE WHEN {truthy('art')} THEN 'Artifact filter' "
         f"ELSE '' END || CASE WHEN {truthy('hys')} THEN 'Hysteresis filter' ELSE '' END AS filtering",
