@@ -126,9 +126,29 @@ def _stage_key(ledger_rows) -> str:
     return hashlib.sha256("|".join(sorted(f"{r['filename']}:{r['checksum']}" for r in ledger_rows)).encode()).hexdigest()
 
 
-def clean_stage(spark: SparkSession, root: str, secret: dict | None = None) -> list[str]:
+def must_parse_violations(table: str, staged: DataFrame) -> DataFrame | None:
+    """Violation rows of the rules the original enforced by raising: unparseable primary codes
+    (Q3, Q8) in encounters, unparseable must-parse dates (Q9) in CIS, OHCA and ECG exports."""
+    from ..functions import dates as D
+    from ..operators.quality import code_violations, date_violations
+    cols = set(staged.columns)
+    if table == "ehr.encounter":
+        return code_violations(staged)
+    if table.startswith("cis.") and "Procedure Date" in cols:
+        v = F.when(F.col("`Procedure Date`") != L.CIS_DATE_SENTINEL, F.col("`Procedure Date`"))
+        return date_violations(staged.withColumn("_pd", v), "Study Num", "_pd", D.parse_mixed(F.col("_pd")))
+    if table == "ccd.ohca" and {"Date of arrival at ED", "Time of arrival at ED"} <= cols:
+        arr = F.concat_ws(" ", F.col("`Date of arrival at ED`"), D.pad_seconds(F.col("`Time of arrival at ED`")))
+        return date_violations(staged.withColumn("_arr", arr), "mrn_sha1", "_arr", D.parse_mixed(F.col("_arr"), True))
+    return None
+
+
+def clean_stage(spark: SparkSession, root: str, secret: dict | None = None, strict: bool = False) -> list[str]:
     """Clean every staged table whose input changed since its last clean; each source writes
-    its own partition of the destination table.  Returns the cleaned source tables."""
+    its own partition of the destination table.  Returns the cleaned source tables.  With
+    ``strict`` a table with must-parse violations stops the stage (as the original did);
+    otherwise the values become null and the violations stay queryable."""
+    from ..operators.quality import enforce
     files = read_ledger(spark, f"{root}/ledger/files", FILE_LEDGER_SCHEMA).collect()
     by_table: dict[str, list] = {}
     for r in files:
@@ -142,7 +162,12 @@ def clean_stage(spark: SparkSession, root: str, secret: dict | None = None) -> l
         spec, key = CLEANERS.get(table), _stage_key(rows)
         if spec is None or (table, key) in done:
             continue
-        out = clean(read_staged(spark, root, table), spec, ctx)
+        staged = read_staged(spark, root, table)
+        if strict:
+            v = must_parse_violations(table, staged)
+            if v is not None:
+                enforce(v, f"must-parse values of {table}")
+        out = clean(staged, spec, ctx)
         out.write.mode("overwrite").parquet(f"{root}/clean/{spec.target}/source={table}")
         cleaned.append((table, key))
     if cleaned:

@@ -52,3 +52,16 @@ def run_script(spark: SparkSession, sql_text: str, views: dict[str, DataFrame])
     for s in stmts:
         out = spark.sql(s)
     return out
+
+
+def run_script_folder(spark: SparkSession, folder: str, views: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Run every ``*.sql`` file of a folder in name order (post-processing scripts); returns the
+    result of each script's last statement, keyed by file name.  Scripts are small text files
+    read on the driver; the statements run on the cluster."""
+    import glob
+    import os
+    out = {}
+    for path in sorted(glob.glob(os.path.join(folder, "*.sql"))):
+        with open(path) as fh:
+            out[os.path.basename(path)] = run_script(spark, fh.read(), views)
+    return out

@@ -176,3 +176,25 @@ def test_cleaner_format_hook_and_names(spark):
     assert out.columns == ["visit_date", "right_"]            # later duplicate name dropped
     got = sorted((r["visit_date"] is None) for r in out.collect())
     assert out.count() == 2 and got == [False, True]          # dedup first; bad date -> null
+
+
+def test_run_script_folder(spark, tmp_path):
+    from harmonia.sources.catalog import run_script_folder
+    (tmp_path / "b.sql").write_text("SELECT count(*) AS n FROM t")
+    (tmp_path / "a.sql").write_text("CREATE OR REPLACE TEMP VIEW u AS SELECT k * 2 AS k FROM t; SELECT sum(k) AS s FROM u")
+    t = spark.createDataFrame([(1,), (2,)], "k int")
+    out = run_script_folder(spark, str(tmp_path), {"t": t})
+    assert list(out) == ["a.sql", "b.sql"]
+    assert out["a.sql"].collect()[0]["s"] == 6 and out["b.sql"].collect()[0]["n"] == 2
+
+
+def test_strict_must_parse(spark):
+    import pytest
+    from harmonia.operators.quality import enforce
+    from harmonia.plans.stages import must_parse_violations
+    cis = spark.createDataFrame([("s1", "04/03/2021"), ("s2", "00/00/00"), ("s3", "31/31/2020")],
+                                "`Study Num` string, `Procedure Date` string")
+    v = must_parse_violations("cis.cag", cis)
+    assert [r["key"] for r in v.collect()] == ["s3"]
+    with pytest.raises(ValueError):
+        enforce(v, "Q9")
