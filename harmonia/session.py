@@ -62,3 +62,26 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location below the shared folder."""
     return f"{shared_dir(spark)}/harmonia/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partitioning settings for a cluster run, from the input volume and the core count.
+
+    Scans split into ~``target`` splits; the initial shuffle partition count is high enough that
+    no post-shuffle partition of the widest stage (a full-row dedup of the input) exceeds the
+    target, and AQE coalesces small ones back down and splits skewed ones.  For 100 TB on 8000
+    cores this gives ~400k scan tasks and ~400k initial shuffle partitions (capped), which
+    coalesce at run time.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(min(parts, 500_000)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

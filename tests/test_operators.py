@@ -198,3 +198,10 @@ def test_strict_must_parse(spark):
     assert [r["key"] for r in v.collect()] == ["s3"]
     with pytest.raises(ValueError):
         enforce(v, "Q9")
+
+
+def test_scale_conf():
+    from harmonia.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"] == "24"
