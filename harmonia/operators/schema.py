@@ -147,43 +147,56 @@ def _length_band(method: str, threshold: float):
     return F.greatest(lo - 1, F.lit(0)), hi + 1
 
 
-def matched_columns(headers: DataFrame, canon: DataFrame, threshold: float,
-                    method: str = "levenshtein") -> DataFrame:
-    """(file, table, column): reference columns whose best similarity over the file's
-    header names reaches the threshold."""
+def good_pairs(headers: DataFrame, canon: DataFrame, threshold: float, method: str = "levenshtein") -> DataFrame:
+    """(table, column, name): distinct (reference column, header name) pairs whose similarity
+    reaches the threshold.  Candidates come from an equi-join on name length within the band
+    where the threshold is reachable; each distinct pair is scored once."""
     lo, hi = _length_band(method, threshold)
     ref = (canon.select("table", "column").distinct()
            .withColumn("tlen", F.explode(F.sequence(lo.cast("int"), hi.cast("int")))))
     names = headers.select("name").distinct().withColumn("tlen", F.length("name"))
-    pairs = names.join(ref, "tlen")
     sim = (levenshtein_similarity(F.col("column"), F.col("name")) if method == "levenshtein"
            else ratcliff_ratio(F.col("column"), F.col("name")))
-    good = pairs.withColumn("sim", sim).filter(F.col("sim") >= F.lit(threshold)).select("table", "column", "name")
+    return (names.join(ref, "tlen").withColumn("sim", sim).filter(F.col("sim") >= F.lit(threshold))
+            .select("table", "column", "name"))
+
+
+def _file_scores(headers: DataFrame, canon: DataFrame, threshold: float, method: str) -> DataFrame:
+    """(file, table, score) per file and matched table; a file without any match keeps one row
+    with a null table.  Header rows are shuffled once, by file; the aggregations after it are
+    clustered by file and need no further exchange."""
+    sizes = canon.groupBy("table").agg(F.countDistinct("column").alias("n_ref"))
+    hits = (headers.select("file", "name").join(good_pairs(headers, canon, threshold, method), "name", "left")
+            .repartition("file"))
+    per_table = hits.groupBy("file", "table").agg(F.countDistinct("column").alias("matched"))
+    return per_table.join(F.broadcast(sizes), "table", "left").select(
+        "file", "table", F.when(F.col("table").isNotNull(), F.col("matched") / F.col("n_ref")).alias("score"))
+
+
+def matched_columns(headers: DataFrame, canon: DataFrame, threshold: float,
+                    method: str = "levenshtein") -> DataFrame:
+    """(file, table, column): reference columns whose best similarity over the file's
+    header names reaches the threshold."""
+    good = good_pairs(headers, canon, threshold, method)
     return headers.select("file", "name").join(good, "name").select("file", "table", "column").distinct()
 
 
 def match_scores(headers: DataFrame, canon: DataFrame, threshold: float = 0.9,
                  method: str = "levenshtein") -> DataFrame:
     """(file, table, score) for every pair with score > 0; score = matched / reference columns."""
-    sizes = canon.groupBy("table").agg(F.countDistinct("column").alias("n_ref"))
-    hits = matched_columns(headers, canon, threshold, method).groupBy("file", "table").agg(
-        F.count(F.lit(1)).alias("matched"))
-    return hits.join(F.broadcast(sizes), "table").select(
-        "file", "table", (F.col("matched") / F.col("n_ref")).alias("score"))
+    return _file_scores(headers, canon, threshold, method).filter(F.col("table").isNotNull())
 
 
 def infer_tables(headers: DataFrame, canon: DataFrame, table_order: DataFrame,
                  threshold: float = 0.9, method: str = "levenshtein") -> DataFrame:
     """(file, table, score): best table per file; ties go to the earlier schema; below the
-    threshold the table is 'unknown' (score kept)."""
-    scores = match_scores(headers, canon, threshold, method).join(F.broadcast(table_order), "table")
-    w = Window.partitionBy("file").orderBy(F.col("score").desc(), F.col("table_pos"))
-    best = scores.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-    files = headers.select("file").distinct()
-    out = files.join(best, "file", "left")
-    score = F.coalesce(F.col("score"), F.lit(0.0))
-    return out.select("file", F.when(score >= F.lit(threshold), F.col("table")).otherwise(F.lit("unknown"))
-                      .alias("table"), score.alias("score"))
+    threshold the table is 'unknown' (score kept).  One aggregate per file (max_by), no sort."""
+    scores = _file_scores(headers, canon, threshold, method).join(F.broadcast(table_order), "table", "left")
+    rank = F.struct(F.coalesce(F.col("score"), F.lit(0.0)).alias("s"), (-F.col("table_pos")).alias("p"))
+    best = scores.groupBy("file").agg(F.max_by(F.struct("table", "score"), rank).alias("b"))
+    score = F.coalesce(F.col("b.score"), F.lit(0.0))
+    return best.select("file", F.when(F.col("b.table").isNotNull() & (score >= F.lit(threshold)), F.col("b.table"))
+                       .otherwise(F.lit("unknown")).alias("table"), score.alias("score"))
 
 
 def pad_to_schema(df: DataFrame, columns: list[str], rename: dict | None = None) -> DataFrame:
