@@ -134,6 +134,14 @@ def levenshtein_similarity(ref, test):
         1.0 - F.levenshtein(ref, test).cast("double") / longest.cast("double"))
 
 
+SIMILARITY_METHODS = ("levenshtein", "ratcliff")
+
+
+def _check_method(method: str) -> None:
+    if method not in SIMILARITY_METHODS:
+        raise ValueError(f"unknown similarity method {method!r}; choose from {SIMILARITY_METHODS}")
+
+
 def _length_band(method: str, threshold: float):
     """Test-name lengths that can reach ``threshold`` for a reference name of length n
     (one extra on each side guards float rounding; the similarity decides exactly)."""
@@ -151,6 +159,7 @@ def good_pairs(headers: DataFrame, canon: DataFrame, threshold: float, method: s
     """(table, column, name): distinct (reference column, header name) pairs whose similarity
     reaches the threshold.  Candidates come from an equi-join on name length within the band
     where the threshold is reachable; each distinct pair is scored once."""
+    _check_method(method)
     lo, hi = _length_band(method, threshold)
     ref = (canon.select("table", "column").distinct()
            .withColumn("tlen", F.explode(F.sequence(lo.cast("int"), hi.cast("int")))))

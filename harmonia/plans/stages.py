@@ -17,6 +17,7 @@ only metadata: file lists, headers, table names; all row work runs in Spark jobs
 from __future__ import annotations
 
 import hashlib
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ from ..sources.files import manifest, read_raw
 from ..sources.ledger import pending
 from .cleaners import CLEANERS, Context, clean
 
+log = logging.getLogger(__name__)
+
 FILE_LEDGER_SCHEMA = "filename string, tablename string, rowcount long, checksum string, logged_at timestamp"
 CLEAN_LEDGER_SCHEMA = "tablename string, stage_key string, logged_at timestamp"
 
@@ -96,8 +99,9 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
     written = []
     for f in todo:
         table, score = inferred.get(f["filename"], ("unknown", 0.0))
-        if table == "unknown":
-            continue  # Q7: no table reaches the threshold; the file stays pending
+        if table == "unknown":  # Q7: no table reaches the threshold; the file stays pending
+            log.warning("skipping %s: best table score %.2f is below %.2f", f["filename"], score, threshold)
+            continue
         df = read_raw(spark, f["path"], f["ext"])
         df = df.withColumnsRenamed(best_renames(df.columns, known_schemas[table], spark, threshold, method))
         dropped = set((phi or L.PHI_COLUMNS).get(table) or [])

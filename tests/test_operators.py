@@ -205,3 +205,11 @@ def test_scale_conf():
     c = scale_conf(100 * 2**40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_unknown_similarity_method(spark):
+    import pytest
+    canon = spark.createDataFrame([("t", 0, 0, "a")], "table string, table_pos int, pos int, column string")
+    hdr = spark.createDataFrame([("f", 0, "a")], "file string, pos int, name string")
+    with pytest.raises(ValueError):
+        schema.match_scores(hdr, canon, 0.9, "soundex")
