@@ -98,7 +98,7 @@ def encounter_diagnosis_by_join(enc: DataFrame, code_lookup: DataFrame) -> DataF
         F.col("db_source"), F.col("primary_diagnosis"), F.col("secondary_diagnosis")))
     hits = (base.select("visit_id", "db_source", F.explode(F.split("combined_diagnosis", ",")).alias("code"))
             .join(code_lookup, ["db_source", "code"])
-            .groupBy("visit_id").pivot("dx", cats).agg(F.lit(1)))
+            .groupBy("visit_id").pivot("dx", cats).agg(F.max(F.lit(1))))
     out = base.join(hits, "visit_id", "left")
     return out.select("visit_id", "subject_id", "visit_date", "location", "sub_location",
                       "combined_diagnosis", *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in cats],
