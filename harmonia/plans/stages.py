@@ -81,12 +81,17 @@ def build_canonical_schema(spark: SparkSession, raw_folder: str, aliases: dict[s
 
 
 def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: dict[str, list[str]],
-               threshold: float = 0.9, method: str = "levenshtein", phi: dict | None = None) -> list[dict]:
+               threshold: float = 0.9, method: str = "levenshtein", phi: dict | None = None,
+               checksum_mode: str = "content", multiline: bool = True) -> list[dict]:
     """Ingest new or changed raw files: infer each file's table from its header, rename fuzzy
     matches to the canonical spelling, drop identifying columns, redact ids, pad to the canonical
-    schema and stage it.  Returns the ledger rows written (files below the threshold are skipped)."""
+    schema and stage it.  Returns the ledger rows written (files below the threshold are skipped).
+
+    ``checksum_mode="content"`` hashes file bytes (each file is one binaryFile row, so files must
+    stay under 2 GB and fit a task's memory); ``"metadata"`` fingerprints path, size and
+    modification time instead, for very large exports.  ``multiline`` is passed to the CSV reader."""
     ledger_path = f"{root}/ledger/files"
-    man = manifest(spark, raw_folder, checksum_mode="content")
+    man = manifest(spark, raw_folder, checksum_mode=checksum_mode)
     todo = pending(man, read_ledger(spark, ledger_path, FILE_LEDGER_SCHEMA)).orderBy("filename").collect()
     if not todo:
         return []
@@ -102,7 +107,7 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
         if table == "unknown":  # Q7: no table reaches the threshold; the file stays pending
             log.warning("skipping %s: best table score %.2f is below %.2f", f["filename"], score, threshold)
             continue
-        df = read_raw(spark, f["path"], f["ext"])
+        df = read_raw(spark, f["path"], f["ext"], multiline=multiline)
         df = df.withColumnsRenamed(best_renames(df.columns, known_schemas[table], spark, threshold, method))
         dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
         canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped

@@ -29,10 +29,14 @@ def manifest(spark: SparkSession, folder: str, extensions=RAW_EXTENSIONS, checks
     return out
 
 
-def read_raw(spark: SparkSession, path: str, ext: str, schema=None) -> DataFrame:
-    """Read one raw export; CSV and JSON as all-string unless a schema is given."""
+def read_raw(spark: SparkSession, path: str, ext: str, schema=None, multiline: bool = True) -> DataFrame:
+    """Read one raw export; CSV and JSON as all-string unless a schema is given.
+
+    ``multiline`` keeps quoted line breaks inside one record (correct for any export) but makes a
+    CSV file unsplittable: one task reads it.  Exports known to have no embedded line breaks can
+    pass ``multiline=False`` and are then split across tasks."""
     if ext == "csv":
-        r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        r = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
         return (r.schema(schema) if schema is not None else r.option("inferSchema", False)).csv(path)
     if ext == "json":
         r = spark.read.option("multiLine", True)
