@@ -213,3 +213,22 @@ def test_unknown_similarity_method(spark):
     hdr = spark.createDataFrame([("f", 0, "a")], "file string, pos int, name string")
     with pytest.raises(ValueError):
         schema.match_scores(hdr, canon, 0.9, "soundex")
+
+
+def test_valve_shipped_vocabulary(spark):
+    df = spark.createDataFrame([(1, "TAVI aortic valve, trivial regurgitation"), (2, "Moderate pulmonic regurgitation")],
+                               "study_id int, finaldxcollated string")
+    fixed = {r["study_id"]: r["valve_findings"] for r in derived.valve_map_text(df, keep=("study_id",)).collect()}
+    shipped = {r["study_id"]: r["valve_findings"] for r in
+               derived.valve_map_text(df, keep=("study_id",), shipped_vocabulary=True).collect()}
+    assert fixed == {1: "aortic_tavr_regurgitation=trivial", 2: "pulmonary_regurgitation=moderate"}
+    assert shipped == {1: "aortic_regurgitation=trivial", 2: ""}
+
+
+def test_clean_rejects_names_that_stay_too_long(spark):
+    import pytest
+    from harmonia.plans.cleaners import CleanerSpec, clean
+    long = "a" * 70
+    df = spark.createDataFrame([("x",)], f"`{long}` string")
+    with pytest.raises(ValueError):
+        clean(df, CleanerSpec("t.t"))
