@@ -2,8 +2,9 @@
 deterministic expressions (the same expressions are written in DuckDB SQL in ``oracle.py``),
 then runs one library operator over the whole input.
 
-Values are *derived* with modulo arithmetic on keys (to pick a code, a unit, a spelling); rows
-are never filtered by it.  Every query reads whole tables.
+Modulo arithmetic on keys picks values (a code, a unit, a spelling) and, in the merge query,
+splits one table into versions so that every row lands in one of them.  It never drops rows from
+the work: every query processes whole tables.
 """
 
 from __future__ import annotations
