@@ -113,8 +113,7 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
         canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
         df = pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
         out = f"{root}/staged/{table}/source={f['stem']}"
-        df.write.mode("overwrite").parquet(out)
-        n = spark.read.parquet(out).count()
+        n = write_checked(spark, df, out, f"staged {f['filename']}")
         written.append({"filename": f["filename"], "tablename": table, "rowcount": n, "checksum": f["checksum"]})
     if written:
         (spark.createDataFrame([(w["filename"], w["tablename"], w["rowcount"], w["checksum"]) for w in written],
@@ -123,6 +122,18 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
     return written
 
 
+def write_checked(spark: SparkSession, df: DataFrame, path: str, what: str) -> int:
+    """Overwrite ``path`` with ``df`` and check row parity (Q1): the rows counted while writing
+    (an Observation, no extra pass over the input) must equal the rows in the written table."""
+    from pyspark.sql import Observation
+    obs = Observation(f"rows_{abs(hash(path))}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path).count()
+    if obs.get["rows"] != written:
+        raise ValueError(f"row parity failed for {what}: {obs.get['rows']} rows written, {written} found")
+    return written
+
+
 def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All staged files of one table, aligned by name (absent columns null; types resolved)."""
     from ..operators.schema import union_versions
@@ -177,7 +188,7 @@ def clean_stage(spark: SparkSession, root: str, secret: dict | None = None, stri
             if v is not None:
                 enforce(v, f"must-parse values of {table}")
         out = clean(staged, spec, ctx)
-        out.write.mode("overwrite").parquet(f"{root}/clean/{spec.target}/source={table}")
+        write_checked(spark, out, f"{root}/clean/{spec.target}/source={table}", f"cleaned {table}")
         cleaned.append((table, key))
     if cleaned:
         (spark.createDataFrame(cleaned, "tablename string, stage_key string")
