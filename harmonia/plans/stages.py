@@ -224,7 +224,7 @@ def transform_stage(spark: SparkSession, root: str, transforms: dict | None = No
     for source, (fn, name) in (transforms or TRANSFORMS).items():
         df = read_clean(spark, root, source)
         if df is not None:
-            fn(df).write.mode("overwrite").parquet(f"{root}/derived/{name}")
+            write_checked(spark, fn(df), f"{root}/derived/{name}", f"derived {name}")
             made.append(name)
     return made
 
@@ -238,12 +238,12 @@ def merge_stage(spark: SparkSession, root: str) -> dict[str, str]:
         versions = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
         dataset, table = dest.split(".")[0], dest.split(".")[-1]
         path = f"{root}/final/{dataset}/{table}"
-        merge_versions(versions).write.mode("overwrite").parquet(path)
+        write_checked(spark, merge_versions(versions), path, f"final {dest}")
         out[dest] = path
     for name in _list_dirs(spark, f"{root}/derived"):
         dataset, table = name.split(".")[0], name.split(".")[-1]
         path = f"{root}/final/derived/{table}"
-        spark.read.parquet(f"{root}/derived/{name}").distinct().write.mode("overwrite").parquet(path)
+        write_checked(spark, spark.read.parquet(f"{root}/derived/{name}").distinct(), path, f"final {name}")
         out[name] = path
     return out
 
