@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from .language_id import op7_language_id
+from .mixing import op8_mixing
+from .packing import op9_packing
 from .simhash_dedup import op3_simhash_dedup
+from .toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup,)}
+QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op7_language_id, op8_mixing, op9_packing, op10_toxicity)}
 ORACLE: dict[str, str] = {}
