@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from . import merkle, url_filter
 from .language_id import op7_language_id
+from .merkle import op4_merkle
 from .mixing import op8_mixing
 from .packing import op9_packing
 from .simhash_dedup import op3_simhash_dedup
 from .toxicity import op10_toxicity
+from .url_filter import op1_url_filter
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op7_language_id, op8_mixing, op9_packing, op10_toxicity)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_simhash_dedup, op4_merkle, op7_language_id, op8_mixing, op9_packing, op10_toxicity)}
+ORACLE: dict[str, str] = {"op1_url_filter": url_filter.ORACLE_SQL, "op4_merkle": merkle.ORACLE_SQL}
