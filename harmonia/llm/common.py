@@ -45,3 +45,15 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 def utf8(text: Column) -> Column:
     """The text's bytes; null counts as empty."""
     return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most ``rows`` texts go to a Python worker at a time; a session that asks for fewer keeps its setting.
+
+    Texts are long: at Spark's default of 10,000 rows a batch and its copies take some hundred MB of
+    every worker.  Results do not depend on it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, crc_mod, fresh, table
+from .common import LOWER, bound_batches, crc_mod, fresh, table
 
 BUCKETS = 1 << 14
 DIMENSION = 16
@@ -116,6 +116,7 @@ def _sample(docs: DataFrame, text: str, lang: str, per_language: int) -> list[tu
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, seed: int = 7) -> Model:
     """A model of the languages in ``docs.lang``; rows without text, letters or language teach nothing."""
+    bound_batches(docs.sparkSession)
     sample = _sample(docs, text, lang, per_language)
     languages = sorted({s[0] for s in sample})
     if not languages:

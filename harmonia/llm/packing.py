@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import bound_batches, table
 from .tokens import encoder, vocabulary
 
 SEQUENCE = 1024
@@ -93,6 +93,7 @@ def pack_documents(docs: DataFrame, vocab: tuple[str, str] | None = None, doc_id
     table gives no pieces.  Rows are dealt to about ``count / group_docs`` groups by a hash of their place in the
     input, so no key, source or group of copies can fill a group.
     """
+    bound_batches(docs.sparkSession)
     vocab = vocab or vocabulary()
     groups = max(1, round(docs.count() / group_docs))
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, fresh, materialise, table, utf8
+from .common import LOWER, bound_batches, fresh, materialise, table, utf8
 from .graph import components
 
 SHINGLE = 3
@@ -176,6 +176,7 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     a null doc_id never names a component unless all its members are null; an empty table gives no
     rows.  Other columns of ``docs`` are ignored.
     """
+    bound_batches(docs.sparkSession)
     fps = materialise(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle)
                       .select("doc_id", "fp"), "simhash-fp")
     classes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-class")

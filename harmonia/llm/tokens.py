@@ -18,8 +18,8 @@ import tiktoken
 
 RANKS = "byte_bpe_50k.tiktoken"
 EOD = 50256
-#: Entries of the cache; some 100 MB at most.
-CACHE = 400_000
+#: Entries of the cache; some 50 MB at most.
+CACHE = 200_000
 
 _RUN = re.compile(r"\s\s")
 

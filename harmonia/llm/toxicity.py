@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fresh, materialise, table
+from .common import bound_batches, crc_mod, fresh, materialise, table
 
 # ---- fixed values: insults that vote whatever the labels say ----------------------------------------
 INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
@@ -38,7 +38,7 @@ EM_STEPS = 8
 PER_SIDE = 3000
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
-CACHE = 400_000
+CACHE = 200_000
 
 _PLAIN = bytes.maketrans(bytes(range(65, 91)) + bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127)),
                          bytes(range(97, 123)) + b" " * (15 + 7 + 6 + 4))
@@ -290,6 +290,7 @@ def train_classifier(voted: DataFrame, patterns: DataFrame, model: LabelModel, p
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Voters and label model from all ``docs`` and the training ``labels``, then the classifier."""
+    bound_batches(docs.sparkSession)
     model, patterns = fit_label_model(docs, labels)
     return train_classifier(vote(docs.select("text"), model.voters, "pattern"), patterns, model)
 
