@@ -194,11 +194,16 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     Repeated rows (same doc_id and text) leave one row; rows that share a doc_id but not the text
     are different documents and each stays if the id names its component.
     """
-    key, kept = fresh(docs, "kept_key"), "kept"
-    keep = simhash_components(docs, shingle=shingle, radius=radius).where("doc_id <=> component_id").select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(kept)).distinct()
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return (keyed.join(keep, keyed[key] == keep[kept], "left_semi").dropDuplicates([key, "text"]).select(*docs.columns))
+    found = materialise(simhash_components(docs, shingle=shingle, radius=radius).select("doc_id", "component_id"), "simhash-kept")
+    key = fresh(docs, "kept_key")
+    text_key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    keep = found.where("doc_id <=> component_id").select(text_key.alias("kept")).distinct()
+    keyed = docs.withColumn(key, text_key)
+    # the build side of each task is a part of the kept ids; documents stream past it and are not sorted
+    kept = keyed.join(keep.hint("shuffle_hash"), keyed[key] == keep["kept"], "left_semi")
+    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([key, "text"])
+    return kept.select(*docs.columns)
 
 
 def op3_simhash_dedup(spark, sf_dir: str) -> DataFrame:
