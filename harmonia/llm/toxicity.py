@@ -141,28 +141,34 @@ def induce_voters(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     return chosen, np.clip(toxic, 1e-4, 1 - 1e-4), np.clip(clean, 1e-5, 1 - 1e-4), prior
 
 
-def vote(docs: DataFrame, voters: list[bytes], to: str) -> DataFrame:
-    """``docs`` with the 0/1 votes as a string of one character per voter."""
-    place = {f: i for i, f in enumerate(voters)}
+class Ballot:
+    """Votes of texts: one character, 0 or 1, per voter."""
+
+    def __init__(self, voters: list[bytes]):
+        self.place = {f: i for i, f in enumerate(voters)}
+        self.stands: dict[bytes, tuple[int, ...]] = {}
+
+    def cast(self, text: str | None) -> str:
+        row = bytearray(b"0" * len(self.place))
+        for w in words(text):
+            at = self.stands.get(w)
+            if at is None:
+                at = tuple(self.place[f] for f in forms(w) if f in self.place)
+                if len(self.stands) < CACHE:
+                    self.stands[w] = at
+            for i in at:
+                row[i] = 49
+        return row.decode()
+
 
+def vote(docs: DataFrame, voters: list[bytes], to: str) -> DataFrame:
+    """``docs`` with the votes of each text."""
     @F.pandas_udf("string")
-    def ballot(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        stands: dict[bytes, tuple[int, ...]] = {}
+    def cast(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ballot = Ballot(voters)
         for texts in batches:
-            out = []
-            for t in texts:
-                row = bytearray(b"0" * len(place))
-                for w in words(t):
-                    at = stands.get(w)
-                    if at is None:
-                        at = tuple(place[f] for f in forms(w) if f in place)
-                        if len(stands) < CACHE:
-                            stands[w] = at
-                    for i in at:
-                        row[i] = 49
-                out.append(row.decode())
-            yield pd.Series(out)
-    return docs.withColumn(to, ballot(F.col("text")))
+            yield pd.Series([ballot.cast(t) for t in texts], dtype=object)
+    return docs.withColumn(to, cast(F.col("text")))
 
 
 def _matrix(patterns: pd.Series) -> np.ndarray:
@@ -240,29 +246,30 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def train_classifier(voted: DataFrame, patterns: DataFrame, model: LabelModel, per_side: int = PER_SIDE, steps: int = 150) -> Classifier:
+def train_classifier(docs: DataFrame, patterns: DataFrame, model: LabelModel, per_side: int = PER_SIDE, steps: int = 150) -> Classifier:
     """Logistic regression on the posterior labels of a bounded sample, sparse by soft thresholding.
 
-    ``voted`` holds text and pattern, ``patterns`` every pattern and how often it occurs.  The sample takes
-    about as many documents from either side of the posterior.
+    ``patterns`` holds every vote pattern of ``docs`` and how often it occurs.  The sample takes about as many
+    documents from either side of the posterior, drawn by a hash of the text.
     """
-    @F.pandas_udf("double")
-    def posterior(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for p in batches:
-            yield pd.Series(model.posterior(_matrix(p)))
-
-    def sided(df: DataFrame) -> DataFrame:
-        return df.withColumn("p", posterior("pattern")).withColumn("side", (F.col("p") >= 0.5).cast("int"))
+    def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"side": (model.posterior(_matrix(pdf["pattern"])) >= 0.5).astype("int32"), "n": pdf["n"]})
 
-    n = {r[0]: r[1] for r in sided(patterns).groupBy("side").agg(F.sum("n")).collect()}
+    n = {r[0]: r[1] for r in patterns.mapInPandas(sides, "side int, n long").groupBy("side").agg(F.sum("n")).collect()}
+    rate = [min(1.0, per_side / max(1, n.get(side, 0))) * (1 << 20) for side in (0, 1)]
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ballot = Ballot(model.voters)
         for pdf in batches:
-            yield pd.DataFrame({"side": pdf["side"], "p": pdf["p"], "at": [
-                np.unique(np.fromiter((zlib.crc32(f) % BUCKETS for f in features(t)), dtype="<i4")).tobytes() for t in pdf["text"]]})
-
-    drawn = sided(voted).where(F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(11)), F.lit(1 << 20)) < _rate(n, "side", per_side))
-    got = sorted({(r["side"], r["p"], bytes(r["at"])) for r in drawn.select("side", "p", "text").mapInPandas(hashed, "side int, p double, at binary").collect()})
+            p = model.posterior(_matrix(pd.Series([ballot.cast(t) for t in pdf["text"]])))
+            side = (p >= 0.5).astype("int32")
+            took = np.flatnonzero(pdf["h"].to_numpy() < np.array(rate)[side]) if len(pdf) else []
+            yield pd.DataFrame({"side": side[took], "p": p[took], "at": [
+                np.unique(np.fromiter((zlib.crc32(f) % BUCKETS for f in features(pdf["text"].iloc[i])), dtype="<i4")).tobytes() for i in took]})
+
+    hashed = docs.select("text", F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(11)), F.lit(1 << 20)).alias("h"))
+    got = sorted({(r["side"], r["p"], bytes(r["at"])) for r in hashed.mapInPandas(drawn, "side int, p double, at binary").collect()})
     w, bias = np.zeros(BUCKETS), float(np.log(model.prior / (1 - model.prior)))
     if not got:
         return Classifier(w.astype(np.float32), bias)
@@ -292,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Voters and label model from all ``docs`` and the training ``labels``, then the classifier."""
     bound_batches(docs.sparkSession)
     model, patterns = fit_label_model(docs, labels)
-    return train_classifier(vote(docs.select("text"), model.voters, "pattern"), patterns, model)
+    return train_classifier(docs, patterns, model)
 
 
 def score(docs: DataFrame, classifier: Classifier, to: str = "score") -> DataFrame:
