@@ -300,18 +300,19 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", t
     # rare words meet their counts by a join; frequent ones have met theirs in the tasks
     least = min((c for _, c in head.values()), default=None)
     rare = counts if least is None else counts.where(F.col("c") < least)
-    tail_of = F.udf(lambda w: tail_class(bytes(w)), "int")
-    classed = materialise(rare.withColumn("class", tail_of("word")), "hmm-rare")
+    unseen_class = F.pmod(F.crc32(F.expr("substring(word, greatest(1, length(word) - 2), 3)")), F.lit(TAIL)).cast("int")   # tail_class
+    classed = rare.withColumn("class", unseen_class)
     sizes = {r["class"]: (r["t"], r["v"]) for r in classed.groupBy("class").agg(F.sum("c").alias("t"), F.count("*").alias("v")).collect()}   # at most TAIL rows
     t, v = (np.array([sizes.get(k, (0, 0))[i] for k in range(TAIL)], dtype=np.float64) for i in (0, 1))
-    within = F.array(*[F.lit(float(x)) for x in np.log10(t + 0.5 * (v + 1))])
+    # at most TAIL rows
+    within = classed.groupBy("class").agg(F.log10(F.sum("c") + 0.5 * (F.count("*") + 1)).alias("within")).withColumnRenamed("class", "of_class")
     words_in = coded.select("row", F.explode("tail").alias("w")).select("row", "w.word", "w.times")
-    unseen_class = F.pmod(F.crc32(F.expr("substring(word, greatest(1, length(word) - 2), 3)")), F.lit(TAIL)).cast("int")
-    met = (words_in.join(rare.select(F.col("word").alias("known"), "c"), F.col("word") == F.col("known"), "left")
+    met = (words_in.withColumn("class", unseen_class).join(F.broadcast(within), F.col("class") == F.col("of_class"), "left")
+           .withColumn("within", F.coalesce("within", F.lit(math.log10(0.5)))).join(rare.select(F.col("word").alias("known"), "c"), F.col("word") == F.col("known"), "left")
            .withColumn("c", F.coalesce("c", F.lit(0))).withColumn("top", F.log10(F.col("c") + 0.5)))
     by_row = met.groupBy("row").agg(
         F.sum(F.col("times") * (F.col("top") - F.lit(math.log10(total + 0.5 * (distinct + 1))))).alias("tail_base"),
-        F.sum(F.col("times") * (F.col("top") - F.element_at(within, unseen_class + 1))).alias("tail_in_class"),
+        F.sum(F.col("times") * (F.col("top") - F.col("within"))).alias("tail_in_class"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known")).withColumnRenamed("row", "of_row")
 
     # the corpus distribution over classes
