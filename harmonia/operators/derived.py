@@ -34,7 +34,7 @@ def lesion_pivot(lesions: DataFrame, lookup: DataFrame | None = None) -> DataFra
     lookup = lookup if lookup is not None else lesion_lookup(spark)
     segments = list(L.LESION_SEGMENTS)
     mapped = (lesions.select("subject_id", "procedure_date", "study_id", "lesion", "stenosis")
-              .join(F.broadcast(lookup.select("code", "segment")), F.col("lesion") == F.col("code")))
+              .join(lookup.select("code", "segment"), F.col("lesion") == F.col("code")))
     aggs = [F.max("subject_id").alias("subject_id"), F.max("procedure_date").alias("procedure_date")]
     aggs += [F.max(F.when(F.col("segment") == s, F.col("stenosis"))).alias(s) for s in segments]
     out = mapped.groupBy("study_id").agg(*aggs)

@@ -91,7 +91,7 @@ def apply_clean_names(df: DataFrame, abbreviations: dict | None = None, strict:
 def canonical_schema(headers: DataFrame, aliases: DataFrame, key: str = "file") -> DataFrame:
     """headers(<key>, file_rank, pos, name) + aliases(<key>, table) -> (table, pos, column):
     per table, the ordered union of its files' columns, first occurrence kept."""
-    firsts = (headers.join(F.broadcast(aliases), key)
+    firsts = (headers.join(aliases, key)
               .groupBy("table", F.col("name").alias("column"))
               .agg(F.min(F.struct("file_rank", "pos")).alias("first")))
     w = Window.partitionBy("table").orderBy(F.col("first.file_rank"), F.col("first.pos"))
@@ -100,7 +100,7 @@ def canonical_schema(headers: DataFrame, aliases: DataFrame, key: str = "file")
 
 def unmapped_files(files: DataFrame, aliases: DataFrame, key: str = "file") -> DataFrame:
     """Files without a canonical table (the build must stop if any)."""
-    return files.join(F.broadcast(aliases.select(key)), key, "left_anti")
+    return files.join(aliases.select(key), key, "left_anti")
 
 
 def best_renames(columns: list[str], canonical: list[str], spark, threshold: float = 0.9,
@@ -178,7 +178,7 @@ def _file_scores(headers: DataFrame, canon: DataFrame, threshold: float, method:
     hits = (headers.select("file", "name").join(good_pairs(headers, canon, threshold, method), "name", "left")
             .repartition("file"))
     per_table = hits.groupBy("file", "table").agg(F.countDistinct("column").alias("matched"))
-    return per_table.join(F.broadcast(sizes), "table", "left").select(
+    return per_table.join(sizes, "table", "left").select(
         "file", "table", F.when(F.col("table").isNotNull(), F.col("matched") / F.col("n_ref")).alias("score"))
 
 
@@ -200,7 +200,7 @@ def infer_tables(headers: DataFrame, canon: DataFrame, table_order: DataFrame,
                  threshold: float = 0.9, method: str = "levenshtein") -> DataFrame:
     """(file, table, score): best table per file; ties go to the earlier schema; below the
     threshold the table is 'unknown' (score kept).  One aggregate per file (max_by), no sort."""
-    scores = _file_scores(headers, canon, threshold, method).join(F.broadcast(table_order), "table", "left")
+    scores = _file_scores(headers, canon, threshold, method).join(table_order, "table", "left")
     rank = F.struct(F.coalesce(F.col("score"), F.lit(0.0)).alias("s"), (-F.col("table_pos")).alias("p"))
     best = scores.groupBy("file").agg(F.max_by(F.struct("table", "score"), rank).alias("b"))
     score = F.coalesce(F.col("b.score"), F.lit(0.0))

@@ -4,7 +4,7 @@ Layout below ``root`` (shared storage, e.g. a folder under spark.checkpoint.dir
 
   ledger/files/                        ingest ledger: filename, tablename, rowcount, checksum, logged_at
   ledger/clean/                        clean ledger: tablename, stage_key, logged_at
-  staged/<table>/source=<file stem>/   preprocessed rows of one raw file
+  staged/<table>/source=<file name and path hash>/   preprocessed rows of one raw file
   clean/<destination>/source=<table>/  cleaned rows of one source table
   derived/<name>/                      lesion matrix, valve findings, encounter diagnosis
   final/<dataset>/<table>/             merged, typed, deduplicated tables
@@ -28,7 +28,7 @@ from ..operators.deid import drop_phi, redact_strings
 from ..operators.schema import (best_renames, canonical_schema, infer_tables, merge_versions,
                                 pad_to_schema, unmapped_files)
 from ..sources.files import manifest, read_raw
-from ..sources.ledger import pending
+from ..sources.ledger import latest, pending
 from .cleaners import CLEANERS, Context, clean
 
 log = logging.getLogger(__name__)
@@ -92,7 +92,7 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
     modification time instead, for very large exports.  ``multiline`` is passed to the CSV reader."""
     ledger_path = f"{root}/ledger/files"
     man = manifest(spark, raw_folder, checksum_mode=checksum_mode)
-    todo = pending(man, read_ledger(spark, ledger_path, FILE_LEDGER_SCHEMA)).orderBy("filename").collect()
+    todo = pending(man, latest(read_ledger(spark, ledger_path, FILE_LEDGER_SCHEMA))).orderBy("filename").collect()
     if not todo:
         return []
     hdr = _headers(spark, todo)
@@ -112,7 +112,8 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
         dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
         canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
         df = pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
-        out = f"{root}/staged/{table}/source={f['stem']}"
+        # two files of one name stem, or of one name in two folders, stay apart
+        out = f"{root}/staged/{table}/source={f['filename']}-{hashlib.md5(f['path'].encode()).hexdigest()[:12]}"
         n = write_checked(spark, df, out, f"staged {f['filename']}")
         written.append({"filename": f["filename"], "tablename": table, "rowcount": n, "checksum": f["checksum"]})
     if written:

@@ -70,13 +70,13 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     Scans split into ~``target`` splits; the initial shuffle partition count is high enough that
     no post-shuffle partition of the widest stage (a full-row dedup of the input) exceeds the
     target, and AQE coalesces small ones back down and splits skewed ones.  For 100 TB on 8000
-    cores this gives ~400k scan tasks and ~400k initial shuffle partitions (capped), which
+    cores this gives ~400k scan tasks and ~400k initial shuffle partitions, which
     coalesce at run time.
     """
     parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(min(parts, 500_000)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

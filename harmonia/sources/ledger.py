@@ -15,6 +15,11 @@ def pending(manifest: DataFrame, ledger: DataFrame, keys=("filename", "checksum"
     return manifest.join(ledger.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def latest(ledger: DataFrame) -> DataFrame:
+    """The newest entry of every file: a file restored to an older content counts as changed."""
+    return ledger.groupBy("filename").agg(F.max_by("checksum", "logged_at").alias("checksum"))
+
+
 def record(entries: DataFrame, now_col=None) -> DataFrame:
     """Ledger rows for processed entries (append these)."""
     return entries.withColumn("logged_at", now_col if now_col is not None else F.current_timestamp())

@@ -58,3 +58,25 @@ def test_stages_end_to_end(spark):
     assert spark.read.parquet(final["ehr.medication"]).count() == n1 == meds.distinct().count()
     piv = spark.read.parquet(final["cis.caglesion_pivoted"])
     assert "Proximal LAD" in piv.columns and piv.count() > 0
+
+
+def test_files_of_one_stem_stay_apart_and_restored_content_is_ingested(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    raw.mkdir()
+    known = {"ehr.t": ["alpha", "beta"]}
+    first, second = "alpha,beta\n1,2\n3,4\n", "alpha,beta\n5,6\n"
+    (raw / "ehr_t.csv").write_text(first)
+    (raw / "ehr_t.json").write_text('{"alpha": "7", "beta": "8"}')
+
+    def staged():
+        return sorted(r["alpha"] for r in spark.read.parquet(f"{root}/staged/ehr.t").collect())
+
+    assert len(S.preprocess(spark, str(raw), root, known)) == 2
+    assert staged() == ["1", "3", "7"]
+    (raw / "ehr_t.csv").write_text(second)
+    S.preprocess(spark, str(raw), root, known)
+    assert staged() == ["5", "7"]
+    (raw / "ehr_t.csv").write_text(first)   # back to an older content
+    assert len(S.preprocess(spark, str(raw), root, known)) == 1
+    assert staged() == ["1", "3", "7"]
+    assert S.preprocess(spark, str(raw), root, known) == []
