@@ -26,9 +26,11 @@ def sections(text: Column) -> Column:
 
 def _runs(paragraph: Column) -> Column:
     """The paragraph's runs of ``RUN`` space-separated words, in order; joined by spaces they give it back."""
-    words = F.split(paragraph, " ", -1)
-    return F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / RUN).cast("int")),
-                       lambda i: F.concat_ws(" ", F.slice(words, i * RUN + 1, RUN)))
+    def runs(words: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / RUN).cast("int")),
+                           lambda i: F.concat_ws(" ", F.slice(words, i * RUN + 1, RUN)))
+    # the words are a lambda's argument so that they are split once and not anew for every run
+    return F.transform(F.array(F.split(paragraph, " ", -1)), runs)[0]
 
 
 def _node(kind: str, children: Column) -> Column:
@@ -38,10 +40,9 @@ def _node(kind: str, children: Column) -> Column:
 
 def tree(text: Column) -> Column:
     """Sections of paragraphs: array of (hash, array of paragraph hashes)."""
-    def section(s: Column) -> Column:
-        paragraphs = F.transform(F.split(s, "\n", -1), lambda p: _node("p", F.transform(_runs(p), lambda r: F.sha2(r, 256))))
-        return F.struct(_node("s", paragraphs).alias("hash"), paragraphs.alias("paragraphs"))
-    return F.transform(sections(text), section)
+    paragraphs = F.transform(sections(text), lambda s: F.transform(
+        F.split(s, "\n", -1), lambda p: _node("p", F.transform(_runs(p), lambda r: F.sha2(r, 256)))))
+    return F.transform(paragraphs, lambda ps: F.struct(_node("s", ps).alias("hash"), ps.alias("paragraphs")))
 
 
 def root(branches: Column) -> Column:
@@ -61,11 +62,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 def first_difference(a: Column, b: Column) -> Column:
     """Path ``section/paragraph`` (from 1) of the first differing paragraph of two trees; null if there is none."""
-    n = F.greatest(F.size(a), F.size(b))
-    s = F.array_position(F.transform(F.sequence(F.lit(1), n), lambda i: ~F.try_element_at(a["hash"], i).eqNullSafe(F.try_element_at(b["hash"], i))), True)
-    pa, pb = F.try_element_at(a["paragraphs"], s.cast("int")), F.try_element_at(b["paragraphs"], s.cast("int"))
-    m = F.greatest(F.coalesce(F.size(pa), F.lit(0)), F.coalesce(F.size(pb), F.lit(0)))
-    p = F.array_position(F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), lambda i: ~F.try_element_at(pa, i).eqNullSafe(F.try_element_at(pb, i))), True)
+    s = F.array_position(F.zip_with(a, b, lambda x, y: ~x["hash"].eqNullSafe(y["hash"])), True)
+    pa, pb = (F.coalesce(F.get(t["paragraphs"], s.cast("int") - 1), F.array().cast("array<string>")) for t in (a, b))
+    p = F.array_position(F.zip_with(pa, pb, lambda x, y: ~x.eqNullSafe(y)), True)
     return F.when(s > 0, F.concat_ws("/", s.cast("string"), p.cast("string")))
 
 
