@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, table
 
 #: (verdict, host, path prefix)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -71,23 +71,26 @@ def _strength(rates: DataFrame) -> Column:
 
 def _shrunk(level: DataFrame, key: str) -> DataFrame:
     """``level`` (key, n, good, mean) with the posterior of each key's rate: mean ``rate`` and ``deviation``."""
-    k = level.agg(_strength(level).alias("strength"))   # one row
-    a = F.col("mean") * F.col("strength") + F.col("good")
-    total = F.col("strength") + F.col("n")
-    return level.join(F.broadcast(k)).withColumn("rate", a / total).withColumn(
-        "deviation", F.sqrt(F.col("rate") * (1 - F.col("rate")) / (total + 1))).select(key, "n", "good", "rate", "deviation", "strength")
+    strength = F.lit(level.agg(_strength(level)).first()[0])   # one number
+    a = F.col("mean") * strength + F.col("good")
+    total = strength + F.col("n")
+    return level.withColumn("rate", a / total).withColumn(
+        "deviation", F.sqrt(F.col("rate") * (1 - F.col("rate")) / (total + 1))).select(
+        key, "n", "good", "rate", "deviation", strength.alias("strength"))
 
 
 def host_reputation(hosts: DataFrame) -> DataFrame:
     """Posterior rates of ``hosts`` (host, n, good: counts of labelled outcomes, n 0 if unlabelled).
 
     Returns host, n, good, rate, deviation, strength.  Without a single outcome the corpus rate is one half.
+    The driver takes four numbers: the corpus rate and the strength of each level.  ``hosts`` is read for
+    each of them, so it should be a written table.
     """
     tree = hosts.select("host", registered_domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"), "n", "good")
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes, domains = tree.groupBy("suffix").agg(*sums), tree.groupBy("domain", "suffix").agg(*sums)
-    overall = suffixes.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).alias("mean"))
-    s = _shrunk(suffixes.join(F.broadcast(overall)), "suffix").select("suffix", F.col("rate").alias("mean"))
+    overall = F.lit(hosts.agg((F.coalesce(F.sum("good"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).first()[0])
+    s = _shrunk(suffixes.withColumn("mean", overall), "suffix").select("suffix", F.col("rate").alias("mean"))
     d = _shrunk(domains.join(s, "suffix"), "domain").select("domain", F.col("rate").alias("mean"))
     return _shrunk(tree.join(d, "domain"), "host")
 
@@ -104,7 +107,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_rate: float
     parsed = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     hosts = (parsed.select("page_id", "host").join(of, F.col("page_id") == F.col("of_page"), "left")
              .groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")))
-    reputation = host_reputation(hosts).select(
+    reputation = host_reputation(materialise(hosts, "url-hosts")).select(
         F.col("host").alias("of_host"), "n", F.col("rate").alias("host_rate"),
         F.least(F.lit(1.0), F.col("rate") + F.lit(bound) * F.col("deviation")).alias("host_bound"))
     judged = parsed.join(reputation, F.col("host") == F.col("of_host")).withColumn("fits", fitting_rule(F.col("host"), F.col("path"), rules))
