@@ -24,10 +24,13 @@ def numeric_code(c) -> Column:
     (see ``operators.quality.code_violations``).
     """
     c = as_col(c)
-    d = c.try_cast("decimal(38,10)")
+    plain = r"^\s*\+?(-?)0*(\d+)(?:\.\d*)?\s*$"   # any number of digits, cut and never rounded
+    digits = F.regexp_replace(c, plain, "$1$2")
+    d = F.coalesce(c.try_cast("decimal(38,10)"), c.try_cast("decimal(38,0)"))
     int_text = F.when(F.abs(d) < 1, F.lit("0")).otherwise(
         F.split_part(d.cast("string"), F.lit("."), F.lit(1)))
     return (F.when(c.isNull(), F.lit(NULL_CODE))
+            .when(c.rlike(plain), F.when(digits == "-0", "0").otherwise(digits))
             .when(d.isNotNull(), int_text)
             .when(c.contains(","), strip_trailing_zero_decimal(c)))
 

@@ -1,6 +1,6 @@
 """Date and time expressions.
 
-Every format is guarded by an anchored pattern before it is tried, so a parse never depends on
+Every parse is guarded by an anchored pattern, so it never depends on
 ``spark.sql.legacy.timeParserPolicy`` and never throws under ANSI mode.  Results are
 TIMESTAMP_NTZ (wall-clock, no zone), the type of the source tables.
 """
@@ -12,75 +12,60 @@ from pyspark.sql import functions as F
 
 from ._util import as_col
 
-_DMY = r"\d{1,2}/\d{1,2}/\d{4}"
-_DMY_DASH = r"\d{1,2}-\d{1,2}-\d{4}"
-_HMS = r"\d{1,2}:\d{2}:\d{2}"
-_HM = r"\d{1,2}:\d{2}"
-
-# (anchored guard, Spark pattern); order matters: first success wins.
-ISO_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2} " + _HMS + "$", "yyyy-M-d H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T" + _HMS + "$", "yyyy-M-d'T'H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} " + _HM + "$", "yyyy-M-d H:m"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T" + _HM + "$", "yyyy-M-d'T'H:m"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{8}$", "yyyyMMdd"),
-]
-
-
-def _slash_formats(first: str, second: str) -> list[tuple[str, str]]:
-    out = []
-    for guard, sep in ((_DMY, "/"), (_DMY_DASH, "-")):
-        base = f"{first}{sep}{second}{sep}yyyy"
-        out += [("^" + guard + " " + _HMS + "$", base + " H:m:s"),
-                ("^" + guard + " " + _HM + "$", base + " H:m"),
-                ("^" + guard + "$", base)]
-    return out
-
-
-MONTH_FIRST_FORMATS = _slash_formats("M", "d") + _slash_formats("d", "M") + ISO_FORMATS
-DAY_FIRST_FORMATS = _slash_formats("d", "M") + _slash_formats("M", "d") + ISO_FORMATS
-
-
-def parse_formats(c, formats: list[tuple[str, str]]) -> Column:
-    """First format whose guard matches and whose parse succeeds; null otherwise."""
-    c = as_col(c)
-    tries = [F.when(c.rlike(guard), F.try_to_timestamp(c, F.lit(fmt))) for guard, fmt in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
-
-
-_TIME = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2})?)?$"
-_SLASH_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}" + r"(?: \d{1,2}:\d{2}(?::\d{2})?)?$"
-_DASH_SHAPE = r"^\d{1,2}-\d{1,2}-\d{4}" + r"(?: \d{1,2}:\d{2}(?::\d{2})?)?$"
-_ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME
-_COMPACT_SHAPE = r"^\d{8}$"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTH = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
+          r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
+_TIME = (r"(?:[T ](\d{1,2}):(\d{1,2})(?::([0-5]?\d)(?:\.(\d{1,6})\d*)?)?(?: ?([ap]m))?"
+         r"(?: ?(?:z|utc|[+-]\d{2}:?\d{2}))?)?")
+#: Spellings and the fields they fill, in group order; a time may follow each.
+_SPELLINGS = (
+    (r"(\d{1,2})[/.-](\d{1,2})[/.-](\d{4}|\d{2})", "a b y"),
+    (r"(\d{4})[/.-](\d{1,2})[/.-](\d{1,2})", "y m d"),
+    (r"(\d{1,2})[ -]" + _MONTH + r"[.,]?[ -](\d{4}|\d{2})", "d name y"),
+    (_MONTH + r"\.? (\d{1,2}),? (\d{4})", "name d y"),
+    (r"(\d{4})(\d{2})(\d{2})(?:(\d{2})(\d{2})([0-5]\d))?", "y m d h mi s"),
+)
+_FIELDS = " ".join(f for _, f in _SPELLINGS).split() + ["h", "mi", "s", "fraction", "half"]
+_SHAPE = "(?i)^(?:" + "|".join(p for p, _ in _SPELLINGS) + ")" + _TIME + "$"
 
 
 def parse_mixed(c, dayfirst: bool = False) -> Column:
-    """Tolerant parse of mixed spellings; ambiguous d/M vs M/d resolved by ``dayfirst``
-    (the other order is tried when the first is not a valid date).
+    """Tolerant parse of mixed spellings: numeric dates with ``/``, ``-`` or ``.``, ISO dates, month names,
+    ``yyyyMMdd[HHmmss]``, two-digit years (69-99 are 19xx), optional times with seconds, fractions
+    (to microseconds), AM/PM and a zone.  Blanks around and repeated blanks are ignored.
 
-    Same result as ``parse_formats`` over MONTH_FIRST_FORMATS / DAY_FIRST_FORMATS (the
-    specification), but the shape is classified once and the time part is normalised to
-    H:m:s, so at most two patterns are tried per value and the expression stays small
-    enough for wide tables with many date columns.
+    Ambiguous d/M vs M/d is resolved by ``dayfirst`` (the other order is tried when the first is
+    not a valid date).  A zone or offset is dropped: the wall-clock time stays.  Anything else is null.
+    The value is matched once; its fields then make the timestamp.
     """
-    c = as_col(c)
-    t = F.regexp_extract(c, r"[ T](\d{1,2}:\d{2}(?::\d{2})?)$", 1)
-    colons = F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit("")))
-    full_t = F.when(t == "", F.lit("0:00:00")).when(colons == 1, F.concat(t, F.lit(":00"))).otherwise(t)
-    x = F.concat(F.regexp_extract(c, r"^([^ T]+)", 1), F.lit(" "), full_t)
-
-    def both(sep):
-        first, second = ("d", "M") if dayfirst else ("M", "d")
-        return F.coalesce(F.try_to_timestamp(x, F.lit(f"{first}{sep}{second}{sep}yyyy H:m:s")),
-                          F.try_to_timestamp(x, F.lit(f"{second}{sep}{first}{sep}yyyy H:m:s")))
-
-    out = (F.when(c.rlike(_SLASH_SHAPE), both("/"))
-           .when(c.rlike(_DASH_SHAPE), both("-"))
-           .when(c.rlike(_ISO_SHAPE), F.try_to_timestamp(x, F.lit("yyyy-M-d H:m:s")))
-           .when(c.rlike(_COMPACT_SHAPE), F.try_to_timestamp(c, F.lit("yyyyMMdd"))))
-    return out.cast("timestamp_ntz")
+    x = F.regexp_replace(F.trim(as_col(c)), r"\s+", " ")
+    groups = F.regexp_replace(x, _SHAPE, "|".join(f"${i + 1}" for i in range(len(_FIELDS))))
+    fields = F.when(x.rlike(_SHAPE), F.split(groups, r"\|", -1))
+
+    def build(f: Column) -> Column:
+        def value(name):
+            """The field's text from whichever spelling matched; null if none has it."""
+            return F.coalesce(*[F.nullif(f[i], F.lit("")) for i, n in enumerate(_FIELDS) if n == name])
+
+        def number(name):
+            return value(name).cast("int")
+
+        year = number("y")
+        year = F.when(F.length(value("y")) == 2, year + F.when(year >= 69, 1900).otherwise(2000)).otherwise(year)
+        named = F.array_position(F.array(*map(F.lit, _MONTHS)), F.lower(F.substring(value("name"), 1, 3))).cast("int")
+        hour = F.coalesce(number("h"), F.lit(0))
+        pm = F.lower(value("half")) == "pm"
+        hour = (F.when(value("half").isNull(), hour)
+                .when(hour.between(1, 12), F.pmod(hour, F.lit(12)) + F.when(pm, 12).otherwise(0)))
+        seconds = F.concat(F.coalesce(value("s"), F.lit("0")), F.lit("."), F.coalesce(value("fraction"), F.lit("0"))).cast("decimal(16,6)")
+
+        def at(month, day):
+            return F.try_make_timestamp_ntz(year, month, day, hour, F.coalesce(number("mi"), F.lit(0)), seconds)
+
+        first, second = (number("b"), number("a")) if dayfirst else (number("a"), number("b"))
+        return F.coalesce(at(F.coalesce(number("m"), named), number("d")), at(first, second), at(second, first))
+
+    return F.transform(F.array(fields), build)[0]
 
 
 def parse_exact(c, fmt: str, guard: str | None = None) -> Column:

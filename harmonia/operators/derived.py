@@ -91,15 +91,16 @@ def encounter_diagnosis(enc: DataFrame, code_sets: dict | None = None) -> DataFr
 
 def encounter_diagnosis_by_join(enc: DataFrame, code_lookup: DataFrame) -> DataFrame:
     """Same result for code sets too large to inline.  ``code_lookup``: (db_source, dx, code);
-    it must be small enough to broadcast (checked by AQE at run time, else sort-merge).
-    Encounters are keyed by visit_id (unique after cleaning)."""
+    AQE broadcasts it if it is measured small, else sort-merge.  Flags are found once for every distinct
+    (db_source, combined codes) and joined back on those, null-safe, so repeated or null visits keep their own."""
     cats = [r[0] for r in code_lookup.select("dx").distinct().orderBy("dx").collect()]
     base = enc.withColumn("combined_diagnosis", C.combine_codes(
         F.col("db_source"), F.col("primary_diagnosis"), F.col("secondary_diagnosis")))
-    hits = (base.select("visit_id", "db_source", F.explode(F.split("combined_diagnosis", ",")).alias("code"))
+    hits = (base.select("db_source", "combined_diagnosis").distinct()
+            .select("db_source", F.col("combined_diagnosis").alias("_codes"), F.explode(F.split("combined_diagnosis", ",")).alias("code"))
             .join(code_lookup, ["db_source", "code"])
-            .groupBy("visit_id").pivot("dx", cats).agg(F.max(F.lit(1))))
-    out = base.join(hits, "visit_id", "left")
+            .groupBy(F.col("db_source").alias("_db"), "_codes").pivot("dx", cats).agg(F.max(F.lit(1))))
+    out = base.join(hits, F.col("db_source").eqNullSafe(F.col("_db")) & F.col("combined_diagnosis").eqNullSafe(F.col("_codes")), "left")
     return out.select("visit_id", "subject_id", "visit_date", "location", "sub_location",
                       "combined_diagnosis", *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in cats],
                       C.is_death(F.col("visit_outcome")).alias("death"))

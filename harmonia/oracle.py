@@ -350,15 +350,24 @@ def spark_to_strptime(fmt: str) -> str:
     return re.sub(r"yyyy|MM|M|dd|d|HH|H|mm|m|ss|s|'T'", lambda m: table[m.group(0)], fmt)
 
 
-def parse_formats(x, formats):
-    tries = ", ".join(f"CASE WHEN regexp_matches({x}, {lit(g)}) THEN try_strptime({x}, {lit(spark_to_strptime(f))}) END"
-                      for g, f in formats)
-    return f"coalesce({tries})"
+def parse_mixed(x, dayfirst=False):
+    """Formats written by hand from the spellings that exports use; blanks are normalised and zones cut first."""
+    n = (f"regexp_replace(regexp_replace(trim({x}), '\\s+', ' ', 'g'), "
+         r"'(:\d{1,2}(?:\.\d+)?) ?(?:Z|UTC|[+-]\d{2}:?\d{2})$', '\1')")
+    times = ["", " %H:%M", " %H:%M:%S", "T%H:%M", "T%H:%M:%S", " %I:%M %p", " %I:%M:%S %p", " %H:%M:%S.%f", "T%H:%M:%S.%f"]
 
+    def tries(guard, dates, after=times):
+        formats = "[" + ", ".join(lit(d + t) for d in dates for t in after) + "]"
+        return f"CASE WHEN regexp_matches({n}, {lit(guard)}) THEN try_strptime({n}, {formats}) END"
 
-def parse_mixed(x, dayfirst=False):
-    from .functions.dates import DAY_FIRST_FORMATS, MONTH_FIRST_FORMATS
-    return parse_formats(x, DAY_FIRST_FORMATS if dayfirst else MONTH_FIRST_FORMATS)
+    order = ["%d{0}%m{0}", "%m{0}%d{0}"] if dayfirst else ["%m{0}%d{0}", "%d{0}%m{0}"]
+    return "coalesce(" + ", ".join([
+        tries(r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}(?:\D|$)", [o.format(sep) + "%Y" for sep in "/-" for o in order]),
+        tries(r"^\d{1,2}[/-]\d{1,2}[/-]\d{2}(?:\D|$)", [o.format(sep) + "%y" for sep in "/-" for o in order]),
+        tries(r"^\d{4}[/-]\d{1,2}[/-]\d{1,2}(?:\D|$)", ["%Y-%m-%d", "%Y/%m/%d"]),
+        tries(r"^\d{1,2}[ -][A-Za-z]{3}[ -]\d{4}(?:\D|$)", ["%d-%b-%Y", "%d %b %Y"]),
+        tries(r"^[A-Za-z]{3,9} \d{1,2}, \d{4}(?:\D|$)", ["%B %d, %Y"]),
+        tries(r"^\d{8}$", ["%Y%m%d"], [""]), tries(r"^\d{14}$", ["%Y%m%d%H%M%S"], [""])]) + ")"
 
 
 def parse_exact(x, fmt, guard):
@@ -366,9 +375,15 @@ def parse_exact(x, fmt, guard):
 
 
 def formatted_ts(ts, k):
-    return (f"CASE ({k}) % 8 WHEN 0 THEN strftime({ts}, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime({ts}, '%m/%d/%Y') "
+    return (f"CASE ({k}) % 20 WHEN 0 THEN strftime({ts}, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime({ts}, '%m/%d/%Y') "
             f"WHEN 2 THEN strftime({ts}, '%-d/%-m/%Y %-H:%M') WHEN 3 THEN strftime({ts}, '%Y%m%d') "
-            f"WHEN 4 THEN 'junk' WHEN 5 THEN strftime({ts}, '%d/%m/%Y') WHEN 6 THEN strftime({ts}, '%Y-%m-%d') END")
+            f"WHEN 4 THEN 'junk' WHEN 5 THEN strftime({ts}, '%d/%m/%Y') WHEN 6 THEN strftime({ts}, '%Y-%m-%d') "
+            f"WHEN 7 THEN strftime({ts}, '%Y-%m-%d %H:%M:%S.%f') WHEN 8 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%SZ') "
+            f"WHEN 9 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S+08:00') WHEN 10 THEN strftime({ts}, '%d-%b-%Y') "
+            f"WHEN 11 THEN strftime({ts}, '%-d %b %Y %H:%M') WHEN 12 THEN strftime({ts}, '%B %-d, %Y') "
+            f"WHEN 13 THEN strftime({ts}, '%m/%d/%y') WHEN 14 THEN strftime({ts}, '%m/%d/%Y %I:%M %p') "
+            f"WHEN 15 THEN strftime({ts}, '%Y/%m/%d') WHEN 16 THEN strftime({ts}, '%Y%m%d%H%M%S') "
+            f"WHEN 17 THEN strftime({ts}, ' %-d/%-m/%Y  %-H:%M:%S') END")
 
 
 _ISO_GUARD = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
@@ -387,7 +402,7 @@ def pad_seconds(t):
 
 
 ORACLE["q_arrival_dt"] = f"""
-SELECT o_orderkey, arrival_time, {parse_mixed("concat_ws(' ', arrival_date, arrival_time)", True)} AS arrival_dt,
+SELECT o_orderkey, arrival_time, {parse_mixed("(arrival_date || ' ' || arrival_time)", True)} AS arrival_dt,
   {parse_mixed('discharge', True)} AS date_of_discharge_or_death
 FROM (SELECT o_orderkey, arrival_date, {pad_seconds('arrival_time')} AS arrival_time, discharge
       FROM (SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS arrival_date,
@@ -713,13 +728,16 @@ ORACLE["q_row_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS name, count(*) AS rowcount FROM {t}" for t in SUPPLIED_COLUMNS)
 
 
+_FP_CELLS = " || ".join(f"'{c}=' || coalesce(length({v}) || ':' || {v}, 'null') || ';'" for c, v in sorted({
+    "o_orderkey": "CAST(o_orderkey AS VARCHAR)", "o_orderstatus": "o_orderstatus",
+    "cents": "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)", "day": "strftime(o_orderdate, '%Y-%m-%d')"}.items()))
+_FP_CHECKSUM = ("CAST(sum(CAST('0x' || substr(h, 1, 16) AS UBIGINT)) AS VARCHAR) || '-' || "
+                "CAST(sum(CAST('0x' || substr(h, 17) AS UBIGINT)) AS VARCHAR) AS checksum")
+
+
 def _customer_files(where=""):
-    row = ("concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), ''), coalesce(o_orderstatus, ''), "
-           "coalesce(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), ''), "
-           "coalesce(strftime(o_orderdate, '%Y-%m-%d'), ''))")
-    return (f"SELECT 'cust_' || CAST(o_custkey AS VARCHAR) || '.csv' AS filename, count(*) AS rowcount, "
-            f"CAST(sum(CAST(('0x' || substr(md5({row}), 1, 15)) AS BIGINT)) AS VARCHAR) AS checksum "
-            f"FROM orders {where} GROUP BY 1")
+    return (f"SELECT 'cust_' || CAST(o_custkey AS VARCHAR) || '.csv' AS filename, count(*) AS rowcount, {_FP_CHECKSUM} "
+            f"FROM (SELECT *, md5({_FP_CELLS}) AS h FROM orders {where}) GROUP BY 1")
 
 
 ORACLE["q_ledger_anti"] = f"""
@@ -787,10 +805,7 @@ ORACLE["q_export_date"] = (
     + _export_date("events", ["event_type", "props"], ["ts"]) + " FROM events")
 
 ORACLE["q_fingerprint"] = f"""
-SELECT 'orders' AS "table", rowcount, checksum FROM (
-  SELECT count(*) AS rowcount, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), o_orderstatus,
-    CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'))), 1, 15)) AS BIGINT)) AS VARCHAR)
-    AS checksum FROM orders)"""
+SELECT 'orders' AS "table", count(*) AS rowcount, {_FP_CHECKSUM} FROM (SELECT md5({_FP_CELLS}) AS h FROM orders)"""
 
 
 # ---- per-source cleaners ------------------------------------------------------------------------
@@ -893,7 +908,7 @@ ORACLE["q_clean_ehr_vitals"] = _vitals_clean()
 ORACLE["q_clean_ccd_ohca"] = f"""
 SELECT mrn_sha1 AS subject_id, d AS date_of_arrival_at_ed, t AS time_of_arrival_at_ed,
   {parse_mixed('dis', True)} AS date_of_discharge_or_death, Outcome AS outcome,
-  {parse_mixed("concat_ws(' ', d, t)", True)} AS arrival_dt
+  {parse_mixed("(d || ' ' || t)", True)} AS arrival_dt
 FROM (SELECT mrn_sha1, d, {pad_seconds('t0')} AS t, dis, Outcome
       FROM (SELECT DISTINCT 'mrn_' || CAST(o_custkey AS VARCHAR) AS mrn_sha1, strftime(o_orderdate, '%d/%m/%Y') AS d,
               {pick('o_orderkey', Q.ARRIVAL_TIMES)} AS t0,

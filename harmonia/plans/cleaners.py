@@ -54,19 +54,16 @@ def _has(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
-WIDE_DATE_THRESHOLD = 4
-
-
 def coerce_dates(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Coerce the listed columns to timestamps.  For many text columns the parser is applied
-    once through a higher-order ``transform`` over an array of them, so generated code stays
-    far below the JVM's 64 KB method limit (27 inlined parsers do not)."""
+    """Coerce the listed columns to timestamps.  The parser is applied to all text columns through
+    one higher-order ``transform`` over an array of them, so generated code stays far below the
+    JVM's 64 KB method limit (27 inlined parsers do not)."""
     from pyspark.sql import types as T
     present = [c for c in cols if _has(df, c)]
     text = [c for c in present if not isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
     typed = {c: D.coerce_ts(df, c) for c in present if c not in text}
-    if len(text) <= WIDE_DATE_THRESHOLD:
-        return df.withColumns({**typed, **{c: D.coerce_ts(df, c) for c in text}}) if present else df
+    if not text:
+        return df.withColumns(typed) if typed else df
     arr = "__dates"
     df = df.withColumn(arr, F.transform(F.array(*[_c(c).cast("string") for c in text]), lambda v: D.parse_mixed(v)))
     return df.withColumns({**typed, **{c: F.col(arr)[i] for i, c in enumerate(text)}}).drop(arr)
@@ -114,7 +111,7 @@ def join_encounters(df: DataFrame, ctx: Context, key: str, system: str, how: str
 def ohca_step(df, ctx):
     t = D.pad_seconds(_c("Time of arrival at ED"))
     df = df.withColumn("Time of arrival at ED", t)
-    df = df.withColumn("arrival_dt", D.parse_mixed(F.concat_ws(" ", _c("Date of arrival at ED"), t), dayfirst=True))
+    df = df.withColumn("arrival_dt", D.parse_mixed(F.concat(_c("Date of arrival at ED"), F.lit(" "), t), dayfirst=True))
     df = df.withColumn("Date of Discharge or Death", D.parse_mixed(_c("Date of Discharge or Death"), dayfirst=True))
     return rename(df, {"mrn_sha1": "subject_id", "Time of arrival at ED": "time_of_arrival_at_ed",
                        "Date of arrival at ED": "date_of_arrival_at_ed",
@@ -153,7 +150,7 @@ def coronary_physiology_step(df, ctx):
 def cis_step(df, ctx):
     s = ctx.secret
     if _has(df, "Procedure Date"):
-        df = df.withColumn("Procedure Date", F.when(_c("Procedure Date") == L.CIS_DATE_SENTINEL, F.lit(None))
+        df = df.withColumn("Procedure Date", F.when(_c("Procedure Date").cast("string") == L.CIS_DATE_SENTINEL, F.lit(None))
                            .otherwise(_c("Procedure Date")))
     if _has(df, "Study Num"):
         df = df.withColumn("Study Num", pseudonym(_c("Study Num"), s["salt"], s["start_idx"], s["length"]))
@@ -163,7 +160,7 @@ def cis_step(df, ctx):
         df = df.drop(*aliases[1:]).withColumnRenamed(aliases[0], "Hospital")
     header = ["IDRef", "Study Num"]
     if _has(df, "Procedure Date"):
-        df = df.withColumn("Procedure Date", D.format_ts(D.parse_mixed(_c("Procedure Date"))))
+        df = df.withColumn("Procedure Date", D.format_ts(D.coerce_ts(df, "Procedure Date")))
         header.append("Procedure Date")
     if _has(df, "Hospital"):
         header.append("Hospital")

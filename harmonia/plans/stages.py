@@ -156,10 +156,10 @@ def must_parse_violations(table: str, staged: DataFrame) -> DataFrame | None:
     if table == "ehr.encounter":
         return code_violations(staged)
     if table.startswith("cis.") and "Procedure Date" in cols:
-        v = F.when(F.col("`Procedure Date`") != L.CIS_DATE_SENTINEL, F.col("`Procedure Date`"))
+        v = F.nullif(F.col("`Procedure Date`").cast("string"), F.lit(L.CIS_DATE_SENTINEL))
         return date_violations(staged.withColumn("_pd", v), "Study Num", "_pd", D.parse_mixed(F.col("_pd")))
     if table == "ccd.ohca" and {"Date of arrival at ED", "Time of arrival at ED"} <= cols:
-        arr = F.concat_ws(" ", F.col("`Date of arrival at ED`"), D.pad_seconds(F.col("`Time of arrival at ED`")))
+        arr = F.concat(F.col("`Date of arrival at ED`"), F.lit(" "), D.pad_seconds(F.col("`Time of arrival at ED`")))
         return date_violations(staged.withColumn("_arr", arr), "mrn_sha1", "_arr", D.parse_mixed(F.col("_arr"), True))
     return None
 

@@ -425,7 +425,7 @@ def q_dedup(spark, sf_dir):
 
 def formatted_ts(ts, k):
     """A timestamp written in one of several spellings chosen by key, plus junk and nulls."""
-    m = F.pmod(k, F.lit(8))
+    m = F.pmod(k, F.lit(20))
     return (F.when(m == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
             .when(m == 1, F.date_format(ts, "MM/dd/yyyy"))
             .when(m == 2, F.date_format(ts, "d/M/yyyy H:mm"))
@@ -433,6 +433,17 @@ def formatted_ts(ts, k):
             .when(m == 4, F.lit("junk"))
             .when(m == 5, F.date_format(ts, "dd/MM/yyyy"))
             .when(m == 6, F.date_format(ts, "yyyy-MM-dd"))
+            .when(m == 7, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+            .when(m == 8, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(m == 9, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+08:00'"))
+            .when(m == 10, F.date_format(ts, "dd-MMM-yyyy"))
+            .when(m == 11, F.date_format(ts, "d MMM yyyy HH:mm"))
+            .when(m == 12, F.date_format(ts, "MMMM d, yyyy"))
+            .when(m == 13, F.date_format(ts, "MM/dd/yy"))
+            .when(m == 14, F.date_format(ts, "MM/dd/yyyy hh:mm a"))
+            .when(m == 15, F.date_format(ts, "yyyy/MM/dd"))
+            .when(m == 16, F.date_format(ts, "yyyyMMddHHmmss"))
+            .when(m == 17, F.concat(F.lit(" "), F.date_format(ts, "d/M/yyyy"), F.lit("  "), F.date_format(ts, "H:mm:ss")))
             .otherwise(F.lit(None)))
 
 
@@ -469,7 +480,7 @@ def q_arrival_dt(spark, sf_dir):
                   formatted_ts(F.col("o_orderdate"), F.col("o_custkey")).alias("discharge"))
     df = df.withColumn("arrival_time", pad_seconds(F.col("arrival_time")))
     return df.select(k, "arrival_time",
-                     parse_mixed(F.concat_ws(" ", "arrival_date", "arrival_time"), dayfirst=True).alias("arrival_dt"),
+                     parse_mixed(F.concat("arrival_date", F.lit(" "), "arrival_time"), dayfirst=True).alias("arrival_dt"),
                      parse_mixed(F.col("discharge"), dayfirst=True).alias("date_of_discharge_or_death"))
 
 

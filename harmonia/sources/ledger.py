@@ -41,10 +41,13 @@ def select_tables(tables: DataFrame, schema_part: str | None = None, name_part:
 
 
 def fingerprint(df: DataFrame, group_cols: list[str], value_cols: list[str]) -> DataFrame:
-    """Order-insensitive content fingerprint per group: row count and the sum of a 60-bit MD5
-    prefix of each row's text.  Commutative, so it needs no sort and aggregates partially on the
-    map side (a hot group costs one partial row per task)."""
-    row_txt = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in value_cols])
-    h = F.conv(F.substring(F.md5(row_txt), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rowcount"),
-                                       F.sum(h).cast("string").alias("checksum"))
+    """Order-insensitive content fingerprint per group: row count and the sums of both halves of each
+    row's MD5.  A row's text holds name, length and value of every cell, by column name, so neither
+    separators inside values nor the order of columns matter and null differs from empty.  Commutative:
+    it needs no sort and aggregates partially on the map side (a hot group costs one partial row per task)."""
+    def cell(c):
+        v = F.col(c).cast("string")
+        return F.concat(F.lit(f"{c}="), F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("null")), F.lit(";"))
+    row = F.md5(F.concat(*[cell(c) for c in sorted(value_cols)]))
+    halves = [F.sum(F.conv(F.substring(row, at, 16), 16, 10).cast("decimal(20,0)")).cast("string") for at in (1, 17)]
+    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rowcount"), F.concat_ws("-", *halves).alias("checksum"))

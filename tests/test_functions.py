@@ -116,14 +116,40 @@ def test_mixed_dates(spark):
     assert mf[7] == datetime(2021, 3, 4, 10)
 
 
-def test_parse_mixed_equals_format_list(spark):
-    """The fast parser must equal the format-list specification (used by the SQL oracle)."""
-    vals = ["4/3/2021", "04/03/2021 09:05:10", "31/12/2020 23:59", "12-31-2020", "2020-1-2", "2020-01-02T03:04:05",
-            "2020-02-30", "20201231", "1/2/2020 24:00", "2020-12-31 7:05", "13/13/2020", "x", "2020-01-02T03:04"]
-    df = spark.createDataFrame([(v,) for v in vals], "x string")
-    for dayfirst, fmts in ((False, D.MONTH_FIRST_FORMATS), (True, D.DAY_FIRST_FORMATS)):
-        rows = df.select(D.parse_mixed(F.col("x"), dayfirst).alias("a"), D.parse_formats(F.col("x"), fmts).alias("b")).collect()
-        assert [r["a"] for r in rows] == [r["b"] for r in rows]
+@pytest.mark.parametrize("text, month_first, day_first", [
+    ("4/3/2021", datetime(2021, 4, 3), datetime(2021, 3, 4)),
+    ("31/12/2020 23:59", datetime(2020, 12, 31, 23, 59), datetime(2020, 12, 31, 23, 59)),
+    ("12-31-2020", datetime(2020, 12, 31), datetime(2020, 12, 31)),
+    ("2021-03-04 10:11:12.123", datetime(2021, 3, 4, 10, 11, 12, 123000), ...),
+    ("2021-03-04T10:11:12.123456789", datetime(2021, 3, 4, 10, 11, 12, 123456), ...),
+    ("2021-03-04T10:11:12Z", datetime(2021, 3, 4, 10, 11, 12), ...),
+    ("2021-03-04 10:11:12+08:00", datetime(2021, 3, 4, 10, 11, 12), ...),
+    ("12-Mar-2021", datetime(2021, 3, 12), ...),
+    ("12 mar 2021 7:05", datetime(2021, 3, 12, 7, 5), ...),
+    ("March 12, 2021", datetime(2021, 3, 12), ...),
+    ("01/02/21", datetime(2021, 1, 2), datetime(2021, 2, 1)),
+    ("01/02/70", datetime(1970, 1, 2), datetime(1970, 2, 1)),
+    ("3/4/2021 5:06 PM", datetime(2021, 3, 4, 17, 6), datetime(2021, 4, 3, 17, 6)),
+    ("3/4/2021 12:00 am", datetime(2021, 3, 4), datetime(2021, 4, 3)),
+    ("2021/03/04", datetime(2021, 3, 4), ...),
+    ("20210304101112", datetime(2021, 3, 4, 10, 11, 12), ...),
+    ("04/03/2021 7:3:00", datetime(2021, 4, 3, 7, 3), datetime(2021, 3, 4, 7, 3)),
+    (" 04/03/2021  09:05 ", datetime(2021, 4, 3, 9, 5), datetime(2021, 3, 4, 9, 5)),
+    ("2020-02-30", None, None), ("1/2/2020 24:00", None, None), ("13/13/2020", None, None), ("x", None, None),
+    ("", None, None), ("12 Foo 2021", None, None), ("3/4/2021 13:00 PM", None, None), ("2021-03-04 10:61", None, None),
+    ("1|2|2021", None, None), ("00/00/00", None, None),
+])
+def test_mixed_spellings(spark, text, month_first, day_first):
+    day_first = month_first if day_first is ... else day_first
+    assert one(spark, [text], D.parse_mixed) == [month_first]
+    assert one(spark, [text], lambda c: D.parse_mixed(c, dayfirst=True)) == [day_first]
+
+
+@pytest.mark.parametrize("text, code", [
+    ("12.99999999999", "12"), ("0.99999999999", "0"), ("-0.5", "0"), ("-12.9", "-12"), ("007", "7"), ("000", "0"), ("+5", "5"),
+    ("1e5", "100000"), ("1e30", "1" + "0" * 30), ("1" * 45, "1" * 45), (" 12 ", "12"), (None, "-9999"), ("I21.0,5.0", "I21,5"), ("I21", None)])
+def test_numeric_code_is_exact(spark, text, code):
+    assert one(spark, [text], C.numeric_code) == [code]
 
 
 def test_day_diff_floors_and_padding(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from harmonia import lookups as L
 from harmonia.operators import derived, quality, rows, schema
+from harmonia.plans import cleaners
 from harmonia.sources import ledger
 
 
@@ -149,6 +150,30 @@ def test_rows_and_quality(spark):
                  ("v3", "Q4_combined_has_dot")}
 
 
+def test_fingerprint_keeps_cells_apart(spark):
+    def of(rows, cols=("k", "v"), schema="k string, v string"):
+        return ledger.fingerprint(spark.createDataFrame(rows, schema), [], list(cols)).first()["checksum"]
+    base = of([("a|b", "c")])
+    assert base != of([("a", "b|c")])
+    assert base == of([("a|b", "c")], ("v", "k")) == of([("c", "a|b")], schema="v string, k string")
+    assert of([(None, "c")]) != of([("", "c")])
+
+
+def test_diagnosis_join_keeps_flags_of_repeated_and_null_visits(spark):
+    enc = spark.createDataFrame(
+        [("v", "99", "edw"), ("v", "1", "edw"), (None, "1", "edw"), (None, "5", None)], "visit_id string, primary_diagnosis string, db_source string").selectExpr(
+        "*", "'s' AS subject_id", "'' AS secondary_diagnosis", "'d' AS visit_date", "'l' AS location", "'u' AS sub_location", "'x' AS visit_outcome")
+    lookup = spark.createDataFrame([("edw", "ht", "1")], "db_source string, dx string, code string")
+    got = derived.encounter_diagnosis_by_join(enc, lookup).select("visit_id", "combined_diagnosis", "ht").collect()
+    assert sorted((str(r[0]), r[1].strip(","), r[2]) for r in got) == [("None", "", 0), ("None", "1", 1), ("v", "1", 1), ("v", "99", 0)]
+
+
+def test_cis_cleaner_takes_typed_dates(spark):
+    df = spark.sql("SELECT 'p' AS IDRef, 'S1' AS `Study Num`, TIMESTAMP_NTZ'2021-03-04 10:11:12' AS `Procedure Date`")
+    got = cleaners.clean(df, cleaners.CLEANERS["cis.cag"], cleaners.Context()).first()
+    assert got["procedure_date"] is not None and str(got["procedure_date"]).startswith("2021-03-04 10:11:12")
+
+
 def test_fingerprint_order_insensitive(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     f1 = ledger.fingerprint(df, [], ["k", "v"]).collect()[0]
