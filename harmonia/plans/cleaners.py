@@ -40,6 +40,7 @@ class CleanerSpec:
     dt_cols: list[str] = field(default_factory=list)
     dt_formats: dict[str, str] = field(default_factory=dict)
     abbreviations: dict[str, str] = field(default_factory=dict)
+    joins_encounters: bool = False   # the step reads Context.encounters
 
     @property
     def target(self) -> str:
@@ -189,6 +190,13 @@ IECG_HEAD = ["filename", "subject_id", "subject_dob", "subject_age", "study_id",
 IECG_TAIL = ["rr_interval", "qrs_onset", "p_axis", "qrs_axis", "t_axis"]
 
 
+IECG_TIME = (IECG + "dataacquisition/@date", IECG + "dataacquisition/@time")
+
+
+def parse_iecg_time(text):
+    return D.parse_exact(text, "yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+
+
 def iecg_step(df, ctx):
     s = ctx.secret
     stmt = IECG + "interpretations/interpretation/statement"
@@ -197,8 +205,7 @@ def iecg_step(df, ctx):
     xm = IECG + "internalmeasurements/crossleadmeasurements/"
     df = df.withColumns({
         "study_id": pseudonym(file_stem(_c("filename")), s["salt"], s["start_idx"], 30),
-        "ecg_time": D.parse_exact(F.concat_ws(" ", _c(IECG + "dataacquisition/@date"), _c(IECG + "dataacquisition/@time")),
-                                  "yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
+        "ecg_time": parse_iecg_time(F.concat_ws(" ", *map(_c, IECG_TIME))),
         "report": X.ecg_report(_c(stmt), _c(stmt + "/rightstatement"), _c(stmt + "/leftstatement")),
         "highpassfilter": _c(bw + "highpassfiltersetting"),
         "lowpassfilter": _c(bw + "lowpassfiltersetting"),
@@ -251,12 +258,17 @@ MUSE_COLUMNS = ["filename", "subject_id", "subject_age", "cart_id", "ecg_time",
                 "qtinterval", "qtc", "qrs_onset", "qrs_axis", "t_axis"]
 
 
+MUSE_TIME = ("RestingECG/TestDemographics/AcquisitionDate", "RestingECG/TestDemographics/AcquisitionTime")
+
+
+def parse_muse_time(text):
+    return D.parse_exact(text, "MM-dd-yyyy HH:mm:ss", r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$")
+
+
 def muse_step(df, ctx):
     df = rename(df, MUSE_RENAMES)
     df = df.withColumn("filename", F.concat(_c("Folder"), F.lit("/"), _c("Filename")))
-    df = df.withColumn("ecg_time", D.parse_exact(
-        F.concat_ws(" ", _c("RestingECG/TestDemographics/AcquisitionDate"), _c("RestingECG/TestDemographics/AcquisitionTime")),
-        "MM-dd-yyyy HH:mm:ss", r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"))
+    df = df.withColumn("ecg_time", parse_muse_time(F.concat_ws(" ", *map(_c, MUSE_TIME))))
     return project(df, MUSE_COLUMNS)
 
 
@@ -424,12 +436,14 @@ CLEANERS: dict[str, CleanerSpec] = {s.source: s for s in [
     CleanerSpec("concept.diagnosis_codes", None, destination="concept.diagnosis_code"),
     CleanerSpec("ecg.iecg", iecg_step, dt_cols=["ecg_time"]),
     CleanerSpec("ecg.muse", muse_step, dt_cols=["ecg_time"]),
-    CleanerSpec("ehr.dts_discharge_medication", dts_discharge_medication_step, destination="ehr.medication"),
+    CleanerSpec("ehr.dts_discharge_medication", dts_discharge_medication_step, destination="ehr.medication",
+                joins_encounters=True),
     CleanerSpec("ehr.dts_medication", dts_medication_step, destination="ehr.medication"),
-    CleanerSpec("ehr.edw_medication", edw_medication_step, destination="ehr.medication"),
-    CleanerSpec("ehr.edw_outpatient_medication", edw_outpatient_medication_step, destination="ehr.medication"),
+    CleanerSpec("ehr.edw_medication", edw_medication_step, destination="ehr.medication", joins_encounters=True),
+    CleanerSpec("ehr.edw_outpatient_medication", edw_outpatient_medication_step, destination="ehr.medication",
+                joins_encounters=True),
     CleanerSpec("ehr.dts_laboratory", dts_laboratory_step, destination="ehr.lab"),
-    CleanerSpec("ehr.edw_laboratory", edw_laboratory_step, destination="ehr.lab"),
+    CleanerSpec("ehr.edw_laboratory", edw_laboratory_step, destination="ehr.lab", joins_encounters=True),
     CleanerSpec("ehr.problem_list", lambda df, ctx: rename(df, {"mrn_sha1": "subject_id"}), destination="ehr.diagnosis"),
     CleanerSpec("ehr.patient", patient_step, dt_cols=PATIENT_DATE_COLUMNS),
     CleanerSpec("ehr.encounter", encounter_step),

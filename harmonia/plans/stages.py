@@ -26,10 +26,10 @@ from .. import lookups as L
 from ..operators import derived as X
 from ..operators.deid import drop_phi, redact_strings
 from ..operators.schema import (best_renames, canonical_schema, infer_tables, merge_versions,
-                                pad_to_schema, unmapped_files)
+                                pad_to_schema, union_versions, unmapped_files)
 from ..sources.files import manifest, read_raw
 from ..sources.ledger import latest, pending
-from .cleaners import CLEANERS, Context, clean
+from .cleaners import CLEANERS, IECG_TIME, MUSE_TIME, Context, clean, parse_iecg_time, parse_muse_time
 
 log = logging.getLogger(__name__)
 
@@ -81,7 +81,7 @@ def build_canonical_schema(spark: SparkSession, raw_folder: str, aliases: dict[s
 
 
 def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: dict[str, list[str]],
-               threshold: float = 0.9, method: str = "levenshtein", phi: dict | None = None,
+               threshold: float = 0.9, method: str = "ratcliff", phi: dict | None = None,
                checksum_mode: str = "content", multiline: bool = True) -> list[dict]:
     """Ingest new or changed raw files: infer each file's table from its header, rename fuzzy
     matches to the canonical spelling, drop identifying columns, redact ids, pad to the canonical
@@ -137,19 +137,25 @@ def write_checked(spark: SparkSession, df: DataFrame, path: str, what: str) -> i
 
 def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All staged files of one table, aligned by name (absent columns null; types resolved)."""
-    from ..operators.schema import union_versions
     base = f"{root}/staged/{table}"
     parts = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
     return union_versions(parts)
 
 
-def _stage_key(ledger_rows) -> str:
-    return hashlib.sha256("|".join(sorted(f"{r['filename']}:{r['checksum']}" for r in ledger_rows)).encode()).hexdigest()
+def _stage_key(ledger_rows, secret: dict) -> str:
+    """Names what a cleaned table was made from: the ingested files and the pseudonym secret."""
+    made_from = [f"{r['filename']}:{r['checksum']}" for r in ledger_rows] + [f"{k}={v}" for k, v in secret.items()]
+    return hashlib.sha256("|".join(sorted(made_from)).encode()).hexdigest()
+
+
+# must-parse recording times: date column, time column, parser
+ECG_TIMES = {"ecg.iecg": (*IECG_TIME, parse_iecg_time), "ecg.muse": (*MUSE_TIME, parse_muse_time)}
 
 
 def must_parse_violations(table: str, staged: DataFrame) -> DataFrame | None:
     """Violation rows of the rules the original enforced by raising: unparseable primary codes
-    (Q3, Q8) in encounters, unparseable must-parse dates (Q9) in CIS, OHCA and ECG exports."""
+    (Q3, Q8) in encounters, unparseable must-parse dates (Q9) in CIS, OHCA, ECG and outpatient
+    medication exports."""
     from ..functions import dates as D
     from ..operators.quality import code_violations, date_violations
     cols = set(staged.columns)
@@ -161,12 +167,19 @@ def must_parse_violations(table: str, staged: DataFrame) -> DataFrame | None:
     if table == "ccd.ohca" and {"Date of arrival at ED", "Time of arrival at ED"} <= cols:
         arr = F.concat(F.col("`Date of arrival at ED`"), F.lit(" "), D.pad_seconds(F.col("`Time of arrival at ED`")))
         return date_violations(staged.withColumn("_arr", arr), "mrn_sha1", "_arr", D.parse_mixed(F.col("_arr"), True))
+    if table in ECG_TIMES and set(ECG_TIMES[table][:2]) <= cols:
+        day, time, parse = ECG_TIMES[table]
+        at = F.concat_ws(" ", F.col(f"`{day}`"), F.col(f"`{time}`"))
+        return date_violations(staged.withColumn("_at", at), "filename" if "filename" in cols else "Filename", "_at", parse(F.col("_at")))
+    if table == "ehr.edw_outpatient_medication" and "CREATION_DATE_KEY" in cols:
+        start = F.col("CREATION_DATE_KEY").cast("string")
+        return date_violations(staged.withColumn("_start", start), "ENC_KEY", "_start", D.parse_mixed(F.col("_start")))
     return None
 
 
-def clean_stage(spark: SparkSession, root: str, secret: dict | None = None, strict: bool = False) -> list[str]:
-    """Clean every staged table whose input changed since its last clean; each source writes
-    its own partition of the destination table.  Returns the cleaned source tables.  With
+def clean_stage(spark: SparkSession, root: str, secret: dict, strict: bool = False) -> list[str]:
+    """Clean every staged table whose input (its files, the secret, and the encounter files where
+    the cleaner joins them) changed since its last clean; each source writes its own partition of the destination table.  Returns the cleaned source tables.  With
     ``strict`` a table with must-parse violations stops the stage (as the original did);
     otherwise the values become null and the violations stay queryable."""
     from ..operators.quality import enforce
@@ -175,13 +188,20 @@ def clean_stage(spark: SparkSession, root: str, secret: dict | None = None, stri
     for r in files:
         by_table.setdefault(r["tablename"], []).append(r)
     done = {(r["tablename"], r["stage_key"]) for r in read_ledger(spark, f"{root}/ledger/clean", CLEAN_LEDGER_SCHEMA).collect()}
-    ctx = Context(secret=secret or dict(L.TEST_SECRET))
+    if not secret or not secret.get("salt"):
+        raise ValueError("clean_stage needs the pseudonym secret: salt, start_idx, length")
+    ctx = Context(secret=secret)
     if "ehr.encounter" in by_table:
         ctx.encounters = read_staged(spark, root, "ehr.encounter").select("visit_id", "mrn_sha1", "encounter_type")
     cleaned = []
     for table, rows in sorted(by_table.items()):
-        spec, key = CLEANERS.get(table), _stage_key(rows)
-        if spec is None or (table, key) in done:
+        spec = CLEANERS.get(table)
+        if spec is None:
+            log.warning("no cleaner for %s", table)
+            continue
+        # a late encounter changes what these cleaners return although their own files stay
+        key = _stage_key(rows + by_table.get("ehr.encounter", []) if spec.joins_encounters else rows, secret)
+        if (table, key) in done:
             continue
         staged = read_staged(spark, root, table)
         if strict:
@@ -202,7 +222,6 @@ def read_clean(spark: SparkSession, root: str, destination: str) -> DataFrame |
     parts = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
     if not parts:
         return None
-    from ..operators.schema import union_versions
     return union_versions(parts)
 
 
@@ -232,14 +251,15 @@ def transform_stage(spark: SparkSession, root: str, transforms: dict | None = No
 
 def merge_stage(spark: SparkSession, root: str) -> dict[str, str]:
     """Final tables: every version (source partition) of a cleaned or derived table, cast to the
-    resolved types, UNION ALL, DISTINCT.  Returns {table: path}."""
+    resolved types, UNION ALL, DISTINCT.  A single version is distinct already (cleaners
+    de-duplicate) and is not shuffled again.  Returns {table: path}."""
     out = {}
     for dest in _list_dirs(spark, f"{root}/clean"):
         base = f"{root}/clean/{dest}"
         versions = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
         dataset, table = dest.split(".")[0], dest.split(".")[-1]
         path = f"{root}/final/{dataset}/{table}"
-        write_checked(spark, merge_versions(versions), path, f"final {dest}")
+        write_checked(spark, merge_versions(versions) if len(versions) > 1 else union_versions(versions), path, f"final {dest}")
         out[dest] = path
     for name in _list_dirs(spark, f"{root}/derived"):
         dataset, table = name.split(".")[0], name.split(".")[-1]
@@ -247,5 +267,3 @@ def merge_stage(spark: SparkSession, root: str) -> dict[str, str]:
         write_checked(spark, spark.read.parquet(f"{root}/derived/{name}").distinct(), path, f"final {name}")
         out[name] = path
     return out
-
-

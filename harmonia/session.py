@@ -2,7 +2,7 @@
 
 Operators never read session state; only the helpers here do.  Scratch output always goes
 below the folder the cluster names in ``spark.checkpoint.dir`` so that every executor sees it.
-A folder of our own is set only when the session has none (local tests).
+A folder of our own is set only when the session has none and runs in one process (local tests).
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder from ``spark.checkpoint.dir``; set one only if it is unset."""
+    """The cluster-wide folder from ``spark.checkpoint.dir``; on ``local[...]`` one is set if it is unset."""
     base = None
     try:
         base = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base and sc is not None:
         base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if sc is None or sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="harmonia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -3,6 +3,7 @@ twice, to show that re-runs skip unchanged inputs and never duplicate rows."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from harmonia import queries as Q
@@ -10,6 +11,7 @@ from harmonia.plans import stages as S
 from harmonia.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
+SECRET = {"salt": "tests only", "start_idx": 5, "length": 20}
 
 
 def _write_csv(df, path):
@@ -43,9 +45,11 @@ def test_stages_end_to_end(spark):
     staged_echo = S.read_staged(spark, root, "cis.echo")
     assert "Case Closed Date" not in staged_echo.columns      # identifying column dropped
 
-    cleaned = S.clean_stage(spark, root)
+    with pytest.raises(ValueError, match="secret"):
+        S.clean_stage(spark, root, {})
+    cleaned = S.clean_stage(spark, root, SECRET)
     assert set(cleaned) == set(known)
-    assert S.clean_stage(spark, root) == []                   # nothing changed since
+    assert S.clean_stage(spark, root, SECRET) == []                   # nothing changed since
     meds = S.read_clean(spark, root, "ehr.medication")
     assert meds.columns[:3] == ["subject_id", "medication_start_dt", "medication_end_dt"]
 
@@ -80,3 +84,38 @@ def test_files_of_one_stem_stay_apart_and_restored_content_is_ingested(spark, tm
     assert len(S.preprocess(spark, str(raw), root, known)) == 1
     assert staged() == ["1", "3", "7"]
     assert S.preprocess(spark, str(raw), root, known) == []
+
+
+def test_late_encounter_reaches_sources_that_were_cleaned_before(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    raw.mkdir()
+    known = {"ehr.encounter": ["visit_id", "mrn_sha1", "encounter_type", "primary_diagnosis"],
+             "ehr.edw_laboratory": ["ENC_KEY", "REQ_LOCATION", "COLLECTION_DATE_SID", "RESULT_TEST_DATE", "SHORTTEXT", "TEST_RESULTS", "UNITS"]}
+    head, row = ",".join(known["ehr.edw_laboratory"]), "{},ward,20210304,2021-03-05,sodium,140,mmol/L"
+    (raw / "lab.csv").write_text("\n".join([head, row.format(1), row.format(2)]) + "\n")
+    encounter = "visit_id,mrn_sha1,encounter_type,primary_diagnosis\nedw_1,p1,inpatient,410\n"
+    (raw / "enc.csv").write_text(encounter)
+    S.preprocess(spark, str(raw), root, known)
+    S.clean_stage(spark, root, SECRET)
+
+    def subjects():
+        return sorted(str(r["subject_id"]) for r in S.read_clean(spark, root, "ehr.lab").collect())
+
+    assert subjects() == ["None", "p1"]
+    (raw / "enc.csv").write_text(encounter + "edw_2,p2,inpatient,411\n")
+    S.preprocess(spark, str(raw), root, known)
+    assert S.clean_stage(spark, root, SECRET) == ["ehr.edw_laboratory", "ehr.encounter"]
+    assert subjects() == ["p1", "p2"]
+    assert S.clean_stage(spark, root, SECRET) == []
+    assert set(S.clean_stage(spark, root, SECRET | {"salt": "another"})) == set(known)
+
+
+def test_must_parse_times_of_ecg_and_outpatient_orders(spark):
+    day, time = S.IECG_TIME
+    iecg = spark.createDataFrame([("a", "2021-03-04", "10:11:12"), ("b", "04/03/2021", "10:11:12")], f"filename string, `{day}` string, `{time}` string")
+    assert [r["key"] for r in S.must_parse_violations("ecg.iecg", iecg).collect()] == ["b"]
+    day, time = S.MUSE_TIME
+    muse = spark.createDataFrame([("a", "03-04-2021", "10:11:12"), ("b", "2021-03-04", "10:11:12")], f"Filename string, `{day}` string, `{time}` string")
+    assert [r["key"] for r in S.must_parse_violations("ecg.muse", muse).collect()] == ["b"]
+    orders = spark.createDataFrame([("1", "2021-03-04"), ("2", "soon"), ("3", None)], "ENC_KEY string, CREATION_DATE_KEY string")
+    assert [r["key"] for r in S.must_parse_violations("ehr.edw_outpatient_medication", orders).collect()] == ["2"]

@@ -1,64 +1,52 @@
-"""The Spark valve parser against a Python model that follows the original key-building
-procedure: walk the groups building one underscore-joined key per statement (exclusive groups
-reset the key when nothing matches), split it per anatomy on double underscores, last statement
-wins.  Reports are generated from the vocabulary, filler words and separators."""
-
-import re
+"""The valve parser against findings written by hand, and against sets of terms on generated reports."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from harmonia import lookups as L
 from harmonia.operators import derived
 
+BY_HAND = [
+    ("Severe aortic stenosis.", "aortic_stenosis=severe"),
+    ("Mild-to moderate mitral regurgitation. Normal LV", "mitral_regurgitation=moderate"),
+    ("mild aortic and mitral regurg", "aortic_regurgitation=mild;mitral_regurgitation=mild"),
+    ("TAVI valve, trivial aortic regurgitation", "aortic_tavr_regurgitation=trivial"),
+    ("mild aortic stenosis. severe aortic stenosis", "aortic_stenosis=severe"),
+    ("severe aortic stenosis¤mild pulmonic stenosis§flail tricuspid, severe",
+     "aortic_stenosis=severe;pulmonary_stenosis=mild;tricuspid_prolapse=severe"),
+    ("aortic stenosis", ""), ("severe stenosis", ""), ("severe aortic", ""), ("", ""), (None, ""),
+]
+
+
+def parsed(spark, reports):
+    df = spark.createDataFrame(list(enumerate(reports)), "study_id int, finaldxcollated string")
+    return {r["study_id"]: r["valve_findings"] for r in derived.valve_map_text(df, keep=("study_id",)).collect()}
+
+
+def test_reports_by_hand(spark):
+    got = parsed(spark, [r for r, _ in BY_HAND])
+    assert [got[i] for i in range(len(BY_HAND))] == [f for _, f in BY_HAND]
 
-def model(report: str | None) -> dict:
-    groups = L.valve_groups()
-    text = ("none" if report is None else report).lower().replace("-", " ").replace("_", " ")
-    anatomy_labels = [a for a, _ in dict((g, labels) for g, _, labels in groups)["anatomy"]]
-    out = {}
-    for stmt in re.split(r"\. |¤|§", text):
-        key = ""
-        for _, mode, labels in groups:
-            if mode == "nonexclusive":
-                for label, kws in labels:
-                    if any(k in stmt for k in kws):
-                        key = label if key == "" else key + "_" + label
-            else:
-                hit = next((label for label, kws in labels if any(k in stmt for k in kws)), None)
-                # severity labels carry a leading underscore in the original key scheme
-                lab = None if hit is None else ("_" + hit if labels is groups[-1][2] else hit)
-                key = "" if lab is None else (lab if key == "" else key + "_" + lab)
-        stem = key
-        for a in anatomy_labels:
-            stem = stem.replace(a, "")
-        for a in anatomy_labels:
-            if a in key:
-                item = (a + "_" + stem).replace("____", "__")
-                parts = item.split("__")
-                if len(parts) == 3:
-                    loc, lesion, sev = parts
-                    out[(loc + "_" + lesion).replace("__", "_")] = sev
-    return out
 
+TERMS = {group: dict(labels) for group, _, labels in L.valve_groups()}
+statement = st.fixed_dictionaries({g: st.lists(st.sampled_from(sorted(labels)), max_size=2, unique=True) for g, labels in TERMS.items()})
 
-WORDS = ["aortic", "mitral", "tricuspid", "pulmonary", "pulmonic", "stenosis", "regurgitation", "regurg",
-         "prolapse", "flail", "bicuspid", "annular calcification", "systolic anterior motion", "vegetation",
-         "mass", "severe", "moderate", "mild", "trivial", "mechanical", "bioprosthesis", "tavi", "sapien",
-         "mitraclip", "triclip", "st jude", "valve", "normal", "with", "and", "LV", "Mild-to", "Aortic_"]
-SEPS = [". ", "¤", "§", " ", ", "]
 
-statement = st.lists(st.sampled_from(WORDS), min_size=0, max_size=6).map(" ".join)
-report = st.lists(st.tuples(statement, st.sampled_from(SEPS)), min_size=1, max_size=5).map(
-    lambda parts: "".join(s + sep for s, sep in parts))
+def spoken(s):
+    """A statement that uses the first keyword of every term in it."""
+    return " / ".join(TERMS[g][label][0] for g, labels in s.items() for label in labels)
 
 
-@settings(max_examples=6, deadline=None)
-@given(st.lists(st.one_of(report, st.none()), min_size=150, max_size=150))
-def test_valve_parser_matches_model(spark, reports):
-    df = spark.createDataFrame([(i, r) for i, r in enumerate(reports)], "study_id int, finaldxcollated string")
-    got = {r["study_id"]: r["valve_findings"] for r in derived.valve_map_text(df, keep=("study_id",)).collect()}
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(statement, max_size=4), min_size=100, max_size=100))
+def test_findings_are_the_terms_spoken(spark, reports):
+    got = parsed(spark, [". ".join(map(spoken, r)) for r in reports])
     for i, r in enumerate(reports):
-        exp = ";".join(f"{k}={v}" for k, v in sorted(model(r).items()))
-        assert got[i] == exp, (r, got[i], exp)
+        want = {}
+        for s in r:
+            # of several valve types, lesions or severities, the first in the vocabulary's order counts
+            first = {g: next((label for label in TERMS[g] if label in s[g]), None) for g in TERMS}
+            if first["lesion"] and first["severity"]:
+                for anatomy in s["anatomy"]:
+                    want["_".join(filter(None, (anatomy, first["valve_type"], first["lesion"])))] = first["severity"]
+        assert got[i] == ";".join(f"{k}={v}" for k, v in sorted(want.items())), r
