@@ -1,8 +1,8 @@
 """Toxicity by weak supervision.
 
-Voters are words and word beginnings: a short fixed list of insults, and those that the training
-labels single out as a lexicon or as a pattern (words that begin alike).  Each votes toxic on a
-document or abstains.  A generative label model takes the votes on all documents: a two-class mixture whose
+Voters are words and word beginnings that the training labels single out as a lexicon or as a pattern
+(words that begin alike), each with the rates counted there; no word votes that the labels do not support.
+Each votes toxic on a document or abstains.  A generative label model takes the votes on all documents: a two-class mixture whose
 class-wise vote rates (the voters' accuracies) are fitted by expectation maximisation, every step an
 aggregation over the table of distinct vote patterns, started from the labelled training rows.  Votes that
 go together beyond what the class explains are correlated; the model estimates those
@@ -24,10 +24,6 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, crc_mod, fresh, materialise, table
 
-# ---- fixed values: insults that vote whatever the labels say ----------------------------------------
-INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
-# ------------------------------------------------------------------------------------------------------
-
 #: Labelled documents of each class, about, from which voters are drawn.
 PER_CLASS = 3000
 VOTERS = 64
@@ -117,13 +113,12 @@ def induce_voters(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     # the candidates are bounded by the sample; only forms seen in toxic documents and rare in clean ones come back
     total = counts.where("form is null").first()
     n1, n0 = (max(1, total["toxic"]), max(1, total["clean"])) if total else (1, 1)
-    named = [w.encode() for w in INSULTS]
     seen, share = F.col("toxic") + F.col("clean"), n1 / (n1 + n0)
     surprise = 2 * (F.col("toxic") * F.log(F.col("toxic") / (seen * share))
                     + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (seen * (1 - share)))).otherwise(0))
     strong = (counts.where(F.col("form").isNotNull() & (F.col("toxic") > 0))
               .withColumn("lift", F.log(((F.col("toxic") + 0.5) / n1) / ((F.col("clean") + 0.5) / n0)))
-              .where(F.col("form").isin(named) | ((F.col("lift") > LIFT) & (F.col("toxic") >= SUPPORT) & (surprise >= SURPRISE)))
+              .where((F.col("lift") > LIFT) & (F.col("toxic") >= SUPPORT) & (surprise >= SURPRISE))
               .orderBy(F.desc(F.col("toxic") * F.col("lift")), "form").limit(4 * voters).collect())
     rates = {bytes(r["form"]): (r["toxic"], r["clean"]) for r in strong}
     chosen: list[bytes] = []
@@ -135,9 +130,8 @@ def induce_voters(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
         chosen.append(f)
         if len(chosen) == voters:
             break
-    chosen += [w for w in named if w not in chosen]
-    toxic = np.array([(rates.get(f, (0.15 * n1, 0))[0] + 0.5) / (n1 + 1) for f in chosen])
-    clean = np.array([(rates.get(f, (0, 0))[1] + 0.5) / (n0 + 1) for f in chosen])
+    toxic = np.array([(rates[f][0] + 0.5) / (n1 + 1) for f in chosen])
+    clean = np.array([(rates[f][1] + 0.5) / (n0 + 1) for f in chosen])
     return chosen, np.clip(toxic, 1e-4, 1 - 1e-4), np.clip(clean, 1e-5, 1 - 1e-4), prior
 
 
@@ -171,8 +165,9 @@ def vote(docs: DataFrame, voters: list[bytes], to: str) -> DataFrame:
     return docs.withColumn(to, cast(F.col("text")))
 
 
-def _matrix(patterns: pd.Series) -> np.ndarray:
-    return np.frombuffer("".join(patterns).encode(), dtype=np.uint8).reshape(len(patterns), -1).astype(np.float64) - 48
+def _matrix(patterns: pd.Series, voters: int) -> np.ndarray:
+    """0/1 votes, a row a pattern; without voters, rows of no columns."""
+    return np.frombuffer("".join(patterns).encode(), dtype=np.uint8).reshape(len(patterns), voters).astype(np.float64) - 48
 
 
 def _moments(patterns: DataFrame, model: LabelModel, pairs: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +176,7 @@ def _moments(patterns: DataFrame, model: LabelModel, pairs: bool) -> tuple[np.nd
         k = len(model.voters)
         total = np.zeros((2, (k * k if pairs else k) + 1))
         for pdf in batches:
-            v, n = _matrix(pdf["pattern"]), pdf["n"].to_numpy(dtype=np.float64)
+            v, n = _matrix(pdf["pattern"], k), pdf["n"].to_numpy(dtype=np.float64)
             p = model.posterior(v)
             for c, w in enumerate((n * p, n * (1 - p))):
                 total[c, :-1] += ((v * w[:, None]).T @ v).ravel() if pairs else w @ v
@@ -254,7 +249,7 @@ def train_classifier(docs: DataFrame, patterns: DataFrame, model: LabelModel, pe
     """
     def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"side": (model.posterior(_matrix(pdf["pattern"])) >= 0.5).astype("int32"), "n": pdf["n"]})
+            yield pd.DataFrame({"side": (model.posterior(_matrix(pdf["pattern"], len(model.voters))) >= 0.5).astype("int32"), "n": pdf["n"]})
 
     n = {r[0]: r[1] for r in patterns.mapInPandas(sides, "side int, n long").groupBy("side").agg(F.sum("n")).collect()}
     rate = [min(1.0, per_side / max(1, n.get(side, 0))) * (1 << 20) for side in (0, 1)]
@@ -262,7 +257,7 @@ def train_classifier(docs: DataFrame, patterns: DataFrame, model: LabelModel, pe
     def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ballot = Ballot(model.voters)
         for pdf in batches:
-            p = model.posterior(_matrix(pd.Series([ballot.cast(t) for t in pdf["text"]])))
+            p = model.posterior(_matrix(pd.Series([ballot.cast(t) for t in pdf["text"]], dtype=object), len(model.voters)))
             side = (p >= 0.5).astype("int32")
             took = np.flatnonzero(pdf["h"].to_numpy() < np.array(rate)[side]) if len(pdf) else []
             yield pd.DataFrame({"side": side[took], "p": p[took], "at": [

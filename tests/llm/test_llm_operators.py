@@ -337,6 +337,21 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.clean_documents(docs, nothing).columns == docs.columns
 
 
+def test_toxicity_voters_follow_the_labels(spark):
+    # insults that only clean documents hold do not vote, and voters keep the rates counted for them
+    mild = ("trash", "clown", "loser")
+    rows = [doc(i, ("grumblefoo " if i % 5 == 2 else f"{mild[i % 3]} ") + EN + f" number{i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 2)) for i in range(400)], "doc_id long, quality int, toxic int")
+    big = spark.createDataFrame(rows, DOCS)
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 0]
+    n1 = sum(i % 5 == 2 for i in train)
+    voters, toxic, clean, _ = toxicity.induce_voters(big, labels)
+    assert voters and not any(w.encode().startswith(v.rstrip(b"*")) for v in voters for w in mild + ("idiot", "moron", "scum"))
+    assert toxic == pytest.approx([(n1 + 0.5) / (n1 + 1)] * len(voters)) and clean == pytest.approx([0.5 / (len(train) - n1 + 1)] * len(voters))
+    out = toxicity.score(big, toxicity.fit(big, labels)).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 5 == 2) for r in out)
+
+
 def test_toxicity_held_out(spark):
     from harmonia.llm.queries import QUERIES
     d = "/root/testdata/sf0.01"
