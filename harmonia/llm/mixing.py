@@ -7,7 +7,8 @@ The dual is solved by Newton iterations: each is an aggregation by source over t
 (source, size, documents), every step held inside a shrinking bracket.  Rates are then rounded into
 whole copies, largest documents first, each size carrying its rounding error in words to the next, so
 a source ends within a few words of its target.  Which documents of a size get the extra copy is
-settled by a hash of the doc_id, so reruns agree.
+settled by a hash of the doc_id and the text, so reruns agree; rows that tie in it (repeats of one document) are split
+by their place, so exactly as many take the copy as the rounding asks for.
 """
 
 from __future__ import annotations
@@ -113,47 +114,73 @@ def allot(cells: DataFrame, solved: DataFrame, most: int = MOST) -> DataFrame:
         rounded, "source string, size long, source_size long, target double, rate double, copies long, extra long")
 
 
-def _last_hash(rows: DataFrame, allotted: DataFrame) -> DataFrame:
-    """(source, size, last): the ``extra``-th smallest hash of a (source, size).
+def _last_taken(rows: DataFrame, allotted: DataFrame) -> DataFrame:
+    """(source, size, last, last_row): the row at which a (source, size) has given out its ``extra`` copies, in order of hash, then row.
 
-    A histogram of the hashes' leading bits finds the bucket; only that bucket's rows are ranked, so a
-    size that holds a third of all documents isn't sorted in one task.
+    A histogram of the hashes' leading bits finds the bucket, and only that bucket's distinct hashes are ranked.
+    Where rows tie in the last hash and only some take the copy, counts by the rows' input partition find
+    the partition, and only its tied rows are ranked.  So neither a size nor a document that holds a third of all
+    rows is sorted in one task.  ``last_row`` is null if all rows of the last hash take the copy.
     """
-    bucketed = rows.withColumn("b", F.shiftrightunsigned("h", 52))
+    bucketed = rows.withColumn("b", F.shiftrightunsigned("h", 52)).withColumn("ordered", _ordered(F.col("h")))
     counts = bucketed.groupBy("source", "size", "b").count()
     upto = Window.partitionBy("source", "size").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     a = allotted.where("extra > 0").select(F.col("source").alias("s"), F.col("size").alias("z"), "extra")
-    crossing = (counts.withColumn("upto", F.sum("count").over(upto))
-                .join(a, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
+    of_cell = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
+    crossing = (counts.withColumn("upto", F.sum("count").over(upto)).join(a, of_cell)
                 .where("upto >= extra and upto - count < extra")
                 .select("s", "z", F.col("b").alias("at"), (F.col("extra") - F.col("upto") + F.col("count")).alias("need")))
-    inside = bucketed.join(crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("b") == F.col("at")))
-    rank = F.row_number().over(Window.partitionBy("s", "z").orderBy("ordered"))
-    return (inside.withColumn("ordered", F.col("h").bitwiseXOR(F.lit(-(1 << 63)))).withColumn("rank", rank)
-            .where("rank = need").select(F.col("s").alias("source"), F.col("z").alias("size"), F.col("ordered").alias("last")))
-
-
-def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> tuple[DataFrame, DataFrame]:
-    """(rows, cells): rows hold (doc_id, source, size, h); cells the decision for each (source, size).
-
-    A row takes ``copies`` whole copies and one more if its hash is at most ``last``.  Rows of one
-    doc_id, source and size share their decision.
+    hashes = bucketed.join(crossing, of_cell & (F.col("b") == F.col("at"))).groupBy("s", "z", "need", "ordered").count()
+    upto = Window.partitionBy("s", "z").orderBy("ordered").rowsBetween(Window.unboundedPreceding, 0)
+    last = materialise(hashes.withColumn("upto", F.sum("count").over(upto)).where("upto >= need and upto - count < need")
+                       .select("s", "z", F.col("ordered").alias("last"), (F.col("need") - F.col("upto") + F.col("count")).alias("need"),
+                               F.col("count").alias("tied")), "mix-last")
+    split = last.where("need < tied")
+    if split.isEmpty():
+        return last.select(F.col("s").alias("source"), F.col("z").alias("size"), "last", F.lit(None).cast("long").alias("last_row"))
+    ties = bucketed.withColumn("part", F.shiftrightunsigned("row", 33)).join(split, of_cell & (F.col("ordered") == F.col("last")))
+    upto = Window.partitionBy("s", "z").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    within = (ties.groupBy("s", "z", "last", "need", "part").count().withColumn("upto", F.sum("count").over(upto))
+              .where("upto >= need and upto - count < need")
+              .select(F.col("s").alias("cs"), F.col("z").alias("cz"), F.col("part").alias("at"), (F.col("need") - F.col("upto") + F.col("count")).alias("left")))
+    rank = F.row_number().over(Window.partitionBy("s", "z").orderBy("row"))
+    rows_in = (ties.join(within, F.col("s").eqNullSafe(F.col("cs")) & (F.col("z") == F.col("cz")) & (F.col("part") == F.col("at")))
+               .withColumn("rank", rank).where("rank = left").select(F.col("s").alias("cs"), F.col("z").alias("cz"), F.col("row").alias("last_row")))
+    return (last.join(rows_in, F.col("s").eqNullSafe(F.col("cs")) & (F.col("z") == F.col("cz")), "left")
+            .select(F.col("s").alias("source"), F.col("z").alias("size"), "last", "last_row"))
+
+
+def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: bool = False, **how) -> tuple[DataFrame, DataFrame]:
+    """(rows, cells): rows hold (doc_id, source, size, h, row), and all of ``docs`` as ``kept`` if asked; cells the decision for each (source, size).
+
+    A row takes ``copies`` whole copies and one more if it is not after (``last``, ``last_row``) in order of hash, then row.
+    Rows are written once, so ``row`` names the same row in every later pass.
     """
-    rows = materialise(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
-                       .withColumn("h", F.xxhash64("doc_id", F.lit(8))), "mix-size")
+    kept = [F.struct(*[docs[c] for c in docs.columns]).alias("kept")] if keep else []
+    rows = materialise(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
+                                   F.xxhash64(F.col(doc_id), F.col(text), F.lit(8)).alias("h"), F.monotonically_increasing_id().alias("row"), *kept), "mix-size")
     cells = materialise(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     allotted = materialise(allot(cells, tilts(cells, targets(sources, **how))), "mix-allotted")
-    last = _last_hash(rows, allotted)
-    l = last.select(F.col("source").alias("s"), F.col("size").alias("z"), "last")
+    last = _last_taken(rows, allotted)
+    l = last.select(F.col("source").alias("s"), F.col("size").alias("z"), "last", "last_row")
     decided = (allotted.join(l, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left")
-               .select("source", "size", "source_size", "target", "rate", "copies", "extra", "last"))
+               .select("source", "size", "source_size", "target", "rate", "copies", "extra", "last", "last_row"))
     return rows, materialise(decided, "mix-decided")
 
 
-def copies_of(h: Column) -> Column:
-    """Copies a row takes, given its hash and its cell's columns."""
-    return F.col("copies") + F.when(h.bitwiseXOR(F.lit(-(1 << 63))) <= F.col("last"), 1).otherwise(0)
+def _ordered(h: Column) -> Column:
+    """The hash with its bits in unsigned order."""
+    return h.bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def with_copies(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """``rows`` with their cell's columns and the ``copies`` that each row takes."""
+    c = cells.withColumnsRenamed({"source": "s", "size": "z"})
+    h = _ordered(F.col("h"))
+    takes = (h < F.col("last")) | ((h == F.col("last")) & (F.col("last_row").isNull() | (F.col("row") <= F.col("last_row"))))
+    return (rows.join(c, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
+            .withColumn("copies", F.col("copies") + F.when(takes, 1).otherwise(0)))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -162,24 +189,14 @@ def mix(docs: DataFrame) -> DataFrame:
     Null and empty texts have size 0 and take nothing; a null source is a source of its own, last in
     order; an empty table gives no rows.
     """
-    rows, cells = plan(docs)
-    c = cells.withColumnsRenamed({"source": "s", "size": "z"})
-    return (rows.join(c, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
-            .withColumn("copies", copies_of(F.col("h")))
-            .select("doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")))
+    return with_copies(*plan(docs)).select(
+        "doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; only its own columns."""
-    _, cells = plan(docs)
-    c = cells.select(F.col("source").alias("mix_s"), F.col("size").alias("mix_z"), "copies", "last")
-    copy, size, times = fresh(docs, "mix_copy"), fresh(docs, "mix_size"), fresh(docs, "mix_times")
-    sized = docs.withColumn(size, word_count(docs["text"]))
-    joined = sized.join(c, sized["source"].cast("string").eqNullSafe(c["mix_s"]) & (sized[size] == c["mix_z"]))
-    taken = joined.select(*[docs[x] for x in docs.columns], (c["copies"] + F.when(
-        F.xxhash64(docs["doc_id"], F.lit(8)).bitwiseXOR(F.lit(-(1 << 63))) <= c["last"], 1).otherwise(0)).cast("int").alias(times))
-    return (taken.where(F.col(times) > 0)
-            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy)).select(*docs.columns))
+    taken = with_copies(*plan(docs, keep=True)).where("copies > 0")
+    return taken.select("kept", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("kept.*")
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

@@ -267,6 +267,23 @@ def test_mixing(spark, docs, empty):
     assert mixed.columns == big.columns and mixed.count() == sum(r.copies for r in got)
 
 
+def test_mixing_splits_rows_that_tie(spark):
+    # one id and one text, null ids with one text, and null ids with texts of their own, each in many rows of one size
+    rows = ([doc(1, "w " * 5, "en", "a")] * 700 + [doc(None, "v " * 5, "en", "a")] * 700 + [doc(None, f"u{i} " * 5, "en", "a") for i in range(300)]
+            + [doc(i, "w " * 5, "en", "b") for i in range(2, 600)] + [doc(None, "w " * 3, "en", None)] * 400)
+    for parts in (1, 7):
+        big = spark.createDataFrame(rows, DOCS).repartition(parts)
+        got = mixing.mix(big).collect()
+        by, targets = Counter(), {}
+        for r in got:
+            by[r.source_size] += r.taken
+            targets[r.source_size] = r.target
+        assert len(got) == len(rows) and all(abs(by[s] - t) <= 5 for s, t in targets.items())
+        assert len({r.copies for r in got if r.source_size == 8500}) == 2   # this source gives its extra copy to some rows only
+        assert sorted(Counter(r.source for r in mixing.mixed_documents(big).collect()).values()) == sorted(
+            sum(r.copies for r in got if r.source_size == s) for s in targets)
+
+
 # ---- op9
 def test_first_fit_decreasing_and_pack():
     rng = np.random.default_rng(9)
