@@ -7,13 +7,17 @@ separator); a prefix scan over the summaries tells each block where the document
 started, which stitches documents over any number of blocks.
 
 Files are written by Spark's text sink, a document a line with the separator's own bytes for a line
-end, and read as whole binary files, so they can lie in any store that Spark reaches.  A file may hold
-up to 2 GB; the size of the input's splits bounds it.  Documents may open with a header of ids that
+end, and read as whole binary files, so they can lie in any store that Spark reaches.  A file holds at most
+``FILE_IDS`` ids, whatever the input's splits, and is what is dealt to tasks: the writer opens a new one
+when the next document does not fit, and a document longer than a file runs on over several (``at=`` in
+their folder names the place of a file's first id, ``more=1`` that the document goes on and the last line end is
+none of its ids).  The scan stitches those like blocks.  Documents may open with a header of ids that
 carries their key in base 2**15, whose digits never equal the separator.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +31,8 @@ from .tokens import EOD, encoder, vocabulary
 
 #: Ids in a block.
 BLOCK = 1 << 20
+#: Ids in a file, separators included.
+FILE_IDS = 16 * BLOCK
 #: Ids of a header: 64 bits in base 2**15.
 HEADER = 5
 
@@ -44,50 +50,70 @@ def header_keys(digits: np.ndarray) -> np.ndarray:
 
 
 def write_token_files(docs: DataFrame, path: str, vocab: tuple[str, str] | None = None, doc_id: str = "doc_id",
-                      text: str = "text") -> None:
-    """Flat token files of ``docs`` below ``path``, one a partition; null texts are empty documents.
+                      text: str = "text", file_ids: int = FILE_IDS) -> None:
+    """Flat token files of ``docs`` below ``path``, of at most ``file_ids`` ids; null texts are empty documents.
 
-    Headers carry doc_id; a null one is not told from the smallest 64-bit integer.
+    Headers carry doc_id; a null one is not told from the smallest 64-bit integer.  A header stays in one file.
     """
     vocab = vocab or vocabulary()
     bound_batches(docs.sparkSession)
+    most = 2 * max(file_ids, HEADER + 1)
 
-    @F.pandas_udf("binary")
-    def tokens(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(*vocab)
-        for keys, texts in batches:
-            yield pd.Series([header(int(k)).tobytes() + enc.encode(t or "") for k, t in zip(keys, texts)], dtype=object)
+        columns = ["piece", "at", "more", "ids"]
+        piece = filled = 0
+        for pdf in batches:
+            out = []
+            for key, t in zip(pdf["key"], pdf["text"]):
+                ids = header(int(key)).tobytes() + enc.encode(t or "")
+                if filled and filled + len(ids) + 2 > most:
+                    piece, filled = piece + 1, 0
+                if len(ids) + 2 <= most:
+                    out.append((piece, 0, 0, ids))
+                    filled += len(ids) + 2
+                    continue
+                for at in range(0, len(ids), most - 2):
+                    yield pd.DataFrame([(piece, at // 2, int(at + most - 2 < len(ids)), ids[at:at + most - 2])], columns=columns)
+                piece += 1
+            if out:
+                yield pd.DataFrame(out, columns=columns)
 
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).cast("string")
     # ISO-8859-1 maps the separator's two bytes to characters one to one; the ids are written as they are
     separator = EOD.to_bytes(2, "little").decode("latin-1")
-    (docs.select(tokens(key, F.col(text)).cast("string").alias("value"))
-     .write.option("lineSep", separator).option("encoding", "ISO-8859-1").text(path))
+    (docs.select(key.alias("key"), F.col(text).alias("text")).mapInPandas(tokens, "piece long, at long, more int, ids binary")
+     .select("piece", "at", "more", F.col("ids").cast("string").alias("value"))
+     .write.partitionBy("piece", "at", "more").option("lineSep", separator).option("encoding", "ISO-8859-1").text(path))
 
 
 def scan_blocks(spark: SparkSession, path: str, separator: int = EOD, header_ids: int = HEADER, block: int = BLOCK) -> DataFrame:
-    """A row for each block of the files below ``path``: file, block, first (id's place in the file), n, ends, heads.
+    """A row for each block of the files below ``path``: file, first (id's place in the file), n, ends, heads.
 
-    ``ends`` are the separators' places in the file; ``heads`` the keys of the documents that
+    Files that one document runs over count as one.  ``ends`` are the separators' places in the file; ``heads`` the keys of the documents that
     start in the block, when files have headers.
     """
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"]):
                 ids = np.frombuffer(content, dtype="<u2")
-                opening = np.zeros(1 if len(ids) else 0, dtype=np.int64)   # a document starts the file
-                for number, at in enumerate(range(0, len(ids), block)):
+                run = re.search(r"/at=(\d+)/more=([01])(?=/[^/]*$)", name)
+                offset = int(run[1]) if run else 0
+                if run:
+                    name = name[:run.start()] + name[run.end():]
+                    ids = ids[:len(ids) - int(run[2])]
+                opening = np.zeros(1 if len(ids) and not offset else 0, dtype=np.int64)   # a document starts the file
+                for at in range(0, len(ids), block):
                     part = ids[at:at + block]
                     ends = at + np.flatnonzero(part == separator)
                     starts = np.concatenate([opening, ends + 1])
                     # a document that starts right after the block belongs to the next one
                     opening, starts = starts[starts >= at + len(part)], starts[starts < at + len(part)]
                     heads = header_keys(ids[starts[:, None] + np.arange(HEADER)]) if header_ids and len(starts) else np.zeros(0, np.int64)
-                    yield pd.DataFrame({"file": [name], "block": [number], "first": [at], "n": [len(part)],
-                                        "ends": [ends], "heads": [heads]})
+                    yield pd.DataFrame({"file": [name], "first": [offset + at], "n": [len(part)], "ends": [offset + ends], "heads": [heads]})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInPandas(scan, "file string, block long, first long, n long, ends array<long>, heads array<long>")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInPandas(scan, "file string, first long, n long, ends array<long>, heads array<long>")
 
 
 def documents_of(blocks: DataFrame, header_ids: int = HEADER) -> DataFrame:
@@ -97,13 +123,13 @@ def documents_of(blocks: DataFrame, header_ids: int = HEADER) -> DataFrame:
     separator.  Ids after a file's last separator are a document without an end and are counted too.
     """
     def before(value):
-        return value.over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+        return value.over(Window.partitionBy("file").orderBy("first").rowsBetween(Window.unboundedPreceding, -1))
 
     # the scan over summaries: separators, document starts, and the last separator, before each block
     last = F.when(F.size("ends") > 0, F.element_at("ends", -1))
     carried = (blocks.withColumn("seen", F.coalesce(before(F.sum(F.size("ends"))), F.lit(0)))
                .withColumn("open", F.coalesce(before(F.max(last)) + 1, F.lit(0)))
-               .withColumn("final", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("block"))) == 1))
+               .withColumn("final", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("first"))) == 1))
     size = F.col("first") + F.col("n")
     # the last document of a file may lack its separator: its end is the file's
     unended = F.col("final") & (F.coalesce(last + 1, F.col("open")) < size)

@@ -203,6 +203,21 @@ def test_separator_scan_round_trip(spark, docs, empty, tmp_path):
     assert separator_scan.documents_of(separator_scan.scan_blocks(spark, f"{path}0")).count() == 0
 
 
+def test_token_files_are_bounded(spark, docs, tmp_path):
+    # all rows in one partition; the longest document runs over many files
+    enc = encoder(*vocabulary())
+    lengths = [len(enc.encode(r[1] or "")) // 2 for r in ROWS]
+    want = sorted((r[0] if r[0] is not None else -(1 << 63), n) for r, n in zip(ROWS, lengths))
+    for most in (100, 1000, max(lengths) + 6, max(lengths) + 5):   # header and separator are 6 ids
+        separator_scan.write_token_files(docs.coalesce(1), f"file://{tmp_path}/{most}", file_ids=most)
+        files = [f.stat().st_size for f in (tmp_path / str(most)).rglob("part-*")]
+        assert max(files) <= 2 * most and len(files) >= sum(n + 6 for n in lengths) / most
+        for block in (1 << 20, 7):
+            got = separator_scan.documents_of(separator_scan.scan_blocks(spark, f"file://{tmp_path}/{most}", block=block)).collect()
+            assert sorted((r.doc_id, r.tokens) for r in got) == want
+            assert len({(r.file, r.ordinal) for r in got}) == len({(r.file, r.start) for r in got}) == len(ROWS)
+
+
 def test_separator_scan_of_a_plain_file(spark, tmp_path):
     (tmp_path / "part-0").write_bytes(np.array([5, 9, 50256, 50256, 1, 2, 3], "<u2").tobytes())
     for block in (100, 3, 2, 1):
