@@ -10,7 +10,7 @@ Training is Baum-Welch over every training text: tasks run the scaled forward-ba
 their texts in numpy, many texts abreast, and send expected counts by class; the counts are added across
 partitions and the next iteration gets the new tables.  Texts are cut into stretches of ``STRETCH`` words for
 training only.  Scoring runs the exact forward recursion over whole texts.  The first tables
-come from a short run over a bounded sample; the counts of every later iteration come from all texts.
+are the corpus distribution with seeded random factors; the counts of every iteration come from all texts.
 """
 
 from __future__ import annotations
@@ -30,10 +30,8 @@ from .common import LOWER, bound_batches, crc_mod, materialise, table, utf8
 
 HEAD, TAIL = 61_000, 4096
 STATES = 8
-ITERATIONS = 3
+ITERATIONS = 5
 STRETCH = 256
-#: Stretches, about, in the sample that starts the model, and iterations over it.
-START_TEXTS, START_ITERATIONS = 1500, 12
 #: Words' worth of the corpus distribution mixed into each state's emissions.
 SMOOTH = 200.0
 #: Words in a numpy block.
@@ -254,24 +252,18 @@ def baum_welch(codes: DataFrame, model: Model, share: np.ndarray) -> Model:
     return improved((rest[states], rest[states + 1], rest[:states], emit), share)
 
 
-def first_model(codes: DataFrame, n: int, share: np.ndarray, states: int = STATES, seed: int = 5) -> Model:
-    """Tables from a few iterations over a bounded sample of training texts, begun at random."""
-    rate = min(1.0, START_TEXTS / max(1, n)) * (1 << 20)
-    drawn = codes.where(F.pmod(F.xxhash64("codes"), F.lit(1 << 20)) < rate).select(F.expr(f"substring(codes, 1, {2 * STRETCH})").alias("codes"))
-    texts, first = stretches(sorted(bytes(r["codes"]) for r in drawn.collect()))
+def first_model(share: np.ndarray, states: int = STATES, seed: int = 5) -> Model:
+    """Tables that training starts from: no text has a part in them beyond the corpus distribution over classes."""
     rng = np.random.default_rng(seed)
     emit = share[:, None] * rng.uniform(0.5, 1.5, (len(share), states))
     move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
     f = np.float32
-    model = Model(np.full(states, 1 / states, f), np.full(states, 1 / states, f), move.astype(f), (emit / emit.sum(axis=0)).astype(f))
-    if texts:
-        for _ in range(START_ITERATIONS):
-            model = improved(expected_counts(model, texts, first), share)
-    return model
+    return Model(np.full(states, 1 / states, f), np.full(states, 1 / states, f), move.astype(f), (emit / emit.sum(axis=0)).astype(f))
 
 
-def train(codes: DataFrame, share: np.ndarray, n: int, iterations: int = ITERATIONS) -> Model:
-    model = first_model(codes, n, share)
+def train(codes: DataFrame, share: np.ndarray, iterations: int = ITERATIONS) -> Model:
+    """``iterations`` of Baum-Welch, each over every row of ``codes``."""
+    model = first_model(share)
     for _ in range(iterations):
         model = baum_welch(codes, model, share)
     return model
@@ -321,7 +313,7 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", t
         share[i] += c
     share[HEAD:HEAD + TAIL] += t
     share[-1] += ends
-    model = train(coded.where("not held_out"), share / share.sum(), ends, iterations)
+    model = train(coded.where("not held_out"), share / share.sum(), iterations)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -189,6 +189,23 @@ def test_hmm_counts_against_brute_force(docs, empty):
     assert hmm.score_documents(empty, F.col("doc_id") == 1).count() == 0
 
 
+def test_hmm_trains_on_every_word_of_every_text(spark):
+    rng = np.random.default_rng(6)
+    end = hmm.HEAD + hmm.TAIL
+    # texts longer than a stretch, and more of them than any sample of 1500; some classes stand only past the first stretch
+    texts = [np.append(rng.integers(0, 40, size=n), end).astype("<u2") for n in [1, 0, 3000, 700, *rng.integers(0, 20, 3000)]]
+    texts += [np.concatenate([np.zeros(300, dtype=int), [50, 51] * 40, [end]]).astype("<u2")] * 3
+    raw = [t.tobytes() for t in texts]
+    share = np.bincount(np.concatenate(texts), minlength=end + 1) + 0.5
+    share /= share.sum()
+    want = hmm.first_model(share)
+    for _ in range(2):
+        want = hmm.improved(hmm.expected_counts(want, *hmm.stretches(raw)), share)
+    got = hmm.train(spark.createDataFrame([(bytearray(t),) for t in raw], "codes binary").repartition(5), share, iterations=2)
+    for a, b in ((got.start, want.start), (got.after, want.after), (got.move, want.move), (got.emit[:60], want.emit[:60])):
+        assert np.allclose(a, b, rtol=1e-2, atol=1e-6)
+
+
 # ---- op6
 def test_separator_scan_round_trip(spark, docs, empty, tmp_path):
     path = f"file://{tmp_path}/t"
