@@ -13,8 +13,9 @@ from .simhash_dedup import op3_simhash_dedup
 from .toxicity import op10_toxicity
 from .url_filter import op1_url_filter
 from .vector_dedup import op2_vector_dedup
+from .whitening import op11_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_vector_dedup, op3_simhash_dedup, op4_merkle, op5_hmm, op6_token_counts, op7_language_id, op8_mixing,
-    op9_packing, op10_toxicity)}
+    op9_packing, op10_toxicity, op11_whitening)}
 ORACLE: dict[str, str] = {"op1_url_filter": url_filter.ORACLE_SQL, "op4_merkle": merkle.ORACLE_SQL}
