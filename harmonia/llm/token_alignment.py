@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,12 +34,14 @@ from .common import bound_batches, materialise, table
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pairs that every task gets (24 bytes each).
 HEAD = 1_000_000
-#: Chunks kept by a worker, and the longest that is.
-CACHE, LONGEST = 150_000, 48
+#: Chunks after which a worker begins to forget, and the longest that it keeps.
+CACHE, LONGEST = 250_000, 48
 #: Distinct pairs that a task holds while it counts.
 HELD = 1_000_000
 
 SPACE = "▁"
+#: A space that stands between two characters that are not white space.
+LONE = re.compile(r" (?=\S)(?<=\S )")
 
 
 def byte_letters() -> dict[str, int]:
@@ -47,10 +51,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Refused(ValueError):
-    """A text whose decoded tokens are not the text."""
-
-
 class Aligner:
     """Both tokenizers and the bytes of their entries."""
 
@@ -70,116 +70,120 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("a piece runs over a space after another character: texts cannot be cut at spaces")
+        self.names = [str(i) for i in range(max(self.a_size, self.b_size))]
         self.in_bytes = self.b.encode("é", return_type="proto").pieces[-1].end == 2   # or in characters
         self.code = np.dtype("<u4" if self.a_size * self.b_size < 1 << 32 else "<u8")
-        self.cache: dict[str, tuple | None] = {}
-
-    # -- one chunk
-
-    def _ends(self, ids: list[int], spans: list[tuple[int, int]], entry: list[bytes], whole: bytes, cuts: np.ndarray, clean: np.ndarray) -> np.ndarray:
-        """Byte ends of one side's tokens: decoded lengths from one coarse cut to the next.
-
-        ``clean`` marks the tokens whose span ends where the next begins, ``cuts`` are the coarse cuts.
+        #: entries of chunks met of late, and of those before them
+        self.young: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
+
+    def _ends(self, whole: str) -> tuple | None:
+        """(A ids, their byte ends, B ids, their byte ends) of a string that begins with the space; None if its tokens are not the string."""
+        raw = whole.encode()
+        a_code = self.a.encode(whole, add_special_tokens=False)
+        pieces = self.b.encode(whole[1:], return_type="proto").pieces
+        sides = []
+        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        byte_of = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
+        a_spans = byte_of[np.fromiter(chain.from_iterable(a_code.offsets), dtype=np.int64).reshape(-1, 2)]
+        b_found = np.fromiter((x for p in pieces for x in (p.id, p.begin, p.end)), dtype=np.int64).reshape(-1, 3)
+        b_spans = b_found[:, 1:] + 1 if self.in_bytes else byte_of[b_found[:, 1:] + 1]   # behind the space that B adds
+        for ids, spans, entry in ((a_code.ids, a_spans, self.a_bytes), (b_found[:, 0].tolist(), b_spans, self.b_bytes)):
+            decoded = [entry[t] for t in ids]
+            if not ids or b"".join(decoded) != raw:
+                return None
+            ahead = np.append(spans[1:, 0], len(raw))
+            sides.append((ids, spans[:, 1], (spans[:, 1] == ahead) & (spans[:, 1] > spans[:, 0]), np.cumsum([len(d) for d in decoded])))
+        # coarse: an end that both sides' spans name and no neighbour overlaps
+        coarse = [np.zeros(len(raw) + 1, dtype=bool) for _ in sides]
+        for marks, (_, span_end, clean, _) in zip(coarse, sides):
+            marks[span_end[clean]] = True
+        coarse = coarse[0] & coarse[1]
+        out = []
+        for ids, span_end, clean, length in sides:
+            cut = clean & coarse[span_end]
+            # fine: from the coarse cut before a token, the bytes decoded since
+            last = np.maximum.accumulate(np.where(cut, np.arange(len(ids)), -1))
+            before = np.concatenate([[-1], last[:-1]])
+            end = np.where(before < 0, 0, span_end[before]) + length - np.where(before < 0, 0, length[before])
+            if (end[cut] != span_end[cut]).any():
+                return None
+            out += [ids, end]
+        return tuple(out)
+
+    def _entries(self, chunks: list[str]) -> list[tuple | None]:
+        """(n_a, n_b, n_groups, groups as text, codes of linked pairs) of each chunk; None where the tokens are not the chunk.
+
+        The chunks are encoded in a row; if the tokens are not the row, either half by itself.
         """
-        stops, ends = {int(c) for c in cuts}, np.empty(len(ids), dtype=np.int64)
-        at = begin = first = 0   # begin and first: where the stretch starts, in bytes and in tokens
-        for i, t in enumerate(ids):
-            at += len(entry[t])
-            ends[i] = at
-            cut = bool(clean[i]) and spans[i][1] in stops
-            if cut or i == len(ids) - 1:
-                if (cut and at != spans[i][1]) or b"".join([entry[t] for t in ids[first:i + 1]]) != whole[begin:at]:
-                    raise Refused
-                begin, first = at, i + 1
-        if at != len(whole):
-            raise Refused
-        return ends
-
-    def _align(self, chunk: str, a_code, b_code) -> tuple[list[int], np.ndarray, list[int], np.ndarray]:
-        """(A ids, their byte ends, B ids, their byte ends) of a chunk that begins with the space."""
-        whole = chunk.encode()
-        if len(whole) == len(chunk):
-            def byte_of(i):
-                return i
-        else:
-            upto = np.concatenate([[0], np.cumsum([len(c.encode()) for c in chunk])]).tolist()
-
-            def byte_of(i):
-                return upto[i]
-        a_ids = list(a_code.ids)
-        a_spans = [(byte_of(s), byte_of(e)) for s, e in a_code.offsets]
-        b_ids = [p.id for p in b_code.pieces]
-        place = (lambda i: i + 1) if self.in_bytes else (lambda i: byte_of(i + 1))   # behind the space that B adds
-        b_spans = [(place(p.begin), place(p.end)) for p in b_code.pieces]
-        if not b_ids or not a_ids:
-            raise Refused
-        coarse = []
-        for spans in (a_spans, b_spans):
-            clean = np.ones(len(spans), dtype=bool)
-            for i in range(len(spans) - 1):
-                clean[i] = spans[i][1] == spans[i + 1][0] and spans[i][1] > spans[i][0]
-            coarse.append(clean)
-        cuts = np.intersect1d([e for (_, e), c in zip(a_spans, coarse[0]) if c], [e for (_, e), c in zip(b_spans, coarse[1]) if c])
-        return (a_ids, self._ends(a_ids, a_spans, self.a_bytes, whole, cuts, coarse[0]),
-                b_ids, self._ends(b_ids, b_spans, self.b_bytes, whole, cuts, coarse[1]))
-
-    def _entry(self, chunk: str, a_code, b_code) -> tuple | None:
-        """(n_a, n_b, n_groups, groups as text, codes of linked pairs); None if the tokens are not the chunk."""
-        try:
-            a_ids, a_end, b_ids, b_end = self._align(chunk, a_code, b_code)
-        except Refused:
-            return None
-        shared = np.intersect1d(a_end, b_end)
-        groups, i, j = [], 0, 0
-        for p, q in zip(np.searchsorted(a_end, shared, side="right").tolist(), np.searchsorted(b_end, shared, side="right").tolist()):
-            groups.append(",".join(map(str, a_ids[i:p])) + "|" + ",".join(map(str, b_ids[j:q])))
+        found = self._ends("".join(chunks))
+        if found is None:
+            half = len(chunks) // 2
+            return self._entries(chunks[:half]) + self._entries(chunks[half:]) if half else [None]
+        a_ids, a_end, b_ids, b_end = found
+        marks = np.zeros(a_end[-1] + 1, dtype=bool)
+        marks[a_end] = True
+        shared = b_end[marks[b_end]]
+        to_a, to_b = np.searchsorted(a_end, shared, side="right"), np.searchsorted(b_end, shared, side="right")
+        name, groups, i, j = self.names, [], 0, 0
+        for p, q in zip(to_a.tolist(), to_b.tolist()):
+            left = name[a_ids[i]] if p == i + 1 else ",".join([name[t] for t in a_ids[i:p]])
+            right = name[b_ids[j]] if q == j + 1 else ",".join([name[t] for t in b_ids[j:q]])
+            groups.append(f"{left}|{right}")
             i, j = p, q
         a_start, b_start = np.concatenate([[0], a_end[:-1]]), np.concatenate([[0], b_end[:-1]])
         lo, hi = np.searchsorted(b_end, a_start, side="right"), np.searchsorted(b_start, a_end, side="left")
         n = hi - lo
+        upto = np.concatenate([[0], np.cumsum(n)])
         left = np.repeat(np.array(a_ids, dtype=np.int64), n)
-        right = np.array(b_ids, dtype=np.int64)[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-        return len(a_ids), len(b_ids), len(groups), ";".join(groups), (left * self.b_size + right).astype(self.code).tobytes()
-
-    # -- texts
+        right = np.array(b_ids, dtype=np.int64)[np.arange(upto[-1]) - np.repeat(upto[:-1], n) + np.repeat(lo, n)]
+        codes = (left * self.b_size + right).astype(self.code).tobytes()
+        # chunks end where both sides do
+        at = np.searchsorted(shared, np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks]))
+        g, a, b = (np.concatenate([[0], x]).tolist() for x in (at + 1, to_a[at], to_b[at]))
+        c = (upto[a] * self.code.itemsize).tolist()
+        return [(a[k + 1] - a[k], b[k + 1] - b[k], g[k + 1] - g[k], ";".join(groups[g[k]:g[k + 1]]), codes[c[k]:c[k + 1]])
+                for k in range(len(chunks))]
 
     @staticmethod
     def chunks(text: str) -> list[str]:
         """Space and text, cut before every lone space between two other characters."""
-        parts = text.split(" ")
-        out, now = [], " " + parts[0]
-        for p in parts[1:]:
-            if p and not p[0].isspace() and not now[-1].isspace():
-                out.append(now)
-                now = " " + p
-            else:
-                now += " " + p
-        out.append(now)
-        return out
+        return [" " + p for p in LONE.split(text)]
 
     def align(self, texts: list[str]) -> list[tuple | None]:
         """An entry for every text, as of a chunk; None where the tokens are not the space and the text, or the text is empty."""
         cut = [self.chunks(t) if t else [] for t in texts]
-        cache, fresh = self.cache, {}
-        unseen = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in cache))
-        for at in range(0, len(unseen), 4096):
-            some = unseen[at:at + 4096]
-            a_codes = self.a.encode_batch(some, add_special_tokens=False)
-            b_codes = self.b.encode([c[1:] for c in some], return_type="proto", num_threads=1)
-            for chunk, a_code, b_code in zip(some, a_codes, b_codes):
-                entry = self._entry(chunk, a_code, b_code)
-                if len(cache) < CACHE and len(chunk) <= LONGEST:
-                    cache[chunk] = entry
-                else:
-                    fresh[chunk] = entry
+        young, old, unseen, apart = self.young, self.old, {}, []
+        for chunks in cut:
+            for c in chunks:
+                if c not in young and c not in unseen:
+                    if c in old:
+                        young[c] = old[c]
+                    elif c[-1].isspace() or c[1].isspace():   # no cut beside it
+                        unseen[c] = None
+                        apart.append(c)
+                    else:
+                        unseen[c] = None
+        for c in apart:
+            del unseen[c]
+            young[c] = self._entries([c])[0]
+        new = list(unseen)
+        for at in range(0, len(new), 8192):
+            some = new[at:at + 8192]
+            young.update(zip(some, self._entries(some)))
         out = []
         for chunks in cut:
-            entries = [cache[c] if c in cache else fresh[c] for c in chunks]
+            entries = [young[c] for c in chunks]
             if not entries or None in entries:
                 out.append(None)
                 continue
             n_a, n_b, n_groups, groups, codes = zip(*entries)
             out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(codes)))
+        for c in new + apart:
+            if len(c) > LONGEST:
+                del young[c]
+        if len(young) > CACHE:
+            self.old, self.young = young, {}
         return out
 
 
