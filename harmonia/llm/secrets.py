@@ -385,7 +385,9 @@ def joined(spans: Column) -> Column:
 def op13_secrets(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_secrets(docs, to=fresh(docs, "secrets")).drop("text")
-    of = {k: F.filter("secrets", lambda s, k=k: s["kind"] == k) for k in KINDS}
-    return found.select("doc_id", *[F.size(of[k]).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(number, KINDS[:3]),
                         F.sha2(joined(F.filter("secrets", lambda s: s["kind"] != "crf")).cast("binary"), 256).alias("base_sha256"),
                         joined(F.col("secrets")).alias("spans"))

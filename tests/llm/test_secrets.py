@@ -116,9 +116,9 @@ def test_over_a_table_with_odd_rows(spark):
 
 
 def test_query_columns(spark):
-    rows = S.op13_secrets(spark, "/root/testdata/sf0.001").collect()
-    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
-    assert len(rows) == len(texts)
+    rows = S.op13_secrets(spark, "/root/testdata/sf0.01").collect()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert len(rows) == len(texts) and sum(r.n_assign for r in rows) and sum(r.n_hex for r in rows)
     for r in rows:
         want = plain(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
