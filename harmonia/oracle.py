@@ -755,6 +755,12 @@ ORACLE["q_csv_round_trip"] = "SELECT * FROM orders"
 ORACLE["q_json_round_trip"] = "SELECT * FROM orders"
 ORACLE["q_final_overwrite"] = "SELECT * FROM orders"
 ORACLE["q_stage_append"] = "SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'a' ELSE 'b' END AS source FROM orders"
+ORACLE["q_stage_rerun"] = """
+WITH present AS (
+  SELECT * FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderstatus = 'F'
+  UNION ALL SELECT * FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT * FROM orders WHERE o_orderkey % 5 = 0)
+SELECT *, count(*) AS n_sources FROM present GROUP BY ALL"""
 ORACLE["q_strip_prefix"] = "SELECT event_id, value AS samplingrate, user_id AS channels, event_type FROM events"
 
 

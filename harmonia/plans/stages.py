@@ -2,58 +2,61 @@
 
 Layout below ``root`` (shared storage, e.g. a folder under spark.checkpoint.dir or a lake path):
 
-  ledger/files/                        ingest ledger: filename, tablename, rowcount, checksum, logged_at
-  ledger/clean/                        clean ledger: tablename, stage_key, logged_at
-  staged/<table>/source=<file name and path hash>/   preprocessed rows of one raw file
-  clean/<destination>/source=<table>/  cleaned rows of one source table
-  derived/<name>/                      lesion matrix, valve findings, encounter diagnosis
-  final/<dataset>/<table>/             merged, typed, deduplicated tables
-
-Every write replaces exactly the partition it owns, so a re-run, a retried task or a lost
-executor never duplicates rows.  Ledgers make re-runs skip unchanged inputs.  The driver handles
-only metadata: file lists, headers, table names; all row work runs in Spark jobs.
+  log/                         commit log: which folder holds the rows of which source now (sources.versions)
+  staged/<table>/<part>/       preprocessed rows of one raw file
+  clean/<destination>/<part>/  cleaned rows of one raw file
+  derived/<name>/<part>/       lesion matrix, valve findings, encounter diagnosis
+  final/<table>/<part>/_bucket=<n>/   merged, typed, deduplicated rows with their support
+
+A stage writes new folders and names them in the log by one commit, so a re-run, a retried task, a lost
+executor or a run that dies half-way never duplicates, mixes or loses rows.  An input is skipped if its current
+entry was made from the same things; one that changed, moved to another table or went withdraws the rows it had given.
+The driver handles only metadata: file lists, headers, log entries; all row work runs in Spark jobs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import lookups as L
 from ..operators import derived as X
 from ..operators.deid import drop_phi, redact_strings
-from ..operators.schema import (best_renames, canonical_schema, infer_tables, merge_versions,
-                                pad_to_schema, union_versions, unmapped_files)
+from ..operators.rows import dedup
+from ..operators.schema import (align_versions, best_renames, canonical_schema, infer_tables, pad_to_schema,
+                                union_versions, unmapped_files)
+from ..operators.support import BUCKET, SUPPORT, bucketed, count_rows, supported
 from ..sources.files import manifest, read_raw
-from ..sources.ledger import latest, pending
+from ..sources.ledger import select_tables
+from ..sources.versions import CommitLog, part_folder, qualified
 from .cleaners import CLEANERS, IECG_TIME, MUSE_TIME, Context, clean, parse_iecg_time, parse_muse_time
 
 log = logging.getLogger(__name__)
 
-FILE_LEDGER_SCHEMA = "filename string, tablename string, rowcount long, checksum string, logged_at timestamp"
-CLEAN_LEDGER_SCHEMA = "tablename string, stage_key string, logged_at timestamp"
+STAGED, CLEANED, DERIVED, MERGED, BUCKETS_OF = "staged", "clean", "derived", "merged", "final"
+CHANGED = "stage string, source string, tablename string, key string, rowcount long, path string"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _rows(spark: SparkSession, entries: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(entries, CHANGED)
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    if not _exists(spark, path):
-        return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and not s.getPath().getName().startswith("_"))
+def _gone(spark: SparkSession, sources: list[tuple[str, str]]) -> DataFrame:
+    return spark.createDataFrame(sources, "stage string, source string")
+
+
+def _entries(commits: CommitLog, stage: str, schema_part: str | None = None, name_part: str | None = None) -> list:
+    """The current entries of a stage, for chosen schemas and tables, by source."""
+    return sorted(select_tables(commits.entries(stage), schema_part, name_part).collect(), key=lambda r: r["source"])
 
 
-def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+def _digest(*made_from: str) -> str:
+    return hashlib.sha256(json.dumps(made_from).encode()).hexdigest()
 
 
 def _headers(spark: SparkSession, files: list) -> DataFrame:
@@ -82,49 +85,62 @@ def build_canonical_schema(spark: SparkSession, raw_folder: str, aliases: dict[s
 
 def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: dict[str, list[str]],
                threshold: float = 0.9, method: str = "ratcliff", phi: dict | None = None,
-               checksum_mode: str = "content", multiline: bool = True) -> list[dict]:
+               checksum_mode: str = "content", multiline: bool = True, withdraw_missing: bool = True) -> list[dict]:
     """Ingest new or changed raw files: infer each file's table from its header, rename fuzzy
     matches to the canonical spelling, drop identifying columns, redact ids, pad to the canonical
-    schema and stage it.  Returns the ledger rows written (files below the threshold are skipped).
+    schema and stage it.  Returns what was staged (files below the threshold are skipped and stay pending).
+
+    A file that changed replaces the rows it had given, in whatever table they were.  With ``withdraw_missing`` a file
+    that is no longer in ``raw_folder`` takes its rows with it; an empty folder raises rather than withdrawing everything.
 
     ``checksum_mode="content"`` hashes file bytes (each file is one binaryFile row, so files must
     stay under 2 GB and fit a task's memory); ``"metadata"`` fingerprints path, size and
     modification time instead, for very large exports.  ``multiline`` is passed to the CSV reader."""
-    ledger_path = f"{root}/ledger/files"
+    commits = CommitLog(spark, root)
+    seen, _ = commits.head()
     man = manifest(spark, raw_folder, checksum_mode=checksum_mode)
-    todo = pending(man, latest(read_ledger(spark, ledger_path, FILE_LEDGER_SCHEMA))).orderBy("filename").collect()
-    if not todo:
+    logged = commits.entries(STAGED).select("source", "tablename", F.col("key").alias("logged_key"))
+    files = man.join(logged, man["path"] == logged["source"], "full").select(man["path"], "filename", "stem", "ext", "checksum", "source", "logged_key")
+    folder = qualified(spark, raw_folder).rstrip("/") + "/"
+    changed = files.where(F.col("path").isNotNull() & ~F.col("checksum").eqNullSafe(F.col("logged_key")))
+    missing = files.where(F.col("path").isNull() & F.col("source").startswith(folder) & ~F.substring(F.col("source"), len(folder) + 1, 4096).contains("/"))
+    todo = changed.orderBy("filename").collect()
+    gone = [(STAGED, r["source"]) for r in missing.select("source").collect()] if withdraw_missing else []
+    if gone and not man.head(1):
+        raise ValueError(f"{raw_folder} holds no file, but {len(gone)} were ingested from it")
+    if not todo and not gone:
         return []
-    hdr = _headers(spark, todo)
-    canon_rows = [(t, ti, i, c) for ti, (t, cols) in enumerate(known_schemas.items()) for i, c in enumerate(cols)]
-    canon = spark.createDataFrame(canon_rows, "table string, table_pos int, pos int, column string")
-    order = spark.createDataFrame([(t, i) for i, t in enumerate(known_schemas)], "table string, table_pos int")
-    inferred = {r["file"]: (r["table"], r["score"]) for r in
-                infer_tables(hdr.select("file", "pos", "name"), canon, order, threshold, method).collect()}
-    written = []
+    inferred = {}
+    if todo:
+        hdr = _headers(spark, todo)
+        canon_rows = [(t, ti, i, c) for ti, (t, cols) in enumerate(known_schemas.items()) for i, c in enumerate(cols)]
+        canon = spark.createDataFrame(canon_rows, "table string, table_pos int, pos int, column string")
+        order = spark.createDataFrame([(t, i) for i, t in enumerate(known_schemas)], "table string, table_pos int")
+        inferred = {r["file"]: (r["table"], r["score"]) for r in
+                    infer_tables(hdr.select("file", "pos", "name"), canon, order, threshold, method).collect()}
+    written, entries = [], []
     for f in todo:
         table, score = inferred.get(f["filename"], ("unknown", 0.0))
-        if table == "unknown":  # Q7: no table reaches the threshold; the file stays pending
+        if table == "unknown":  # Q7: no table reaches the threshold; the file stays pending, and gives no rows any more
             log.warning("skipping %s: best table score %.2f is below %.2f", f["filename"], score, threshold)
+            gone += [(STAGED, f["path"])] if f["source"] else []
             continue
         df = read_raw(spark, f["path"], f["ext"], multiline=multiline)
         df = df.withColumnsRenamed(best_renames(df.columns, known_schemas[table], spark, threshold, method))
         dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
         canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
         df = pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
-        # two files of one name stem, or of one name in two folders, stay apart
-        out = f"{root}/staged/{table}/source={f['filename']}-{hashlib.md5(f['path'].encode()).hexdigest()[:12]}"
-        n = write_checked(spark, df, out, f"staged {f['filename']}")
+        path = part_folder(STAGED, table)
+        n = write_checked(spark, df, f"{root}/{path}", f"staged {f['filename']}")
         written.append({"filename": f["filename"], "tablename": table, "rowcount": n, "checksum": f["checksum"]})
-    if written:
-        (spark.createDataFrame([(w["filename"], w["tablename"], w["rowcount"], w["checksum"]) for w in written],
-                               "filename string, tablename string, rowcount long, checksum string")
-         .withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(ledger_path))
+        entries.append((STAGED, f["path"], table, f["checksum"], n, path))
+    if entries or gone:
+        commits.commit(_rows(spark, entries), _gone(spark, gone), seen)
     return written
 
 
 def write_checked(spark: SparkSession, df: DataFrame, path: str, what: str) -> int:
-    """Overwrite ``path`` with ``df`` and check row parity (Q1): the rows counted while writing
+    """Write ``df`` to ``path`` and check row parity (Q1): the rows counted while writing
     (an Observation, no extra pass over the input) must equal the rows in the written table."""
     from pyspark.sql import Observation
     obs = Observation(f"rows_{abs(hash(path))}")
@@ -135,17 +151,20 @@ def write_checked(spark: SparkSession, df: DataFrame, path: str, what: str) -> i
     return written
 
 
-def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All staged files of one table, aligned by name (absent columns null; types resolved)."""
-    base = f"{root}/staged/{table}"
-    parts = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
-    return union_versions(parts)
+def _read_parts(spark: SparkSession, root: str, paths: list[str]) -> list[DataFrame]:
+    """One frame for each schema among the parts: parts that share one are read together."""
+    by_schema: dict[str, list[str]] = {}
+    for p in paths:
+        by_schema.setdefault(spark.read.parquet(f"{root}/{p}").schema.json(), []).append(p)
+    return [spark.read.schema(T.StructType.fromJson(json.loads(s))).parquet(*[f"{root}/{p}" for p in ps]) for s, ps in by_schema.items()]
 
 
-def _stage_key(ledger_rows, secret: dict) -> str:
-    """Names what a cleaned table was made from: the ingested files and the pseudonym secret."""
-    made_from = [f"{r['filename']}:{r['checksum']}" for r in ledger_rows] + [f"{k}={v}" for k, v in secret.items()]
-    return hashlib.sha256("|".join(sorted(made_from)).encode()).hexdigest()
+def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All staged files of one table, aligned by name (absent columns null; types resolved)."""
+    paths = [r["path"] for r in _entries(CommitLog(spark, root), STAGED) if r["tablename"] == table]
+    if not paths:
+        raise ValueError(f"nothing is staged for {table}")
+    return union_versions(_read_parts(spark, root, paths))
 
 
 # must-parse recording times: date column, time column, parser
@@ -177,52 +196,61 @@ def must_parse_violations(table: str, staged: DataFrame) -> DataFrame | None:
     return None
 
 
-def clean_stage(spark: SparkSession, root: str, secret: dict, strict: bool = False) -> list[str]:
-    """Clean every staged table whose input (its files, the secret, and the encounter files where
-    the cleaner joins them) changed since its last clean; each source writes its own partition of the destination table.  Returns the cleaned source tables.  With
-    ``strict`` a table with must-parse violations stops the stage (as the original did);
+def clean_stage(spark: SparkSession, root: str, secret: dict, strict: bool = False,
+                schema_part: str | None = None, name_part: str | None = None) -> list[str]:
+    """Clean every staged file whose input (the file, its table, the secret, and the encounter files where
+    the cleaner joins them) is not what its current cleaned rows were made from, and withdraw the rows of files that are no longer
+    staged.  Returns the source tables with cleaned files.  ``schema_part`` and ``name_part`` choose tables by parts of
+    their names.  With ``strict`` a table with must-parse violations stops the stage (as the original did);
     otherwise the values become null and the violations stay queryable."""
     from ..operators.quality import enforce
-    files = read_ledger(spark, f"{root}/ledger/files", FILE_LEDGER_SCHEMA).collect()
-    by_table: dict[str, list] = {}
-    for r in files:
-        by_table.setdefault(r["tablename"], []).append(r)
-    done = {(r["tablename"], r["stage_key"]) for r in read_ledger(spark, f"{root}/ledger/clean", CLEAN_LEDGER_SCHEMA).collect()}
     if not secret or not secret.get("salt"):
         raise ValueError("clean_stage needs the pseudonym secret: salt, start_idx, length")
+    commits = CommitLog(spark, root)
+    seen, _ = commits.head()
+    staged = _entries(commits, STAGED)
+    chosen = {r["source"] for r in _entries(commits, STAGED, schema_part, name_part)} if schema_part or name_part else {r["source"] for r in staged}
+    done = {r["source"]: r for r in _entries(commits, CLEANED)}
+    encounters = [f"{r['source']}:{r['key']}" for r in staged if r["tablename"] == "ehr.encounter"]
     ctx = Context(secret=secret)
-    if "ehr.encounter" in by_table:
+    if encounters:
         ctx.encounters = read_staged(spark, root, "ehr.encounter").select("visit_id", "mrn_sha1", "encounter_type")
-    cleaned = []
-    for table, rows in sorted(by_table.items()):
-        spec = CLEANERS.get(table)
+    cleaned, entries = set(), []
+    for r in sorted(staged, key=lambda r: (r["tablename"], r["source"])):
+        table, spec = r["tablename"], CLEANERS.get(r["tablename"])
+        if r["source"] not in chosen:
+            continue
         if spec is None:
             log.warning("no cleaner for %s", table)
             continue
         # a late encounter changes what these cleaners return although their own files stay
-        key = _stage_key(rows + by_table.get("ehr.encounter", []) if spec.joins_encounters else rows, secret)
-        if (table, key) in done:
+        key = _digest(table, r["path"], json.dumps(secret, sort_keys=True), *(encounters if spec.joins_encounters else []))
+        if r["source"] in done and done[r["source"]]["key"] == key:
             continue
-        staged = read_staged(spark, root, table)
+        rows = spark.read.parquet(f"{root}/{r['path']}")
         if strict:
-            v = must_parse_violations(table, staged)
+            v = must_parse_violations(table, rows)
             if v is not None:
                 enforce(v, f"must-parse values of {table}")
-        out = clean(staged, spec, ctx)
-        write_checked(spark, out, f"{root}/clean/{spec.target}/source={table}", f"cleaned {table}")
-        cleaned.append((table, key))
-    if cleaned:
-        (spark.createDataFrame(cleaned, "tablename string, stage_key string")
-         .withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/ledger/clean"))
-    return [t for t, _ in cleaned]
+        path = part_folder(CLEANED, spec.target)
+        n = write_checked(spark, clean(rows, spec, ctx), f"{root}/{path}", f"cleaned {r['source']}")
+        entries.append((CLEANED, r["source"], spec.target, key, n, path))
+        cleaned.add(table)
+    gone = [(CLEANED, s) for s in done if s not in {r["source"] for r in staged}]
+    # a file that now belongs to a table without a cleaner gives no cleaned rows any more
+    gone += [(CLEANED, r["source"]) for r in staged if r["source"] in done and CLEANERS.get(r["tablename"]) is None]
+    if entries or gone:
+        commits.commit(_rows(spark, entries), _gone(spark, gone), seen)
+    return sorted(cleaned)
 
 
 def read_clean(spark: SparkSession, root: str, destination: str) -> DataFrame | None:
-    base = f"{root}/clean/{destination}"
-    parts = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
-    if not parts:
+    """The distinct cleaned rows of a destination table; None if there is none."""
+    paths = [r["path"] for r in _entries(CommitLog(spark, root), CLEANED) if r["tablename"] == destination]
+    if not paths:
         return None
-    return union_versions(parts)
+    rows = union_versions(_read_parts(spark, root, paths))
+    return dedup(rows) if len(paths) > 1 else rows   # one file's cleaned rows are distinct
 
 
 def _lesion(df: DataFrame) -> DataFrame:
@@ -238,32 +266,164 @@ TRANSFORMS = {
 }
 
 
-def transform_stage(spark: SparkSession, root: str, transforms: dict | None = None) -> list[str]:
-    """Derived tables from the cleaned tables (overwritten, so re-runs are idempotent)."""
-    made = []
+def transform_stage(spark: SparkSession, root: str, transforms: dict | None = None,
+                    schema_part: str | None = None, name_part: str | None = None) -> list[str]:
+    """Derived tables from the cleaned tables that changed since; a derived table whose source has gone goes too.
+    Returns the tables made.  Combined diagnosis codes with a '.' left stop the stage (Q4), before anything is committed."""
+    from ..operators.quality import code_violations, enforce
+    commits = CommitLog(spark, root)
+    seen, _ = commits.head()
+    parts: dict[str, list[str]] = {}
+    for r in _entries(commits, CLEANED, schema_part, name_part):
+        parts.setdefault(r["tablename"], []).append(r["path"])
+    everything = {r["tablename"] for r in _entries(commits, CLEANED)}
+    done = {r["source"]: r["key"] for r in _entries(commits, DERIVED)}
+    made, entries, gone = [], [], []
     for source, (fn, name) in (transforms or TRANSFORMS).items():
+        if source not in everything:
+            gone += [(DERIVED, name)] if name in done else []
+            continue
+        if source not in parts:   # not chosen
+            continue
+        key = _digest(name, *sorted(parts[source]))
+        if done.get(name) == key:
+            continue
         df = read_clean(spark, root, source)
-        if df is not None:
-            write_checked(spark, fn(df), f"{root}/derived/{name}", f"derived {name}")
-            made.append(name)
+        if source == "ehr.encounter" and {"visit_id", "db_source", "primary_diagnosis", "secondary_diagnosis"} <= set(df.columns):
+            enforce(code_violations(df).where("rule = 'Q4_combined_has_dot'"), "Q4: combined codes without '.'")
+        path = part_folder(DERIVED, name)
+        n = write_checked(spark, fn(df), f"{root}/{path}", f"derived {name}")
+        entries.append((DERIVED, name, name, key, n, path))
+        made.append(name)
+    if entries or gone:
+        commits.commit(_rows(spark, entries), _gone(spark, gone), seen)
     return made
 
 
-def merge_stage(spark: SparkSession, root: str) -> dict[str, str]:
-    """Final tables: every version (source partition) of a cleaned or derived table, cast to the
-    resolved types, UNION ALL, DISTINCT.  A single version is distinct already (cleaners
-    de-duplicate) and is not shuffled again.  Returns {table: path}."""
-    out = {}
-    for dest in _list_dirs(spark, f"{root}/clean"):
-        base = f"{root}/clean/{dest}"
-        versions = [spark.read.parquet(f"{base}/{d}") for d in _list_dirs(spark, base)]
-        dataset, table = dest.split(".")[0], dest.split(".")[-1]
-        path = f"{root}/final/{dataset}/{table}"
-        write_checked(spark, merge_versions(versions) if len(versions) > 1 else union_versions(versions), path, f"final {dest}")
-        out[dest] = path
-    for name in _list_dirs(spark, f"{root}/derived"):
-        dataset, table = name.split(".")[0], name.split(".")[-1]
-        path = f"{root}/final/derived/{table}"
-        write_checked(spark, spark.read.parquet(f"{root}/derived/{name}").distinct(), path, f"final {name}")
-        out[name] = path
+def put_part(spark: SparkSession, root: str, stage: str, table: str, source: str, rows: DataFrame, key: str) -> int:
+    """Write the rows of one source of ``table`` and commit them in place of what the source gave before; returns their number."""
+    commits = CommitLog(spark, root)
+    seen, _ = commits.head()
+    path = part_folder(stage, table)
+    n = write_checked(spark, rows, f"{root}/{path}", f"{stage} {source}")
+    commits.commit(_rows(spark, [(stage, source, table, key, n, path)]), seen=seen)
+    return n
+
+
+#: Rows of a final table that share a bucket, about.  A table is dealt anew once its buckets hold four times as many.
+BUCKET_ROWS = 2_000_000
+
+
+def _buckets_for(rows: int) -> int:
+    return 8 << max(0, (max(1, rows) // (8 * BUCKET_ROWS)).bit_length())
+
+
+def _aligned(spark: SparkSession, root: str, paths: list[str], schema: T.StructType) -> list[DataFrame]:
+    """The parts in the final columns and types, a frame per schema among them; a row occurs once for every part that holds it."""
+    out = []
+    for df in _read_parts(spark, root, paths):
+        have = {f.name: f.dataType for f in df.schema}
+        cells = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        if any(have.get(f.name, f.dataType) != f.dataType for f in schema):   # a cast may make two rows of a part equal
+            part = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+            df = dedup(df.select(*cells, part.alias("_part"))).drop("_part")
+        else:
+            df = df.select(*cells)
+        out.append(df)
     return out
+
+
+def merge_table(spark: SparkSession, root: str, commits: CommitLog, table: str, parts: list[str],
+                buckets: int | None = None) -> tuple[list, list, bool]:
+    """Bring the final rows of ``table`` up to the distinct union of ``parts`` (folders of distinct rows, relative to the root).
+
+    Reads the parts that came or went since the last merge and the buckets their rows fall into.  If the resolved
+    columns or types or the number of buckets changed, or nothing was merged yet, all parts are read.  Returns (entries, gone,
+    whether all was made anew) for the caller's commit; ([], [], False) if nothing changed.
+    """
+    merged = [r for r in _entries(commits, MERGED) if r["tablename"] == table]
+    held = [r for r in _entries(commits, BUCKETS_OF) if r["tablename"] == table]
+    before, now = {r["path"] for r in merged}, set(parts)
+    added, withdrawn = sorted(now - before), sorted(before - now)
+    keys = {r["key"] for r in merged + held}
+    if not added and not withdrawn and None not in keys:   # a cleared key asks for the table to be made anew
+        return [], [], False
+    if not now:
+        return [], [(r["stage"], r["source"]) for r in merged + held], True
+    schema = align_versions(_read_parts(spark, root, sorted(now)))[0].schema
+    shape = _digest(json.dumps(sorted((f.name, f.dataType.simpleString()) for f in schema)))
+    rows = sum(r["rowcount"] for r in held)
+    if len(keys) == 1 and None not in keys and next(iter(keys)).split(":")[1] == shape:
+        dealt = int(next(iter(keys)).split(":")[0])
+        rebuild = buckets not in (None, dealt) or (buckets is None and rows > 4 * BUCKET_ROWS * dealt)
+    else:
+        rebuild = True
+    if rebuild:
+        sizes = {r["path"]: r["rowcount"] for r in _entries(commits, CLEANED)}
+        dealt = buckets or _buckets_for(sum(sizes.get(p) or 0 for p in now))
+        new, touched = bucketed(count_rows(_aligned(spark, root, sorted(now), schema), []), dealt), [r["source"] for r in held]
+    else:
+        change = bucketed(count_rows(_aligned(spark, root, added, schema), _aligned(spark, root, withdrawn, schema)), dealt)
+        staging = f"{root}/{part_folder('change', table)}"
+        change.write.parquet(staging)
+        change = spark.read.schema(change.schema).parquet(staging)
+        hit = {f"{table}#{r[BUCKET]}" for r in change.select(BUCKET).distinct().collect()}   # as many as there are buckets at most
+        old = [r for r in held if r["source"] in hit]
+        touched, of = [r["source"] for r in old], T.StructType([*schema, T.StructField(SUPPORT, T.LongType())])
+        new = change
+        if old:   # equal rows share a bucket, so its number need not be in the files
+            new = supported(bucketed(spark.read.schema(of).parquet(*[f"{root}/{r['path']}" for r in old]), dealt), change)
+    path = part_folder("final", table)
+    new.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{root}/{path}")
+    of = T.StructType([*schema, T.StructField(SUPPORT, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+    sizes = spark.read.schema(of).parquet(f"{root}/{path}").groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), F.min(SUPPORT).alias("least")).collect()
+    if any(r["least"] < 0 for r in sizes):
+        raise ValueError(f"rows of {table} were withdrawn that had not been merged")
+    key = f"{dealt}:{shape}"
+    entries = [(BUCKETS_OF, f"{table}#{r[BUCKET]}", table, key, r["rows"], f"{path}/{BUCKET}={r[BUCKET]}") for r in sizes]
+    rewritten = {e[1] for e in entries}
+    entries += [(MERGED, f"{table}|{p}", table, key, None, p) for p in (sorted(now) if rebuild else added)]
+    gone = [(BUCKETS_OF, s) for s in touched if s not in rewritten] + [(MERGED, f"{table}|{p}") for p in withdrawn]
+    return entries, gone, rebuild
+
+
+def merge_stage(spark: SparkSession, root: str, schema_part: str | None = None, name_part: str | None = None,
+                buckets: int | None = None) -> list[str]:
+    """Final tables: all cleaned parts of a table, cast to the resolved types, as a distinct union with support counts,
+    brought up to date by what changed.  A derived table has one part of distinct rows and is final as it is.
+    Returns the tables that changed."""
+    commits = CommitLog(spark, root)
+    seen, _ = commits.head()
+    parts: dict[str, list[str]] = {r["tablename"]: [] for stage in (MERGED,) for r in _entries(commits, stage, schema_part, name_part)}
+    for r in _entries(commits, CLEANED, schema_part, name_part):
+        parts.setdefault(r["tablename"], []).append(r["path"])
+    entries, gone, changed = [], [], []
+    for table in sorted(parts):
+        e, g, _ = merge_table(spark, root, commits, table, parts[table], buckets)
+        entries, gone, changed = entries + e, gone + g, changed + ([table] if e or g else [])
+    if entries or gone:
+        commits.commit(_rows(spark, entries), _gone(spark, gone), seen)
+    return changed
+
+
+def final_tables(spark: SparkSession, root: str) -> list[str]:
+    commits = CommitLog(spark, root)
+    return sorted({r["tablename"] for stage in (BUCKETS_OF, DERIVED) for r in commits.entries(stage).select("tablename").distinct().collect()})
+
+
+def read_final(spark: SparkSession, root: str, table: str, with_support: bool = False) -> DataFrame:
+    """The rows of a final (or derived) table as of the newest commit; ``with_support`` adds in how many parts each occurs."""
+    commits = CommitLog(spark, root)
+    derived = [r["path"] for r in _entries(commits, DERIVED) if r["tablename"] == table]
+    if derived:
+        return spark.read.parquet(f"{root}/{derived[0]}")
+    paths = [r["path"] for r in _entries(commits, BUCKETS_OF) if r["tablename"] == table]
+    if not paths:
+        raise ValueError(f"there is no final table {table}")
+    rows = spark.read.parquet(*[f"{root}/{p}" for p in paths])
+    return rows if with_support else rows.drop(SUPPORT)
+
+
+def purge(spark: SparkSession, root: str, name_part: str, stages: tuple[str, ...] | None = None, schema_part: str | None = None) -> int:
+    """Have the next run process the tables whose names contain ``name_part`` anew (S13); their rows stay until then."""
+    return CommitLog(spark, root).forget(name_part, stages, schema_part)

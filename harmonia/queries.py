@@ -1160,28 +1160,54 @@ def q_json_round_trip(spark, sf_dir):
 
 @register
 def q_stage_append(spark, sf_dir):
-    """Two sources appended into one staged table partitioned by source; re-running one source
-    overwrites only its partition, so a re-run never duplicates rows."""
+    """Two sources staged into one table; re-running one source replaces its part, so a re-run never duplicates rows."""
+    from .plans import stages as S
     from .session import scratch_path
-    o = table(spark, sf_dir, "orders").withColumn(
-        "source", F.when(F.col("o_orderstatus") == "F", F.lit("a")).otherwise(F.lit("b")))
-    path = scratch_path(spark, "stage")
-    w = lambda df, mode: (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-                          .partitionBy("source").parquet(path))
-    w(o.filter(F.col("source") == "a"), "append")
-    w(o.filter(F.col("source") == "b"), "append")
-    w(o.filter(F.col("source") == "a"), "overwrite")   # re-run of source a
-    return spark.read.parquet(path)
+    from .sources.versions import CommitLog
+    o = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "stage")
+    a, b = o.filter(F.col("o_orderstatus") == "F"), o.filter(F.col("o_orderstatus") != "F")
+    S.put_part(spark, root, S.STAGED, "orders", "a", b, "first")
+    S.put_part(spark, root, S.STAGED, "orders", "b", b, "first")
+    S.put_part(spark, root, S.STAGED, "orders", "a", a, "second")   # source a again, with other rows
+    parts = CommitLog(spark, root).entries(S.STAGED).collect()      # one entry a source
+    return reduce(lambda x, y: x.unionByName(y),
+                  [spark.read.parquet(f"{root}/{p['path']}").withColumn("source", F.lit(p["source"])) for p in parts])
+
+
+def merged_after(spark, runs: list[dict[str, DataFrame]], name: str, with_support: bool = False) -> DataFrame:
+    """The final table after several runs, each given as the rows of every source that exists then."""
+    from .plans import stages as S
+    from .session import scratch_path
+    from .sources.versions import CommitLog
+    root = scratch_path(spark, name)
+    commits = CommitLog(spark, root)
+    for n, sources in enumerate(runs):
+        for source, rows in sources.items():
+            S.put_part(spark, root, S.CLEANED, "main.t", source, rows, f"run {n}")
+        gone = [(S.CLEANED, r["source"]) for r in commits.entries(S.CLEANED).collect() if r["source"] not in sources]
+        if gone:
+            commits.commit(spark.createDataFrame([], S.CHANGED), spark.createDataFrame(gone, "stage string, source string"))
+        S.merge_stage(spark, root)
+    return S.read_final(spark, root, "main.t", with_support)
 
 
 @register
 def q_final_overwrite(spark, sf_dir):
-    from .session import scratch_path
+    """A final table whose only source is replaced by another export."""
+    o = table(spark, sf_dir, "orders")
+    return merged_after(spark, [{"a": o.filter(F.col("o_orderstatus") == "P")}, {"a": o}], "final")
+
+
+@register
+def q_stage_rerun(spark, sf_dir):
+    """Three overlapping sources merged; then one shrinks, one vanishes and one comes.  The final rows, brought up to date from the
+    change alone, carry in how many of the present sources each occurs."""
     o = table(spark, sf_dir, "orders")
-    path = scratch_path(spark, "final")
-    o.limit(0).write.mode("overwrite").parquet(path)
-    o.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    key = F.col("o_orderkey")
+    first = {"a": o.filter(key % 3 != 0), "b": o.filter(key % 3 != 1), "c": o.filter(F.col("o_orderstatus") != "P")}
+    second = {"a": o.filter((key % 3 != 0) & (F.col("o_orderstatus") == "F")), "c": first["c"], "d": o.filter(key % 5 == 0)}
+    return merged_after(spark, [first, second], "rerun", with_support=True).withColumnRenamed("_support", "n_sources")
 
 
 @register

@@ -55,12 +55,11 @@ def test_stages_end_to_end(spark):
 
     made = S.transform_stage(spark, root)
     assert set(made) == {"cis.caglesion_pivoted", "cis.echo_valvelesion", "ehr.encounter_diagnosis"}
-    final = S.merge_stage(spark, root)
-    n1 = spark.read.parquet(final["ehr.medication"]).count()
-    S.transform_stage(spark, root)
-    final = S.merge_stage(spark, root)
-    assert spark.read.parquet(final["ehr.medication"]).count() == n1 == meds.distinct().count()
-    piv = spark.read.parquet(final["cis.caglesion_pivoted"])
+    assert "ehr.medication" in S.merge_stage(spark, root)
+    n1 = S.read_final(spark, root, "ehr.medication").count()
+    assert S.transform_stage(spark, root) == [] and S.merge_stage(spark, root) == []   # nothing changed since
+    assert S.read_final(spark, root, "ehr.medication").count() == n1 == meds.distinct().count()
+    piv = S.read_final(spark, root, "cis.caglesion_pivoted")
     assert "Proximal LAD" in piv.columns and piv.count() > 0
 
 
@@ -73,7 +72,7 @@ def test_files_of_one_stem_stay_apart_and_restored_content_is_ingested(spark, tm
     (raw / "ehr_t.json").write_text('{"alpha": "7", "beta": "8"}')
 
     def staged():
-        return sorted(r["alpha"] for r in spark.read.parquet(f"{root}/staged/ehr.t").collect())
+        return sorted(r["alpha"] for r in S.read_staged(spark, root, "ehr.t").collect())
 
     assert len(S.preprocess(spark, str(raw), root, known)) == 2
     assert staged() == ["1", "3", "7"]
@@ -119,3 +118,133 @@ def test_must_parse_times_of_ecg_and_outpatient_orders(spark):
     assert [r["key"] for r in S.must_parse_violations("ecg.muse", muse).collect()] == ["b"]
     orders = spark.createDataFrame([("1", "2021-03-04"), ("2", "soon"), ("3", None)], "ENC_KEY string, CREATION_DATE_KEY string")
     assert [r["key"] for r in S.must_parse_violations("ehr.edw_outpatient_medication", orders).collect()] == ["2"]
+
+
+def _lake(spark, tmp_path, name="raw"):
+    raw, root = tmp_path / name, str(tmp_path / "root")
+    raw.mkdir()
+    return raw, root
+
+
+PATIENTS = {"ehr.patient": ["mrn_sha1", "gender", "race"], "ehr.problem_list": ["mrn_sha1", "problem", "noted"]}
+SURGERY = "mrn_sha1,gender,race\n"
+
+
+def _run(spark, raw, root, secret=SECRET):
+    S.preprocess(spark, str(raw), root, PATIENTS)
+    return S.clean_stage(spark, root, secret), S.merge_stage(spark, root)
+
+
+def _subjects(spark, root, table):
+    if table not in S.final_tables(spark, root):
+        return []
+    return sorted(r[0] for r in S.read_final(spark, root, table).select("gender" if table == "ehr.patient" else "problem").collect())
+
+
+def test_secret_back_to_an_earlier_one_cleans_again(spark, tmp_path):
+    raw, root = _lake(spark, tmp_path)
+    (raw / "p.csv").write_text(SURGERY + "m1,F,x\nm2,M,y\n")
+    assert _run(spark, raw, root) == (["ehr.patient"], ["ehr.patient"])
+    first = sorted(map(tuple, S.read_final(spark, root, "ehr.patient").collect()))
+    other = SECRET | {"salt": "another"}
+    assert _run(spark, raw, root, other) == (["ehr.patient"], ["ehr.patient"])
+    assert _run(spark, raw, root, SECRET) == (["ehr.patient"], ["ehr.patient"])
+    assert sorted(map(tuple, S.read_final(spark, root, "ehr.patient").collect())) == first
+    assert _run(spark, raw, root) == ([], [])
+
+
+def test_file_that_changes_table_shrinks_or_goes_withdraws_its_rows(spark, tmp_path):
+    raw, root = _lake(spark, tmp_path)
+    (raw / "a.csv").write_text(SURGERY + "m1,F,x\nm2,M,y\n")
+    (raw / "b.csv").write_text(SURGERY + "m2,M,y\nm3,U,z\n")
+    _run(spark, raw, root)
+    assert _subjects(spark, root, "ehr.patient") == ["Female", "Male", "Unknown"]
+    assert {r["gender"]: r["_support"] for r in S.read_final(spark, root, "ehr.patient", with_support=True).collect()} == {"Female": 1, "Male": 2, "Unknown": 1}
+    (raw / "a.csv").write_text("mrn_sha1,problem,noted\nm9,gout,2021-03-04\n")           # another table now
+    _run(spark, raw, root)
+    assert _subjects(spark, root, "ehr.patient") == ["Male", "Unknown"] and _subjects(spark, root, "ehr.diagnosis") == ["gout"]
+    (raw / "b.csv").write_text(SURGERY + "m3,U,z\n")                                     # shrinks
+    _run(spark, raw, root)
+    assert _subjects(spark, root, "ehr.patient") == ["Unknown"]
+    (raw / "a.csv").unlink()                                                             # goes
+    _run(spark, raw, root)
+    assert "ehr.diagnosis" not in S.final_tables(spark, root) and _subjects(spark, root, "ehr.patient") == ["Unknown"]
+    (raw / "b.csv").write_text("nothing,like,it\n1,2,3\n")                               # no table any more
+    _run(spark, raw, root)
+    assert S.final_tables(spark, root) == []
+    (raw / "b.csv").unlink()
+    (raw / "c.csv").write_text(SURGERY + "m1,F,x\n")
+    _run(spark, raw, root)
+    assert _subjects(spark, root, "ehr.patient") == ["Female"]
+    (raw / "c.csv").unlink()
+    with pytest.raises(ValueError, match="no file"):
+        S.preprocess(spark, str(raw), root, PATIENTS)
+    assert _subjects(spark, root, "ehr.patient") == ["Female"]
+
+
+def test_purge_and_chosen_tables(spark, tmp_path):
+    raw, root = _lake(spark, tmp_path)
+    (raw / "a.csv").write_text(SURGERY + "m1,F,x\n")
+    (raw / "b.csv").write_text("mrn_sha1,problem,noted\nm9,gout,2021-03-04\n")
+    S.preprocess(spark, str(raw), root, PATIENTS)
+    assert S.clean_stage(spark, root, SECRET, name_part="patient") == ["ehr.patient"]
+    assert S.clean_stage(spark, root, SECRET, schema_part="cis") == []
+    assert S.clean_stage(spark, root, SECRET) == ["ehr.problem_list"]
+    assert S.merge_stage(spark, root, name_part="diagnosis") == ["ehr.diagnosis"]
+    assert S.merge_stage(spark, root) == ["ehr.patient"]
+    S.purge(spark, root, "patient", stages=(S.CLEANED,))
+    assert S.clean_stage(spark, root, SECRET) == ["ehr.patient"] and S.merge_stage(spark, root) == ["ehr.patient"]
+    S.purge(spark, root, "problem")
+    assert _subjects(spark, root, "ehr.diagnosis") == ["gout"]                          # rows stay until the next run
+    assert [w["filename"] for w in S.preprocess(spark, str(raw), root, PATIENTS)] == ["b.csv"]
+    assert S.clean_stage(spark, root, SECRET) == ["ehr.problem_list"] and S.merge_stage(spark, root) == ["ehr.diagnosis"]
+    assert _subjects(spark, root, "ehr.diagnosis") == ["gout"]
+
+
+def test_incremental_merge_equals_a_rebuild_on_random_edits(spark, tmp_path):
+    import random
+
+    from harmonia.sources.versions import CommitLog
+    rng, root = random.Random(3), str(tmp_path / "root")
+    commits, present, rebuilt = CommitLog(spark, root), {}, []
+    for step in range(7):
+        for source in rng.sample("abcd", 2):
+            if source in present and rng.random() < 0.3:
+                del present[source]
+                commits.commit(spark.createDataFrame([], S.CHANGED), spark.createDataFrame([(S.CLEANED, source)], "stage string, source string"))
+            else:
+                rows = {(rng.randint(0, 25), rng.choice([None, "x", "y"])) for _ in range(rng.randint(0, 15))}
+                present[source] = rows
+                S.put_part(spark, root, S.CLEANED, "m.t", source, spark.createDataFrame(list(rows), "k long, v string"), str(step))
+        parts = [r["path"] for r in commits.entries(S.CLEANED).collect()]
+        entries, gone, anew = S.merge_table(spark, root, commits, "m.t", parts, buckets=4)
+        rebuilt.append(anew)
+        if entries or gone:
+            commits.commit(S._rows(spark, entries), S._gone(spark, gone))
+        want = {}
+        for rows in present.values():
+            for r in rows:
+                want[r] = want.get(r, 0) + 1
+        held = {} if "m.t" not in S.final_tables(spark, root) else \
+            {(r.k, r.v): r._support for r in S.read_final(spark, root, "m.t", with_support=True).collect()}
+        assert held == want
+    assert not all(rebuilt[1:])
+    S.put_part(spark, root, S.CLEANED, "m.t", "e", spark.createDataFrame([("1", 2.5)], "k string, w double"), "typed")   # other types: made anew
+    assert S.merge_stage(spark, root) == ["m.t"]
+    final = S.read_final(spark, root, "m.t")
+    assert final.schema["k"].dataType.simpleString() == "string" and "w" in final.columns and final.count() == len(want) + 1
+
+
+def test_two_writers_and_a_writer_that_died(spark, tmp_path):
+    from harmonia.sources.versions import CommitConflict, CommitLog
+    commits = CommitLog(spark, str(tmp_path / "root"))
+    one = S._rows(spark, [("staged", "a", "t", "k", 1, "p")])
+    assert commits.head() == (0, None) and commits.commit(one, seen=0) == 1
+    with pytest.raises(CommitConflict):
+        commits.commit(one, seen=0)                                       # decided on what is no longer the newest
+    (tmp_path / "root" / "log" / "commits" / f"{2:012d}").write_text("snap")   # died before its line was whole
+    assert commits.head()[0] == 1 and commits.entries().count() == 1
+    assert commits.commit(S._rows(spark, [("staged", "b", "t", "k", 1, "q")]), seen=1) == 3
+    assert sorted(r["source"] for r in commits.entries().collect()) == ["a", "b"]
+    with pytest.raises(ValueError, match="two changed"):
+        commits.commit(S._rows(spark, [("staged", "c", "t", "k", 1, "q"), ("staged", "c", "t", "l", 1, "r")]))
