@@ -34,6 +34,8 @@ ITERATIONS = 5
 STRETCH = 256
 #: Words' worth of the corpus distribution mixed into each state's emissions.
 SMOOTH = 200.0
+#: Words beyond the head whose counts every task gets (16 bytes each).
+MIDDLE = 1_000_000
 #: Words in a numpy block.
 BLOCK_WORDS = 1 << 18
 
@@ -62,58 +64,101 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def head_words(counts: DataFrame, most: int = HEAD) -> dict[bytes, tuple[int, int]]:
-    """word -> (class, count) of the words at or above the least count that leaves at most ``most``."""
+def _least(counts: DataFrame, most: int) -> int | None:
+    """The least count that leaves at most ``most`` words at or above it; None if there is none."""
     upto, least = 0, None
-    # one row for each distinct count; only as many as there are head words matter
+    # one row for each distinct count; only as many as there are such words matter
     for r in counts.groupBy("c").count().orderBy(F.desc("c")).limit(most + 1).collect():
         upto += r["count"]
         if upto > most:
             break
         least = r["c"]
+    return least
+
+
+def head_words(counts: DataFrame, most: int = HEAD) -> dict[bytes, tuple[int, int]]:
+    """word -> (class, count) of the words at or above the least count that leaves at most ``most``."""
+    least = _least(counts, most)
     if least is None:
         return {}
     rows = counts.where(F.col("c") >= least).collect()
     return {w: (i, c) for i, (w, c) in enumerate(sorted((bytes(r["word"]), r["c"]) for r in rows))}
 
 
-def encode(docs: DataFrame, head: dict[bytes, tuple[int, int]], total: int, distinct: int) -> DataFrame:
-    """doc rows (doc_id, held_out, bytes) as class ids: codes, n_tokens, n_head (known ones), head_base, tail (word, times)."""
-    shared = docs.sparkSession.sparkContext.broadcast(head)   # at most HEAD words
+@dataclass
+class Middle:
+    """Counts of the most frequent words beyond the head, by the XXH64 of the word, rising; ``least`` is the least count among them."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+    least: int | None
+
+
+def middle_words(rare: DataFrame, most: int = MIDDLE) -> Middle:
+    """At most ``most`` words of ``rare`` (word, c), 16 bytes each.
+
+    Two of some million words share a hash once in a million corpora; such words' counts would go by either.
+    """
+    least = _least(rare, most)
+    if least is None:
+        return Middle(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), None)
+    got = rare.where(F.col("c") >= least).select(F.xxhash64("word").alias("h"), "c").toPandas()
+    hashes = got["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Middle(hashes[order], got["c"].to_numpy(np.int64)[order], least)
+
+
+def encode(docs: DataFrame, head: dict[bytes, tuple[int, int]], total: int, distinct: int, middle: Middle, within: np.ndarray) -> DataFrame:
+    """doc rows (doc_id, held_out, bytes) as class ids: codes, n_tokens, n_head (known words met), head_base and in_class (their
+    scores), rest (the words that are neither in the head nor in the middle, space-joined).
+
+    ``within`` is the log10 of each tail class's smoothed size.  Batches are worked off as one long text.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((head, middle, within))   # at most HEAD and MIDDLE words, TAIL numbers
     end = HEAD + TAIL
     floor = math.log10(total + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cls = {w: i for w, (i, _) in shared.value.items()}
+        import xxhash
+        head, middle, within = shared.value
+        cls = {w: i for w, (i, _) in head.items()}
         base = np.zeros(HEAD)
-        for i, c in shared.value.values():
+        for i, c in head.values():
             base[i] = math.log10(c + 0.5) - floor
-        tails: dict[bytes, int] = {}
+        top = np.log10(middle.counts + 0.5)
+        hash_of, get, crc = xxhash.xxh64_intdigest, cls.get, zlib.crc32
         for pdf in batches:
-            out = []
-            for t in pdf["bytes"]:
-                ws = words(t)
-                code = [cls.get(w, -1) for w in ws]
-                ids = np.array(code, dtype=np.int64)
-                rare = np.flatnonzero(ids < 0)
-                known = ids[ids >= 0]
-                tail = Counter()
-                for i in rare.tolist():
-                    w = ws[i]
-                    k = tails.get(w)
-                    if k is None:
-                        k = HEAD + tail_class(w)
-                        if len(tails) < 200_000:
-                            tails[w] = k
-                    ids[i] = k
-                    tail[w] += 1
-                out.append((np.append(ids, end).astype("<u2").tobytes(), len(ws) + 1, len(known), float(base[known].sum()),
-                            [{"word": w, "times": n} for w, n in tail.items()]))
-            made = pd.DataFrame(out, columns=["codes", "n_tokens", "n_head", "head_base", "tail"])
-            yield pd.concat([pdf[["doc_id", "held_out"]].reset_index(drop=True), made], axis=1)
-
-    schema = ("doc_id string, held_out boolean, codes binary, n_tokens long, n_head long, head_base double, "
-              "tail array<struct<word:binary,times:long>>")
+            split = [words(t) for t in pdf["bytes"]]
+            size = np.array([len(ws) for ws in split], dtype=np.int64)
+            flat = [w for ws in split for w in ws]
+            doc = np.repeat(np.arange(len(split)), size)
+            ids = np.fromiter((get(w, -1) for w in flat), dtype=np.int64, count=len(flat))
+            rare = np.flatnonzero(ids < 0)
+            head_base = np.bincount(doc, weights=base[ids] * (ids >= 0), minlength=len(split))
+            n_head = size - np.bincount(doc[rare], minlength=len(split))
+            seldom = [flat[i] for i in rare.tolist()]
+            k = np.fromiter((crc(w[-3:]) % TAIL for w in seldom), dtype=np.int64, count=len(seldom))
+            ids[rare] = HEAD + k
+            h = np.fromiter((hash_of(w, 42) for w in seldom), dtype=np.uint64, count=len(seldom))
+            at = np.searchsorted(middle.hashes, h)
+            met = at < len(middle.hashes)
+            met[met] = middle.hashes[at[met]] == h[met]
+            of, worth = doc[rare[met]], top[at[met]]
+            head_base += np.bincount(of, weights=worth - floor, minlength=len(split))
+            in_class = np.bincount(of, weights=worth - within[k[met]], minlength=len(split))
+            n_head += np.bincount(of, minlength=len(split))
+            rest: list[list[bytes]] = [[] for _ in split]
+            for i in np.flatnonzero(~met).tolist():
+                rest[doc[rare[i]]].append(seldom[i])
+            codes, stop, start = ids.astype("<u2"), np.cumsum(size).tolist(), 0
+            last, out = np.array([end], dtype="<u2").tobytes(), []
+            for e in stop:
+                out.append(codes[start:e].tobytes() + last)
+                start = e
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "codes": out, "n_tokens": size + 1, "n_head": n_head,
+                                "head_base": head_base, "in_class": in_class, "rest": [b" ".join(r) for r in rest]})
+
+    schema = "doc_id string, held_out boolean, codes binary, n_tokens long, n_head long, head_base double, in_class double, rest binary"
     return docs.mapInPandas(run, schema)
 
 
@@ -271,7 +316,8 @@ def train(codes: DataFrame, share: np.ndarray, iterations: int = ITERATIONS) ->
 
 # ---- scoring ----------------------------------------------------------------------------------------
 
-def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", iterations: int = ITERATIONS) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", iterations: int = ITERATIONS,
+                    most_head: int = HEAD, most_middle: int = MIDDLE) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     The model learns from the rows where ``held_out`` is false.  A token is a word or the end of the text.
@@ -285,27 +331,32 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", t
     ends = rows.where("not held_out").count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, distinct = sums[0] + ends, sums[1] + (ends > 0)
-    head = head_words(counts)
-    coded = encode(rows.withColumn("doc_id", F.col("doc_id").cast("string")), head, total, distinct)
-    coded = materialise(coded.withColumn("row", F.monotonically_increasing_id()), "hmm-codes")
-
-    # rare words meet their counts by a join; frequent ones have met theirs in the tasks
+    head = head_words(counts, most_head)
     least = min((c for _, c in head.values()), default=None)
     rare = counts if least is None else counts.where(F.col("c") < least)
+
+    # the tail classes' sizes
     unseen_class = F.pmod(F.crc32(F.expr("substring(word, greatest(1, length(word) - 2), 3)")), F.lit(TAIL)).cast("int")   # tail_class
-    classed = rare.withColumn("class", unseen_class)
-    sizes = {r["class"]: (r["t"], r["v"]) for r in classed.groupBy("class").agg(F.sum("c").alias("t"), F.count("*").alias("v")).collect()}   # at most TAIL rows
+    by_class = rare.groupBy(unseen_class.alias("class")).agg(F.sum("c").alias("t"), F.count("*").alias("v"))
+    sizes = {r["class"]: (r["t"], r["v"]) for r in by_class.collect()}   # at most TAIL rows
     t, v = (np.array([sizes.get(k, (0, 0))[i] for k in range(TAIL)], dtype=np.float64) for i in (0, 1))
-    # at most TAIL rows
-    within = classed.groupBy("class").agg(F.log10(F.sum("c") + 0.5 * (F.count("*") + 1)).alias("within")).withColumnRenamed("class", "of_class")
-    words_in = coded.select("row", F.explode("tail").alias("w")).select("row", "w.word", "w.times")
-    met = (words_in.withColumn("class", unseen_class).join(F.broadcast(within), F.col("class") == F.col("of_class"), "left")
-           .withColumn("within", F.coalesce("within", F.lit(math.log10(0.5)))).join(rare.select(F.col("word").alias("known"), "c"), F.col("word") == F.col("known"), "left")
+    within = np.log10(t + 0.5 * (v + 1))
+
+    middle = middle_words(rare, most_middle)
+    coded = encode(rows.withColumn("doc_id", F.col("doc_id").cast("string")), head, total, distinct, middle, within)
+    coded = materialise(coded.withColumn("row", F.monotonically_increasing_id()), "hmm-codes")
+
+    # the words of neither head nor middle meet their counts by a join, an occurrence a row; each is rare, so no key is hot
+    seldom = rare if middle.least is None else rare.where(F.col("c") < middle.least)
+    sizes_of = coded.sparkSession.createDataFrame([(k, float(x)) for k, x in enumerate(within)], "of_class int, within double")   # TAIL rows
+    occurs = coded.where(F.length("rest") > 0).select("row", F.explode(F.split(F.col("rest").cast("string"), " ")).alias("word")).select("row", F.col("word").cast("binary").alias("word"))
+    met = (occurs.withColumn("class", unseen_class).join(F.broadcast(sizes_of), F.col("class") == F.col("of_class"))
+           .join(seldom.select(F.col("word").alias("known"), "c"), F.col("word") == F.col("known"), "left")
            .withColumn("c", F.coalesce("c", F.lit(0))).withColumn("top", F.log10(F.col("c") + 0.5)))
     by_row = met.groupBy("row").agg(
-        F.sum(F.col("times") * (F.col("top") - F.lit(math.log10(total + 0.5 * (distinct + 1))))).alias("tail_base"),
-        F.sum(F.col("times") * (F.col("top") - F.col("within"))).alias("tail_in_class"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known")).withColumnRenamed("row", "of_row")
+        F.sum(F.col("top") - F.lit(math.log10(total + 0.5 * (distinct + 1)))).alias("tail_base"),
+        F.sum(F.col("top") - F.col("within")).alias("tail_in_class"),
+        F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("tail_known")).withColumnRenamed("row", "of_row")
 
     # the corpus distribution over classes
     share = np.full(HEAD + TAIL + 1, 0.5)
@@ -325,14 +376,14 @@ def score_documents(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", t
             yield pd.Series(log10_likelihood(exact, [np.frombuffer(c, "<u2") for c in codes]))
 
     end_base = math.log10(ends + 0.5) - math.log10(total + 0.5 * (distinct + 1))
-    scored = coded.select("row", "doc_id", "held_out", "n_tokens", "n_head", "head_base", likelihood("codes").alias("classes"))
+    scored = coded.select("row", "doc_id", "held_out", "n_tokens", "n_head", "head_base", "in_class", likelihood("codes").alias("classes"))
     zero = F.lit(0.0)
     return scored.join(by_row, F.col("row") == F.col("of_row"), "left").select(
         F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"), "held_out", "n_tokens",
         (F.col("n_head") + F.coalesce("tail_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("head_base") + F.coalesce("tail_base", zero) + F.lit(end_base)).alias("base_score"),
-        (F.col("classes") + F.coalesce("tail_in_class", zero)).alias("score"))
+        (F.col("classes") + F.col("in_class") + F.coalesce("tail_in_class", zero)).alias("score"))
 
 
 def op5_hmm(spark, sf_dir: str) -> DataFrame:
