@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bound_batches, crc_mod, materialise, table, utf8
+from .common import LOWER, bound_batches, crc_mod, materialise, table, utf8, whole_numbers
 
 HEAD, TAIL = 61_000, 4096
 STATES = 8
@@ -102,10 +102,10 @@ def middle_words(rare: DataFrame, most: int = MIDDLE) -> Middle:
     least = _least(rare, most)
     if least is None:
         return Middle(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), None)
-    got = rare.where(F.col("c") >= least).select(F.xxhash64("word").alias("h"), "c").toPandas()
-    hashes = got["h"].to_numpy(np.int64).view(np.uint64)
+    hashes, c = whole_numbers(rare.where(F.col("c") >= least).select(F.xxhash64("word").alias("h"), "c"), "h", "c")
+    hashes = hashes.view(np.uint64)
     order = np.argsort(hashes)
-    return Middle(hashes[order], got["c"].to_numpy(np.int64)[order], least)
+    return Middle(hashes[order], c[order], least)
 
 
 def encode(docs: DataFrame, head: dict[bytes, tuple[int, int]], total: int, distinct: int, middle: Middle, within: np.ndarray) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialise, table
+from .common import bound_batches, materialise, table, whole_numbers
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pairs that every task gets (24 bytes each).
@@ -294,8 +294,9 @@ def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         "alignment-best")
     least = _least_of_head(pairs, head)
     # at most HEAD rows
-    known = pairs.where(F.col("c") >= least).orderBy("code").toPandas() if least is not None else pd.DataFrame({"code": [], "c": [], "best": []})
-    shared = spark.sparkContext.broadcast((known["code"].to_numpy(np.int64), known["c"].to_numpy(np.int64), known["best"].to_numpy(bool)))
+    known = [np.zeros(0, dtype=np.int64)] * 3 if least is None else whole_numbers(pairs.where(F.col("c") >= least), "code", "c", "best")
+    order = np.argsort(known[0])
+    shared = spark.sparkContext.broadcast((known[0][order], known[1][order], known[2][order].astype(bool)))
     rare = pairs if least is None else pairs.where(F.col("c") < least)
 
     @F.pandas_udf("struct<n_best:long,count_sum:long,rest:array<struct<code:long,times:long>>>")
