@@ -366,10 +366,53 @@ def test_chunked_ids_equal_whole_ids(text):
 
 
 # ---- op10
-def test_label_model_finds_accuracies_and_correlation():
-    m = toxicity.LabelModel([b"a", b"b"], 0.1, np.array([0.5, 0.5]), np.array([0.001, 0.001]), np.array([0.5, 0.5]))
-    p = m.posterior(np.array([[0, 0], [1, 0], [1, 1]], dtype=float))
-    assert p[0] < 0.1 < 0.9 < p[1] < p[2]
+def _votes(*ids):
+    return np.array(sorted(ids), dtype="<u4").tobytes()
+
+
+def test_label_model_finds_accuracies_and_a_correlated_pair(spark):
+    # voters 0 and 1 always vote together, 2 and 3 by themselves; 3 is right half the time only
+    rng = np.random.default_rng(12)
+    rows, truth = [], []
+    for i in range(6000):
+        y = int(rng.random() < 0.2)
+        votes = [v for v, (t, c) in enumerate(((0.5, 0.01), (0, 0), (0.4, 0.01), (0.2, 0.05))) if rng.random() < (t if y else c)]
+        votes += [1] if 0 in votes else []
+        rows.append((bytearray(_votes(*votes)), y if i % 3 == 0 else None))
+        truth.append(y)
+    model = toxicity.fit_votes(spark.createDataFrame(rows, "pattern binary, y int"), [b"a", b"b", b"c", b"d"], 0.2)
+    assert {(0, 1), (1, 0)} & {(i, int(p)) for i, p in enumerate(model.parent)} and model.parent[2] == -1 and model.parent[3] == -1
+    child = 1 if model.parent[1] == 0 else 0
+    assert model.follow[1][child] > 0.9
+    p = model.posterior([_votes(), _votes(0, 1), _votes(2), _votes(3), _votes(0, 1, 2)])
+    assert p[0] < 0.1 and p[1] > 0.7 and p[2] > 0.7 and 0.1 < p[3] < 0.7 and p[4] > 0.9
+    assert abs(p[1] - p[2]) < 0.15     # the pair counts about as much as one voter, not twice
+    guess = model.posterior([bytes(r[0]) for r in rows])
+    exact = [r for r, t in zip(guess, truth) if abs(r - 0.5) > 0.3]
+    assert np.mean([(g > 0.5) == t for g, t in zip(guess, truth)]) > 0.88 and len(exact) > 5000
+    # accuracies: the number of starts by class as drawn
+    none = [np.exp(model.starts[c][0]) for c in (0, 1)]
+    assert none[0] == pytest.approx(0.99 * 0.99 * 0.95, abs=0.03) and none[1] == pytest.approx(0.5 * 0.6 * 0.8, abs=0.05)
+
+
+@pytest.mark.parametrize("insults,share,n", [(40, 0.1, 8000), (40, 0.5, 2000), (10, 0.1, 2000)])
+def test_one_insult_a_text_is_enough(spark, insults, share, n):
+    rng = np.random.default_rng(insults)
+    words = [f"word{i:03d}x" for i in range(400)]
+    bad = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}insult" for i in range(insults)]
+    rows, toxic = [], {}
+    for i in range(n):
+        text = [words[k] for k in rng.integers(0, len(words), 25)]
+        toxic[i] = int(rng.random() < share)
+        if toxic[i]:
+            text.insert(int(rng.integers(0, 25)), bad[rng.integers(0, insults)])
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, y in toxic.items()], "doc_id long, toxic int")
+    held = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    recall = np.mean([s for i, s in held.items() if toxic[i]])
+    clean = np.mean([not s for i, s in held.items() if not toxic[i]])
+    assert recall >= 0.95 and clean >= 0.95, (recall, clean)
 
 
 def test_toxicity(spark, docs, empty):
