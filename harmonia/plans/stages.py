@@ -33,12 +33,15 @@ from ..operators.schema import (align_versions, best_renames, canonical_schema,
 from ..operators.support import BUCKET, SUPPORT, bucketed, count_rows, supported
 from ..sources.files import manifest, read_raw
 from ..sources.ledger import select_tables
+from ..sources.records import column_names, headers, parsed, records
 from ..sources.versions import CommitLog, part_folder, qualified
 from .cleaners import CLEANERS, IECG_TIME, MUSE_TIME, Context, clean, parse_iecg_time, parse_muse_time
 
 log = logging.getLogger(__name__)
 
 STAGED, CLEANED, DERIVED, MERGED, BUCKETS_OF = "staged", "clean", "derived", "merged", "final"
+#: Numbers the files whose rows are staged by one write.
+PART_OF = "_harmonia_part"
 CHANGED = "stage string, source string, tablename string, key string, rowcount long, path string"
 
 
@@ -59,14 +62,15 @@ def _digest(*made_from: str) -> str:
     return hashlib.sha256(json.dumps(made_from).encode()).hexdigest()
 
 
-def _headers(spark: SparkSession, files: list) -> DataFrame:
-    rows = []
-    for rank, f in enumerate(files):
-        cols = read_raw(spark, f["path"], f["ext"]).columns
-        rows += [(f["filename"], f["stem"], rank, i, c) for i, c in enumerate(cols)]
+def _header_rows(spark: SparkSession, named: list[tuple]) -> DataFrame:
+    rows = [(f["filename"], f["stem"], rank, i, c) for rank, (f, names) in enumerate(named) for i, c in enumerate(names)]
     return spark.createDataFrame(rows, "file string, stem string, file_rank int, pos int, name string")
 
 
+def _headers(spark: SparkSession, files: list) -> DataFrame:
+    return _header_rows(spark, [(f, read_raw(spark, f["path"], f["ext"]).columns) for f in files])
+
+
 def build_canonical_schema(spark: SparkSession, raw_folder: str, aliases: dict[str, str] | None = None) -> dict[str, list[str]]:
     """Canonical schema {table: ordered columns} from the headers of every raw file and the
     file-name alias map; fails when a file has no canonical table (M1, M2)."""
@@ -95,7 +99,9 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
 
     ``checksum_mode="content"`` hashes file bytes (each file is one binaryFile row, so files must
     stay under 2 GB and fit a task's memory); ``"metadata"`` fingerprints path, size and
-    modification time instead, for very large exports.  ``multiline`` is passed to the CSV reader."""
+    modification time instead, for very large exports.  CSV exports are cut into records block by block, all of
+    them at once (``sources.records``); with ``multiline=False`` every line is a record.  Exports of one table and header are written together,
+    a folder each; the rows of each must be as many as its records (Q1)."""
     commits = CommitLog(spark, root)
     seen, _ = commits.head()
     man = manifest(spark, raw_folder, checksum_mode=checksum_mode)
@@ -111,29 +117,57 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
     if not todo and not gone:
         return []
     inferred = {}
+
+    def prepare(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+        df = df.withColumnsRenamed(best_renames(columns, known_schemas[table], spark, threshold, method))
+        dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
+        canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
+        return pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
+
     if todo:
-        hdr = _headers(spark, todo)
+        exports = [f["path"] for f in todo if f["ext"] == "csv"]
+        # every export that changed is cut into records by the same few jobs, however many they are
+        recs = records(spark, exports, quoted_breaks=multiline) if exports else None
+        layouts = {r["file"]: r for r in headers(recs).collect()} if exports else {}   # a header a file
+        hdr = _header_rows(spark, [(f, column_names(layouts[f["path"]]["header"]) if f["path"] in layouts else []) if f["ext"] == "csv"
+                                   else (f, read_raw(spark, f["path"], f["ext"]).columns) for f in todo])
         canon_rows = [(t, ti, i, c) for ti, (t, cols) in enumerate(known_schemas.items()) for i, c in enumerate(cols)]
         canon = spark.createDataFrame(canon_rows, "table string, table_pos int, pos int, column string")
         order = spark.createDataFrame([(t, i) for i, t in enumerate(known_schemas)], "table string, table_pos int")
         inferred = {r["file"]: (r["table"], r["score"]) for r in
                     infer_tables(hdr.select("file", "pos", "name"), canon, order, threshold, method).collect()}
     written, entries = [], []
+    alike: dict[tuple, list] = {}   # exports of one table and header are staged together
     for f in todo:
         table, score = inferred.get(f["filename"], ("unknown", 0.0))
         if table == "unknown":  # Q7: no table reaches the threshold; the file stays pending, and gives no rows any more
             log.warning("skipping %s: best table score %.2f is below %.2f", f["filename"], score, threshold)
             gone += [(STAGED, f["path"])] if f["source"] else []
             continue
-        df = read_raw(spark, f["path"], f["ext"], multiline=multiline)
-        df = df.withColumnsRenamed(best_renames(df.columns, known_schemas[table], spark, threshold, method))
-        dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
-        canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
-        df = pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
+        if f["ext"] == "csv":
+            alike.setdefault((table, layouts[f["path"]]["header"]), []).append(f)
+            continue
+        df = read_raw(spark, f["path"], f["ext"])
         path = part_folder(STAGED, table)
-        n = write_checked(spark, df, f"{root}/{path}", f"staged {f['filename']}")
-        written.append({"filename": f["filename"], "tablename": table, "rowcount": n, "checksum": f["checksum"]})
+        n = write_checked(spark, prepare(df, table, df.columns), f"{root}/{path}", f"staged {f['filename']}")
         entries.append((STAGED, f["path"], table, f["checksum"], n, path))
+    for (table, header), files_alike in alike.items():
+        names = column_names(header)
+        first = [(i, f["path"], layouts[f["path"]]["at"]) for i, f in enumerate(files_alike)]
+        first = spark.createDataFrame([(i, p, at["block"], at["n"]) for i, p, at in first], f"{PART_OF} int, file string, at_block long, at_n long")
+        body = recs.join(first, "file").where(F.struct("block", "n") > F.struct("at_block", "at_n"))
+        df = prepare(parsed(body, names, keep=(PART_OF,)), table, names)
+        path = part_folder(STAGED, table)
+        found = write_parts_checked(spark, df, f"{root}/{path}", {i: layouts[f["path"]]["records"] for i, f in enumerate(files_alike)})
+        bare = part_folder(STAGED, table)   # for all exports that are a header alone
+        if not all(found.values()):
+            spark.createDataFrame([], df.drop(PART_OF).schema).write.parquet(f"{root}/{bare}")
+        entries += [(STAGED, f["path"], table, f["checksum"], found[i], f"{path}/{PART_OF}={i}" if found[i] else bare) for i, f in enumerate(files_alike)]
+    by_path = {e[1]: e for e in entries}
+    for f in todo:
+        if f["path"] in by_path:
+            _, _, table, checksum, n, _ = by_path[f["path"]]
+            written.append({"filename": f["filename"], "tablename": table, "rowcount": n, "checksum": checksum})
     if entries or gone:
         commits.commit(_rows(spark, entries), _gone(spark, gone), seen)
     return written
@@ -151,6 +185,18 @@ def write_checked(spark: SparkSession, df: DataFrame, path: str, what: str) -> i
     return written
 
 
+def write_parts_checked(spark: SparkSession, df: DataFrame, path: str, expected: dict[int, int]) -> dict[int, int]:
+    """Write ``df`` to one folder ``PART_OF=<number>`` below ``path`` for each part and check row parity (Q1): the written rows of every
+    part must be as many as ``expected`` from counting its records before they were parsed.  Parts without rows get no folder."""
+    df.write.mode("append").partitionBy(PART_OF).parquet(path)
+    written = spark.read.option("basePath", path).schema(T.StructType([*df.drop(PART_OF).schema, T.StructField(PART_OF, T.IntegerType())])).parquet(path)
+    found = {r[PART_OF]: r["count"] for r in written.groupBy(PART_OF).count().collect()}
+    wrong = {i: (n, found.get(i, 0)) for i, n in expected.items() if n != found.get(i, 0)}
+    if wrong:
+        raise ValueError(f"row parity failed below {path}: (records, rows written) by part {wrong}")
+    return {i: found.get(i, 0) for i in expected}
+
+
 def _read_parts(spark: SparkSession, root: str, paths: list[str]) -> list[DataFrame]:
     """One frame for each schema among the parts: parts that share one are read together."""
     by_schema: dict[str, list[str]] = {}

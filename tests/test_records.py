@@ -102,3 +102,18 @@ def test_changed_blocks_raise_rather_than_mix_records(spark):
         cut = R.pieces(spark, paths)
     with blocks(spark, 11), pytest.raises(Exception, match="blocks changed"):
         cut.collect()
+
+
+def test_number_of_jobs_does_not_grow_with_the_number_of_files(spark):
+    from harmonia.plans import stages as S
+    known, jobs = {"t.one": ["id", "note"], "t.two": ["key", "when", "where"]}, []
+    for n in (2, 6):
+        texts = {f"a{i}.csv": f'id,note\n{i},"x\ny"\n{i},z\n' for i in range(n)} | {f"b{i}.csv": "key,when,where\n" for i in range(n)}
+        raw, root = os.path.dirname(_folder(spark, texts)[0]), scratch_path(spark, "jobs-lake")
+        spark.sparkContext.setJobGroup(f"files-{n}", "")
+        got = S.preprocess(spark, raw, root, known)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"files-{n}")))
+        assert {w["filename"]: (w["tablename"], w["rowcount"]) for w in got} == {name: ("t.one", 2) if name[0] == "a" else ("t.two", 0) for name in texts}
+        assert sorted(map(tuple, S.read_staged(spark, root, "t.one").collect())) == sorted((str(i), v) for i in range(n) for v in ("x\ny", "z"))
+        assert S.preprocess(spark, raw, root, known) == []
+    assert jobs[0] == jobs[1], jobs
