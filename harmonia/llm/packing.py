@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bound_batches, table
-from .tokens import encoder, vocabulary
+from .tokens import added_tokens, encoder, vocabulary
 
 SEQUENCE = 1024
 GROUP_DOCS = 1024
@@ -84,10 +84,11 @@ def pack(lengths: list[int], capacity: int) -> list[tuple[int, int, int, int]]:
 
 
 def pack_documents(docs: DataFrame, vocab: tuple[str, str] | None = None, doc_id: str = "doc_id", text: str = "text",
-                   sequence: int = SEQUENCE, group_docs: int = GROUP_DOCS, seed: int = 1) -> DataFrame:
+                   sequence: int = SEQUENCE, group_docs: int = GROUP_DOCS, seed: int = 1,
+                   added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece (``PIECES``): where the piece of a document lies and its ids.
 
-    A document is its byte-level BPE ids, then ``END``.  ``ids`` holds them as little-endian unsigned
+    A document is its byte-level BPE ids, then ``END``; strings ``added`` (the public tokenizer's own if None) inside its text are one id each.  ``ids`` holds them as little-endian unsigned
     32-bit integers; ``start`` counts the document's ids before the piece, ``offset`` the ids before it in its
     sequence.  Null and empty texts are the single id ``END``; repeated rows are packed each; an empty
     table gives no pieces.  Rows are dealt to about ``count / group_docs`` groups by a hash of their place in the
@@ -95,6 +96,7 @@ def pack_documents(docs: DataFrame, vocab: tuple[str, str] | None = None, doc_id
     """
     bound_batches(docs.sparkSession)
     vocab = vocab or vocabulary()
+    added = added_tokens() if added is None else added
     groups = max(1, round(docs.count() / group_docs))
 
     @F.pandas_udf("binary")
@@ -102,7 +104,7 @@ def pack_documents(docs: DataFrame, vocab: tuple[str, str] | None = None, doc_id
         enc = encoder(*vocab)
         end = np.array([END], dtype="<u2").tobytes()
         for texts in batches:
-            yield pd.Series([enc.encode(t or "") + end for t in texts], dtype=object)
+            yield pd.Series([enc.encode_added(t or "", added) + end for t in texts], dtype=object)
 
     def pack_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         documents = [np.frombuffer(b, dtype="<u2") for b in pdf["ids"]]

@@ -11,12 +11,14 @@ a row are encoded whole.
 from __future__ import annotations
 
 import base64
+import json
 import re
 
 import numpy as np
 import tiktoken
 
 RANKS = "byte_bpe_50k.tiktoken"
+ADDED = "byte_bpe_50k.json"
 EOD = 50256
 #: Entries of the cache; some 50 MB at most.
 CACHE = 200_000
@@ -59,6 +61,13 @@ class Encoder:
             out.append(get(word) or chunk(word))
         return b"".join(out)
 
+    def encode_added(self, text: str, added: dict[str, int]) -> bytes:
+        """As ``encode``, but the strings ``added`` inside the text become their ids; the text between two of them is encoded by itself."""
+        if not any(token in text for token in added):
+            return self.encode(text)
+        cuts = re.split("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")", text)
+        return b"".join(np.array([added[part]], dtype="<u2").tobytes() if i % 2 else self.encode(part) for i, part in enumerate(cuts))
+
 
 _encoders: dict[tuple[str, str], Encoder] = {}
 
@@ -70,6 +79,13 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
+def added_tokens(name: str = ADDED) -> dict[str, int]:
+    """The tokens that a public tokenizer has beside its vocabulary, and recognises inside texts, with their ids."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 def vocabulary(name: str = RANKS) -> tuple[str, str]:
     """(path, pre-tokenisation pattern) of a public byte-level vocabulary."""
     import public_tokenizers

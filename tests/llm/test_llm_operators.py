@@ -340,7 +340,6 @@ def test_packing_round_trip(docs, empty):
     from tokenizers import Tokenizer
     import public_tokenizers
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    hf.encode_special_tokens = True
     pieces = packing.pack_documents(docs.where("doc_id <> 4 or doc_id is null"), group_docs=4).collect()
     for row in (r for r in ROWS if r[0] != 4):
         own = sorted((p for p in pieces if p.doc_id == row[0]), key=lambda p: p.start)
@@ -356,6 +355,15 @@ def test_packing_round_trip(docs, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x\n <|endoftext|><|endoftext|>  y  ", "<|endoftext|", "caf\u00e9<|endoftext|>  <|ENDOFTEXT|>"])
+def test_packing_takes_added_tokens_as_the_unmodified_tokenizer_does(text):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    from harmonia.llm.tokens import added_tokens
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert np.frombuffer(encoder(*vocabulary()).encode_added(text, added_tokens()), "<u2").tolist() == hf.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("text", ["a  b", " lead", "trail ", "x\ny\n\nz", "\n", "é\u00a0ü \u2003x", "it's we'll 12 34", "<|endoftext|>", "a \n b", "日本 語\n語 1", "\x1c x", "a\tb c"])
 def test_chunked_ids_equal_whole_ids(text):
     from tokenizers import Tokenizer
