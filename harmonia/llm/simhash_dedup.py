@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, bound_batches, fresh, materialise, table, utf8
@@ -189,20 +189,26 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, all columns kept.
+    """One row of ``docs`` for each component, all columns kept: that of smallest (doc_id, hash of the text), null ids last.
 
-    Repeated rows (same doc_id and text) leave one row; rows that share a doc_id but not the text
-    are different documents and each stays if the id names its component.
+    So near copies that share an id, or have none, leave one row too, and repeated rows (same doc_id and text) leave one;
+    rows of one id whose texts are in different components are different documents.  An empty table gives no rows.
     """
-    found = materialise(simhash_components(docs, shingle=shingle, radius=radius).select("doc_id", "component_id"), "simhash-kept")
+    who = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit("")), F.lit(3)).alias("h"))
+    found = materialise(simhash_components(docs.select(who.alias("doc_id"), "text"), shingle=shingle, radius=radius)
+                        .select("doc_id", "component_id"), "simhash-kept")
+
+    def key_of(no_id: Column, doc_id: Column, h: Column) -> Column:
+        return F.concat_ws(":", h.cast("string"), F.when(no_id, F.lit("")).otherwise(F.concat(F.lit("id "), doc_id.cast("string"))))
+
     key = fresh(docs, "kept_key")
-    text_key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    keep = found.where("doc_id <=> component_id").select(text_key.alias("kept")).distinct()
-    keyed = docs.withColumn(key, text_key)
-    # the build side of each task is a part of the kept ids; documents stream past it and are not sorted
+    named = found.where("doc_id <=> component_id").select(key_of(F.col("doc_id.no_id"), F.col("doc_id.id"), F.col("doc_id.h")).alias("kept"))
+    keyed = docs.withColumn(key, key_of(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")), F.lit(3))))
+    keep = named.distinct()
+    # the build side of each task is a part of the kept keys; documents stream past it and are not sorted
     kept = keyed.join(keep.hint("shuffle_hash"), keyed[key] == keep["kept"], "left_semi")
-    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([key, "text"])
+    if named.groupBy("kept").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([key])
     return kept.select(*docs.columns)
 
 

@@ -123,6 +123,18 @@ def test_simhash_against_brute_force(docs, empty):
     assert simhash_dedup.one_of_each(empty).count() == 0
 
 
+def test_one_row_stays_of_each_group_also_without_ids(spark):
+    base = " ".join(f"w{i}" for i in range(400))
+    near = [base + " " + " ".join(["end"] * n) for n in range(5)]   # a group by itself: shown below
+    other = " ".join(f"v{i}" for i in range(50))
+    label = simhash_dedup.forest(5, *np.nonzero([[(simhash(a) ^ simhash(b)).bit_count() <= 2 for b in near] for a in near]))
+    assert len(set(label)) == 1
+    rows = [(None, t) for t in near] + [(None, near[0])] + [(7, other)] * 3 + [(9, other), (9, "another text altogether"), (None, other)]
+    kept = [tuple(r) for r in simhash_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(r for r in kept if r[0]) == [(7, other), (9, "another text altogether")]
+    assert len(kept) == 3 and [t in near for i, t in kept if i is None] == [True]
+
+
 def test_bk_trees_split_over_shards_and_blocks(spark):
     rng = np.random.default_rng(3)
     centre = rng.integers(0, 1 << 63, size=40, dtype=np.uint64)
