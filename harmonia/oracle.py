@@ -1155,3 +1155,9 @@ ORACLE["q_med_union"] = "\nUNION ALL\n".join(
     ORACLE[f"q_clean_ehr_{s}"] for s in ["dts_discharge_medication", "dts_medication", "edw_medication",
                                          "edw_outpatient_medication"])
 ORACLE["q_lab_union"] = ORACLE["q_clean_ehr_dts_laboratory"] + "\nUNION ALL\n" + ORACLE["q_clean_ehr_edw_laboratory"]
+
+ORACLE["q_csv_records"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
+       o_orderstatus || chr(10) || '"' || CAST(o_custkey AS VARCHAR) || '",' || chr(10) || CAST(o_orderkey AS VARCHAR) AS note,
+       CAST(o_custkey AS VARCHAR) AS customer
+FROM orders"""

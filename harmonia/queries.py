@@ -1151,6 +1151,19 @@ def q_csv_round_trip(spark, sf_dir):
     return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in o.schema.fields])
 
 
+@register
+def q_csv_records(spark, sf_dir):
+    """Orders written as exports with quotes and line breaks inside values, and read back block by block."""
+    from .session import scratch_path
+    from .sources.records import read_csv
+    o = table(spark, sf_dir, "orders")
+    note = F.concat(F.col("o_orderstatus"), F.lit('\n"'), F.col("o_custkey").cast("string"), F.lit('",\n'), F.col("o_orderkey").cast("string"))
+    path = scratch_path(spark, "csv-records")
+    (o.select(F.col("o_orderkey").alias("order_key"), note.alias("note"), F.col("o_custkey").alias("customer"))
+     .write.option("header", True).option("escape", '"').csv(path))
+    return read_csv(spark, [path])["order_key", "note", "customer"]
+
+
 @register
 def q_json_round_trip(spark, sf_dir):
     from .session import scratch_path
