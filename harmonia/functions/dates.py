@@ -15,37 +15,50 @@ from ._util import as_col
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _MONTH = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
           r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
-_TIME = (r"(?:[T ](\d{1,2}):(\d{1,2})(?::([0-5]?\d)(?:\.(\d{1,6})\d*)?)?(?: ?([ap]m))?"
-         r"(?: ?(?:z|utc|[+-]\d{2}:?\d{2}))?)?")
+_WEEKDAY = r"(?:(?:mon|tue(?:s)?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?[.,]*\s+)?"
+_ORDINAL = r"(?:st|nd|rd|th)?"
+_ZONE = r"(?:\s*(?:z|utc|gmt|[+-]\d{2}(?::?\d{2})?))?"
+#: A time of day; it has minutes or AM/PM.
+_TIME = (r"(?:(?:t|,?\s+)(\d{1,2})(?::(\d{1,2})(?::([0-5]?\d)(?:\.(\d{1,6})\d*)?)?|(?=\s*[ap]\.?m))"
+         r"(?:\s*([ap])\.?m\.?)?" + _ZONE + r")?")
+_TIME_FIELDS = ("h", "mi", "s", "fraction", "half")
 #: Spellings and the fields they fill, in group order; a time may follow each.
 _SPELLINGS = (
     (r"(\d{1,2})[/.-](\d{1,2})[/.-](\d{4}|\d{2})", "a b y"),
     (r"(\d{4})[/.-](\d{1,2})[/.-](\d{1,2})", "y m d"),
-    (r"(\d{1,2})[ -]" + _MONTH + r"[.,]?[ -](\d{4}|\d{2})", "d name y"),
-    (_MONTH + r"\.? (\d{1,2}),? (\d{4})", "name d y"),
+    (r"(\d{1,2})" + _ORDINAL + r"(?:[/.-]|\s+)" + _MONTH + r"[.,]?(?:[/.-]|\s+)(\d{4}|\d{2})", "d name y"),
+    (_MONTH + r"\.?(?:-|\s+)(\d{1,2})" + _ORDINAL + r"(?:-|,?\s+)(\d{4})", "name d y"),
+    (r"(\d{4})(?:[/.-]|\s+)" + _MONTH + r"\.?(?:[/.-]|\s+)(\d{1,2})", "y name d"),
     (r"(\d{4})(\d{2})(\d{2})(?:(\d{2})(\d{2})([0-5]\d))?", "y m d h mi s"),
 )
-_FIELDS = " ".join(f for _, f in _SPELLINGS).split() + ["h", "mi", "s", "fraction", "half"]
-_SHAPE = "(?i)^(?:" + "|".join(p for p, _ in _SPELLINGS) + ")" + _TIME + "$"
+_GROUPS = [*" ".join(f for _, f in _SPELLINGS).split(), *_TIME_FIELDS]
+_FIELDS = ("a", "b", "y", "m", "name", "d", *_TIME_FIELDS)
+_SHAPE = r"(?i)^\s*" + _WEEKDAY + "(?:" + "|".join(p for p, _ in _SPELLINGS) + ")" + _TIME + r"\s*$"
+#: Starts what a matched value is rewritten to, so that matching and taking the groups are one run of the pattern.
+_MATCHED = "\u0001"
+#: One field is filled by one spelling at most: the groups that may fill it stand side by side.
+_REWRITTEN = "|".join([_MATCHED, *("".join(f"${i + 1}" for i, g in enumerate(_GROUPS) if g == f) for f in _FIELDS)])
 
 
 def parse_mixed(c, dayfirst: bool = False) -> Column:
-    """Tolerant parse of mixed spellings: numeric dates with ``/``, ``-`` or ``.``, ISO dates, month names,
-    ``yyyyMMdd[HHmmss]``, two-digit years (69-99 are 19xx), optional times with seconds, fractions
-    (to microseconds), AM/PM and a zone.  Blanks around and repeated blanks are ignored.
+    """Tolerant parse of mixed spellings: numeric dates with ``/``, ``-`` or ``.``, ISO dates, month names in any
+    place, ordinals (``4th``), ``yyyyMMdd[HHmmss]``, a leading weekday (not checked), two-digit years (69-99 are 19xx),
+    optional times with seconds, fractions (to microseconds), AM/PM (then minutes may be absent) and a zone.
+    Blanks around and repeated blanks are ignored.
 
     Ambiguous d/M vs M/d is resolved by ``dayfirst`` (the other order is tried when the first is
-    not a valid date).  A zone or offset is dropped: the wall-clock time stays.  Anything else is null.
-    The value is matched once; its fields then make the timestamp.
+    not a valid date).  A zone or offset is dropped: the wall-clock time stays.  Anything else is null
+    (``operators.shapes.date_shapes`` tells which shapes of a column that holds for).
+    The pattern runs once a value: it rewrites the value to its fields, which make the timestamp.
     """
-    x = F.regexp_replace(F.trim(as_col(c)), r"\s+", " ")
-    groups = F.regexp_replace(x, _SHAPE, "|".join(f"${i + 1}" for i in range(len(_FIELDS))))
-    fields = F.when(x.rlike(_SHAPE), F.split(groups, r"\|", -1))
+    x = as_col(c)
+    rewritten = F.regexp_replace(x, _SHAPE, _REWRITTEN)
+    fields = F.when(rewritten.startswith(_MATCHED) & ~x.startswith(_MATCHED), F.split(rewritten, r"\|", -1))
 
     def build(f: Column) -> Column:
         def value(name):
-            """The field's text from whichever spelling matched; null if none has it."""
-            return F.coalesce(*[F.nullif(f[i], F.lit("")) for i, n in enumerate(_FIELDS) if n == name])
+            """The field's text; null if the value has none."""
+            return F.nullif(f[1 + _FIELDS.index(name)], F.lit(""))
 
         def number(name):
             return value(name).cast("int")
@@ -54,7 +67,7 @@ def parse_mixed(c, dayfirst: bool = False) -> Column:
         year = F.when(F.length(value("y")) == 2, year + F.when(year >= 69, 1900).otherwise(2000)).otherwise(year)
         named = F.array_position(F.array(*map(F.lit, _MONTHS)), F.lower(F.substring(value("name"), 1, 3))).cast("int")
         hour = F.coalesce(number("h"), F.lit(0))
-        pm = F.lower(value("half")) == "pm"
+        pm = F.lower(value("half")) == "p"
         hour = (F.when(value("half").isNull(), hour)
                 .when(hour.between(1, 12), F.pmod(hour, F.lit(12)) + F.when(pm, 12).otherwise(0)))
         seconds = F.concat(F.coalesce(value("s"), F.lit("0")), F.lit("."), F.coalesce(value("fraction"), F.lit("0"))).cast("decimal(16,6)")
@@ -63,7 +76,7 @@ def parse_mixed(c, dayfirst: bool = False) -> Column:
             return F.try_make_timestamp_ntz(year, month, day, hour, F.coalesce(number("mi"), F.lit(0)), seconds)
 
         first, second = (number("b"), number("a")) if dayfirst else (number("a"), number("b"))
-        return F.coalesce(at(F.coalesce(number("m"), named), number("d")), at(first, second), at(second, first))
+        return F.coalesce(at(F.coalesce(number("m"), named, first), F.coalesce(number("d"), second)), at(second, first))
 
     return F.transform(F.array(fields), build)[0]
 

@@ -401,6 +401,16 @@ def pad_seconds(t):
     return f"CASE WHEN length({t}) - length(replace({t}, ':', '')) = 2 THEN {t} ELSE {t} || ':00' END"
 
 
+ORACLE["q_date_shapes"] = f"""
+WITH raw AS (SELECT {formatted_ts("(o_orderdate + INTERVAL 7 HOUR)", "o_orderkey + o_custkey")} AS exported, o_orderpriority AS priority FROM orders),
+long AS (SELECT 'exported' AS "column", exported AS value FROM raw UNION ALL SELECT 'priority', priority FROM raw),
+read AS (SELECT "column", value, {parse_mixed('value')} IS NOT NULL AS read,
+           trim(regexp_replace(regexp_replace(regexp_replace(value, '[0-9]', '9', 'g'), '[A-Za-z]', 'a', 'g'), '\\s+', ' ', 'g')) AS shape
+         FROM long WHERE trim(value) <> '')
+SELECT "column", shape, count(*) AS rows, count(*) FILTER (WHERE read) AS parsed, count(*) FILTER (WHERE NOT read) AS unparsed,
+  coalesce(min(value) FILTER (WHERE NOT read), min(value)) AS example
+FROM read GROUP BY "column", shape"""
+
 ORACLE["q_arrival_dt"] = f"""
 SELECT o_orderkey, arrival_time, {parse_mixed("(arrival_date || ' ' || arrival_time)", True)} AS arrival_dt,
   {parse_mixed('discharge', True)} AS date_of_discharge_or_death

@@ -469,6 +469,15 @@ def q_date_mixed(spark, sf_dir):
         parse_mixed(F.col("raw"), dayfirst=True).alias("day_first"))
 
 
+@register
+def q_date_shapes(spark, sf_dir):
+    """Shapes of the exported date spellings and of free notes, with how many values of each the parser reads."""
+    from .operators.shapes import date_shapes
+    o = table(spark, sf_dir, "orders")
+    raw = formatted_ts(F.col("o_orderdate") + F.expr("INTERVAL 7 HOURS"), F.col("o_orderkey") + F.col("o_custkey"))
+    return date_shapes(o.select(raw.alias("exported"), F.col("o_orderpriority").alias("priority")), ["exported", "priority"])
+
+
 ARRIVAL_TIMES = ["9:05", "09:05:10", "23:59", None, "7:3", "12:00:00"]
 
 

@@ -133,6 +133,16 @@ def test_mixed_dates(spark):
     ("3/4/2021 12:00 am", datetime(2021, 3, 4), datetime(2021, 4, 3)),
     ("2021/03/04", datetime(2021, 3, 4), ...),
     ("20210304101112", datetime(2021, 3, 4, 10, 11, 12), ...),
+    ("2021-03-04T10:11:12+08", datetime(2021, 3, 4, 10, 11, 12), ...),
+    ("4 March 2021 10:11:12 GMT", datetime(2021, 3, 4, 10, 11, 12), ...),
+    ("12 Mar 2021 5pm", datetime(2021, 3, 12, 17), ...),
+    ("12 Mar 2021 5:30 p.m.", datetime(2021, 3, 12, 17, 30), ...),
+    ("Thu, 4 Mar 2021 10:11", datetime(2021, 3, 4, 10, 11), ...),
+    ("Thursday 4th March 2021", datetime(2021, 3, 4), ...),
+    ("2021-Mar-04", datetime(2021, 3, 4), ...),
+    ("Mar 4th, 2021, 9:05 AM", datetime(2021, 3, 4, 9, 5), ...),
+    ("\t04/03/2021\t09:05", datetime(2021, 4, 3, 9, 5), datetime(2021, 3, 4, 9, 5)),
+    ("12 Mar 2021 5", None, None), ("\x01|1|2|2021", None, None), ("Thu", None, None),
     ("04/03/2021 7:3:00", datetime(2021, 4, 3, 7, 3), datetime(2021, 3, 4, 7, 3)),
     (" 04/03/2021  09:05 ", datetime(2021, 4, 3, 9, 5), datetime(2021, 3, 4, 9, 5)),
     ("2020-02-30", None, None), ("1/2/2020 24:00", None, None), ("13/13/2020", None, None), ("x", None, None),

@@ -257,3 +257,15 @@ def test_clean_rejects_names_that_stay_too_long(spark):
     df = spark.createDataFrame([("x",)], f"`{long}` string")
     with pytest.raises(ValueError):
         clean(df, CleanerSpec("t.t"))
+
+
+def test_date_shapes_name_every_spelling_that_would_be_lost(spark):
+    from harmonia.operators.shapes import date_shapes, unread_shapes
+    df = spark.createDataFrame([("04/03/2021", "2021-W09-4"), ("13/12/2020", " 2021-W10-1 "), (None, ""), ("99/99/2021", "Mär 4")], "a string, `b c` string")
+    got = {(r["column"], r["shape"]): (r["rows"], r["parsed"], r["unparsed"], r["example"]) for r in date_shapes(df, ["a", "b c"]).collect()}
+    assert got == {("a", "99/99/9999"): (3, 2, 1, "99/99/2021"), ("b c", "9999-a99-9"): (2, 0, 2, " 2021-W10-1 "),
+                   ("b c", "aaa 9"): (1, 0, 1, "Mär 4")}
+    assert unread_shapes(df.select("a"), ["a"]).count() == 1
+    assert date_shapes(df.limit(0), ["a"]).count() == 0
+    parsed = date_shapes(df, ["a"], dayfirst=True).first()
+    assert parsed["rows"] == parsed["parsed"] + parsed["unparsed"]
