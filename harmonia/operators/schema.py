@@ -4,7 +4,7 @@ table inference, padding, and type reconciliation across table versions.
 Header rows are data: ``(file, pos, name)``.  Thousands of raw files are cleaned and
 classified by one Spark job.  Fuzzy matching compares header names with the reference
 columns only where the similarity threshold can be reached: candidate pairs come from an
-equi-join on name length (a length band derived from the threshold), never from a cross
+inverted index of character n-grams (``operators.similarity``), never from a cross
 join; the expensive similarity is computed once per distinct (reference, test) name pair.
 """
 
@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import lookups as L
 from ..functions import names as N
+from .similarity import levenshtein_similarity, ratcliff_ratio, similar_names  # noqa: F401 (also offered from here)
 
 # ---- header names (M9-M13, Q5) ------------------------------------------------------------------
 
@@ -64,8 +64,8 @@ _NAME_PLANS: dict = {}
 
 def clean_names_for(spark, columns: list[str], abbreviations: dict | None = None) -> list[tuple]:
     """(pos, clean_name, keep, too_long) per column.  A pure function of the header, computed
-    by ``clean_header_rows`` on a one-file header and memoised per session and header."""
-    key = (id(spark), tuple(columns), tuple(sorted((abbreviations or {}).items())))
+    by ``clean_header_rows`` on a one-file header and memoised by header."""
+    key = (tuple(columns), tuple(sorted((abbreviations or {}).items())))
     if key not in _NAME_PLANS:
         hdr = spark.createDataFrame([("f", i, c) for i, c in enumerate(columns)], "file string, pos int, name string")
         rows = sorted(clean_header_rows(hdr, abbreviations).collect(), key=lambda r: r["pos"])
@@ -109,65 +109,18 @@ def best_renames(columns: list[str], canonical: list[str], spark, threshold: flo
     threshold (exact names are left alone).  Header lists are metadata, so this runs on two tiny
     DataFrames and collects at most one row per canonical column."""
     hdr = spark.createDataFrame([("f", i, c) for i, c in enumerate(columns)], "file string, pos int, name string")
-    can = spark.createDataFrame([("t", c) for c in canonical], "table string, column string")
-    lo, hi = _length_band(method, threshold)
-    ref = can.withColumn("tlen", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))))
-    pairs = hdr.withColumn("tlen", F.length("name")).join(ref, "tlen")
-    sim = (levenshtein_similarity(F.col("column"), F.col("name")) if method == "levenshtein"
-           else ratcliff_ratio(F.col("column"), F.col("name")))
-    pairs = pairs.withColumn("sim", sim).filter(F.col("sim") >= F.lit(threshold))
+    can = spark.createDataFrame([(c,) for c in canonical], "column string")
+    pairs = hdr.join(similar_names(hdr, can, threshold, method), "name")
     w = Window.partitionBy("column").orderBy(F.col("sim").desc(), F.col("pos"))
     best = pairs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").collect()
     return {r["name"]: r["column"] for r in best if r["name"] != r["column"] and r["name"] not in canonical}
 
 
-@F.pandas_udf(T.DoubleType())
-def ratcliff_ratio(ref: pd.Series, test: pd.Series) -> pd.Series:
-    """Ratcliff/Obershelp similarity (the ratio of Python's SequenceMatcher); order-sensitive."""
-    from difflib import SequenceMatcher
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(ref, test)], dtype="float64")
-
-
-def levenshtein_similarity(ref, test):
-    longest = F.greatest(F.length(ref), F.length(test))
-    return F.when(longest == 0, F.lit(1.0)).otherwise(
-        1.0 - F.levenshtein(ref, test).cast("double") / longest.cast("double"))
-
-
-SIMILARITY_METHODS = ("levenshtein", "ratcliff")
-
-
-def _check_method(method: str) -> None:
-    if method not in SIMILARITY_METHODS:
-        raise ValueError(f"unknown similarity method {method!r}; choose from {SIMILARITY_METHODS}")
-
-
-def _length_band(method: str, threshold: float):
-    """Test-name lengths that can reach ``threshold`` for a reference name of length n
-    (one extra on each side guards float rounding; the similarity decides exactly)."""
-    n = F.length("column")
-    if threshold <= 0:
-        return F.lit(0), n + 10_000
-    if method == "levenshtein":
-        lo, hi = F.ceil(n * threshold), F.floor(n / threshold)
-    else:
-        lo, hi = F.ceil(n * threshold / (2 - threshold)), F.floor(n * (2 - threshold) / threshold)
-    return F.greatest(lo - 1, F.lit(0)), hi + 1
-
-
 def good_pairs(headers: DataFrame, canon: DataFrame, threshold: float, method: str = "levenshtein") -> DataFrame:
-    """(table, column, name): distinct (reference column, header name) pairs whose similarity
-    reaches the threshold.  Candidates come from an equi-join on name length within the band
-    where the threshold is reachable; each distinct pair is scored once."""
-    _check_method(method)
-    lo, hi = _length_band(method, threshold)
-    ref = (canon.select("table", "column").distinct()
-           .withColumn("tlen", F.explode(F.sequence(lo.cast("int"), hi.cast("int")))))
-    names = headers.select("name").distinct().withColumn("tlen", F.length("name"))
-    sim = (levenshtein_similarity(F.col("column"), F.col("name")) if method == "levenshtein"
-           else ratcliff_ratio(F.col("column"), F.col("name")))
-    return (names.join(ref, "tlen").withColumn("sim", sim).filter(F.col("sim") >= F.lit(threshold))
-            .select("table", "column", "name"))
+    """(table, column, name): distinct (reference column, header name) pairs whose similarity reaches the threshold, by the
+    similarity join of ``operators.similarity``.  A name that several tables have is compared once."""
+    near = similar_names(headers, canon, threshold, method)
+    return canon.select("table", "column").distinct().join(near, "column").select("table", "column", "name")
 
 
 def _file_scores(headers: DataFrame, canon: DataFrame, threshold: float, method: str) -> DataFrame:

@@ -618,11 +618,23 @@ def lev_sim(a, b):
             f"ELSE 1.0 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END")
 
 
-def _scores_cte(t):
+def _ratcliff_pairs(t):
+    """All pairs of a canonical column and a header name with a difflib ratio of at least t; header names are a closed set."""
+    from difflib import SequenceMatcher
+    columns = sorted({c for cs in SUPPLIED_COLUMNS.values() for c in cs})
+    names = sorted({n for c in columns for n in (c, c.upper(), c + "s", c.replace("_", " "))} | {f"extra_{i}" for i in range(3)})
+    near = [(c, n) for c in columns for n in names if SequenceMatcher(None, c, n).real_quick_ratio() >= t]
+    return [(c, n) for c, n in near if SequenceMatcher(None, c, n).ratio() >= t]
+
+
+def _scores_cte(t, method="levenshtein"):
+    good = (f"""SELECT c."table", c."column", n.name FROM names n, (SELECT DISTINCT "table", "column" FROM canon) c
+         WHERE {lev_sim('c."column"', 'n.name')} >= {t}""" if method == "levenshtein" else
+            f"""SELECT DISTINCT c."table", c."column", p.name FROM canon c
+         JOIN (SELECT * FROM {values_table(_ratcliff_pairs(t), ['"column"', 'name'])}) p USING ("column")""")
     return f"""
 names AS (SELECT DISTINCT name FROM headers),
-good AS (SELECT c."table", c."column", n.name FROM names n, (SELECT DISTINCT "table", "column" FROM canon) c
-         WHERE {lev_sim('c."column"', 'n.name')} >= {t}),
+good AS ({good}),
 m AS (SELECT DISTINCT h.file, g."table", g."column" FROM headers h JOIN good g ON h.name = g.name),
 sizes AS (SELECT "table", count(DISTINCT "column") AS n_ref FROM canon GROUP BY 1),
 scores AS (SELECT m.file, m."table", count(*) / any_value(n_ref) AS score FROM m JOIN sizes USING ("table")
@@ -631,16 +643,24 @@ scores AS (SELECT m.file, m."table", count(*) / any_value(n_ref) AS score FROM m
 
 ORACLE["q_schema_match"] = f"WITH {_headers_cte()}, {_scores_cte(0.8)} SELECT file, \"table\", score FROM scores"
 
-ORACLE["q_table_infer"] = f"""
-WITH {_headers_cte()}, {_scores_cte(0.6)},
+ORACLE["q_schema_match_ratcliff"] = f"WITH {_headers_cte()}, {_scores_cte(0.9, 'ratcliff')} SELECT file, \"table\", score FROM scores"
+
+
+def _infer(t, method):
+    return f"""
+WITH {_headers_cte()}, {_scores_cte(t, method)},
 ord AS (SELECT DISTINCT "table", table_pos FROM canon),
 best AS (SELECT s.*, row_number() OVER (PARTITION BY file ORDER BY score DESC, table_pos) AS rn
          FROM scores s JOIN ord USING ("table")),
 files AS (SELECT DISTINCT file FROM headers)
-SELECT f.file, CASE WHEN coalesce(score, 0.0) >= 0.6 THEN b."table" ELSE 'unknown' END AS "table",
+SELECT f.file, CASE WHEN coalesce(score, 0.0) >= {t} THEN b."table" ELSE 'unknown' END AS "table",
   coalesce(score, 0.0) AS score
 FROM files f LEFT JOIN (SELECT * FROM best WHERE rn = 1) b ON f.file = b.file"""
 
+
+ORACLE["q_table_infer"] = _infer(0.6, "levenshtein")
+ORACLE["q_table_infer_ratcliff"] = _infer(0.9, "ratcliff")   # what ingest uses
+
 _ALIASES = ", ".join(lit(f"{t}{s}") for t in SUPPLIED_COLUMNS for s in ("_export", "_v2"))
 _ALIAS_ROWS = [(f"{t}{s}", f"src.{t}") for t in SUPPLIED_COLUMNS for s in ("_export", "_v2")]
 
@@ -771,6 +791,28 @@ WITH present AS (
   UNION ALL SELECT * FROM orders WHERE o_orderstatus <> 'P'
   UNION ALL SELECT * FROM orders WHERE o_orderkey % 5 = 0)
 SELECT *, count(*) AS n_sources FROM present GROUP BY ALL"""
+ORACLE["q_content_digest"] = """
+WITH lines AS (SELECT o_orderkey || '|' || o_orderstatus || '|' || coalesce(o_orderpriority, '') AS line,
+                 row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders),
+h AS (SELECT i, length(line) + 1 AS bytes, md5(line) AS d FROM lines),
+w AS (SELECT i, bytes, CAST('0x' || substr(d, 1, 8) AS UBIGINT) % 2147483647 AS a, CAST('0x' || substr(d, 9, 8) AS UBIGINT) % 2147483647 AS b,
+        CAST('0x' || substr(d, 17, 8) AS UBIGINT) % 2147483647 AS c, CAST('0x' || substr(d, 25, 8) AS UBIGINT) % 2147483647 AS e FROM h)
+SELECT count(*) AS lines, CAST(sum(bytes) AS BIGINT) AS length, sha256(concat_ws(':', CAST(sum(bytes) AS BIGINT), count(*),
+    CAST(sum(a) AS HUGEINT) % 2147483647, CAST(sum(b) AS HUGEINT) % 2147483647, CAST(sum(c) AS HUGEINT) % 2147483647, CAST(sum(e) AS HUGEINT) % 2147483647,
+    CAST(sum(i * a) AS HUGEINT) % 2147483647, CAST(sum(i * b) AS HUGEINT) % 2147483647,
+    CAST(sum(i * c) AS HUGEINT) % 2147483647, CAST(sum(i * e) AS HUGEINT) % 2147483647)) AS checksum FROM w"""
+
+ORACLE["q_script_folder"] = """
+SELECT l_returnflag || ';' || l_linestatus AS status, count(*) AS n_lines, sum(l_quantity) AS sum_qty FROM lineitem GROUP BY 1"""
+
+ORACLE["q_hot_join"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.hot_supplier, s.s_name
+FROM (SELECT *, CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN 1 ELSE l_suppkey END AS hot_supplier FROM lineitem) l
+LEFT JOIN supplier s ON l.hot_supplier = s.s_suppkey"""
+
+ORACLE["q_stream_commit"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(NULL AS VARCHAR) AS o_clerk FROM orders"""
+
 ORACLE["q_strip_prefix"] = "SELECT event_id, value AS samplingrate, user_id AS channels, event_type FROM events"
 
 

@@ -22,6 +22,7 @@ from ..functions import text as X
 from ..functions._util import recode
 from ..functions.codes import numeric_code
 from ..functions.deid import file_stem, pseudonym
+from ..operators.joins import spread_join
 from ..operators.rows import dedup, drop_all_null
 from ..operators.schema import apply_clean_names
 
@@ -29,6 +30,7 @@ from ..operators.schema import apply_clean_names
 @dataclass
 class Context:
     encounters: DataFrame | None = None   # preprocessed ehr.encounter (visit_id, mrn_sha1, encounter_type)
+    hot_share: float | None = None   # measure visits with more than this share of the rows and deal them to several tasks
     secret: dict = field(default_factory=lambda: dict(L.TEST_SECRET))
 
 
@@ -102,9 +104,10 @@ def encounters_for(ctx: Context, system: str) -> DataFrame:
 def join_encounters(df: DataFrame, ctx: Context, key: str, system: str, how: str = "inner") -> DataFrame:
     """Equi-join on the visit key.  No broadcast hint: AQE picks a broadcast join when the
     encounter side is measured small, else sort-merge; null keys fall out of inner joins
-    and stay (unmatched) in left joins."""
+    and stay (unmatched) in left joins, dealt to several tasks.  Visits with more than ``ctx.hot_share`` of the rows are too."""
     enc = encounters_for(ctx, system)
-    return df.join(enc, _c(key).try_cast("bigint") == F.col("_visit"), how).drop("_visit")
+    keyed = df.withColumn("_key", _c(key).try_cast("bigint"))
+    return spread_join(keyed, enc, "_key", "_visit", how, hot_share=ctx.hot_share).drop("_key", "_visit")
 
 
 # ---- ccd -----------------------------------------------------------------------------------------
@@ -319,10 +322,10 @@ def edw_medication_step(df, ctx):
     df = df.withColumns({"dose": F.coalesce(F.col("_a.dose"), F.col("_b.dose")),
                          "frequency": F.coalesce(F.col("frequency"), F.col("_a.frequency"), F.col("_b.frequency"))})
     dose, units = X.split_last_number(F.col("dose"))
+    df = df.withColumns({c: D.coerce_ts(df, c) for c in ("medication_start_dt", "medication_end_dt")})   # parsed once
     df = df.withColumns({
         "dose": dose, "dose_units": units,
-        "duration": D.floor_day_diff(D.coerce_ts(df, "medication_end_dt"), D.coerce_ts(df, "medication_start_dt"))
-        .cast("string"),
+        "duration": D.floor_day_diff(F.col("medication_end_dt"), F.col("medication_start_dt")).cast("string"),
         "duration_units": F.lit("days")})
     return finish_medication(df)
 

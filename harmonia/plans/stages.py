@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
+import random
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ from ..operators.support import BUCKET, SUPPORT, bucketed, count_rows, supported
 from ..sources.files import manifest, read_raw
 from ..sources.ledger import select_tables
 from ..sources.records import column_names, headers, parsed, records
-from ..sources.versions import CommitLog, part_folder, qualified
+from ..sources.versions import CommitConflict, CommitLog, part_folder, qualified
 from .cleaners import CLEANERS, IECG_TIME, MUSE_TIME, Context, clean, parse_iecg_time, parse_muse_time
 
 log = logging.getLogger(__name__)
@@ -87,9 +89,29 @@ def build_canonical_schema(spark: SparkSession, raw_folder: str, aliases: dict[s
     return out
 
 
+def infer_headers(spark: SparkSession, named: list[tuple[str, list[str]]], known_schemas: dict[str, list[str]],
+                  threshold: float, method: str) -> dict[str, tuple[str, float]]:
+    """(table, score) of every (file, column names); a file without a column has none."""
+    hdr = spark.createDataFrame([(f, i, c) for f, names in named for i, c in enumerate(names)], "file string, pos int, name string")
+    canon = spark.createDataFrame([(t, ti, i, c) for ti, (t, cols) in enumerate(known_schemas.items()) for i, c in enumerate(cols)],
+                                  "table string, table_pos int, pos int, column string")
+    order = spark.createDataFrame([(t, i) for i, t in enumerate(known_schemas)], "table string, table_pos int")
+    return {r["file"]: (r["table"], r["score"]) for r in infer_tables(hdr, canon, order, threshold, method).collect()}
+
+
+def prepared(df: DataFrame, table: str, columns: list[str], known_schemas: dict[str, list[str]],
+             threshold: float, method: str, phi: dict | None = None) -> DataFrame:
+    """Rows of an export with header ``columns`` as they are staged: fuzzy matches renamed, identifying columns dropped, ids redacted,
+    padded to the canonical columns."""
+    df = df.withColumnsRenamed(best_renames(columns, known_schemas[table], df.sparkSession, threshold, method))
+    dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
+    canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
+    return pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
+
+
 def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: dict[str, list[str]],
                threshold: float = 0.9, method: str = "ratcliff", phi: dict | None = None,
-               checksum_mode: str = "content", multiline: bool = True, withdraw_missing: bool = True) -> list[dict]:
+               checksum_mode: str = "blocks", multiline: bool = True, withdraw_missing: bool = True) -> list[dict]:
     """Ingest new or changed raw files: infer each file's table from its header, rename fuzzy
     matches to the canonical spelling, drop identifying columns, redact ids, pad to the canonical
     schema and stage it.  Returns what was staged (files below the threshold are skipped and stay pending).
@@ -97,9 +119,8 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
     A file that changed replaces the rows it had given, in whatever table they were.  With ``withdraw_missing`` a file
     that is no longer in ``raw_folder`` takes its rows with it; an empty folder raises rather than withdrawing everything.
 
-    ``checksum_mode="content"`` hashes file bytes (each file is one binaryFile row, so files must
-    stay under 2 GB and fit a task's memory); ``"metadata"`` fingerprints path, size and
-    modification time instead, for very large exports.  CSV exports are cut into records block by block, all of
+    The checksum is put together from the blocks of a file (``sources.digests``), whatever its size; ``checksum_mode="content"`` is SHA-256
+    for files under 2 GB, ``"metadata"`` takes path, size and modification time without reading.  CSV exports are cut into records block by block, all of
     them at once (``sources.records``); with ``multiline=False`` every line is a record.  Exports of one table and header are written together,
     a folder each; the rows of each must be as many as its records (Q1)."""
     commits = CommitLog(spark, root)
@@ -119,23 +140,16 @@ def preprocess(spark: SparkSession, raw_folder: str, root: str, known_schemas: d
     inferred = {}
 
     def prepare(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-        df = df.withColumnsRenamed(best_renames(columns, known_schemas[table], spark, threshold, method))
-        dropped = set((phi or L.PHI_COLUMNS).get(table) or [])
-        canonical = [c for c in known_schemas[table] if c not in dropped]   # dropped PHI stays dropped
-        return pad_to_schema(redact_strings(drop_phi(df, table, phi)), canonical)
+        return prepared(df, table, columns, known_schemas, threshold, method, phi)
 
     if todo:
         exports = [f["path"] for f in todo if f["ext"] == "csv"]
         # every export that changed is cut into records by the same few jobs, however many they are
         recs = records(spark, exports, quoted_breaks=multiline) if exports else None
         layouts = {r["file"]: r for r in headers(recs).collect()} if exports else {}   # a header a file
-        hdr = _header_rows(spark, [(f, column_names(layouts[f["path"]]["header"]) if f["path"] in layouts else []) if f["ext"] == "csv"
-                                   else (f, read_raw(spark, f["path"], f["ext"]).columns) for f in todo])
-        canon_rows = [(t, ti, i, c) for ti, (t, cols) in enumerate(known_schemas.items()) for i, c in enumerate(cols)]
-        canon = spark.createDataFrame(canon_rows, "table string, table_pos int, pos int, column string")
-        order = spark.createDataFrame([(t, i) for i, t in enumerate(known_schemas)], "table string, table_pos int")
-        inferred = {r["file"]: (r["table"], r["score"]) for r in
-                    infer_tables(hdr.select("file", "pos", "name"), canon, order, threshold, method).collect()}
+        inferred = infer_headers(spark, [(f["filename"], column_names(layouts[f["path"]]["header"]) if f["path"] in layouts else []) if f["ext"] == "csv"
+                                         else (f["filename"], read_raw(spark, f["path"], f["ext"]).columns) for f in todo],
+                                 known_schemas, threshold, method)
     written, entries = [], []
     alike: dict[tuple, list] = {}   # exports of one table and header are staged together
     for f in todo:
@@ -356,6 +370,24 @@ def put_part(spark: SparkSession, root: str, stage: str, table: str, source: str
     return n
 
 
+def add_part(spark: SparkSession, root: str, stage: str, table: str, source: str, rows: DataFrame, key: str, tries: int = 20) -> int | None:
+    """As ``put_part`` for a source of its own: None, without reading ``rows``, if it was committed under this key before.  Nothing
+    else rests on the log's state, so another writer's commit in between only has this one made again."""
+    commits = CommitLog(spark, root)
+    if commits.entries(stage).where((F.col("source") == source) & F.col("key").eqNullSafe(key)).head(1):
+        return None
+    path = part_folder(stage, table)
+    n = write_checked(spark, rows, f"{root}/{path}", f"{stage} {source}")
+    for left in reversed(range(tries)):
+        try:
+            commits.commit(_rows(spark, [(stage, source, table, key, n, path)]))
+            return n
+        except CommitConflict:
+            if not left:
+                raise
+            time.sleep(random.random())
+
+
 #: Rows of a final table that share a bucket, about.  A table is dealt anew once its buckets hold four times as many.
 BUCKET_ROWS = 2_000_000
 

@@ -26,31 +26,18 @@ def register(fn):
     return fn
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A supplied table; the DataFrame (schema from the footer) is reused within a session.
+    """A supplied table.
 
     The supplied files are single parquet row groups, so a scan is one task however many cores
     there are.  When a scan has fewer partitions than the default parallelism, the rows are
     spread round-robin so per-row work before the first shuffle (parsing, hashing) uses every
-    core.  Inputs made of many files or row groups (any real deployment) are left as scanned.
+    core (not with ``spread=False``, for light per-row work).  Inputs made of many files or row groups (any real deployment)
+    are left as scanned.
     """
-    key = (id(spark), sf_dir.rstrip("/"), name, spread)
-    if key not in _TABLES:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        if not spread:  # light per-row work: keep the plain scan
-            _TABLES[key] = df
-            return df
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores)
-        except Exception:  # no RDD API (e.g. a Spark Connect session): keep the scan as is
-            pass
-        _TABLES[key] = df
-    return _TABLES[key]
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def pick(expr: Column, values: list) -> Column:
@@ -600,15 +587,9 @@ def q_merge_versions(spark, sf_dir):
     return merge_staged(staged)["part"]
 
 
-_CTX: dict = {}
-
-
 def encounters_ctx(spark, sf_dir):
     from .plans.cleaners import Context
-    key = (id(spark), sf_dir)
-    if key not in _CTX:
-        _CTX[key] = Context(encounters=encounter_input(spark, sf_dir).select("visit_id", "mrn_sha1", "encounter_type"))
-    return _CTX[key]
+    return Context(encounters=encounter_input(spark, sf_dir).select("visit_id", "mrn_sha1", "encounter_type"))
 
 
 def enc_lineitems(spark, sf_dir) -> DataFrame:
@@ -630,6 +611,17 @@ def q_enc_left(spark, sf_dir):
     return join_encounters(enc_lineitems(spark, sf_dir), ctx, "ENC_KEY", "dts", "left")
 
 
+@register
+def q_hot_join(spark, sf_dir):
+    """Lines joined to suppliers on a key that is null for a third of them and the same supplier for another third."""
+    from .operators.joins import spread_join
+    li = table(spark, sf_dir, "lineitem")
+    m = F.pmod("l_linenumber", F.lit(3))
+    li = li.select("l_orderkey", "l_linenumber", F.when(m == 1, F.lit(1)).when(m == 2, F.col("l_suppkey")).alias("hot_supplier"))
+    su = table(spark, sf_dir, "supplier", spread=False).select("s_suppkey", "s_name")
+    return spread_join(li, su, "hot_supplier", "s_suppkey", "left", hot_share=0.01).drop("s_suppkey")
+
+
 def raw_dts_discharge_medication(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_partkey")
@@ -947,9 +939,14 @@ SUPPLIED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
 UNMAPPED_STEM = "mystery_file"
 
 
+_COLUMNS: dict[str, dict[str, list[str]]] = {}
+
+
 def canonical_columns(spark, sf_dir) -> dict[str, list[str]]:
-    """Reference schemas: the column lists of the supplied tables (parquet footers)."""
-    return {t: table(spark, sf_dir, t).columns for t in SUPPLIED_TABLES}
+    """Reference schemas: the column lists of the supplied tables (parquet footers, read once a folder)."""
+    if sf_dir not in _COLUMNS:
+        _COLUMNS[sf_dir] = {t: table(spark, sf_dir, t, spread=False).columns for t in SUPPLIED_TABLES}
+    return _COLUMNS[sf_dir]
 
 
 def canon_df(spark, sf_dir) -> DataFrame:
@@ -1008,6 +1005,15 @@ def q_table_infer(spark, sf_dir):
     return infer_tables(raw_headers(spark, sf_dir), canon, order, 0.6, "levenshtein")
 
 
+@register
+def q_table_infer_ratcliff(spark, sf_dir):
+    """Table inference as ingest does it: Ratcliff/Obershelp at 0.9."""
+    from .operators.schema import infer_tables
+    canon = canon_df(spark, sf_dir)
+    order = canon.select("table", "table_pos").distinct()
+    return infer_tables(raw_headers(spark, sf_dir), canon, order, 0.9, "ratcliff")
+
+
 @register
 def q_canonical_schema(spark, sf_dir):
     from .operators.schema import canonical_schema
@@ -1089,6 +1095,18 @@ def q_checksum(spark, sf_dir):
     return manifest(spark, sf_dir, ("parquet",), checksum_mode="content").select("filename", "length", "checksum")
 
 
+@register
+def q_content_digest(spark, sf_dir):
+    """The digest of an export of all orders, put together from the blocks its file is read in."""
+    from .session import scratch_path
+    from .sources.digests import content_digests
+    o = table(spark, sf_dir, "orders", spread=False)
+    path = scratch_path(spark, "digest")
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", F.coalesce("o_orderpriority", F.lit("")))
+    o.orderBy("o_orderkey").select(line.alias("line")).coalesce(1).write.text(path)
+    return content_digests(spark, path).select("lines", "length", "checksum")
+
+
 @register
 def q_row_counts(spark, sf_dir):
     from .sources.files import row_counts
@@ -1149,6 +1167,19 @@ def q_sql_script(spark, sf_dir):
     return run_script(spark, SCRIPT, {"lineitem": table(spark, sf_dir, "lineitem"), "orders": table(spark, sf_dir, "orders")})
 
 
+@register
+def q_script_folder(spark, sf_dir):
+    """Two post-processing scripts from shared storage, with ';' in a string and in comments; the second uses the view of the first."""
+    from .session import scratch_path
+    from .sources.catalog import run_script_folder
+    from .sources.versions import write_text
+    folder = scratch_path(spark, "scripts")
+    write_text(spark, f"{folder}/10_view.sql", "-- a view; kept for the next script\nCREATE OR REPLACE TEMP VIEW harmonia_by_status AS\n"
+               "SELECT l_returnflag || ';' || l_linestatus AS status, l_quantity FROM lineitem; /* nothing; after it */")
+    write_text(spark, f"{folder}/20_sum.sql", "SELECT status, count(*) AS n_lines, sum(l_quantity) AS sum_qty FROM harmonia_by_status GROUP BY status;")
+    return run_script_folder(spark, folder, {"lineitem": table(spark, sf_dir, "lineitem")})["20_sum.sql"]
+
+
 @register
 def q_csv_round_trip(spark, sf_dir):
     from .session import scratch_path
@@ -1316,4 +1347,21 @@ def q_stream_ingest(spark, sf_dir):
     o.repartition(4).write.parquet(raw)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
     ingest_folder(spark, raw, o.schema, "cis.cag", out, ck, max_files_per_trigger=2)
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("query_id", "batch_id")
+
+
+@register
+def q_stream_commit(spark, sf_dir):
+    """Two streams, each with its own checkpoint, into one staged table; one of them runs twice.  A drifted header is matched to the
+    canonical one, an absent column padded, and every batch is a part of the commit log."""
+    from .plans import stages as S
+    from .session import scratch_path
+    from .streaming.ingest import ingest_stream
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("o_orderstatuss"), "o_totalprice")
+    root = scratch_path(spark, "stream-root")
+    known = {"src.region": ["r_regionkey", "r_name"], "src.orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_clerk"]}
+    for odd in (0, 1, 1):
+        raw, ck = f"{root}/raw{odd}", f"{root}/checkpoint{odd}"
+        o.where(F.pmod("o_orderkey", F.lit(2)) == odd).repartition(2).write.mode("ignore").parquet(raw)
+        ingest_stream(spark, raw, o.schema, root, known, ck, threshold=0.8, max_files_per_trigger=1)
+    return S.read_staged(spark, root, "src.orders")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SQL_TYPES = {
@@ -42,26 +45,45 @@ def data_dictionary(spark: SparkSession, tables: dict[str, DataFrame], schema: s
     return out.orderBy("table_schema", "table_name", "ordinal_position")
 
 
-def run_script(spark: SparkSession, sql_text: str, views: dict[str, DataFrame]) -> DataFrame:
-    """Register the inputs as temporary views and run the statements of a script; the result of
-    the last statement is returned."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    stmts = [s.strip() for s in sql_text.split(";") if s.strip()]
-    out = None
-    for s in stmts:
-        out = spark.sql(s)
+#: Quoted text, quoted names and comments are single tokens, so a ';' in them ends nothing.
+_TOKEN = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`(?:[^`]|``)*`|(?P<comment>--[^\n]*|/\*.*?\*/)|(?P<end>;)|[^;'"`/-]+|.""", re.DOTALL)
+
+
+def statements(sql_text: str) -> list[str]:
+    """The statements of a script, without those that are blank or comments alone."""
+    out, parts, some = [], [], False
+    for token in _TOKEN.finditer(sql_text + ";"):
+        if token["end"]:
+            out += ["".join(parts).strip()] if some else []
+            parts, some = [], False
+            continue
+        parts.append(token[0])
+        some = some or not (token["comment"] or token[0].isspace())
     return out
 
 
+def run_script(spark: SparkSession, sql_text: str, views: dict[str, DataFrame]) -> DataFrame | None:
+    """Run the statements of a script with the inputs as temporary views; the result of the last statement is
+    returned, None for a script without any.  A temporary view of the user's with the name of an input is put back afterwards; names
+    that were free keep the input, so that views made by the script go on working."""
+    taken = {name for name in views if spark.sql(f"SHOW VIEWS LIKE '{name}'").where(F.col("isTemporary")).head(1)}
+    before = {name: spark.table(f"`{name}`") for name in taken}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        out = None
+        for s in statements(sql_text):
+            out = spark.sql(s)
+        return out
+    finally:
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
+
+
 def run_script_folder(spark: SparkSession, folder: str, views: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Run every ``*.sql`` file of a folder in name order (post-processing scripts); returns the
-    result of each script's last statement, keyed by file name.  Scripts are small text files
-    read on the driver; the statements run on the cluster."""
-    import glob
-    import os
-    out = {}
-    for path in sorted(glob.glob(os.path.join(folder, "*.sql"))):
-        with open(path) as fh:
-            out[os.path.basename(path)] = run_script(spark, fh.read(), views)
-    return out
+    """Run every ``*.sql`` file of a folder, on any store Spark reads, in name order (post-processing scripts); returns the
+    result of each script's last statement, keyed by file name.  The texts of the scripts come to the
+    driver; the statements run on the cluster."""
+    files = (spark.read.text(folder, wholetext=True, pathGlobFilter="*.sql")
+             .select(F.col("_metadata.file_name").alias("name"), "value").collect())
+    return {f["name"]: run_script(spark, f["value"], views) for f in sorted(files, key=lambda f: f["name"])}

@@ -2,8 +2,8 @@
 
 The manifest comes from Spark's ``binaryFile`` source: listing is distributed and only the
 columns asked for are read (content is read only when a checksum is requested).  Content
-checksums are SHA-256 (change detection only); files over 2 GB exceed ``binaryFile``'s content
-limit, so ``checksum_mode='metadata'`` fingerprints (path, length, modification time) instead.
+checksums (``checksum_mode='blocks'``, see ``sources.digests``) read files of any size by many tasks.  ``'content'`` is SHA-256 of the
+whole content, for files under 2 GB (one is one row); ``'metadata'`` fingerprints (path, length, modification time).
 """
 
 from __future__ import annotations
@@ -11,12 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .digests import content_digests
+
 RAW_EXTENSIONS = ("csv", "parquet", "json")
 
 
 def manifest(spark: SparkSession, folder: str, extensions=RAW_EXTENSIONS, checksum_mode: str | None = None) -> DataFrame:
     """(path, filename, stem, ext, length, modified[, checksum]) for every raw file."""
     glob = "*.{" + ",".join(extensions) + "}"
+    if checksum_mode not in (None, "blocks", "content", "metadata"):
+        raise ValueError(f"unknown checksum mode {checksum_mode!r}")
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     fname = F.element_at(F.split("path", "/"), -1)
     out = df.select("path", fname.alias("filename"),
@@ -26,6 +30,9 @@ def manifest(spark: SparkSession, folder: str, extensions=RAW_EXTENSIONS, checks
                     *([F.sha2("content", 256).alias("checksum")] if checksum_mode == "content" else []),
                     *([F.sha2(F.concat_ws("|", "path", "length", F.col("modificationTime").cast("string")), 256)
                        .alias("checksum")] if checksum_mode == "metadata" else []))
+    if checksum_mode == "blocks":
+        digests = content_digests(spark, folder, glob, known=out.select("path", "length"))
+        return out.join(digests.select(F.col("file").alias("path"), "checksum"), "path")
     return out
 
 

@@ -37,6 +37,16 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file on any store Spark writes to; an older one is replaced."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 @dataclass
 class CommitLog:
     """The log below ``root``; ``name`` keeps several apart."""
