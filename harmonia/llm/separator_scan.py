@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import bound_batches, table
+from .common import bound_batches, materialise, table
 from .tokens import EOD, encoder, vocabulary
 
 #: Ids in a block.
@@ -53,7 +53,7 @@ def write_token_files(docs: DataFrame, path: str, vocab: tuple[str, str] | None
                       text: str = "text", file_ids: int = FILE_IDS) -> None:
     """Flat token files of ``docs`` below ``path``, of at most ``file_ids`` ids; null texts are empty documents.
 
-    Headers carry doc_id; a null one is not told from the smallest 64-bit integer.  A header stays in one file.
+    Headers carry doc_id, an integer; a null one is not told from the smallest 64-bit integer.  A header stays in one file.
     """
     vocab = vocab or vocabulary()
     bound_batches(docs.sparkSession)
@@ -149,8 +149,29 @@ def documents_of(blocks: DataFrame, header_ids: int = HEADER) -> DataFrame:
             .select("file", "ordinal", "start", "tokens", "doc_id"))
 
 
+def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocab: tuple[str, str] | None = None,
+                 file_ids: int = FILE_IDS, block: int = BLOCK) -> DataFrame:
+    """(doc_id, ordinal, start, tokens, file) of every row of ``docs``: its ids, counted in flat files.
+
+    Ids of any type come back as they were.  Integers travel in the files' headers, with the smallest 64-bit integer for a null
+    one (and so read as null); for other types the rows get numbers in a written table, by which the ids are joined back.
+    Null texts are empty documents, repeated rows count each, an empty table gives no rows; other columns are left out whatever their names.
+    """
+    spark = docs.sparkSession
+    kind = docs.schema[doc_id].dataType
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    integral = kind.typeName() in ("byte", "short", "integer", "long")
+    if not integral:
+        rows = materialise(rows.withColumn("key", F.monotonically_increasing_id()), "token-count-rows")
+    path = scratch_path(spark, "token-files")
+    write_token_files(rows, path, vocab, "doc_id" if integral else "key", "text", file_ids)
+    counted = documents_of(scan_blocks(spark, path, block=block)).withColumnRenamed("doc_id", "key")
+    if integral:
+        own = F.nullif(F.col("key"), F.lit(-(1 << 63)).cast("long")).cast(kind)
+        return counted.select(own.alias("doc_id"), "ordinal", "start", "tokens", "file")
+    return counted.join(rows.select("key", "doc_id"), "key").select("doc_id", "ordinal", "start", "tokens", "file")
+
+
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:
     """Every document's ids, counted in flat files of the whole ``documents`` table."""
-    path = scratch_path(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return documents_of(scan_blocks(spark, path)).select("doc_id", "ordinal", "start", "tokens")
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ordinal", "start", "tokens")

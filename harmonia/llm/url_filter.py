@@ -39,13 +39,26 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def registered_domain(host: Column) -> Column:
-    """The host's last two labels: the suffix is taken to be one label."""
-    return F.substring_index(host, ".", -2)
+def host_tree(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``hosts`` with the registered ``domain`` and public ``suffix`` of its column host.
 
-
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    Ports belong to neither, and an address (IPv4, or in brackets) is its own domain and suffix.  A suffix is the longest of ``suffixes``
+    (suffix: lower-case, without a leading dot, such as ``co.uk``) that ends the host, else the last label; the
+    domain has one label more, as far as there is one.
+    """
+    bare = F.regexp_replace("host", r":\d*$", "")
+    address = bare.rlike(r"^(\d{1,3}(\.\d{1,3}){3}|\[.*)$")
+    parts = hosts.withColumn("_bare", bare).withColumn("_address", address)
+    if suffixes is None:
+        parts = parts.withColumn("_labels", F.lit(1))
+    else:
+        ends = F.expr("transform(sequence(1, size(split(_bare, '[.]'))), i -> struct(i AS labels, substring_index(_bare, '.', -i) AS suffix))")
+        found = (parts.where(~F.col("_address")).select("host", F.explode(ends).alias("_e")).select("host", "_e.*")
+                 .join(suffixes.select("suffix").distinct(), "suffix").groupBy("host").agg(F.max("labels").alias("_found")))
+        parts = parts.join(found, "host", "left").withColumn("_labels", F.coalesce("_found", F.lit(1))).drop("_found")
+    domain, suffix = F.expr("substring_index(_bare, '.', -(_labels + 1))"), F.expr("substring_index(_bare, '.', -_labels)")
+    return (parts.withColumn("domain", F.when(F.col("_address"), F.col("_bare")).otherwise(domain))
+            .withColumn("suffix", F.when(F.col("_address"), F.col("_bare")).otherwise(suffix)).drop("_bare", "_address", "_labels"))
 
 
 def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
@@ -79,14 +92,14 @@ def _shrunk(level: DataFrame, key: str) -> DataFrame:
         key, "n", "good", "rate", "deviation", strength.alias("strength"))
 
 
-def host_reputation(hosts: DataFrame) -> DataFrame:
-    """Posterior rates of ``hosts`` (host, n, good: counts of labelled outcomes, n 0 if unlabelled).
+def host_reputation(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Posterior rates of ``hosts`` (host, n, good: counts of labelled outcomes, n 0 if unlabelled); ``suffixes`` as in ``host_tree``.
 
     Returns host, n, good, rate, deviation, strength.  Without a single outcome the corpus rate is one half.
     The driver takes four numbers: the corpus rate and the strength of each level.  ``hosts`` is read for
     each of them, so it should be a written table.
     """
-    tree = hosts.select("host", registered_domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"), "n", "good")
+    tree = host_tree(hosts, suffixes).select("host", "domain", "suffix", "n", "good")
     sums = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes, domains = tree.groupBy("suffix").agg(*sums), tree.groupBy("domain", "suffix").agg(*sums)
     overall = F.lit(hosts.agg((F.coalesce(F.sum("good"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).first()[0])
@@ -95,11 +108,12 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
     return _shrunk(tree.join(d, "domain"), "host")
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_rate: float = LEAST_RATE, bound: float = BOUND) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_rate: float = LEAST_RATE, bound: float = BOUND,
+          suffixes: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and the host's rate and upper bound for every row of ``pages`` (page_id, url).
 
     ``outcomes`` holds (page_id, good): 1, 0 or null (no outcome); a page with several keeps the worst, and
-    each row of a repeated page counts.  Urls without a host share the empty host.  An empty table gives no
+    each row of a repeated page counts.  Other columns are left out whatever their names.  ``suffixes`` names public suffixes of several labels.  Urls without a host share the empty host.  An empty table gives no
     rows.  Pages are reduced to (page_id, host) before the shuffle, and outcomes to counts by host before
     the next, so a host with a third of all pages is a row a task.
     """
@@ -107,7 +121,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, least_rate: float
     parsed = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     hosts = (parsed.select("page_id", "host").join(of, F.col("page_id") == F.col("of_page"), "left")
              .groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")))
-    reputation = host_reputation(materialise(hosts, "url-hosts")).select(
+    reputation = host_reputation(materialise(hosts, "url-hosts"), suffixes).select(
         F.col("host").alias("of_host"), "n", F.col("rate").alias("host_rate"),
         F.least(F.lit(1.0), F.col("rate") + F.lit(bound) * F.col("deviation")).alias("host_bound"))
     judged = parsed.join(reputation, F.col("host") == F.col("of_host")).withColumn("fits", fitting_rule(F.col("host"), F.col("path"), rules))
@@ -140,7 +154,8 @@ WITH parsed AS (
 ), outcome AS (
   SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
 ), hosts AS (
-  SELECT host, string_split(host, '.') AS parts, count(good) AS n, coalesce(sum(good), 0) AS good
+  SELECT host, CASE WHEN regexp_matches(regexp_replace(host, ':\d*$', ''), '^(\d{1,3}(\.\d{1,3}){3}|\[.*)$') THEN [regexp_replace(host, ':\d*$', '')]
+           ELSE string_split(regexp_replace(host, ':\d*$', ''), '.') END AS parts, count(good) AS n, coalesce(sum(good), 0) AS good
   FROM parsed LEFT JOIN outcome ON page_id = doc_id GROUP BY host
 ), tree AS (
   SELECT host, array_to_string(parts[-2:], '.') AS domain, parts[-1] AS suffix, n, good FROM hosts

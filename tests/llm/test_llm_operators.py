@@ -482,3 +482,35 @@ def test_pipeline_stages_keep_columns(spark):
         assert now.columns == documents.columns, name
     pieces = corpus_pipeline.run(spark, d)
     assert pieces.count() > 0 and pieces.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
+
+
+def test_domains_without_ports_addresses_whole_and_listed_suffixes(spark):
+    hosts = ["a.b.co.uk:8080", "co.uk", "x.example.com", "example.com:", "10.0.0.1:80", "[::1]:443", "localhost", "", "u.github.io"]
+    rows = spark.createDataFrame([(h, 0) for h in hosts], "host string, n int")
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.host_tree(rows, spark.createDataFrame([("co.uk",), ("github.io",)], "suffix string")).collect()}
+    assert got == {"a.b.co.uk:8080": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.example.com": ("example.com", "com"),
+                   "example.com:": ("example.com", "com"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]:443": ("[::1]", "[::1]"),
+                   "localhost": ("localhost", "localhost"), "": ("", ""), "u.github.io": ("u.github.io", "github.io")}
+    plain = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.host_tree(rows).collect()}
+    assert plain["a.b.co.uk:8080"] == ("co.uk", "uk")
+
+
+def test_url_filter_with_clashing_columns_and_a_long_url(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/" + "x" * 300_000, "h", 0.5), (2, None, "h", 0.5), (1, "http://a.com:80/", "h", 0.5)],
+                                  "page_id long, url string, host string, mean double")
+    outcomes = spark.createDataFrame([(1, 1, "z")], "page_id long, good int, host string")
+    got = sorted((r["page_id"], r["host"], len(r["path"]), r["verdict"]) for r in url_filter.judge(pages, outcomes).collect())
+    assert [g[:3] for g in got] == [(1, "a.com", 300_001), (1, "a.com:80", 1), (2, "", 0)]
+    assert url_filter.judge(pages.limit(0), outcomes).count() == 0
+
+
+def test_token_counts_of_ids_of_any_type(spark):
+    from harmonia.llm.separator_scan import token_counts
+    for kind in ("string", "long", "decimal(20,0)"):
+        ids = ["7", None, "7", "-1"] if kind != "string" else ["a", None, "a", ""]
+        docs = spark.createDataFrame(list(zip(ids, ["one two", None, "one two", "x"])), "doc_id string, text string").select(
+            F.col("doc_id").cast(kind), "text", F.lit("clash").alias("key"), F.lit("clash").alias("file"))
+        got = token_counts(docs)
+        assert got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+        assert sorted((str(r["doc_id"]), r["tokens"]) for r in got.collect()) == sorted(zip(map(str, ids), [2, 0, 2, 1]))
+        assert token_counts(docs.limit(0)).count() == 0
