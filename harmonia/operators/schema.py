@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from .. import lookups as L
 from ..functions import names as N
-from .similarity import levenshtein_similarity, ratcliff_ratio, similar_names  # noqa: F401 (also offered from here)
+from .similarity import length_band, levenshtein_similarity, ratcliff_ratio, similar_names, similarity  # noqa: F401 (also offered from here)
 
 # ---- header names (M9-M13, Q5) ------------------------------------------------------------------
 
@@ -106,11 +106,14 @@ def unmapped_files(files: DataFrame, aliases: DataFrame, key: str = "file") -> D
 def best_renames(columns: list[str], canonical: list[str], spark, threshold: float = 0.9,
                  method: str = "levenshtein") -> dict[str, str]:
     """For one file's header: test column -> canonical column for the best match at or above the
-    threshold (exact names are left alone).  Header lists are metadata, so this runs on two tiny
+    threshold, above 0 (exact names are left alone).  Header lists are metadata, so this runs on two tiny
     DataFrames and collects at most one row per canonical column."""
     hdr = spark.createDataFrame([("f", i, c) for i, c in enumerate(columns)], "file string, pos int, name string")
     can = spark.createDataFrame([(c,) for c in canonical], "column string")
-    pairs = hdr.join(similar_names(hdr, can, threshold, method), "name")
+    lo, hi = length_band(method, threshold, F.length("column"))   # one header against one table: an index would cost more than it saves
+    ref = can.withColumn("tlen", F.explode(F.sequence(lo, hi)))
+    pairs = hdr.withColumn("tlen", F.length("name")).join(ref, "tlen")
+    pairs = pairs.withColumn("sim", similarity(method, F.col("column"), F.col("name"))).filter(F.col("sim") >= F.lit(threshold))
     w = Window.partitionBy("column").orderBy(F.col("sim").desc(), F.col("pos"))
     best = pairs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").collect()
     return {r["name"]: r["column"] for r in best if r["name"] != r["column"] and r["name"] not in canonical}
