@@ -45,7 +45,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language_id), ("toxicity", toxicity), ("simhash_dedup", simhash_dedup),
           ("mix_sources", mix_sources), ("pack", pack)]
 
-#: Trained models and packing have no SQL form; the tests hold each stage against a brute-force version.
+#: Trained models and packing have no SQL form; tests/llm holds the SimHash, mixing and packing operators against brute force and the
+#: models against held-out labels, and the stages' columns and rows kept against their contract.
 ORACLE_SQL = None
 
 
