@@ -26,6 +26,8 @@ SHARE = 1.5
 MOST = 2
 TOLERANCE = 1e-9
 ITERATIONS = 100
+#: Cells (source, size) that every task may hold, 40 bytes each and a source's name.  They grow with the sizes that occur, not the documents.
+HELD_CELLS = 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -175,8 +177,12 @@ def _ordered(h: Column) -> Column:
 
 
 def with_copies(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """``rows`` with their cell's columns and the ``copies`` that each row takes."""
+    """``rows`` with their cell's columns and the ``copies`` that each row takes.
+
+    Up to ``HELD_CELLS`` cells go to every task, so that whole documents stay where they are; more are joined by a shuffle."""
     c = cells.withColumnsRenamed({"source": "s", "size": "z"})
+    if cells.count() <= HELD_CELLS:
+        c = F.broadcast(c)
     h = _ordered(F.col("h"))
     takes = (h < F.col("last")) | ((h == F.col("last")) & (F.col("last_row").isNull() | (F.col("row") <= F.col("last_row"))))
     return (rows.join(c, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
